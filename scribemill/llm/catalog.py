@@ -1,6 +1,7 @@
 """Queries of the numbered operators, each over its whole table, and their SQL where SQL can express them."""
 
+from scribemill.llm.decontamination import OP10_SQL, op10_decontamination
 from scribemill.llm.token_output import op1_token_output
 
-QUERIES = {"op1_token_output": op1_token_output}
-ORACLES: dict[str, str] = {}
+QUERIES = {"op1_token_output": op1_token_output, "op10_decontamination": op10_decontamination}
+ORACLES = {"op10_decontamination": OP10_SQL}
