@@ -1,7 +1,9 @@
 """Queries of the numbered operators, each over its whole table, and their SQL where SQL can express them."""
 
 from scribemill.llm.decontamination import OP10_SQL, op10_decontamination
+from scribemill.llm.line_dedup import OP6_SQL, op6_line_dedup
+from scribemill.llm.lm_scoring import op7_lm_scoring
 from scribemill.llm.token_output import op1_token_output
 
-QUERIES = {"op1_token_output": op1_token_output, "op10_decontamination": op10_decontamination}
-ORACLES = {"op10_decontamination": OP10_SQL}
+QUERIES = {"op1_token_output": op1_token_output, "op6_line_dedup": op6_line_dedup, "op7_lm_scoring": op7_lm_scoring, "op10_decontamination": op10_decontamination}
+ORACLES = {"op6_line_dedup": OP6_SQL, "op10_decontamination": OP10_SQL}

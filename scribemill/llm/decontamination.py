@@ -8,8 +8,6 @@ from its rarest term's list, moved back by that term's offset, and must be found
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
