@@ -7,8 +7,9 @@ from scribemill.llm.lm_scoring import op7_lm_scoring
 from scribemill.llm.matroska import op9_media_columns
 from scribemill.llm.mixing import OP2_SQL, op2_mixing
 from scribemill.llm.near_dedup import op4_near_dedup
+from scribemill.llm.suffix_dedup import op3_suffix_dedup
 from scribemill.llm.token_output import op1_token_output
 from scribemill.llm.toxicity import op5_toxicity
 
-QUERIES = {"op5_toxicity": op5_toxicity, "op1_token_output": op1_token_output, "op6_line_dedup": op6_line_dedup, "op7_lm_scoring": op7_lm_scoring, "op2_mixing": op2_mixing, "op4_near_dedup": op4_near_dedup, "op8_html_extraction": op8_html_extraction, "op9_media_columns": op9_media_columns, "op10_decontamination": op10_decontamination}
+QUERIES = {"op5_toxicity": op5_toxicity, "op1_token_output": op1_token_output, "op6_line_dedup": op6_line_dedup, "op7_lm_scoring": op7_lm_scoring, "op2_mixing": op2_mixing, "op3_suffix_dedup": op3_suffix_dedup, "op4_near_dedup": op4_near_dedup, "op8_html_extraction": op8_html_extraction, "op9_media_columns": op9_media_columns, "op10_decontamination": op10_decontamination}
 ORACLES = {"op2_mixing": OP2_SQL, "op6_line_dedup": OP6_SQL, "op10_decontamination": OP10_SQL}

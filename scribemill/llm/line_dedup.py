@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scribemill.llm._arrays import LOWER, NOT_SPACE, mix, prefix_hashes, range_hashes
-from scribemill.llm._shared import block_texts, blocks, written
+from scribemill.llm._shared import BLOCK_BYTES, block_texts, blocks, written
 
 NO_ID = np.iinfo(np.int64).min
 
@@ -126,7 +126,7 @@ def requests(packs: DataFrame, n_shards: int, least: int) -> DataFrame:
     return packs.mapInArrow(ask, "shard int, block long, a binary, b binary, docs binary, largest binary")
 
 
-def dedup_lines(docs: DataFrame, least_chars: int = 20, least_docs: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, least_chars: int = 20, least_docs: int = 3, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Drop repeated lines: doc_id, n_lines, n_dropped, text (the lines that stay, joined by a line feed).
 
     A line's key is the line without white space at its ends and with A-Z lower-cased. Keys of at least least_chars
@@ -134,7 +134,7 @@ def dedup_lines(docs: DataFrame, least_chars: int = 20, least_docs: int = 3, id_
     empty text is one empty line. Equal rows count as documents of their own and, with the largest id, all keep the
     line; a null id is below all others. An empty table gives no row; further columns play no part.
     """
-    packs = written(blocks(docs, id_col, text_col), "line-blocks")
+    packs = written(blocks(docs, id_col, text_col, block_bytes), "line-blocks")
     n_shards = max(16, packs.count())
 
     def answer(table: pa.Table) -> pa.Table:

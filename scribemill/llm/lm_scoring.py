@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scribemill.llm._arrays import NOT_SPACE, coded, hash_binary, mix, words
-from scribemill.llm._shared import block_texts, blocks, written
+from scribemill.llm._shared import BLOCK_BYTES, block_texts, blocks, written
 
 END, BOS = np.uint64(0x452821E638D01377), np.uint64(0xBE5466CF34E90C6C)
 BOS_KEY = np.uint64(0x243F6A8885A308 & ~7)
@@ -217,7 +217,7 @@ def learn(rows: list[tuple], order: int, v: int) -> np.ndarray:
     return weights
 
 
-def score(docs: DataFrame, order: int = 2, train_mod: int = 10, em_remainder: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, order: int = 2, train_mod: int = 10, em_remainder: int = 1, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Score every text with a model learned from those whose crc32 of the id modulo train_mod is not 0.
 
     The training documents of remainder em_remainder are held out for the mixture weights. Null and empty texts are
@@ -225,7 +225,7 @@ def score(docs: DataFrame, order: int = 2, train_mod: int = 10, em_remainder: in
     without training documents every token has the uniform probability; an empty table gives no row. Columns: doc_id,
     held_out, n_tokens, n_known, train_tokens, base_score (add-0.1 unigrams), score.
     """
-    packs = written(blocks(docs, id_col, text_col), "lm-blocks")
+    packs = written(blocks(docs, id_col, text_col, block_bytes), "lm-blocks")
     n_shards = max(16, packs.count() // 2)
     answered = written(answers(requests(packs, n_shards, order, train_mod, em_remainder)), "lm-counts")
     n_fit, n_all, v_fit, v_all = (x or 0 for x in answered.where(F.col("block").isNull()).agg(*(F.sum(c) for c in ("n_fit", "n_all", "v_fit", "v_all"))).first())
