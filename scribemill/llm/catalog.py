@@ -1,5 +1,6 @@
 """Queries of the numbered operators, each over its whole table, and their SQL where SQL can express them."""
 
+import corpus_pipeline
 from scribemill.llm.decontamination import OP10_SQL, op10_decontamination
 from scribemill.llm.html_extraction import op8_html_extraction
 from scribemill.llm.line_dedup import OP6_SQL, op6_line_dedup
@@ -11,5 +12,21 @@ from scribemill.llm.suffix_dedup import op3_suffix_dedup
 from scribemill.llm.token_output import op1_token_output
 from scribemill.llm.toxicity import op5_toxicity
 
-QUERIES = {"op5_toxicity": op5_toxicity, "op1_token_output": op1_token_output, "op6_line_dedup": op6_line_dedup, "op7_lm_scoring": op7_lm_scoring, "op2_mixing": op2_mixing, "op3_suffix_dedup": op3_suffix_dedup, "op4_near_dedup": op4_near_dedup, "op8_html_extraction": op8_html_extraction, "op9_media_columns": op9_media_columns, "op10_decontamination": op10_decontamination}
-ORACLES = {"op2_mixing": OP2_SQL, "op6_line_dedup": OP6_SQL, "op10_decontamination": OP10_SQL}
+QUERIES = {
+    "op1_token_output": op1_token_output,
+    "op2_mixing": op2_mixing,
+    "op3_suffix_dedup": op3_suffix_dedup,
+    "op4_near_dedup": op4_near_dedup,
+    "op5_toxicity": op5_toxicity,
+    "op6_line_dedup": op6_line_dedup,
+    "op7_lm_scoring": op7_lm_scoring,
+    "op8_html_extraction": op8_html_extraction,
+    "op9_media_columns": op9_media_columns,
+    "op10_decontamination": op10_decontamination,
+    "pipeline": corpus_pipeline.run,
+}
+ORACLES = {
+    "op2_mixing": OP2_SQL,
+    "op6_line_dedup": OP6_SQL,
+    "op10_decontamination": OP10_SQL,
+} | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
