@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from scribemill.llm._arrays import ALNUM, binary, coded, ragged, sliced, texts, words
 from scribemill.llm._shared import BLOCK_BYTES, written
 
-INDEX = "ids array<bigint>, firsts binary, terms binary, term_ends binary, list_ends binary, positions binary"
+INDEX = "number long, ids array<bigint>, firsts binary, terms binary, term_ends binary, list_ends binary, positions binary"
 #: bytes of benchmark text that one broadcast may hold; a larger benchmark is taken in blocks of that size
 QUERY_BYTES = 16 << 20
 
@@ -24,11 +24,14 @@ QUERY_BYTES = 16 << 20
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The index of all words of all texts (null: none), written to the shared folder.
 
-    Columns: ids of the row's documents, `firsts` (number of each document's first word within the row, and the
+    Columns: the number of the row's first document, ids of its documents, `firsts` (number of each document's first word within the row, and the
     total), the terms (bytes and ends, in no order), and their lists: ends and ascending word positions.
     """
 
     def index(batches):
+        from pyspark import TaskContext
+
+        number = TaskContext.get().partitionId() << 40
         for batch in batches:
             data, offsets = texts(batch.column(1))
             ids = batch.column(0).to_pylist()
@@ -38,7 +41,8 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 order = np.argsort(codes, kind="stable").astype("<u4")
                 raw, ends = texts(distinct)
                 lists = np.cumsum(np.bincount(codes, minlength=len(distinct)))
-                yield pa.record_batch([pa.array([ids[i:j]], pa.list_(pa.int64())), *(pa.array([x.tobytes()], pa.binary()) for x in (firsts.astype("<i8"), raw, ends[1:].astype("<i8"), lists.astype("<i8"), order))], names=["ids", "firsts", "terms", "term_ends", "list_ends", "positions"])
+                yield pa.record_batch([pa.array([number], pa.int64()), pa.array([ids[i:j]], pa.list_(pa.int64())), *(pa.array([x.tobytes()], pa.binary()) for x in (firsts.astype("<i8"), raw, ends[1:].astype("<i8"), lists.astype("<i8"), order))], names=["number", "ids", "firsts", "terms", "term_ends", "list_ends", "positions"])
+                number += j - i
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return written(rows.mapInArrow(index, INDEX), "postings", "snappy")
@@ -168,9 +172,6 @@ def _hits(index: DataFrame, items: DataFrame, width: int, id_col: str = "item_id
 
     def probe(queries):
         def run(batches):
-            from pyspark import TaskContext
-
-            rid = TaskContext.get().partitionId() << 40
             for batch in batches:
                 for row in batch.to_pylist():
                     p = Postings(row)
@@ -190,8 +191,7 @@ def _hits(index: DataFrame, items: DataFrame, width: int, id_col: str = "item_id
                                 own.append({"s": s, "e": e})
                         spans.append(own)
                         items_of.append([x for k in np.unique(queries.value.item[which[a:b]]) if (x := queries.value.item_ids[k]) is not None])
-                    yield pa.record_batch([pa.array(p.ids, pa.int64()), pa.array(np.diff(p.firsts)), pa.array(spans, pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))), pa.array(items_of, pa.list_(pa.string())), pa.array(np.arange(len(p.ids)) + rid)], names=["doc_id", "n_words", "spans", "items", "rid"])
-                    rid += len(p.ids)
+                    yield pa.record_batch([pa.array(p.ids, pa.int64()), pa.array(np.diff(p.firsts)), pa.array(spans, pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))), pa.array(items_of, pa.list_(pa.string())), pa.array(np.arange(len(p.ids)) + row["number"])], names=["doc_id", "n_words", "spans", "items", "rid"])
 
         return run
 
