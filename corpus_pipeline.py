@@ -20,7 +20,7 @@ from scribemill.llm.toxicity import classify, fit
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, fitted to the labels of documents still here, rejects go."""
     model = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return classify(docs, model, keep=True).where(~F.col("rejected")).select(*docs.columns)
+    return classify(docs, model, keep=True, names=("__score", "__rejected")).where(~F.col("__rejected")).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

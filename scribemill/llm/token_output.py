@@ -8,6 +8,7 @@ seeks to the frames of the documents it wants and decompresses only those.
 from __future__ import annotations
 
 import functools
+import itertools
 import struct
 import zlib
 
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from scribemill.llm._arrays import binary, coded, ragged, sliced, texts
+from scribemill.llm._arrays import NOT_SPACE, binary, coded, ragged, sliced, texts
 from scribemill.llm._shared import shared_dir, written
 
 SEEK_MAGIC, SKIPPABLE = 0x8F92EAB1, 0x184D2A5E
@@ -105,17 +106,75 @@ def tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-#: ids of chunks already encoded in this worker, by tokenizer file; emptied when it holds MEMO of them
-_memo: dict[str, dict[bytes, np.ndarray]] = {}
-MEMO = 300_000
+@functools.lru_cache(2)
+def id_bytes(path: str) -> np.ndarray:
+    """Bytes of text that each id of a byte-level tokenizer stands for."""
+    t = tokenizer(path)
+    added = {i: len(x.content.encode()) for i, x in t.get_added_tokens_decoder().items()}
+    return np.array([added[i] if i in added else len(t.id_to_token(i) or "") for i in range(t.get_vocab_size())], dtype=np.int64)
+
+
+def encode_each(chunks: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of Arrow binary values, each encoded by itself."""
+    found = [e.ids for e in tokenizer(path).encode_batch_fast([x.decode("utf-8", "replace") for x in chunks.to_pylist()], add_special_tokens=False)]
+    return np.fromiter(itertools.chain.from_iterable(found), np.uint32), np.fromiter(map(len, found), np.int64, len(found))
+
+
+def encode_joined(chunks: pa.Array, path: str, piece: int = 1 << 15) -> tuple[np.ndarray, np.ndarray]:
+    """The same for chunks that do not end in white space, many at once: joined, with a line feed before each that does
+    not begin with white space. A line feed between other characters is an id of its own, so the ids' bytes tell
+    where each chunk's ids begin."""
+    data, offsets = texts(chunks)
+    bare = NOT_SPACE[data[offsets[:-1]]]
+    at = offsets[:-1] + np.cumsum(bare)  # where each chunk begins after the line feeds are put in
+    joined = np.full(len(data) + int(bare.sum()), 10, dtype=np.uint8)
+    joined[ragged(at, np.diff(offsets))] = data
+    begins = np.append(at - bare, len(joined))
+    strings = [joined[begins[i] : begins[j]].tobytes().decode("utf-8", "replace") for i, j in sliced(begins, piece)]
+    ids = np.concatenate([np.array(e.ids, np.uint32) for e in tokenizer(path).encode_batch_fast(strings, add_special_tokens=False)])
+    ends = np.concatenate([[0], np.cumsum(id_bytes(path)[ids])])
+    first, last = np.searchsorted(ends, at), np.searchsorted(ends, begins[1:])
+    if ends[-1] != len(joined) or (ends[first] != at).any() or (ends[last] != begins[1:]).any():
+        return encode_each(chunks, path)  # not a byte-level tokenizer
+    return ids[ragged(first, last - first)], last - first
+
+
+class Memo:
+    """Ids of chunks that this worker has met, by their bytes; emptied when it holds `most`."""
+
+    def __init__(self, most: int = 500_000):
+        self.most = most
+        self.clear()
+
+    def clear(self):
+        self.slots, self.n, self.used = {}, 0, 0
+        self.starts, self.lengths, self.flat = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64), np.zeros(1 << 18, np.uint32)
+
+    @staticmethod
+    def grown(x: np.ndarray, n: int) -> np.ndarray:
+        return x if n <= len(x) else np.concatenate([x, np.zeros(max(n, 2 * len(x)) - len(x), x.dtype)])
+
+    def add(self, keys: list[bytes], ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """The slots of new chunks."""
+        n, used = self.n + len(keys), self.used + len(ids)
+        self.starts, self.lengths, self.flat = self.grown(self.starts, n), self.grown(self.lengths, n), self.grown(self.flat, used)
+        self.starts[self.n : n] = self.used + np.cumsum(lengths) - lengths
+        self.lengths[self.n : n], self.flat[self.used : used] = lengths, ids
+        slots = range(self.n, n)
+        self.slots.update((k, s) for k, s in zip(keys, slots, strict=True) if len(k) <= 48)
+        self.n, self.used = n, used
+        return np.arange(slots.start, n)
+
+
+_memos: dict[str, Memo] = {}
 
 
 def encode(data: np.ndarray, offsets: np.ndarray, path: str) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts (bytes between offsets) by the tokenizer file, and the n + 1 id offsets.
 
     A byte-level pre-tokenizer never joins a character with white space that follows it, so a text's ids are those of
-    its chunks (white space, then what follows up to the next white space) one after the other. Each distinct chunk is
-    encoded once. A text with white space beyond ASCII's is encoded as one chunk.
+    its chunks (white space, then what follows up to the next white space) one after the other. Each distinct chunk
+    is encoded once, as long as the worker remembers it. A text with white space beyond ASCII's is encoded as one chunk.
     """
     space = np.zeros(256, dtype=bool)
     space[[0x20, 9, 10, 11, 12, 13]] = True
@@ -128,26 +187,27 @@ def encode(data: np.ndarray, offsets: np.ndarray, path: str) -> tuple[np.ndarray
         odd[2:] |= (data[:-2] == 0xE1) & (data[1:-1] == 0x9A) & (data[2:] == 0x80)
         odd[2:] |= (data[:-2] == 0xE2) & (((data[1:-1] == 0x80) & ((data[2:] <= 0x8A) | (data[2:] == 0xA8) | (data[2:] == 0xA9) | (data[2:] == 0xAF))) | ((data[1:-1] == 0x81) & (data[2:] == 0x9F)))
         odd[2:] |= (data[:-2] == 0xE3) & (data[1:-1] == 0x80) & (data[2:] == 0x80)
-    for at in np.unique(np.searchsorted(offsets, np.flatnonzero(odd), side="right") - 1):
+    whole = np.unique(np.searchsorted(offsets, np.flatnonzero(odd), side="right") - 1)
+    for at in whole:
         cut[offsets[at] : offsets[at + 1]] = False
     cut[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
     begins = np.concatenate([np.flatnonzero(cut), [len(data)]])
     codes, distinct = coded(binary(data, begins))
-    memo = _memo.setdefault(path, {})
-    if len(memo) > MEMO:
+    memo = _memos.setdefault(path, Memo())
+    if memo.n > memo.most:
         memo.clear()
     keys = distinct.to_pylist()
-    found = [memo.get(x) for x in keys]
-    missing = [i for i, x in enumerate(found) if x is None]
-    for k in range(0, len(missing), 20_000):
-        part = missing[k : k + 20_000]
-        for i, e in zip(part, tokenizer(path).encode_batch_fast([keys[i].decode("utf-8", "replace") for i in part], add_special_tokens=False), strict=True):
-            found[i] = np.array(e.ids, np.uint32)
-            if len(keys[i]) < 40:
-                memo[keys[i]] = found[i]
-    lengths = np.fromiter(map(len, found), np.int64, len(found))
-    flat = np.concatenate(found) if found else np.zeros(0, np.uint32)
-    starts = np.cumsum(lengths) - lengths
+    slots = np.fromiter((memo.slots.get(x, -1) for x in keys), np.int64, len(keys))
+    raw, bounds = texts(distinct)
+    plain = np.zeros(len(distinct), dtype=bool)
+    full = bounds[:-1] < bounds[1:]
+    plain[full] = NOT_SPACE[raw[bounds[1:][full] - 1]]
+    plain &= ~np.isin(np.arange(len(distinct)), codes[np.searchsorted(begins[:-1], offsets[:-1][whole])]) if len(whole) else True
+    # a text encoded as one chunk may be a chunk that stands for itself elsewhere: both have the same ids
+    for chosen, how in ((np.flatnonzero(plain & (slots < 0)), encode_joined), (np.flatnonzero(~plain & (slots < 0)), encode_each)):
+        if len(chosen):
+            slots[chosen] = memo.add([keys[i] for i in chosen], *how(distinct.take(pa.array(chosen)), path))
+    lengths, starts, flat = memo.lengths[slots], memo.starts[slots], memo.flat
     per = lengths[codes]
     ids = flat[ragged(starts[codes], per)]
     ends = np.concatenate([[0], np.cumsum(per)])
@@ -190,7 +250,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
         first, file, shard = 0, None, None
         for batch in batches:
             data, offsets = texts(batch.column(1))
-            for i, j in sliced(offsets, 4 << 20):
+            for i, j in sliced(offsets, 8 << 20):
                 if file is None:
                     file = own.open_output_stream(temporary)
                     shard = ShardWriter(file, frame_ids)
@@ -243,5 +303,5 @@ def op1_token_output(spark, sf_dir: str) -> DataFrame:
 
 def token_digests(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     path = shared_dir(docs.sparkSession, "tokens")
-    index = write_tokens(docs, path, tokenizer_path)
-    return starts(read_documents(index, path)).select("doc_id", "start", "n_tokens", "ids_crc32", "shard", "first")
+    index = starts(write_tokens(docs, path, tokenizer_path))
+    return read_documents(index, path).select("doc_id", "start", "n_tokens", "ids_crc32", "shard", "first")
