@@ -25,7 +25,7 @@ REGISTERS, ROWS = 128, 4
 LEAST_ESTIMATE = 0.6
 PERCENT = 75
 #: nodes of a bucket that one task compares with as many others
-CHUNK = 1000
+CHUNK = 2000
 UNSET = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -124,10 +124,9 @@ def agreement(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     return both.select("a", "b", "sa", "sb").mapInArrow(rate, "a binary, b binary, estimate double")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
-    """The pairs (a, b) for which 100 * intersection >= percent * union on the full sets."""
-    asked = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = nodes.select("node", F.col("low").alias("__id")).join(asked, "node")
+def node_sets(asked: DataFrame, docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(node, items): the full sets of the nodes asked for, taken from their documents again, written."""
+    wanted = nodes.select("node", F.col("low").alias("__id")).join(asked.select("node").distinct(), "node")
 
     def sets(batches):
         for batch in batches:
@@ -142,7 +141,13 @@ def confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, id_col: str,
 
     rows = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).cast("string").alias("text"))
     of_nodes = rows.join(wanted, rows["__id"].eqNullSafe(wanted["__id"])).select("text", "node").mapInArrow(sets, "node binary, items binary").dropDuplicates(["node"])
-    of_nodes = written(of_nodes, "near-sets", "snappy")
+    return written(of_nodes, "near-sets", "snappy")
+
+
+def confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
+    """The pairs (a, b) for which 100 * intersection >= percent * union on the full sets."""
+    asked = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
+    of_nodes = node_sets(asked, docs, nodes, id_col, text_col)
 
     def check(batches):
         for batch in batches:
@@ -197,21 +202,22 @@ def near_groups(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id",
     nodes = written(nodes, "near-nodes")
     keys = nodes.select("node", F.explode("bands").alias("key"))
     hubs = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("hub")).where("n > 1")
-    # keys that several nodes share, with the bucket's hub
-    shared = written(keys.join(hubs.select("key", "hub", "n"), "key"), "near-buckets")
-    stars = shared.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
-    stars = written(agreement(stars, nodes).where(F.col("estimate") >= LEAST_ESTIMATE), "near-stars")
-    # first each node with the hub it agrees with most, then all pairs that still stand between components
-    best = stars.groupBy("a").agg(F.max_by("b", F.struct("estimate", "b")).alias("b"))
+    # each node with the hubs of its buckets: nodes of one bucket have a hub in common
+    stars = keys.join(hubs.select("key", "hub"), "key").where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+    stars = written(agreement(written(stars, "near-stars"), nodes), "near-rated")
+    near = stars.where(F.col("estimate") >= LEAST_ESTIMATE)
+    # first each node with the hub it agrees with most, then the hubs that still stand in another component
+    best = near.groupBy("a").agg(F.max_by("b", F.struct("estimate", "b")).alias("b"))
     links = written(confirmed(best, docs, nodes, id_col, text_col, percent), "near-confirmed")
     roots = components(links)
-    asked = best
-    for pairs in (lambda r: apart(stars, r), lambda r: between(shared, nodes, r)):
-        more = written(pairs(roots).select("a", "b").join(asked, ["a", "b"], "left_anti"), "near-pairs")
-        if not more.isEmpty():
-            links = written(links.unionByName(confirmed(more, docs, nodes, id_col, text_col, percent)), "near-confirmed")
-            roots = components(links)
-            asked = asked.unionByName(more)
+    more = written(apart(near, roots).select("a", "b").join(best, ["a", "b"], "left_anti"), "near-pairs")
+    if not more.isEmpty():
+        links = written(links.unionByName(confirmed(more, docs, nodes, id_col, text_col, percent)), "near-confirmed")
+        roots = components(links)
+    # last the pairs of a hub's nodes that are still apart
+    found = written(between(stars, roots, docs, nodes, id_col, text_col, percent), "near-between")
+    if not found.isEmpty():
+        roots = components(links.unionByName(found))
     least = nodes.select("node", "low").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     names = least.groupBy("root").agg(F.min("low").alias("component_id"))
     named = least.join(names, "root").select("node", "component_id")
@@ -227,39 +233,77 @@ def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return out.where(~F.coalesce(F.col("ra") == F.col("rb"), F.lit(False)))
 
 
-def between(shared: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs of a bucket's nodes that are in different components and agree in LEAST_ESTIMATE of the registers.
+def chunked(members: DataFrame) -> DataFrame:
+    """Rows (hub, node, ...) of hubs, cut by a hash of the node into chunks of about CHUNK, for every pair of chunks
+    (x, y) that has the row's own chunk: a hub's nodes meet two chunks at a time."""
+    sizes = members.groupBy("hub").agg(F.ceil(F.count("*") / CHUNK).alias("chunks"))
+    rows = members.join(sizes, "hub").withColumn("own", F.pmod(F.xxhash64("node"), "chunks"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+    return rows.withColumns({"x": F.least("own", "other"), "y": F.greatest("own", "other")}).drop("other", "chunks")
 
-    Most buckets are one component and drop out. The others are cut into chunks of about CHUNK nodes, and a task
-    compares two chunks' sketches.
-    """
-    named = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = named.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
-    # of buckets that hold the same nodes one is enough
-    rows = named.join(mixed, "key").withColumn("h", F.xxhash64("node"))
-    same = rows.groupBy("key").agg(F.sum(F.col("h").cast("decimal(38,0)")).alias("s"), F.bit_xor("h").alias("t"), F.first("n").alias("m")).groupBy("s", "t", "m").agg(F.min("key").alias("key"))
-    rows = rows.join(same.select("key"), "key").withColumn("chunks", F.ceil(F.col("n") / CHUNK))
-    rows = rows.withColumn("own", F.pmod("h", "chunks")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
-    rows = rows.withColumns({"x": F.least("own", "other"), "y": F.greatest("own", "other")})
-    rows = rows.join(nodes.select("node", "sketch"), "node").select("key", "x", "y", "own", "node", "root", "sketch")
-
-    def compare(table: pa.Table) -> pa.Table:
-        own, x, y = (table.column(c).to_numpy() for c in ("own", "x", "y"))
-        node, root = (np.array(table.column(c).to_pylist(), dtype=object) for c in ("node", "root"))
-        _, root = np.unique(root, return_inverse=True)
-        sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), "<u2").reshape(-1, REGISTERS)
-        left, right = np.flatnonzero(own == x), np.flatnonzero(own == y)
-        a, b = [], []
+
+def candidates(table: pa.Table):
+    """Nodes, their components, and for each node of chunk x the nodes of chunk y in another component whose sketches
+    agree in LEAST_ESTIMATE of the registers."""
+    own, x, y = (table.column(c).to_numpy() for c in ("own", "x", "y"))
+    node = np.array(table.column("node").to_pylist(), dtype=object)
+    root = np.unique(np.array(table.column("root").to_pylist(), dtype=object), return_inverse=True)[1]
+    sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), "<u2").reshape(-1, REGISTERS)
+    left, right = np.flatnonzero(own == x), np.flatnonzero(own == y)
+
+    def near():
         for i in left:
-            others = right[(root[right] != root[i]) & ((node[right] > node[i]) if x[0] == y[0] else True)]
+            others = right[root[right] != root[i]] if x[0] != y[0] else right[(root[right] != root[i]) & (right > i)]
             if len(others):
-                hit = others[(sketch[others] == sketch[i]).mean(axis=1) >= LEAST_ESTIMATE]
-                a += [node[i]] * len(hit)
-                b += node[hit].tolist()
+                yield i, others[(sketch[others] == sketch[i]).mean(axis=1) >= LEAST_ESTIMATE]
+
+    return node, root, near()
+
+
+def between(stars: DataFrame, roots: DataFrame, docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
+    """Confirmed links between components among the nodes that share a hub, as many as it takes to join them.
+
+    Most hubs' nodes are one component and drop out. Of the others, sketches tell which nodes have a candidate in
+    another component; these meet again with their full sets, and the pairs are confirmed in the task, which gives a
+    link only where it joins what was apart: rows grow with the nodes, not with the pairs.
+    """
+    members = stars.select(F.col("b").alias("hub"), F.col("a").alias("node")).unionByName(stars.select(F.col("b").alias("hub"), F.col("b").alias("node")).distinct())
+    named = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    mixed = named.groupBy("hub").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("hub")
+    rows = chunked(named.join(mixed, "hub")).join(nodes.select("node", "sketch"), "node")
+
+    def involved(table: pa.Table) -> pa.Table:
+        node, _, near = candidates(table)
+        hit = np.zeros(len(node), dtype=bool)
+        for i, others in near:
+            hit[others] = True
+            hit[i] |= len(others) > 0
+        return table.select(["hub", "node", "root"]).filter(pa.array(hit))
+
+    some = rows.groupBy("hub", "x", "y").applyInArrow(involved, "hub binary, node binary, root binary").distinct()
+    some = written(some, "near-involved")
+    full = chunked(some).join(nodes.select("node", "sketch"), "node").join(node_sets(some, docs, nodes, id_col, text_col), "node")
+
+    def join(table: pa.Table) -> pa.Table:
+        node, root, near = candidates(table)
+        items = [np.frombuffer(x, "<u8") for x in table.column("items").to_pylist()]
+        sizes = np.array([len(x) for x in items])
+        a, b = [], []
+        for i, others in near:
+            others = others[root[others] != root[i]]
+            if not len(others):
+                continue
+            flat = np.concatenate([items[k] for k in others])
+            at = np.minimum(np.searchsorted(items[i], flat), sizes[i] - 1)
+            both = np.add.reduceat((items[i][at] == flat).astype(np.int64), np.cumsum(sizes[others]) - sizes[others])
+            for k in others[100 * both >= percent * (sizes[i] + sizes[others] - both)]:
+                if root[k] != root[i]:
+                    root[root == root[k]] = root[i]
+                    a.append(node[i])
+                    b.append(node[k])
         return pa.table([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
 
-    found = rows.groupBy("key", "x", "y").applyInArrow(compare, "a binary, b binary")
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return full.groupBy("hub", "x", "y").applyInArrow(join, "a binary, b binary")
 
 
 def op4_near_dedup(spark, sf_dir: str) -> DataFrame:
