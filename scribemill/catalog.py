@@ -1,4 +1,5 @@
 """The queries of the library's operators, with the SQL they are held against."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from scribemill.plans.queries import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]

@@ -7,10 +7,14 @@ from pyspark.sql import functions as F
 
 
 def softmax(scores: Column, among: Column | None = None) -> Column:
-    """Probabilities of an array of scores; with `among` (array of booleans), the others have probability 0."""
+    """Probabilities of an array of scores; with `among` (array of booleans), the others have probability 0.
+
+    The maximum and the sum are computed once for the array: each is passed on as a one-element array.
+    """
     kept = scores if among is None else F.zip_with(scores, among, lambda s, m: F.when(m, s).otherwise(F.lit(float("-inf"))))
-    powers = F.transform(kept, lambda s: F.exp(s - F.array_max(kept)))
-    return F.transform(powers, lambda p: p / F.aggregate(powers, F.lit(0.0), lambda a, b: a + b))
+    powers = F.flatten(F.transform(F.array(F.array_max(kept)), lambda most: F.transform(kept, lambda s: F.exp(s - most))))
+    total = lambda p: F.aggregate(p, F.lit(0.0), lambda a, b: a + b)
+    return F.flatten(F.transform(F.array(powers), lambda p: F.flatten(F.transform(F.array(total(p)), lambda t: F.transform(p, lambda x: x / t)))))
 
 
 def by_probability(probabilities: Column) -> Column:
@@ -119,9 +123,15 @@ def snr_db(audio: Column, ratios: list[float] = SNR_RATIOS, first_db: int = -20)
     """Signal-to-noise ratio from the distribution of amplitudes: ln(mean |x|) - mean(ln |x|) of the samples scaled to
     their peak, between the last table value below it and the next one; the ends hold beyond the table."""
     magnitude = F.transform(audio, lambda v: F.abs(v.cast("double")))
-    scaled = F.transform(magnitude, lambda v: F.greatest(v / F.array_max(magnitude), F.lit(1e-10)))
+    scaled = F.flatten(F.transform(F.array(F.array_max(magnitude)), lambda peak: F.transform(magnitude, lambda v: F.greatest(v / peak, F.lit(1e-10)))))
     mean = lambda x: F.aggregate(x, F.lit(0.0), lambda a, b: a + b) / F.size(x)
-    level, table, n = F.log(mean(scaled)) - mean(F.transform(scaled, F.log)), F.array(*map(F.lit, ratios)), len(ratios)
-    at = F.coalesce(F.array_max(F.filter(F.sequence(F.lit(1), F.lit(n)), lambda i: F.element_at(table, i) < level)), F.lit(0))
-    low, high = F.get(table, at - 1), F.get(table, at)
-    return F.when(at == 0, F.lit(float(first_db))).when(at == n, F.lit(float(first_db + n - 1))).otherwise(first_db + at - 1 + (level - low) / (high - low))
+    level = F.transform(F.array(scaled), lambda x: F.log(mean(x)) - mean(F.transform(x, lambda v: F.log(v))))
+    table, n = F.array(*map(F.lit, ratios)), len(ratios)
+
+    def decibels(level):
+        at = F.coalesce(F.array_max(F.filter(F.sequence(F.lit(1), F.lit(n)), lambda i: F.get(table, i - 1) < level)), F.lit(0))
+        between = lambda i: first_db + i - 1 + (level - F.get(table, i - 1)) / (F.get(table, i) - F.get(table, i - 1))
+        found = F.transform(F.array(at), lambda i: F.when(i == 0, F.lit(float(first_db))).when(i == n, F.lit(float(first_db + n - 1))).otherwise(between(i)))
+        return F.get(found, F.lit(0))
+
+    return F.get(F.transform(level, decibels), F.lit(0))

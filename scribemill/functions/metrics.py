@@ -10,6 +10,13 @@ from pyspark.sql import functions as F
 from scribemill.functions.text import split_words
 
 
+def bound(f, *values: Column) -> Column:
+    """f(*values), with each value computed once however often f uses it: as the element of a one-element array."""
+    if not values:
+        return f()
+    return F.get(F.transform(F.array(values[0]), lambda x: bound(functools.partial(f, x), *values[1:])), F.lit(0))
+
+
 def as_characters(words: Column, known: Column) -> Column:
     """A string with one character for each word: the word's number among the known ones."""
     return F.array_join(F.transform(words, lambda w: F.decode(F.unhex(F.lpad(F.hex(F.array_position(known, w) + 19967), 4, "0")), "UTF-16BE")), "")
@@ -17,9 +24,8 @@ def as_characters(words: Column, known: Column) -> Column:
 
 def word_edits(reference: Column, hypothesis: Column) -> Column:
     """Levenshtein distance in words."""
-    a, b = split_words(reference), split_words(hypothesis)
-    known = F.array_distinct(F.concat(a, b))
-    return F.levenshtein(as_characters(a, known), as_characters(b, known))
+    edits = lambda a, b: bound(lambda known: F.levenshtein(as_characters(a, known), as_characters(b, known)), F.array_distinct(F.concat(a, b)))
+    return bound(edits, split_words(reference), split_words(hypothesis))
 
 
 def wer(reference: Column, hypothesis: Column) -> Column:
@@ -47,7 +53,7 @@ def ngrams(words: Column, n: int) -> Column:
 def overlap(a: Column, b: Column) -> Column:
     """n-grams of b that a has too, each as often as it stands in both."""
     times = lambda x, g: F.size(F.filter(x, lambda y: y == g))
-    return F.aggregate(F.array_distinct(b), F.lit(0), lambda s, g: s + F.least(times(a, g), times(b, g)))
+    return bound(lambda x, y: F.aggregate(F.array_distinct(y), F.lit(0), lambda s, g: s + F.least(times(y, g), times(x, g))), a, b)
 
 
 def bleu(reference: Column, hypothesis: Column, weights: tuple = (0.25, 0.25, 0.25, 0.25)) -> Column:
@@ -55,19 +61,22 @@ def bleu(reference: Column, hypothesis: Column, weights: tuple = (0.25, 0.25, 0.
 
     0 without a common word; null if a text is null. With weights (0, .25, .5, .25) words alone do not count.
     """
-    a, b = split_words(reference), split_words(hypothesis)
-    size = F.size(b)
-    matches = [overlap(ngrams(a, n), ngrams(b, n)) for n in range(1, 5)]
-    missed, terms = F.lit(0), []
-    for n, (weight, match) in enumerate(zip(weights, matches, strict=True), 1):
-        missed = missed + F.when(match == 0, 1).otherwise(0)
-        smooth = F.when(size > 1, F.log(size.cast("double")) / (F.pow(F.lit(2.0), missed) * 5)).otherwise(F.lit(0.0))
-        p = F.when(match > 0, match.cast("double")).otherwise(smooth) / F.greatest(F.lit(1), size - n + 1)
-        if weight:
-            terms.append(F.when(p > 0, F.log(p) * weight).otherwise(F.lit(0.0)))
-    brevity = F.when(size > F.size(a), F.lit(1.0)).when(size > 0, F.exp(1 - F.size(a) / size)).otherwise(F.lit(0.0))
-    score = brevity * F.exp(functools.reduce(lambda x, y: x + y, terms))
-    return F.when(a.isNotNull() & b.isNotNull(), F.when(matches[0] == 0, F.lit(0.0)).otherwise(score))
+    matches = lambda a, b: F.array(*(overlap(ngrams(a, n), ngrams(b, n)) for n in range(1, 5)))
+
+    def score(m: Column, r: Column, h: Column) -> Column:
+        missed, terms = F.lit(0), []
+        for n, weight in enumerate(weights, 1):
+            match = F.get(m, F.lit(n - 1))
+            missed = missed + F.when(match == 0, 1).otherwise(0)
+            smooth = F.when(h > 1, F.log(h.cast("double")) / (F.pow(F.lit(2.0), missed) * 5)).otherwise(F.lit(0.0))
+            p = F.when(match > 0, match.cast("double")).otherwise(smooth) / F.greatest(F.lit(1), h - n + 1)
+            if weight:
+                terms.append(F.when(p > 0, F.log(p) * weight).otherwise(F.lit(0.0)))
+        brevity = F.when(h > r, F.lit(1.0)).when(h > 0, F.exp(1 - r / h)).otherwise(F.lit(0.0))
+        return F.when(F.get(m, F.lit(0)) == 0, F.lit(0.0)).otherwise(brevity * F.exp(functools.reduce(lambda x, y: x + y, terms)))
+
+    found = bound(lambda a, b: bound(score, matches(a, b), F.size(a), F.size(b)), split_words(reference), split_words(hypothesis))
+    return F.when(reference.isNotNull() & hypothesis.isNotNull(), found)
 
 
 RECALL_WEIGHTS = (0, 0.25, 0.5, 0.25)
@@ -84,20 +93,17 @@ def indel_ratio(a: Column, b: Column) -> Column:
     The longest common subsequence is a fold over a's characters of a row of lengths over b's.
     """
     letters = lambda x: F.filter(F.split(x, ""), lambda c: c != "")
-    x, y = letters(a), letters(b)
-    zero = F.transform(F.concat(F.array(F.lit("")), y), lambda _: F.lit(0))
-
-    def step(row, c):
-        start = F.array(F.lit(0))
-        return F.aggregate(
-            F.sequence(F.lit(1), F.size(y)),
-            start,
-            lambda new, j: F.concat(new, F.array(F.when(F.element_at(y, j) == c, F.element_at(row, j) + 1).otherwise(F.greatest(F.element_at(row, j + 1), F.element_at(new, j))))),
-        )
-
-    common = F.when((F.size(x) == 0) | (F.size(y) == 0), 0).otherwise(F.element_at(F.aggregate(x, zero, step), -1))
-    total = F.size(x) + F.size(y)
-    return F.when(a.isNotNull() & b.isNotNull(), F.when(total == 0, F.lit(100.0)).otherwise(200.0 * common / total))
+
+    def ratio(x: Column, y: Column) -> Column:
+        def step(row, c):
+            better = lambda new, j: F.when(F.element_at(y, j) == c, F.element_at(row, j) + 1).otherwise(F.greatest(F.element_at(row, j + 1), F.element_at(new, j)))
+            return F.aggregate(F.sequence(F.lit(1), F.size(y)), F.array(F.lit(0)), lambda new, j: F.concat(new, F.array(better(new, j))))
+
+        common = F.when((F.size(x) == 0) | (F.size(y) == 0), 0).otherwise(F.element_at(F.aggregate(x, F.array_repeat(F.lit(0), F.size(y) + 1), step), -1))
+        total = F.size(x) + F.size(y)
+        return F.when(total == 0, F.lit(100.0)).otherwise(200.0 * common / total)
+
+    return F.when(a.isNotNull() & b.isNotNull(), bound(ratio, letters(a), letters(b)))
 
 
 def first_word(text: Column) -> Column:
