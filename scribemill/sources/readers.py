@@ -28,9 +28,9 @@ AUDIO_RATE = 16_000
 
 def whole_files(spark: SparkSession, path, glob: str | None = None) -> DataFrame:
     """path and value (the whole text) of every file below a folder."""
-    reader = spark.read.option("wholetext", True).option("recursiveFileLookup", True)
+    reader = spark.read.option("recursiveFileLookup", True).option("ignoreMissingFiles", True)
     reader = reader.option("pathGlobFilter", glob) if glob else reader
-    return reader.text(path).select(F.col("_metadata.file_path").alias("path"), "value")
+    return reader.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
 
 
 def read_srt(spark: SparkSession, path, glob: str = "*.srt") -> DataFrame:
@@ -77,15 +77,15 @@ def read_csv(spark: SparkSession, path, schema: str | None = None) -> DataFrame:
 
 def read_documents(spark: SparkSession, path, schema: str = DOCUMENT) -> tuple[DataFrame, DataFrame]:
     """JSON documents, one a file, with file_id; and apart from them the files that do not parse (file_id, text)."""
-    raw = spark.read.schema(f"{schema}, _corrupt string").options(multiLine=True, mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt", ignoreMissingFiles=True).json(path)
-    raw = raw.withColumn("file_id", F.col("_metadata.file_path"))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    raw = whole_files(spark, path).select(F.col("path").alias("file_id"), F.from_json("value", f"{schema}, _corrupt string", options).alias("d")).select("file_id", "d.*")
     return raw.where("_corrupt is null").drop("_corrupt"), raw.where("_corrupt is not null").select("file_id", F.col("_corrupt").alias("text"))
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """Paths of a manifest: lines of text, or a JSON list of paths or of [document, audio] pairs; path and audio."""
     if path.endswith(".json"):
-        text = spark.read.option("wholetext", True).text(path)
+        text = spark.read.text(path, wholetext=True)
         items = text.select(F.explode(F.from_json("value", "array<string>")).alias("x"))
         pair = F.from_json("x", "array<string>")
         return items.select(F.coalesce(F.get(pair, F.lit(0)), F.col("x")).alias("path"), F.get(pair, F.lit(1)).alias("audio"))
