@@ -78,21 +78,25 @@ def byte_values(seed: int) -> np.ndarray:
     return mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95) + np.uint64(seed * 0x632BE59BD9B4E019 % (1 << 64)))
 
 
-@functools.lru_cache(4)
-def _powers(n: int, base: int) -> np.ndarray:
-    out = np.full(n, base, dtype=np.uint64)
-    out[:1] = 1
-    return np.cumprod(out, dtype=np.uint64)
+_tables: dict[int, np.ndarray] = {}
 
 
 def powers(n: int, base: int = BASE) -> np.ndarray:
-    return _powers(1 << max(16, int(n).bit_length()), base)[:n]
+    """base^0 ... base^(n - 1) modulo 2^64; one table a base, as long as needed so far."""
+    if len(_tables.get(base, ())) < n:
+        out = np.full(1 << max(16, (int(n) - 1).bit_length()), base, dtype=np.uint64)
+        out[0] = 1
+        np.cumprod(out, out=out)
+        _tables[base] = out
+    return _tables[base][:n]
 
 
 def prefix_hashes(data: np.ndarray, seed: int = 0) -> np.ndarray:
     """H with H[j] - H[i] = sum of value(byte t) * BASE^t over i <= t < j, modulo 2^64."""
     out = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(byte_values(seed)[data] * powers(len(data)), out=out[1:])
+    np.take(byte_values(seed), data, out=out[1:])
+    out[1:] *= powers(len(data))
+    np.cumsum(out[1:], out=out[1:])
     return out
 
 

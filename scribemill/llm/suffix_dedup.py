@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scribemill.llm._arrays import mix, prefix_hashes, ragged, range_hashes
+from scribemill.llm._arrays import mix, prefix_hashes, ragged, range_hashes, sliced
 from scribemill.llm._shared import BLOCK_BYTES, block_texts, blocks, written
 
 LENGTH, KGRAM = 200, 64
@@ -37,14 +37,27 @@ def window_minima(values: np.ndarray, width: int) -> np.ndarray:
     return np.where(values[b] < values[a], b, a)
 
 
+#: bytes that are hashed at a time, but for longer texts
+PIECE = 1 << 20
+
+
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, kgram: int = KGRAM) -> tuple[np.ndarray, ...]:
-    """(anchor, first start, last start + 1, hash): the anchors in order, and the string starts that each serves."""
+    """(anchor, first start, last start + 1, hash, hash of its surroundings): the anchors in order, and the string
+    starts that each serves."""
     none = np.zeros(0, np.int64)
-    if len(data) < length:
-        return none, none, none, np.zeros(0, np.uint64)
+    found = [(none, none, none, np.zeros(0, np.uint64), np.zeros(0, np.uint64))]
+    for i, j in sliced(offsets, PIECE):
+        if offsets[j] - offsets[i] >= length:
+            place, first, last, h, whole = piece_anchors(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], length, kgram)
+            found.append((place + offsets[i], first + offsets[i], last + offsets[i], h, whole))
+    return tuple(map(np.concatenate, zip(*found, strict=True)))
+
+
+def piece_anchors(data: np.ndarray, offsets: np.ndarray, length: int, kgram: int) -> tuple[np.ndarray, ...]:
     prefix = prefix_hashes(data)
     at = np.arange(len(data) - kgram + 1)
     values = mix(range_hashes(prefix, at, at + kgram))
+    del at
     place = window_minima(values, length - kgram + 1)
     doc_end = np.repeat(offsets[1:], np.diff(offsets))[: len(place)]
     starts = np.flatnonzero(np.arange(len(place)) + length <= doc_end)
@@ -52,9 +65,14 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, kgram:
     new = np.ones(len(place), dtype=bool)
     # an anchor serves consecutive starts; a gap (a text's end) begins another run
     new[1:] = (place[1:] != place[:-1]) | (starts[1:] != starts[:-1] + 1)
-    first = np.flatnonzero(new)
-    last = np.append(first[1:], len(place)) - 1
-    return place[first], starts[first], starts[last] + 1, values[place[first]]
+    begin = np.flatnonzero(new)
+    place, first, last = place[begin], starts[begin], starts[np.append(begin[1:], len(place)) - 1] + 1
+    return place, first, last, values[place], surroundings_hash(prefix, place - first, first, last - 1 + length)
+
+
+def surroundings_hash(prefix: np.ndarray, offset: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Of the bytes [first, end) and the anchor's place among them."""
+    return mix(range_hashes(prefix, first, end) ^ mix(offset.astype(np.uint64) << np.uint64(20) | (end - first).astype(np.uint64)))
 
 
 class Suffixes:
@@ -136,6 +154,58 @@ class Suffixes:
         return out
 
 
+def repeated_runs(data: np.ndarray, h: np.ndarray, offset: np.ndarray, size: np.ndarray, members: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """(row, first, end): runs of starts, within a row's surroundings, of strings that occur twice.
+
+    Rows are surroundings one after the other in data: the anchor's hash h, its offset, the size, and the number of
+    places with just these bytes. Only strings of equal h and equal distance to the anchor can be equal.
+    """
+    at = np.cumsum(size) - size
+    # equal surroundings are sorted once, with the sum of their places
+    whole = surroundings_hash(prefix_hashes(data, 9), offset, at, at + size)
+    order = np.lexsort((whole, h))
+    same = np.zeros(len(order), dtype=bool)
+    a, b = order[:-1], order[1:]
+    near = np.flatnonzero((h[a] == h[b]) & (whole[a] == whole[b]) & (size[a] == size[b]) & (offset[a] == offset[b]))
+    view = memoryview(data)
+    same[near + 1] = [view[at[i] : at[i] + size[i]] == view[at[j] : at[j] + size[j]] for i, j in zip(a[near], b[near], strict=True)]
+    name = np.empty(len(order), np.int64)
+    name[order] = np.cumsum(~same) - 1
+    n_kinds = int((~same).sum())
+    total = np.bincount(name, members, n_kinds).astype(np.int64)
+    one = order[~same]  # a row of each kind
+    # a kind's strings start at its bytes 0 .. size - length
+    n_starts = size[one] - length + 1
+    kind = np.repeat(np.arange(n_kinds), n_starts)
+    start = ragged(np.zeros(n_kinds, np.int64), n_starts)
+    answer = total[kind] > 1
+    # all kinds of a key are compared if one of them has a single place
+    key = np.unique(h[one], return_inverse=True)[1]
+    keys = np.unique(key[total == 1])
+    part = np.isin(key, keys[np.bincount(key)[keys] > 1])
+    i = np.flatnonzero(part[kind])
+    segment = key[kind[i]] * (4 * length) + (offset[one][kind[i]] - start[i]) + length
+    by = np.argsort(segment, kind="stable")
+    i, segment = i[by], segment[by]
+    several = np.searchsorted(segment, segment, side="right") - np.searchsorted(segment, segment) > 1
+    i, segment = i[several], segment[several]
+    if len(i):
+        suffixes, begin = Suffixes(data, length), 0
+        while begin < len(i):
+            stop = int(np.searchsorted(segment, segment[min(begin + 300_000, len(i)) - 1], side="right"))
+            own = i[begin:stop]
+            answer[own] |= suffixes.repeated(at[one][kind[own]] + start[own], segment[begin:stop])
+            begin = stop
+    ends = np.zeros(len(answer), dtype=bool)
+    ends[np.cumsum(n_starts) - n_starts] = True  # where a kind's starts begin
+    up = np.flatnonzero(answer & (np.append(False, ~answer[:-1]) | ends))
+    down = np.flatnonzero(answer & (np.append(~answer[1:], True) | np.append(ends[1:], True)))
+    run_kind = kind[up]
+    lo, hi = np.searchsorted(run_kind, name), np.searchsorted(run_kind, name, side="right")
+    which = ragged(lo, hi - lo)
+    return np.repeat(np.arange(len(name)), hi - lo), start[up][which], start[down][which] + 1
+
+
 def repeats(docs_blocks: DataFrame, n_shards: int, length: int, kgram: int) -> DataFrame:
     """(block, starts): the starts, in the block's bytes, of strings that also start anywhere else."""
 
@@ -145,7 +215,7 @@ def repeats(docs_blocks: DataFrame, n_shards: int, length: int, kgram: int) -> D
     def keys(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                *_, h = anchors(*block_texts(row), length, kgram)
+                h = anchors(*block_texts(row), length, kgram)[3]
                 known, n = np.unique(h, return_counts=True)
                 cut = cuts(known)
                 out = [(s, row["block"], known[i:j].tobytes(), np.packbits(n[i:j] > 1).tobytes()) for s, (i, j) in enumerate(zip(cut, cut[1:], strict=False)) if i < j]
@@ -176,11 +246,10 @@ def repeats(docs_blocks: DataFrame, n_shards: int, length: int, kgram: int) -> D
         out = []
         for row in pack.to_pylist():
             data, offsets = block_texts(row)
-            place, first, last, h = anchors(data, offsets, length, kgram)
+            place, first, last, h, whole = anchors(data, offsets, length, kgram)
             hit = np.flatnonzero(wanted[np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)] == h) if len(wanted) else np.zeros(0, np.int64)
-            place, first, last, h = place[hit], first[hit], last[hit], h[hit]
+            place, first, last, h, whole = (x[hit] for x in (place, first, last, h, whole))
             end = last - 1 + length
-            whole = mix(range_hashes(prefix_hashes(data, 9), first, end) ^ mix((place - first).astype(np.uint64) << np.uint64(20) | (end - first).astype(np.uint64))) if len(hit) else h
             order = np.lexsort((first, whole, h))
             raw = row["data"]
             kept, members = [], []
@@ -203,69 +272,27 @@ def repeats(docs_blocks: DataFrame, n_shards: int, length: int, kgram: int) -> D
     def judge(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         h = np.concatenate([np.frombuffer(x["keys"], "<u8") for x in rows])
-        numbers = np.concatenate([np.frombuffer(x["numbers"], "<i4").reshape(4, -1) for x in rows], axis=1).astype(np.int64)
+        offset, size, first, members = np.concatenate([np.frombuffer(x["numbers"], "<i4").reshape(4, -1) for x in rows], axis=1).astype(np.int64)
         of = np.repeat(np.arange(len(rows)), [len(x["keys"]) // 8 for x in rows])
-        data = np.frombuffer(b"".join(x["data"] for x in rows), np.uint8)
-        offset, size, first, members = numbers
+        data = np.frombuffer(b"".join(x.pop("data") for x in rows), np.uint8)
         at = np.cumsum(size) - size
-        # equal surroundings are sorted once, with the sum of their places
-        prefix = prefix_hashes(data, 9)
-        whole = mix(range_hashes(prefix, at, at + size) ^ mix(offset.astype(np.uint64) << np.uint64(20) | size.astype(np.uint64)))
-        del prefix
-        order = np.lexsort((whole, h))
-        same = np.zeros(len(order), dtype=bool)
-        a, b = order[:-1], order[1:]
-        near = np.flatnonzero((h[a] == h[b]) & (whole[a] == whole[b]) & (size[a] == size[b]) & (offset[a] == offset[b]))
-        view = memoryview(data)
-        same[near + 1] = [view[at[i] : at[i] + size[i]] == view[at[j] : at[j] + size[j]] for i, j in zip(a[near], b[near], strict=True)]
-        name = np.empty(len(order), np.int64)
-        name[order] = np.cumsum(~same) - 1
-        n_kinds = int((~same).sum())
-        total = np.bincount(name, members, n_kinds).astype(np.int64)
-        one = order[~same]  # a member of each kind
-        # a kind's strings start at its bytes 0 .. size - length; only equal (hash, offset of the anchor) can be equal
-        n_starts = size[one] - length + 1
-        kind = np.repeat(np.arange(n_kinds), n_starts)
-        start = ragged(np.zeros(n_kinds, np.int64), n_starts)
-        several = total[kind] > 1
-        alone = np.flatnonzero(~several)
-        _, key = np.unique(h[one], return_inverse=True)
-        answer = several.copy()
-        # all kinds of a key take part in the comparison if one of its kinds has a single place
-        need = np.zeros(len(key), dtype=bool)
-        need[np.unique(kind[alone])] = True
-        keys_needed = np.unique(key[need])
-        kinds_per_key = np.bincount(key)
-        part = np.isin(key, keys_needed[kinds_per_key[keys_needed] > 1])[kind]
-        i = np.flatnonzero(part)
-        segment = key[kind[i]] * (4 * length) + (offset[one][kind[i]] - start[i]) + length
-        by = np.argsort(segment, kind="stable")
-        i, segment = i[by], segment[by]
-        edges = np.searchsorted(segment, segment, side="right") - np.searchsorted(segment, segment)
-        i, segment = i[edges > 1], segment[edges > 1]
-        step = 1_000_000
-        suffixes = Suffixes(data, length) if len(i) else None
-        begin = 0
-        while begin < len(i):
-            stop = min(begin + step, len(i))
-            stop = int(np.searchsorted(segment, segment[stop - 1], side="right"))
-            answer[i[begin:stop]] |= suffixes.repeated(at[one][kind[i[begin:stop]]] + start[i[begin:stop]], segment[begin:stop])
-            begin = stop
-        bounds = np.cumsum(n_starts) - n_starts
-        # runs of repeated starts of each kind, as (first, end) within the surroundings
-        breaks = np.isin(np.arange(len(answer)), bounds)
-        up = np.flatnonzero(answer & (np.concatenate([[False], ~answer[:-1]]) | breaks)) if len(answer) else np.zeros(0, np.int64)
-        down = np.flatnonzero(answer & (np.concatenate([~answer[1:], [True]]) | np.concatenate([breaks[1:], [True]]))) if len(answer) else up
-        run_kind, run_a, run_b = kind[up], start[up], start[down] + 1
-        lo, hi = np.searchsorted(run_kind, name), np.searchsorted(run_kind, name, side="right")
-        which = ragged(lo, hi - lo)
-        member = np.repeat(np.arange(len(name)), hi - lo)
+        order = np.argsort(h, kind="stable")
+        # a few keys at a time; a key's rows stay together
+        upto, found, i = np.cumsum(size[order]), [], 0
+        while i < len(order):
+            j = int(np.searchsorted(upto, (upto[i - 1] if i else 0) + PIECE, side="right"))
+            j = int(np.searchsorted(h[order], h[order[max(j, i + 1) - 1]], side="right"))
+            own = order[i:j]
+            member, a, b = repeated_runs(data[ragged(at[own], size[own])], h[own], offset[own], size[own], members[own], length)
+            found.append((own[member], a, b))
+            i = j
+        member, a, b = (np.concatenate([np.zeros(0, np.int64), *x]) for x in zip(*found, strict=True))
         out = []
         for r, x in enumerate(rows):
             m = of[member] == r
             if m.any():
                 # the surroundings of one place stand for all its equals in the block: key, identity, and runs
-                out.append((x["block"], h[member[m]].tobytes(), np.array([first[member[m]], run_a[which[m]], run_b[which[m]]], "<i4").tobytes()))
+                out.append((x["block"], h[member[m]].tobytes(), np.array([first[member[m]], a[m], b[m]], "<i4").tobytes()))
         return pa.table([pa.array([x[c] for x in out], t) for c, t in enumerate((pa.int64(), pa.binary(), pa.binary()))], names=["block", "keys", "runs"])
 
     return sent.groupBy("shard").applyInArrow(judge, "block long, keys binary, runs binary")
@@ -273,8 +300,8 @@ def repeats(docs_blocks: DataFrame, n_shards: int, length: int, kgram: int) -> D
 
 def covered(data, offsets, rows: list[dict], length: int, kgram: int) -> np.ndarray:
     """The bytes of a block that repeated strings cover, from the judged surroundings of its anchors."""
-    place, first, last, h = anchors(data, offsets, length, kgram)
-    edge = np.zeros(len(data) + 1, np.int64)
+    place, first, last, h, whole = anchors(data, offsets, length, kgram)
+    edge = np.zeros(len(data) + 1, np.int32)
     keys = np.concatenate([np.zeros(0, np.uint64), *[np.frombuffer(x["keys"], "<u8") for x in rows]])
     runs = np.concatenate([np.zeros((3, 0), np.int64), *[np.frombuffer(x["runs"], "<i4").reshape(3, -1) for x in rows]], axis=1).astype(np.int64)
     if not len(keys):
@@ -282,8 +309,6 @@ def covered(data, offsets, rows: list[dict], length: int, kgram: int) -> np.ndar
     # equal surroundings of the block share the answer of the place that was sent
     hit = np.flatnonzero(np.isin(h, keys))
     end = last - 1 + length
-    whole = np.zeros(len(h), np.uint64)
-    whole[hit] = mix(range_hashes(prefix_hashes(data, 9), first[hit], end[hit]) ^ mix((place[hit] - first[hit]).astype(np.uint64) << np.uint64(20) | (end[hit] - first[hit]).astype(np.uint64)))
     order = hit[np.lexsort((first[hit], whole[hit], h[hit]))]
     raw = memoryview(data)
     leader, current = np.empty(len(order), np.int64), -1
