@@ -35,9 +35,9 @@ def whole_files(spark: SparkSession, path, glob: str | None = None) -> DataFrame
 
 def read_srt(spark: SparkSession, path, glob: str = "*.srt") -> DataFrame:
     """file_id (path), idx (from 0), start, end, text without tags. Blocks without a time line are passed over; a file
-    that is not UTF-8 text (it holds U+FFFD) is left out."""
-    files = whole_files(spark, path, glob).where(~F.contains("value", F.lit("�")))
-    body = F.regexp_replace(F.regexp_replace(F.regexp_replace("value", "^﻿", ""), r"\r\n?", "\n"), r"\n[ \t]+\n", "\n\n")
+    that is not valid UTF-8 is left out."""
+    files = whole_files(spark, path, glob).where(F.is_valid_utf8("value"))
+    body = F.regexp_replace(F.regexp_replace(F.regexp_replace("value", "^\ufeff", ""), r"\r\n?", "\n"), r"\n[ \t]+\n", "\n\n")
     blocks = files.select("path", F.posexplode(F.split(body, r"\n{2,}")).alias("n", "b")).where(F.regexp_like("b", F.lit(r"\d+:\d+:\d+[,.]\d+ *--> *\d+:\d+:\d+[,.]\d+")))
     times = r"(\d+:\d+:\d+[,.]\d+) *--> *(\d+:\d+:\d+[,.]\d+)[^\n]*\n?([\s\S]*)$"
     get = lambda i: F.regexp_extract("b", times, i)
