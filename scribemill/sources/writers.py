@@ -23,7 +23,7 @@ def srt_texts(subs: DataFrame) -> DataFrame:
 
 def write_srt(subs: DataFrame, path: str) -> None:
     """A folder of files, one for each file_id (as partition)."""
-    srt_texts(subs).repartition("file_id").write.partitionBy("file_id").option("lineSep", "").text(path)
+    srt_texts(subs).repartition("file_id").write.partitionBy("file_id").text(path)
 
 
 def nested(subs: DataFrame, chunks: DataFrame, metadata: DataFrame) -> DataFrame:
