@@ -161,7 +161,7 @@ def seconds_token(ms: Column, mark: str = "<", end: str = ">") -> Column:
 
 
 @F.udf(StringType())
-def difference_html(reference: str, hypothesis: str) -> str:
+def difference_html(reference, hypothesis):
     """Words of a line-up of two texts, with <del> and <ins> around those of one text only."""
     if reference is None or hypothesis is None:
         return None
