@@ -15,8 +15,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scribemill.llm._arrays import texts
-
 # Element ids of the public format.
 EBML, DOC_TYPE, SEGMENT, INFO, TIMESTAMP_SCALE, DURATION = 0x1A45DFA3, 0x4282, 0x18538067, 0x1549A966, 0x2AD7B1, 0x4489
 TRACKS, TRACK, TRACK_NUMBER, TRACK_TYPE, CODEC = 0x1654AE6B, 0xAE, 0xD7, 0x83, 0x86
