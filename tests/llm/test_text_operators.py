@@ -56,7 +56,7 @@ def test_suffix_sort():
     order = U.Suffixes(data, 20).sort(at, segment)
     assert [(segment[i], bytes(data[at[i] : at[i] + 20])) for i in order] == sorted((segment[i], bytes(data[at[i] : at[i] + 20])) for i in range(380))
     for width in (1, 2, 7, 64):
-        values = r.integers(0, 50, 300).astype(np.uint64)
+        values = r.integers(0, 50, 300).astype(np.uint64) << np.uint64(32)
         assert U.window_minima(values, width).tolist() == [i + int(np.argmin(values[i : i + width])) for i in range(300 - width + 1)]
 
 
@@ -229,3 +229,21 @@ def test_components(spark):
     links = [(b"a", b"b"), (b"c", b"b"), (b"d", b"e"), *[(f"p{i:03}".encode(), f"p{i + 1:03}".encode()) for i in range(60)]]
     got = {bytes(r["node"]): bytes(r["root"]) for r in N.components(spark.createDataFrame(links, "a binary, b binary")).collect()}
     assert got[b"c"] == b"a" and got[b"e"] == b"d" and got[b"p060"] == b"p000" and len(got) == 5 + 61
+
+
+def test_copies_of_one_text_that_are_not_alike_themselves(spark, monkeypatch):
+    """Copies are linked through the text they come from, whichever of them is a bucket's hub, and over chunks."""
+    import random
+
+    r = random.Random(8)
+    base = [f"w{i}" for i in range(200)]
+    rows = [(500, " ".join(base))]
+    for k in range(60):
+        copy = list(base)
+        for at in r.sample(range(200), 5 if k % 3 else 7):
+            copy[at] = f"x{k}y{at}"
+        rows.append((k, " ".join(copy)))
+    monkeypatch.setattr(N, "CHUNK", 20)
+    found = N.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert counted((x["doc_id"], x["n_shingles"], x["component_id"], x["kept"]) for x in found) == counted(brute_components(rows))
+    assert len({x["component_id"] for x in found}) > 5
