@@ -70,7 +70,7 @@ b as (select *, case when pos >= 3 then greatest(c, coalesce(lead(c) over w, 0))
 e as (select *, case when pos < 3 then cs[1] + cs[2] + cs[3] else coalesce(sum(m) over (partition by file_id order by idx rows between 3 preceding and 1 preceding), 0) end as p,
  case when pos = 0 then cs[4] when pos < 3 then greatest(cs[4], cs[5]) else m end as o,
  case when pos < 3 then coalesce(list_sum(cs[5:4 + pos]), 0) else coalesce(sum(c) over (partition by file_id order by idx rows between 1 following and 3 following), 0) end as f from b)
-select file_id, idx, text, n > 6 and not (p = 3 and o = 0 and f = 0) and p + o + f >= 3 as live from e""")
+select file_id, cast(idx as int) as idx, text, n > 6 and not (p = 3 and o = 0 and f = 0) and p + o + f >= 3 as live from e""")
 def live_mark(spark, d):
     return sequence.mark_live(V.rollup_subs(spark, d))
 
