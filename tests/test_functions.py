@@ -77,7 +77,7 @@ def test_normalisation(spark):
     c = F.col("t")
     rows = [("Bl.a. 21 ÄPPLEN, t.ex.  50%!",), ("ﬁn-fin /x/ ö–ö",), (None,), ("",)]
     got = values(spark, rows, "t string", a=T.normalize_text(c), b=T.normalize_text_svt(c))
-    assert [x[0] for x in got] == ["bland annat tjugoett äpplen till exempel femtioprocent".replace("annat ", "annat "), "finfin x ö–ö", None, ""] or got[0][0].startswith("bland annat")
+    assert [x[0] for x in got] == ["bland annat tjugoett äpplen till exempel femtioprocent", "finfin x ö–ö", None, ""]
     assert got[1][1] == "fin fin ö ö" and got[2] == (None, None) and got[3] == ("", "")
     bare = values(spark, [(string.punctuation + "a",)], "t string", a=T.delete_punctuation(c))
     assert bare == [("a",)]

@@ -124,7 +124,7 @@ def test_pack_chunks(spark):
     got = chunks(marked(spark, (0, 12000, "A"), (12000, 14000, "x|y"), (14000, 30000, "Bing dong")), exclude=("|",), remove=(r"\w+ing ",), flush_marked=False)
     assert [t for _, _, t, *_ in got] == ["A", "dong"]
     alone = chunks(marked(spark, (0, 12000, "A"), (12000, 14000, s), (14000, 30000, "B")), surround=False)
-    assert [t for _, _, t, *_ in alone] == ["B"] or [t for _, _, t, *_ in alone] == ["A", "B"] or alone
+    assert [t for _, _, t, *_ in alone] == ["A"]  # without silence around, a chunk takes one subtitle
 
 
 def test_packed_chunks_part_the_subtitles(spark):
@@ -160,7 +160,7 @@ def test_previous_text_and_fallback(spark):
 def test_greedy_split_and_ratios(spark):
     sizes = [15, 10, 4, 12, 10, 949]
     groups = frame(spark, [(i, n) for i, n in enumerate(sizes)], "g int, n long")
-    assert column(splits.greedy_group_split(groups, "g"), "split", ("g",)) == ["validation", "test", "test", "train", "test", "train"] or True
+    assert column(splits.greedy_group_split(groups, "g"), "split", ("g",)) == ["validation", "test", "test", "train", "test", "train"]
     counts = {r["split"]: r["count"] for r in splits.ratio_split(spark.range(25), "id").groupBy("split").count().collect()}
     assert counts == {"train": 20, "test": 2, "validation": 3}
     assert splits.greedy_group_split(groups.limit(0), "g").count() == 0
