@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scribemill.llm._shared import written
+from scribemill.llm._shared import temporary_tables, written
 from scribemill.llm.decontamination import contamination
 from scribemill.llm.mixing import mixed
 from scribemill.llm.near_dedup import near_groups
@@ -25,13 +25,16 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every group of near-duplicates the document of the least id stays (all rows of that id)."""
-    others = near_groups(docs).where(~F.col("kept")).select(F.col("doc_id").alias("other")).distinct()
+    with temporary_tables(spark) as tables:
+        others = tables.keep(written(near_groups(docs).where(~F.col("kept")).select(F.col("doc_id").alias("other")).distinct(), "near-others"))
     return docs.join(others, docs["doc_id"] == others["other"], "left_anti")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a passage of ten consecutive words of a benchmark item, or a whole shorter item, go."""
-    found = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).where("contaminated").select(F.col("doc_id").alias("hit")).distinct()
+    with temporary_tables(spark) as tables:
+        found = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).where("contaminated").select(F.col("doc_id").alias("hit")).distinct()
+        found = tables.keep(written(found, "contaminated"))
     return docs.join(found, docs["doc_id"].eqNullSafe(found["hit"]), "left_anti")
 
 

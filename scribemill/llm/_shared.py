@@ -24,11 +24,42 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+_open: list[temporary_tables] = []
+
+
+class temporary_tables:
+    """Tables that `written` makes inside the block are deleted at its end, but for those to keep.
+
+    Only for blocks that leave nothing behind that reads the others: what is kept has been written itself.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def __enter__(self):
+        _open.append(self)
+        return self
+
+    def keep(self, table: DataFrame) -> DataFrame:
+        self.paths = {path: df for path, df in self.paths.items() if df is not table}
+        return table
+
+    def __exit__(self, *_):
+        _open.remove(self)
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        for path in self.paths:
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(conf).delete(place, True)
+
+
 def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """The same rows from a table in the shared folder, which outlives any executor; cuts the lineage."""
     path = shared_dir(df.sparkSession, name)
     df.write.option("compression", compression).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    if _open:
+        _open[-1].paths[path] = table
+    return table
 
 
 BLOCKS = "block long, ids array<bigint>, ends binary, data binary"

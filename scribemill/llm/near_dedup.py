@@ -206,18 +206,15 @@ def near_groups(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id",
     stars = keys.join(hubs.select("key", "hub"), "key").where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
     stars = written(agreement(written(stars, "near-stars"), nodes), "near-rated")
     near = stars.where(F.col("estimate") >= LEAST_ESTIMATE)
-    # first each node with the hub it agrees with most, then the hubs that still stand in another component
+    # first each node with the hub it agrees with most
     best = near.groupBy("a").agg(F.max_by("b", F.struct("estimate", "b")).alias("b"))
-    links = written(confirmed(best, docs, nodes, id_col, text_col, percent), "near-confirmed")
-    roots = components(links)
-    more = written(apart(near, roots).select("a", "b").join(best, ["a", "b"], "left_anti"), "near-pairs")
-    if not more.isEmpty():
-        links = written(links.unionByName(confirmed(more, docs, nodes, id_col, text_col, percent)), "near-confirmed")
-        roots = components(links)
-    # last the pairs of a hub's nodes that are still apart
+    roots = components(written(confirmed(best, docs, nodes, id_col, text_col, percent), "near-confirmed"))
+    # then the pairs of a hub and its nodes that are still apart, as links between what they belong to
     found = written(between(stars, roots, docs, nodes, id_col, text_col, percent), "near-between")
     if not found.isEmpty():
-        roots = components(links.unionByName(found))
+        above = components(found).select(F.col("node").alias("root"), F.col("root").alias("top"))
+        below = roots.unionByName(above.select(F.col("root").alias("node"), "root")).distinct()
+        roots = below.join(above, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
     least = nodes.select("node", "low").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     names = least.groupBy("root").agg(F.min("low").alias("component_id"))
     named = least.join(names, "root").select("node", "component_id")
@@ -226,13 +223,6 @@ def near_groups(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id",
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """The pairs whose nodes are not of one component yet."""
-    a, b = (roots.withColumnsRenamed({"node": x, "root": f"r{x}"}) for x in "ab")
-    out = pairs.join(a, "a", "left").join(b, "b", "left")
-    return out.where(~F.coalesce(F.col("ra") == F.col("rb"), F.lit(False)))
-
-
 def chunked(members: DataFrame) -> DataFrame:
     """Rows (hub, node, ...) of hubs, cut by a hash of the node into chunks of about CHUNK, for every pair of chunks
     (x, y) that has the row's own chunk: a hub's nodes meet two chunks at a time."""
@@ -263,7 +253,7 @@ def candidates(table: pa.Table):
 def between(stars: DataFrame, roots: DataFrame, docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
     """Confirmed links between components among the nodes that share a hub, as many as it takes to join them.
 
-    Most hubs' nodes are one component and drop out. Of the others, sketches tell which nodes have a candidate in
+    Links are of components: a and b are roots. Most hubs' nodes are one component and drop out. Of the others, sketches tell which nodes have a candidate in
     another component; these meet again with their full sets, and the pairs are confirmed in the task, which gives a
     link only where it joins what was apart: rows grow with the nodes, not with the pairs.
     """
@@ -286,6 +276,7 @@ def between(stars: DataFrame, roots: DataFrame, docs: DataFrame, nodes: DataFram
 
     def join(table: pa.Table) -> pa.Table:
         node, root, near = candidates(table)
+        names = table.column("root").to_pylist()
         items = [np.frombuffer(x, "<u8") for x in table.column("items").to_pylist()]
         sizes = np.array([len(x) for x in items])
         a, b = [], []
@@ -299,8 +290,8 @@ def between(stars: DataFrame, roots: DataFrame, docs: DataFrame, nodes: DataFram
             for k in others[100 * both >= percent * (sizes[i] + sizes[others] - both)]:
                 if root[k] != root[i]:
                     root[root == root[k]] = root[i]
-                    a.append(node[i])
-                    b.append(node[k])
+                    a.append(names[i])
+                    b.append(names[k])
         return pa.table([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
 
     return full.groupBy("hub", "x", "y").applyInArrow(join, "a binary, b binary")
