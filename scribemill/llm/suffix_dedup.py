@@ -9,32 +9,31 @@ mergesort orders them, and neighbours that agree in LENGTH bytes are compared by
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scribemill.llm._arrays import mix, prefix_hashes, ragged, range_hashes, sliced
+from scribemill.llm._arrays import INVERSE, mix, powers, prefix_hashes, ragged, range_hashes, sliced
 from scribemill.llm._shared import BLOCK_BYTES, block_texts, blocks, written
 
 LENGTH, KGRAM = 200, 64
 
 
 def window_minima(values: np.ndarray, width: int) -> np.ndarray:
-    """The place of the least value (the first of equal ones) among values[i : i + width], for every i."""
+    """The place of the least value (the first of equal ones) among values[i : i + width], for every i.
+
+    Values are compared by their upper 32 bits; the lower ones hold the place while minima of spans are doubled, and at
+    last those of two spans that overlap.
+    """
     n = len(values) - width + 1
     if n <= 0:
         return np.zeros(0, np.int64)
-    # minima of power-of-two spans, doubled, then two that overlap
-    place, span = np.arange(len(values)), 1
+    best, span = values & np.uint64(0xFFFFFFFF00000000) | np.arange(len(values), dtype=np.uint64), 1
     while span * 2 <= width:
-        a, b = place[: len(place) - span], place[span:]
-        place = np.where(values[b] < values[a], b, a)
+        best = np.minimum(best[:-span], best[span:])
         span *= 2
-    a, b = place[:n], place[width - span : width - span + n]
-    return np.where(values[b] < values[a], b, a)
+    return (np.minimum(best[:n], best[width - span : width - span + n]) & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
 
 #: bytes that are hashed at a time, but for longer texts
@@ -55,13 +54,12 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, kgram:
 
 def piece_anchors(data: np.ndarray, offsets: np.ndarray, length: int, kgram: int) -> tuple[np.ndarray, ...]:
     prefix = prefix_hashes(data)
-    at = np.arange(len(data) - kgram + 1)
-    values = mix(range_hashes(prefix, at, at + kgram))
-    del at
-    place = window_minima(values, length - kgram + 1)
-    doc_end = np.repeat(offsets[1:], np.diff(offsets))[: len(place)]
-    starts = np.flatnonzero(np.arange(len(place)) + length <= doc_end)
-    place = place[starts]
+    values = prefix[kgram:] - prefix[:-kgram]
+    values *= powers(len(values), INVERSE)
+    values ^= values >> np.uint64(32)
+    values *= np.uint64(0xBF58476D1CE4E5B9)
+    starts = ragged(offsets[:-1], np.maximum(np.diff(offsets) - length + 1, 0))
+    place = window_minima(values, length - kgram + 1)[starts]
     new = np.ones(len(place), dtype=bool)
     # an anchor serves consecutive starts; a gap (a text's end) begins another run
     new[1:] = (place[1:] != place[:-1]) | (starts[1:] != starts[:-1] + 1)
@@ -335,7 +333,7 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, kgram: int = KGRAM,
     character, hence bytes.
     """
     packs = written(blocks(docs, id_col, text_col, block_bytes), "suffix-blocks")
-    n_shards = max(16, packs.count())
+    n_shards = max(16, 4 * packs.count())  # several shards a task even out
     judged = repeats(packs, n_shards, length, kgram)
 
     def remove(pack: pa.Table, answer: pa.Table) -> pa.Table:
