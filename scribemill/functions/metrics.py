@@ -19,7 +19,7 @@ def bound(f, *values: Column) -> Column:
 
 def as_characters(words: Column, known: Column) -> Column:
     """A string with one character for each word: the word's number among the known ones."""
-    return F.array_join(F.transform(words, lambda w: F.decode(F.unhex(F.lpad(F.hex(F.array_position(known, w) + 19967), 4, "0")), "UTF-16BE")), "")
+    return F.array_join(F.transform(words, lambda w: F.decode(F.unhex(F.lpad(F.hex(F.array_position(known, w) + 0xFFFF), 8, "0")), "UTF-32")), "")
 
 
 def word_edits(reference: Column, hypothesis: Column) -> Column:
@@ -51,9 +51,19 @@ def ngrams(words: Column, n: int) -> Column:
 
 
 def overlap(a: Column, b: Column) -> Column:
-    """n-grams of b that a has too, each as often as it stands in both."""
-    times = lambda x, g: F.size(F.filter(x, lambda y: y == g))
-    return bound(lambda x, y: F.aggregate(F.array_distinct(y), F.lit(0), lambda s, g: s + F.least(times(y, g), times(x, g))), a, b)
+    """n-grams of b that a has too, each as often as it stands in both.
+
+    In order, an n-gram's places in a come before those in b: each of b uses up one of a, if one is left.
+    """
+    tagged = lambda x, side: F.transform(x, lambda g: F.struct(g.alias("g"), F.lit(side).alias("side")))
+    state = lambda g, left, n: F.struct(g.alias("g"), left.alias("left"), n.alias("n"))
+
+    def step(s, x):
+        left = F.when(s["g"] == x["g"], s["left"]).otherwise(0)
+        used = (x["side"] == 1) & (left > 0)
+        return state(x["g"], left + F.when(used, -1).when(x["side"] == 0, 1).otherwise(0), s["n"] + used.cast("int"))
+
+    return F.aggregate(F.sort_array(F.concat(tagged(a, 0), tagged(b, 1))), state(F.lit(""), F.lit(0), F.lit(0)), step)["n"]
 
 
 def bleu(reference: Column, hypothesis: Column, weights: tuple = (0.25, 0.25, 0.25, 0.25)) -> Column:

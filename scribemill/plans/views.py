@@ -1,7 +1,7 @@
 """Subtitle-like views of the test tables, as DataFrames and as the DuckDB text that oracles start from.
 
-Documents' lines stand for subtitles, with times made from whole numbers; pairs of a line's first words and two
-versions of it stand for a text and two transcriptions.
+Documents' lines stand for subtitles, with times made from whole numbers; pairs of a line's words and two versions of
+it stand for a text and two transcriptions.
 """
 
 from __future__ import annotations
@@ -41,10 +41,12 @@ def rollup_subs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """pair_id, ref, hyp_a (without every fifth word), hyp_b (every seventh word is x), of lines in ASCII."""
+    """pair_id (file_id and, in the low 32 bits, idx), ref, hyp_a (without every fifth word), hyp_b (every seventh word
+    is x), of all lines in ASCII. PAIRS still has four lines of a document and twelve words of a line."""
     ascii_ = F.regexp_replace("text", "[^ -~]", "")
-    words = F.slice(F.filter(F.split(ascii_, " "), lambda x: x != ""), 1, 12)
-    rows = doc_lines(spark, sf_dir).where("idx < 4").select((F.col("file_id") * 10 + F.col("idx")).alias("pair_id"), "file_id", "idx", "source", words.alias("w"))
+    words = F.filter(F.split(ascii_, " "), lambda x: x != "")
+    pair_id = F.shiftleft(F.col("file_id").cast("long"), 32) + F.col("idx")
+    rows = doc_lines(spark, sf_dir).select(pair_id.alias("pair_id"), "file_id", "idx", "source", words.alias("w"))
     a = F.filter("w", lambda x, i: (i + 1) % 5 != 0)
     b = F.transform("w", lambda x, i: F.when((i + 1) % 7 == 0, F.lit("x")).otherwise(x))
     return rows.select("pair_id", "file_id", "idx", "source", *(F.array_join(x, " ").alias(n) for x, n in ((F.col("w"), "ref"), (a, "hyp_a"), (b, "hyp_b"))))
