@@ -129,7 +129,7 @@ def bucket_30s(spark, d):
 select file_id, idx, start - min(start) over w as start_relative, "end" - min(start) over w as end_relative, max("end") over w - min(start) over w as duration_bucket,
  string_agg(text, ' ' order by idx) over (partition by file_id, bucket order by idx rows between unbounded preceding and unbounded following) as text_bucket from b window w as (partition by file_id, bucket)""".replace("string_agg(text, ' ' order by idx) over", "string_agg(text, ' ') over"))
 def bucket_relative_times(spark, d):
-    rows = V.subs(spark, d).where("idx < 40").withColumn("bucket", F.floor(F.col("start") / 30_000).cast("int"))
+    rows = V.subs(spark, d).withColumn("bucket", F.floor(F.col("start") / 30_000).cast("int"))
     return sequence.bucket_texts(rows).select("file_id", "idx", "start_relative", "end_relative", "duration_bucket", "text_bucket")
 
 

@@ -34,8 +34,8 @@ def subs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rollup_subs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Live captions: of the first eight lines, growing numbers of words."""
-    lines = doc_lines(spark, sf_dir).where("idx < 8").withColumn("k", F.explode(F.sequence(F.lit(1), 1 + F.col("idx") % 4)))
+    """Live captions: of every line, growing numbers of words."""
+    lines = doc_lines(spark, sf_dir).withColumn("k", F.explode(F.sequence(F.lit(1), 1 + F.col("idx") % 4)))
     text = F.array_join(F.slice(F.split("text", " "), F.lit(1), F.col("k")), " ")
     return lines.select("file_id", (F.col("idx") * 10 + F.col("k")).alias("idx"), text.alias("text"))
 

@@ -8,6 +8,7 @@ from scribemill.functions import metrics as M
 from scribemill.plans import queries as Q
 from scribemill.plans import views as V
 from tests.test_functions import edits, plain_bleu
+from tests.test_operators import plain_live
 
 
 def long_documents(n: int = 12):
@@ -61,3 +62,27 @@ def test_a_character_for_each_of_many_words(spark):
     asked = F.array(*map(F.lit, ["0", "35400", "36000", "50000", "59999"]))
     got = spark.range(1).select(M.as_characters(asked, known).alias("x")).first()["x"]
     assert len(set(got)) == len(got) == 5
+
+
+def test_live_mark_of_all_lines(spark, folder):
+    want = {}
+    for doc_id, text, *_ in long_documents():
+        rows = [(idx * 10 + k, " ".join(line.split(" ")[:k])) for idx, line in enumerate(text.split("\n")) for k in range(1, 2 + idx % 4)]
+        want |= {(doc_id, i): (t, live) for (i, t), live in zip(rows, plain_live([t for _, t in rows]), strict=True)}
+    got = Q.live_mark(spark, folder).collect()
+    assert len(got) == len(want) and {(r["file_id"], r["idx"]): (r["text"], r["live"]) for r in got} == want
+
+
+def test_bucket_relative_times_of_all_lines(spark, folder):
+    want = {}
+    for doc_id, text, *_ in long_documents():
+        at, buckets = 0, {}
+        for idx, line in enumerate(text.split("\n")):
+            long = 600 + 20 * (len(line) % 400)
+            buckets.setdefault(at // 30_000, []).append((idx, at, at + long, line))
+            at += long + idx % 3 * 400
+        for rows in buckets.values():
+            first, joined = rows[0][1], " ".join(x[3] for x in rows)
+            want |= {(doc_id, i): (a - first, b - first, rows[-1][2] - first, joined) for i, a, b, _ in rows}
+    got = Q.bucket_relative_times(spark, folder).collect()
+    assert len(got) == len(want) and {(r["file_id"], r["idx"]): tuple(r)[2:] for r in got} == want
