@@ -190,7 +190,7 @@ def _hits(index: DataFrame, items: DataFrame, width: int, id_col: str = "item_id
                             else:
                                 own.append({"s": s, "e": e})
                         spans.append(own)
-                        items_of.append([x for k in np.unique(queries.value.item[which[a:b]]) if (x := queries.value.item_ids[k]) is not None])
+                        items_of.append(list(dict.fromkeys(x for k in np.unique(queries.value.item[which[a:b]]) if (x := queries.value.item_ids[k]) is not None)))
                     yield pa.record_batch([pa.array(p.ids, pa.int64()), pa.array(np.diff(p.firsts)), pa.array(spans, pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))), pa.array(items_of, pa.list_(pa.string())), pa.array(np.arange(len(p.ids)) + row["number"])], names=["doc_id", "n_words", "spans", "items", "rid"])
 
         return run

@@ -146,6 +146,22 @@ def test_decontamination_in_several_query_blocks(spark, monkeypatch):
     assert counted(map(key, D.contamination(docs, items).collect())) == one
 
 
+def test_decontamination_lists_an_item_once(spark, monkeypatch):
+    docs = edge.documents(spark)
+    texts = [" ".join(ALNUM.findall(x[1] or "")[:12]) for x in edge.rows()]
+    rows = [(1, texts[2]), (1, texts[2]), (2, texts[4]), (2, " ".join(texts[4].split()[:6])), (3, texts[4])]
+    items = spark.createDataFrame(rows, "item_id long, text string")
+    want = in_duckdb(D.OP10_SQL, documents=docs.select("doc_id", "text"), benchmark=items)
+    want = counted(map(tuple, want[["doc_id", "n_hit", "n_items", "items_sha256"]].itertuples(index=False)))
+    assert max(x[2] for x, _ in want) > 1
+    for size in (D.QUERY_BYTES, 100):
+        monkeypatch.setattr(D, "QUERY_BYTES", size)
+        got = D.contamination(docs, items).collect()
+        assert counted((r["doc_id"], r["n_hit"], len(r["items"]), hashlib.sha256(",".join(r["items"]).encode()).hexdigest()) for r in got) == want
+        found = [r["items"] for r in D.phrase_matches(D.build_index(docs), items).collect()]
+        assert any(found) and all(len(x) == len(set(x)) for x in found)
+
+
 def test_proximity(spark):
     docs = spark.createDataFrame([(1, "one two x x three"), (2, "three x x x x one x two"), (3, "one two"), (4, "three"), (5, None)], "doc_id long, text string")
     items = spark.createDataFrame([(7, "three one two")], "item_id long, text string")
