@@ -6,6 +6,30 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Token numbers of the languages of a speech model, one after the other.
+LANGUAGE_IDS = {code: 50259 + k for k, code in enumerate((
+    "en zh de es ru ko fr ja pt tr pl ca nl ar sv it id hi fi vi he uk el ms cs ro da hu ta no th ur hr "
+    "bg lt la mi ml cy sk te fa lv bn sr az sl kn et mk br eu is hy ne mn bs kk sq sw gl mr pa si km sn "
+    "yo so af oc ka be tg sd gu am yi lo uz fo ht ps tk nn mt sa lb my bo tl mg as tt haw ln ha ba jw su"
+).split())}
+
+
+def language_id(code: Column) -> Column:
+    """The token number of a language; null for others."""
+    return F.array_position(F.array(*map(F.lit, LANGUAGE_IDS)), code) + F.when(code.isin(*LANGUAGE_IDS), 50258)
+
+
+def token_languages(tokens: Column) -> Column:
+    """Languages of the special tokens that name one, which are those of 6 or 7 characters (<|sv|>, <|haw|>)."""
+    return F.transform(F.filter(tokens, lambda t: F.length(t).isin(6, 7)), lambda t: F.substr(t, F.lit(3), F.length(t) - 4))
+
+
+def model_of_kind(names: Column, kind: str) -> Column:
+    """The last name of the kind: wav2vec2 by that word, whisper by that word and not the former."""
+    said = lambda n: F.when(F.contains(F.lower(n), F.lit("wav2vec2")), "wav2vec2").when(F.contains(F.lower(n), F.lit("whisper")), "whisper")
+    return F.element_at(F.concat(F.array(F.lit(None).cast("string")), F.filter(names, lambda n: said(n) == kind)), -1)
+
+
 def softmax(scores: Column, among: Column | None = None) -> Column:
     """Probabilities of an array of scores; with `among` (array of booleans), the others have probability 0.
 

@@ -7,6 +7,9 @@ import functools
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from scribemill.functions import metrics as M
+from scribemill.functions import text as T
+
 # Thresholds of the stages by dataset.
 # stage1, bleu, rouge, head, tail, timestamp bleu, whisper head, whisper tail, wav2vec head, wav2vec tail
 THRESHOLDS = {
@@ -29,6 +32,52 @@ def every(*conditions: Column) -> Column:
     return functools.reduce(lambda a, b: a & b, conditions)
 
 
+def large_enough(size: Column, least: int = 225) -> Column:
+    """Files of more bytes than a header has."""
+    return size > least
+
+
+def without_spoken_marks(text: Column) -> Column:
+    """Not a dictation whose punctuation is spoken."""
+    return ~F.coalesce(F.contains(text, F.lit("\\Komma")) | F.contains(text, F.lit("\\Punkt")), F.lit(False))
+
+
+def is_silence(text: Column, transcription: Column) -> Column:
+    return (T.strip(text) == "") & (transcription == "")
+
+
+def chunk_scores(text: Column, transcription: Column, model: Column) -> Column:
+    """bleu, wer, first, last and silence of normalised texts: four zeros if one is empty; silence if both are and the
+    model is a wav2vec2."""
+    words = (text != "") & (transcription != "")
+    scores = {
+        "bleu": M.bleu(text, transcription),
+        "wer": M.wer(text, transcription),
+        "first": M.indel_ratio(M.first_word(text), M.first_word(transcription)),
+        "last": M.indel_ratio(M.last_word(text), M.last_word(transcription)),
+    }
+    silence = (text == "") & (transcription == "") & F.contains(F.lower(model), F.lit("wav2vec2"))
+    return F.struct(*(F.when(words, x).otherwise(0.0).alias(k) for k, x in scores.items()), silence.alias("silence"))
+
+
+def with_metrics(rows: DataFrame, text: str = "text", whisper: str = "whisper_transcription", wav2vec: str = "wav2vec_transcription", normalize=T.normalize_text) -> DataFrame:
+    """Adds the three normalised texts and, for the stages, is_silence and seven scores (w_... and v_...) of each transcription."""
+    rows = rows.withColumns({f"{x}_normalized": normalize(c(x)) for x in (text, whisper, wav2vec)})
+    a, out = c(f"{text}_normalized"), {"is_silence": is_silence(c(text), c(wav2vec))}
+    for m, x in (("w", whisper), ("v", wav2vec)):
+        b = c(f"{x}_normalized")
+        out |= {
+            f"{m}_bleu": M.bleu(a, b, M.RECALL_WEIGHTS),
+            f"{m}_rouge": M.rouge(a, b),
+            f"{m}_wer": M.wer(a, b),
+            f"{m}_first": M.indel_ratio(M.first_word(a), M.first_word(b)),
+            f"{m}_last": M.indel_ratio(M.last_word(a), M.last_word(b)),
+            f"{m}_head": M.edge_cer(a, b),
+            f"{m}_tail": M.edge_cer(a, b, tail=True),
+        }
+    return rows.withColumns(out)
+
+
 def scorer_stages(live_aware: bool = False, strict_bleu: bool = False) -> dict[str, Column]:
     """Stages of scored chunks: columns w_bleu, w_wer, w_first, w_last and v_... of two models, and as_run if
     live_aware (what was not captioned as run needs less in the first stage). The BLEU clause of the last stage

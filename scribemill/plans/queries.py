@@ -331,6 +331,18 @@ def ndiff_html(spark, d):
     return V.pairs(spark, d).select("pair_id", T.difference_html("ref", "hyp_b").alias("diff"))
 
 
+@query()  # normalisation and smoothing as above; tested against plain Python
+def stages_of_texts(spark, d):
+    rows = quality.with_metrics(V.pairs(spark, d), "ref", "hyp_a", "hyp_b")
+    return rows.select("pair_id", *(F.round(c, 6).alias(c) for c in SCORES), *(c.alias(k) for k, c in quality.general_stages().items()))
+
+
+@query()  # as above
+def chunk_scores(spark, d):
+    rows = V.pairs(spark, d).select("pair_id", T.normalize_text(F.col("ref")).alias("a"), T.normalize_text(F.col("hyp_b")).alias("b"))
+    return rows.select("pair_id", quality.chunk_scores(F.col("a"), F.col("b"), F.lit("wav2vec2")).alias("s")).select("pair_id", "s.*")
+
+
 # Quality stages. Scores are thousandths made from md5, so that both engines have the same numbers.
 
 SCORES = ["w_bleu", "v_bleu", "w_rouge", "v_rouge", "w_head", "w_tail", "v_head", "v_tail", "w_wer", "v_wer", "w_first", "w_last", "v_first", "v_last"]

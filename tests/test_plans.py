@@ -4,7 +4,9 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from scribemill.functions import arrays as A
 from scribemill.functions import metrics as M
+from scribemill.operators import quality
 from scribemill.plans import queries as Q
 from scribemill.plans import views as V
 from tests.test_functions import edits, plain_bleu
@@ -86,3 +88,35 @@ def test_bucket_relative_times_of_all_lines(spark, folder):
             want |= {(doc_id, i): (a - first, b - first, rows[-1][2] - first, joined) for i, a, b, _ in rows}
     got = Q.bucket_relative_times(spark, folder).collect()
     assert len(got) == len(want) and {(r["file_id"], r["idx"]): tuple(r)[2:] for r in got} == want
+
+
+def test_scores_of_texts(spark):
+    rows = spark.createDataFrame([(1, "", "", "a wav2vec2"), (2, "", "", "whisper"), (3, "a b", "", "wav2vec2"), (4, "", "a", "wav2vec2"), (5, "a b c d", "a x c d", "Wav2Vec2")], "k int, a string, b string, m string")
+    got = rows.select("k", quality.chunk_scores(F.col("a"), F.col("b"), F.col("m")).alias("s")).select("k", "s.*").orderBy("k").collect()
+    assert [tuple(r)[1:] for r in got[:4]] == [(0.0, 0.0, 0.0, 0.0, k == 1) for k in range(1, 5)]
+    assert tuple(got[4])[1:] == (pytest.approx(plain_bleu("a b c d", "a x c d")), 0.25, 100.0, 100.0, False)
+    rows = spark.createDataFrame([("Ett, två tre FYRA fem!", "ett två tre fyra fem", "ett två tre fyr"), (" ", "a", "")], "text string, whisper_transcription string, wav2vec_transcription string")
+    r, s = quality.with_metrics(rows).collect()
+    a, b = "ett två tre fyra fem", "ett två tre fyr"
+    assert r["text_normalized"] == r["whisper_transcription_normalized"] == a and not r["is_silence"] and s["is_silence"]
+    assert (r["w_wer"], r["w_head"], r["w_tail"], r["w_first"], r["w_last"]) == (0, 0, 0, 100, 100) and r["v_wer"] == 0.4
+    assert r["v_bleu"] == pytest.approx(plain_bleu(a, b, M.RECALL_WEIGHTS)) and r["v_rouge"] == pytest.approx(plain_bleu(b, a, M.RECALL_WEIGHTS))
+    assert r["v_tail"] == edits(a[-10:], b[-10:]) / 10
+
+
+def test_stages_of_texts_are_of_scores(spark, folder):
+    got = Q.stages_of_texts(spark, folder).limit(40).collect()
+    assert len(got) == 40 and any(r["stage1"] for r in got)
+    assert all(r["stage1"] == (r["w_bleu"] >= 0.2) for r in got if abs(r["w_bleu"] - 0.2) > 1e-5 and r["w_wer"] is not None)
+    assert Q.chunk_scores(spark, folder).count() == Q.stages_of_texts(spark, folder).count() == len(list(plain_pairs()))
+
+
+def test_small_predicates(spark):
+    rows = spark.createDataFrame([("a \\Komma b", 225), ("\\Punkt", 226), ("Komma", 0), (None, 1)], "t string, n long")
+    assert [tuple(r) for r in rows.select(quality.without_spoken_marks(F.col("t")), quality.large_enough(F.col("n"))).collect()] == [(False, False), (False, True), (True, False), (True, False)]
+    c = F.col("x")
+    rows = spark.createDataFrame([(["<|sv|>", "<|haw|>", "<|translate|>", "a/Whisper-x", "wav2vec2-whisper", "big-wav2vec2", "whisper-2"],)], "x array<string>")
+    got = rows.select(A.token_languages(F.slice(c, 1, 3)), A.model_of_kind(c, "wav2vec2"), A.model_of_kind(c, "whisper"), A.model_of_kind(F.slice(c, 1, 3), "whisper")).first()
+    assert tuple(got) == (["sv", "haw"], "big-wav2vec2", "whisper-2", None)
+    got = spark.createDataFrame([("en",), ("sv",), ("su",), ("xx",)], "x string").select(A.language_id(c)).collect()
+    assert [r[0] for r in got] == [50259, A.LANGUAGE_IDS["sv"], 50357, None] and len(A.LANGUAGE_IDS) == 99
