@@ -256,13 +256,13 @@ def softmax(spark, d):
 
 @query("select vec_id, cast(len(embedding[3:vec_id % 40]) as int) as n, round(list_sum(list_transform(embedding[3:vec_id % 40], lambda v: v::double)), 6) as total from embeddings where vec_id % 40 >= 3")
 def audio_slice(spark, d):
-    rows = table(spark, d, "embeddings").where("vec_id % 40 >= 3").select("vec_id", A.audio_slice(F.col("embedding"), F.lit(2), F.col("vec_id") % 40).alias("x"))
+    rows = table(spark, d, "embeddings").select("vec_id", A.audio_slice(F.col("embedding"), F.lit(2), F.col("vec_id") % 40).alias("x"))
     return rows.select("vec_id", F.size("x").alias("n"), F.round(F.aggregate("x", F.lit(0.0), lambda a, v: a + v.cast("double")), 6).alias("total"))
 
 
 @query("select vec_id, 100 as n, round(list_sum(list_transform(embedding[1:40], lambda v: v::double)), 6) as total from embeddings")
 def pad_batch(spark, d):
-    rows = table(spark, d, "embeddings").select("vec_id", A.padded(F.slice("embedding", 1, 40), F.lit(100)).alias("x"))
+    rows = table(spark, d, "embeddings").select("vec_id", A.padded(F.col("embedding"), F.lit(100)).alias("x"))
     return rows.select("vec_id", F.size("x").alias("n"), F.round(F.aggregate("x", F.lit(0.0), lambda a, v: a + v.cast("double")), 6).alias("total"))
 
 
@@ -497,8 +497,9 @@ def extension_priority(spark, d):
     from scribemill.sources.readers import audio_of
 
     ext = F.element_at(F.array(*map(F.lit, ["wav", "mp3", "txt", "webm"])), (F.col("page_id") % 4 + 1).cast("int"))
-    listing = table(spark, d, "pages").where("page_id % 3 <> 0").select(F.floor(F.col("page_id") / 4).cast("string").alias("base"), ext.alias("ext"))
-    return audio_of(listing.select("base").distinct(), listing.select(F.concat_ws(".", "base", "ext").alias("path")))
+    pages = table(spark, d, "pages").select("page_id", F.floor(F.col("page_id") / 4).cast("string").alias("base"), ext.alias("ext"))
+    listing = pages.where("page_id % 3 <> 0")
+    return audio_of(pages.select("base").distinct(), listing.select(F.concat_ws(".", "base", "ext").alias("path")))
 
 
 @query("select doc_id as id, source, null as url from documents union all by name select page_id as id, url, null as source from pages")
@@ -556,7 +557,7 @@ def melt_pivot(spark, d):
 
 @query()  # a Python model
 def model_hook_stub(spark, d):
-    rows = V.doc_lines(spark, d).where("idx = 0").select("file_id", "text")
+    rows = V.doc_lines(spark, d).select("file_id", "idx", "text")
     return models.with_model(rows, "text", "language", "string", lambda: lambda texts: ["sv" if len(t) % 2 else "no" for t in texts])
 
 

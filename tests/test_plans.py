@@ -120,3 +120,17 @@ def test_small_predicates(spark):
     assert tuple(got) == (["sv", "haw"], "big-wav2vec2", "whisper-2", None)
     got = spark.createDataFrame([("en",), ("sv",), ("su",), ("xx",)], "x string").select(A.language_id(c)).collect()
     assert [r[0] for r in got] == [50259, A.LANGUAGE_IDS["sv"], 50357, None] and len(A.LANGUAGE_IDS) == 99
+
+
+def test_small_jobs_take_every_row(spark, folder):
+    r = random.Random(2)
+    vectors = {k: [r.random() for _ in range(64)] for k in range(50)}
+    spark.createDataFrame(list(vectors.items()), "vec_id long, embedding array<float>").write.mode("overwrite").parquet(f"{folder}/embeddings.parquet")
+    spark.createDataFrame([(k, "") for k in [*range(24), 30]], "page_id long, html string").write.mode("overwrite").parquet(f"{folder}/pages.parquet")
+    got = {r["vec_id"]: (r["n"], r["total"]) for r in Q.audio_slice(spark, folder).collect()}
+    assert got == {k: (max(k % 40 - 2, 0), pytest.approx(sum(v[2 : k % 40]), abs=1e-5)) for k, v in vectors.items()}
+    got = {r["vec_id"]: (r["n"], r["total"]) for r in Q.pad_batch(spark, folder).collect()}
+    assert got == {k: (100, pytest.approx(sum(v), abs=1e-5)) for k, v in vectors.items()}
+    got = {r["base"]: r["audio_path"] for r in Q.extension_priority(spark, folder).collect()}
+    assert len(got) == 7 and got["7"] is None and got["1"] == "1.webm"
+    assert Q.model_hook_stub(spark, folder).count() == len(list(plain_pairs()))
