@@ -21,8 +21,8 @@ from scribemill.llm._shared import written
 SHINGLE = 5
 #: registers; bands of ROWS registers: a pair of similarity 0.75 misses all of them with odds of 1 in 200,000
 REGISTERS, ROWS = 128, 4
-#: a pair whose signatures agree in less than this share is taken to be under 0.75 (four standard errors off)
-LEAST_ESTIMATE = 0.6
+#: a pair whose signatures agree in less than this share is taken to be under 0.75 (six standard errors off)
+LEAST_ESTIMATE = 0.5
 PERCENT = 75
 #: nodes of a bucket that one task compares with as many others
 CHUNK = 2000

@@ -6,6 +6,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from tests.llm import edge
 
@@ -162,6 +163,16 @@ def test_decontamination_lists_an_item_once(spark, monkeypatch):
         assert any(found) and all(len(x) == len(set(x)) for x in found)
 
 
+def test_hardly_a_pair_at_the_limit_is_left_unconfirmed():
+    below = -(-N.LEAST_ESTIMATE * N.REGISTERS // 1)
+    lost = sum(math.comb(N.REGISTERS, k) * 0.75**k * 0.25 ** (N.REGISTERS - k) for k in range(int(below)))
+    assert lost < 0.001 * (1 - 0.75**N.ROWS) ** (N.REGISTERS // N.ROWS)
+    a = np.arange(N.REGISTERS, dtype="<u2")
+    b = np.where(a < 66, a, a + 1000).astype("<u2")
+    rows = {"own": [0, 0], "x": [0, 0], "y": [0, 0], "node": ["a", "b"], "root": ["a", "b"], "sketch": [a.tobytes(), b.tobytes()]}
+    assert [(i, list(j)) for i, j in N.candidates(pa.table(rows))[2]] == [(0, [1])]
+
+
 def test_proximity(spark):
     docs = spark.createDataFrame([(1, "one two x x three"), (2, "three x x x x one x two"), (3, "one two"), (4, "three"), (5, None)], "doc_id long, text string")
     items = spark.createDataFrame([(7, "three one two")], "item_id long, text string")
