@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
+import inspect
 
 import numpy as np
 import pyarrow as pa
@@ -79,6 +81,54 @@ def byte_values(seed: int) -> np.ndarray:
 
 
 _tables: dict[int, np.ndarray] = {}
+#: tables of more entries than this, and what groups of more bytes leave behind, are not kept
+KEPT_POWERS, LARGE_GROUP = 1 << 18, 4 << 20
+
+
+@functools.lru_cache(1)
+def _trim():
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (OSError, AttributeError):  # a C library without it
+        return None
+
+
+def release() -> None:
+    """Give memory that is free within this process back to the system: Python workers outlive their tasks."""
+    for base in [b for b, x in _tables.items() if len(x) > KEPT_POWERS]:
+        del _tables[base]
+    pa.default_memory_pool().release_unused()
+    if trim := _trim():
+        trim(0)
+
+
+def tidy(f):
+    """f, for mapInArrow or applyInArrow, that releases memory when a task or a large group is over."""
+    if inspect.isgeneratorfunction(f):
+
+        def run(batches):
+            try:
+                yield from f(batches)
+            finally:
+                release()
+
+    elif len(inspect.signature(f).parameters) == 1:
+
+        def run(table):
+            out = f(table)
+            if table.nbytes > LARGE_GROUP:
+                release()
+            return out
+
+    else:
+
+        def run(left, right):
+            out = f(left, right)
+            if left.nbytes + right.nbytes > LARGE_GROUP:
+                release()
+            return out
+
+    return run
 
 
 def powers(n: int, base: int = BASE) -> np.ndarray:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextvars
 import tempfile
 import uuid
 
@@ -10,25 +11,50 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scribemill.llm._arrays import sliced, texts
+from scribemill.llm._arrays import sliced, texts, tidy
 
 BLOCK_BYTES = 6 << 20
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new path under spark.checkpoint.dir; only where that is unset, as in tests, a local folder is set."""
+    """A new path under spark.checkpoint.dir. Where that is unset, a session on one machine, as in tests, gets a folder
+    there; on a cluster, whose executors would not see it, this is an error."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = f"file://{tempfile.mkdtemp(prefix='spark-')}"
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-_open: list[temporary_tables] = []
+#: the innermost open block of each thread
+_open: contextvars.ContextVar[temporary_tables | None] = contextvars.ContextVar("open", default=None)
+#: what a session's queries have left in the shared folder
+_left: dict[str, set[str]] = {}
+
+
+def delete(spark: SparkSession, paths) -> None:
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Delete the tables and shards that queries of this application left in the shared folder. Results that read them
+    can no longer be computed: for the end of a session, or when its results have been written."""
+    delete(spark, _left.pop(spark.sparkContext.applicationId, ()))
+
+
+def left_behind(spark: SparkSession, path: str) -> str:
+    """The path, noted for `clean_up`."""
+    _left.setdefault(spark.sparkContext.applicationId, set()).add(path)
+    return path
 
 
 class temporary_tables:
-    """Tables that `written` makes inside the block are deleted at its end, but for those to keep.
+    """Tables that `written` makes inside the block, in the same thread, are deleted at its end, but for those to keep.
 
     Only for blocks that leave nothing behind that reads the others: what is kept has been written itself.
     """
@@ -37,7 +63,7 @@ class temporary_tables:
         self.spark, self.paths = spark, {}
 
     def __enter__(self):
-        _open.append(self)
+        self.token = _open.set(self)
         return self
 
     def keep(self, table: DataFrame) -> DataFrame:
@@ -45,20 +71,18 @@ class temporary_tables:
         return table
 
     def __exit__(self, *_):
-        _open.remove(self)
-        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
-        for path in self.paths:
-            place = jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(conf).delete(place, True)
+        _open.reset(self.token)
+        delete(self.spark, self.paths)
+        _left.get(self.spark.sparkContext.applicationId, set()).difference_update(self.paths)
 
 
 def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """The same rows from a table in the shared folder, which outlives any executor; cuts the lineage."""
-    path = shared_dir(df.sparkSession, name)
+    path = left_behind(df.sparkSession, shared_dir(df.sparkSession, name))
     df.write.option("compression", compression).parquet(path)
     table = df.sparkSession.read.schema(df.schema).parquet(path)
-    if _open:
-        _open[-1].paths[path] = table
+    if block := _open.get():
+        block.paths[path] = table
     return table
 
 
@@ -97,7 +121,7 @@ def blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size
         if ids:
             yield row()
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(pack, BLOCKS)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(tidy(pack), BLOCKS)
 
 
 def block_texts(row: dict) -> tuple[np.ndarray, np.ndarray]:

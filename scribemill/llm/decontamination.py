@@ -13,18 +13,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scribemill.llm._arrays import ALNUM, binary, coded, ragged, sliced, texts, words
+from scribemill.llm._arrays import ALNUM, binary, coded, ragged, sliced, texts, tidy, words
 from scribemill.llm._shared import BLOCK_BYTES, written
 
-INDEX = "number long, ids array<bigint>, firsts binary, terms binary, term_ends binary, list_ends binary, positions binary"
+INDEX = "number long, ids array<bigint>, hashes array<bigint>, firsts binary, terms binary, term_ends binary, list_ends binary, positions binary"
 #: bytes of benchmark text that one broadcast may hold; a larger benchmark is taken in blocks of that size
 QUERY_BYTES = 16 << 20
+#: places of rarest terms that are looked at together
+CANDIDATES = 1 << 20
 
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The index of all words of all texts (null: none), written to the shared folder.
 
-    Columns: the number of the row's first document, ids of its documents, `firsts` (number of each document's first word within the row, and the
+    Columns: the number of the row's first document, ids and text hashes of its documents, `firsts` (number of each document's first word within the row, and the
     total), the terms (bytes and ends, in no order), and their lists: ends and ascending word positions.
     """
 
@@ -34,18 +36,18 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         number = TaskContext.get().partitionId() << 40
         for batch in batches:
             data, offsets = texts(batch.column(1))
-            ids = batch.column(0).to_pylist()
+            ids, hashes = batch.column(0).to_pylist(), batch.column(2).to_pylist()
             for i, j in sliced(offsets, block_bytes):
                 found, firsts = words(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], ALNUM)
                 codes, distinct = coded(found)
                 order = np.argsort(codes, kind="stable").astype("<u4")
                 raw, ends = texts(distinct)
                 lists = np.cumsum(np.bincount(codes, minlength=len(distinct)))
-                yield pa.record_batch([pa.array([number], pa.int64()), pa.array([ids[i:j]], pa.list_(pa.int64())), *(pa.array([x.tobytes()], pa.binary()) for x in (firsts.astype("<i8"), raw, ends[1:].astype("<i8"), lists.astype("<i8"), order))], names=["number", "ids", "firsts", "terms", "term_ends", "list_ends", "positions"])
+                yield pa.record_batch([pa.array([number], pa.int64()), *(pa.array([x[i:j]], pa.list_(pa.int64())) for x in (ids, hashes)), *(pa.array([x.tobytes()], pa.binary()) for x in (firsts.astype("<i8"), raw, ends[1:].astype("<i8"), lists.astype("<i8"), order))], names=["number", "ids", "hashes", "firsts", "terms", "term_ends", "list_ends", "positions"])
                 number += j - i
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return written(rows.mapInArrow(index, INDEX), "postings", "snappy")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).withColumn("text_hash", F.xxhash64("text"))
+    return written(rows.mapInArrow(tidy(index), INDEX), "postings", "snappy")
 
 
 class Postings:
@@ -84,14 +86,17 @@ class Postings:
         rarity = np.where(ok, self.sizes[np.where(ok, w, 0)], np.iinfo(np.int64).max)
         by_rarity = np.argsort(rarity, axis=1, kind="stable")
         found_w, found_s = [], []
-        for a in range(0, len(live), 50_000):
-            part, order = w[a : a + 50_000], by_rarity[a : a + 50_000]
+        a, upto = 0, np.cumsum(rarity.min(axis=1, initial=np.iinfo(np.int64).max)) if len(live) else rarity
+        while a < len(live):
+            # so many candidates at a time, or those of one window
+            z = max(a + 1, int(np.searchsorted(upto, (upto[a - 1] if a else 0) + CANDIDATES, side="right")))
+            part, order = w[a:z], by_rarity[a:z]
             rare = order[:, 0]
             term = part[np.arange(len(part)), rare]
             n = self.sizes[term]
             which = np.repeat(np.arange(len(part)), n)
             start = self.positions[ragged(self.starts[term], n)] - rare[which]
-            n_terms = lengths[live[a : a + 50_000]]
+            n_terms = lengths[live[a:z]]
             for k in range(1, width):
                 if not len(which):
                     break
@@ -106,6 +111,7 @@ class Postings:
             same = np.searchsorted(self.firsts, start, side="right") == np.searchsorted(self.firsts, last, side="right")
             found_w.append(live[a + which[same]])
             found_s.append(start[same])
+            a = z
         none = np.zeros(0, np.int64)
         return np.concatenate([none, *found_w]), np.concatenate([none, *found_s])
 
@@ -155,14 +161,14 @@ def query_blocks(items: DataFrame, id_col: str, text_col: str, width: int):
         yield Queries(part["id"].where(part["id"].notna(), None).tolist(), part["text"].tolist(), width)
 
 
-HITS = "doc_id long, n_words long, spans array<struct<s:long,e:long>>, items array<string>, rid long"
+HITS = "doc_id long, text_hash long, n_words long, spans array<struct<s:long,e:long>>, items array<string>, rid long"
 
 
 def phrase_matches(index: DataFrame, items: DataFrame, width: int = 10, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """Documents with the exact occurrences of the items' windows of `width` consecutive words.
 
     An item of fewer words is one window; one without words has none. Returns a row per document and query block:
-    doc_id, n_words, spans (hit words [s, e), apart and ascending), items (ids of items with an occurrence, distinct),
+    doc_id, text_hash, n_words, spans (hit words [s, e), apart and ascending), items (ids of items with an occurrence, distinct),
     rid (number of the document in the index). An item without an id hits words and is not listed.
     """
     return _hits(index, items, width, id_col, text_col)[0]
@@ -191,13 +197,13 @@ def _hits(index: DataFrame, items: DataFrame, width: int, id_col: str = "item_id
                                 own.append({"s": s, "e": e})
                         spans.append(own)
                         items_of.append(list(dict.fromkeys(x for k in np.unique(queries.value.item[which[a:b]]) if (x := queries.value.item_ids[k]) is not None)))
-                    yield pa.record_batch([pa.array(p.ids, pa.int64()), pa.array(np.diff(p.firsts)), pa.array(spans, pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))), pa.array(items_of, pa.list_(pa.string())), pa.array(np.arange(len(p.ids)) + row["number"])], names=["doc_id", "n_words", "spans", "items", "rid"])
+                    yield pa.record_batch([pa.array(p.ids, pa.int64()), pa.array(row["hashes"], pa.int64()), pa.array(np.diff(p.firsts)), pa.array(spans, pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))), pa.array(items_of, pa.list_(pa.string())), pa.array(np.arange(len(p.ids)) + row["number"])], names=["doc_id", "text_hash", "n_words", "spans", "items", "rid"])
 
         return run
 
     spark, out, n = index.sparkSession, None, 0
     for block in query_blocks(items, id_col, text_col, width):
-        hits = index.mapInArrow(probe(spark.sparkContext.broadcast(block)), HITS)
+        hits = index.mapInArrow(tidy(probe(spark.sparkContext.broadcast(block))), HITS)
         out, n = hits if out is None else out.unionByName(hits), n + 1
     return out, n
 
@@ -224,7 +230,7 @@ def proximity_matches(index: DataFrame, items: DataFrame, within: int, id_col: s
 
 
 def contamination(docs: DataFrame, items: DataFrame, width: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document: doc_id, n_words, n_hit (words inside an occurrence of a window), items (sorted ids), contaminated.
+    """Per document: doc_id, text_hash (xxhash64), n_words, n_hit (words inside an occurrence of a window), items (sorted ids), contaminated.
 
     Null and empty texts have no words; equal rows each get a row; an empty table gives none; further columns of
     either table play no part.
@@ -233,13 +239,14 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = 10, id_col: st
     if blocks > 1:
         hits = hits.groupBy("rid").agg(
             F.first("doc_id").alias("doc_id"),
+            F.first("text_hash").alias("text_hash"),
             F.first("n_words").alias("n_words"),
             F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),
             F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
         )
     zero = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("to"))
     covered = F.aggregate("spans", zero, lambda a, x: F.struct((a["n"] + F.greatest(F.lit(0), x["e"] - F.greatest(x["s"], a["to"]))).cast("long").alias("n"), F.greatest(a["to"], x["e"]).alias("to")))["n"]
-    return hits.select("doc_id", "n_words", covered.alias("n_hit"), F.array_sort("items").alias("items"), (F.size("spans") > 0).alias("contaminated"))
+    return hits.select("doc_id", "text_hash", "n_words", covered.alias("n_hit"), F.array_sort("items").alias("items"), (F.size("spans") > 0).alias("contaminated"))
 
 
 def op10_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scribemill.llm._arrays import tidy
+
 # Tags by their role in HTML.
 BLOCK_TAGS = set("address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre search section select summary table tbody td tfoot th thead tr ul".split())
 VOID_TAGS = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -310,7 +312,7 @@ def extract(pages: DataFrame, field: Field | None = None, html_col: str = "html"
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array(found, pa.string()), pa.array([len(x) for x in found], pa.int64())], names=[*kept, "text", "n_chars"])
 
     rows = pages.select(*kept, F.col(html_col).cast("string").alias("__html"))
-    return rows.mapInArrow(run, StructType([*(pages.schema[c] for c in kept), StructField("text", StringType()), StructField("n_chars", LongType())]))
+    return rows.mapInArrow(tidy(run), StructType([*(pages.schema[c] for c in kept), StructField("text", StringType()), StructField("n_chars", LongType())]))
 
 
 def op8_html_extraction(spark, sf_dir: str) -> DataFrame:

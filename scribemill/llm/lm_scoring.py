@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scribemill.llm._arrays import NOT_SPACE, coded, hash_binary, mix, words
+from scribemill.llm._arrays import NOT_SPACE, coded, hash_binary, mix, tidy, words
 from scribemill.llm._shared import BLOCK_BYTES, block_texts, blocks, written
 
 END, BOS = np.uint64(0x452821E638D01377), np.uint64(0xBE5466CF34E90C6C)
@@ -122,7 +122,7 @@ def requests(docs_blocks: DataFrame, n_shards: int, order: int, train_mod: int,
                     out += [(s, row["block"], part, packed_keys(own[a:b]), b"" if c is None else packed(c[:, a:b])) for s, (a, b) in enumerate(zip(cut, cut[1:], strict=False)) if a < b]
                 yield pa.record_batch([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["shard", "block", "part", "keys", "counts"])
 
-    return docs_blocks.mapInArrow(ask, REQUESTS)
+    return docs_blocks.mapInArrow(tidy(ask), REQUESTS)
 
 
 ANSWERS = "block long, part int, shard int, counts binary, n_fit long, n_all long, v_fit long, v_all long"
@@ -150,7 +150,7 @@ def answers(asked: DataFrame) -> DataFrame:
         kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), *[pa.int64()] * 4)
         return pa.table([pa.array(x, t) for x, t in zip(zip(*out, strict=True), kinds, strict=True)], names=["block", "part", "shard", "counts", "n_fit", "n_all", "v_fit", "v_all"])
 
-    return asked.groupBy("shard").applyInArrow(add, ANSWERS)
+    return asked.groupBy("shard").applyInArrow(tidy(add), ANSWERS)
 
 
 def token_counts(keys: list[np.ndarray], at: np.ndarray, answer: pa.Table) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -251,7 +251,7 @@ def score(docs: DataFrame, order: int = 2, train_mod: int = 10, em_remainder: in
                 rows[tuple(g)] = rows.get(tuple(g), 0) + c
         return pa.table([pa.array([list(g) for g in rows], pa.list_(pa.int64())), pa.array(list(rows.values()), pa.int64())], names=["cell", "n"])
 
-    cells = packs.mapInArrow(only_tuned, packs.schema).groupBy("block").cogroup(answered.where("part = 1").groupBy("block")).applyInArrow(histogram, "cell array<bigint>, n long")
+    cells = packs.mapInArrow(tidy(only_tuned), packs.schema).groupBy("block").cogroup(answered.where("part = 1").groupBy("block")).applyInArrow(tidy(histogram), "cell array<bigint>, n long")
     # the grid of buckets and rounded ratios bounds the rows that reach the driver
     found = [(r["cell"][: order - 1], r["cell"][order - 1 :], r["n"]) for r in cells.groupBy("cell").agg(F.sum("n").alias("n")).collect()]
     weights = learn(found, order, v_fit)
@@ -270,7 +270,7 @@ def score(docs: DataFrame, order: int = 2, train_mod: int = 10, em_remainder: in
             out.append(pa.table([pa.array(row["ids"], pa.int64()), pa.array([remainder(x, train_mod) == 0 for x in row["ids"]], pa.bool_()), pa.array(n), pa.array(known), pa.array([n_all] * len(n), pa.int64()), pa.array(base), pa.array(full)], names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]))
         return pa.concat_tables(out)
 
-    return packs.groupBy("block").cogroup(answered.where("part = 0").groupBy("block")).applyInArrow(rate, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return packs.groupBy("block").cogroup(answered.where("part = 0").groupBy("block")).applyInArrow(tidy(rate), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def op7_lm_scoring(spark, sf_dir: str) -> DataFrame:

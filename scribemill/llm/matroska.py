@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scribemill.llm._arrays import tidy
+
 # Element ids of the public format.
 EBML, DOC_TYPE, SEGMENT, INFO, TIMESTAMP_SCALE, DURATION = 0x1A45DFA3, 0x4282, 0x18538067, 0x1549A966, 0x2AD7B1, 0x4489
 TRACKS, TRACK, TRACK_NUMBER, TRACK_TYPE, CODEC = 0x1654AE6B, 0xAE, 0xD7, 0x83, 0x86
@@ -211,7 +213,7 @@ def media_column(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 yield pa.record_batch([batch.column(0).slice(k, 1000), pa.array([len(x) for x in part], pa.int64()), pa.array([write(payload_of(x), how=how) for x in part], pa.binary())], names=[id_col, "n_bytes", "media"])
 
     rows = docs.select(id_col, F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(encode, f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, n_bytes long, media binary")
+    return rows.mapInArrow(tidy(encode), f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, n_bytes long, media binary")
 
 
 PACKETS = "array<struct<timestamp_ms:bigint,track:int,first:bigint,end:bigint>>"
@@ -237,7 +239,7 @@ def packet_table(media: DataFrame, media_col: str = "media") -> DataFrame:
                 errors.append(error)
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(rest)], pa.array(rows, pa.list_(pa.struct([("timestamp_ms", pa.int64()), ("track", pa.int32()), ("first", pa.int64()), ("end", pa.int64())]))), pa.array(cues, pa.list_(pa.struct([("time_ms", pa.int64()), ("cluster", pa.int64())]))), pa.array(errors, pa.string())], names=[*rest, "packets", "cues", "error"])
 
-    return media.select(*rest, media_col).mapInArrow(parse, f"{fields}, packets {PACKETS}, cues array<struct<time_ms:bigint,cluster:bigint>>, error string")
+    return media.select(*rest, media_col).mapInArrow(tidy(parse), f"{fields}, packets {PACKETS}, cues array<struct<time_ms:bigint,cluster:bigint>>, error string")
 
 
 def features(samples: np.ndarray, n_packets: int, n_cues: int, last_ms: int) -> str:
@@ -263,7 +265,7 @@ def digests(media: DataFrame) -> DataFrame:
             if out:
                 yield pa.record_batch([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()), strict=True)], names=[x.split()[0] for x in DIGESTS.split(", ")])
 
-    return media.select(F.col("doc_id").cast("long"), "n_bytes", "media").mapInArrow(read, DIGESTS)
+    return media.select(F.col("doc_id").cast("long"), "n_bytes", "media").mapInArrow(tidy(read), DIGESTS)
 
 
 def op9_media_columns(spark, sf_dir: str) -> DataFrame:

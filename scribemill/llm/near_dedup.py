@@ -12,11 +12,11 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scribemill.llm._arrays import NOT_SPACE, coded, hash_binary, mix, ragged, sliced, texts, words
-from scribemill.llm._shared import written
+from scribemill.llm._arrays import NOT_SPACE, binary, coded, hash_binary, mix, ragged, sliced, texts, tidy, words
+from scribemill.llm._shared import temporary_tables, written
 
 SHINGLE = 5
 #: registers; bands of ROWS registers: a pair of similarity 0.75 misses all of them with odds of 1 in 200,000
@@ -24,8 +24,8 @@ REGISTERS, ROWS = 128, 4
 #: a pair whose signatures agree in less than this share is taken to be under 0.75 (six standard errors off)
 LEAST_ESTIMATE = 0.5
 PERCENT = 75
-#: nodes of a bucket that one task compares with as many others
-CHUNK = 2000
+#: nodes of a bucket that one task compares with as many others, and bytes of their sets
+CHUNK, CHUNK_BYTES = 2000, 16 << 20
 UNSET = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -85,12 +85,12 @@ def super_minhash(elements: np.ndarray, offsets: np.ndarray, m: int = REGISTERS)
     return registers.reshape(n_sets, m)
 
 
-SIGNED = "doc_id long, n_shingles long, node binary, sketch binary, bands array<bigint>"
+SIGNED = "doc_id long, text_hash long, n_shingles long, node binary, sketch binary, bands array<bigint>"
 
 
 def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, node (md5 of the set), sketch (16 bits of each register), bands (a key for each band).
-    Without words node, sketch and bands are null."""
+    """doc_id, text_hash, n_shingles, node (md5 of the set), sketch (16 bits of each register), bands (a key for each
+    band). Without words node, sketch and bands are null."""
 
     def sign(batches):
         for batch in batches:
@@ -105,9 +105,15 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                     bands = mix(bands * np.uint64(31) + registers[:, k::ROWS])
                 bands = mix(bands + np.arange(bands.shape[1], dtype=np.uint64)).view(np.int64)
                 nodes = [hashlib.md5(sets[a:b].tobytes()).digest() if a < b else None for a, b in zip(at, at[1:], strict=False)]
-                yield pa.record_batch([batch.column(0).slice(i, j - i).cast(pa.int64()), pa.array(np.diff(at)), pa.array(nodes, pa.binary()), pa.array([x.tobytes() if f else None for x, f in zip(sketch, full, strict=True)], pa.binary()), pa.array([x if f else None for x, f in zip(bands, full, strict=True)], pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "node", "sketch", "bands"])
+                yield pa.record_batch([batch.column(0).slice(i, j - i), batch.column(2).slice(i, j - i), pa.array(np.diff(at)), pa.array(nodes, pa.binary()), pa.array([x.tobytes() if f else None for x, f in zip(sketch, full, strict=True)], pa.binary()), pa.array([x if f else None for x, f in zip(bands, full, strict=True)], pa.list_(pa.int64()))], names=[x.split()[0] for x in SIGNED.split(", ")])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(sign, SIGNED)
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), text_hash(text).alias("text_hash")).mapInArrow(tidy(sign), SIGNED)
+
+
+def text_hash(text) -> Column:
+    """With the id, what names a row: rows of one id may differ in text."""
+    return F.xxhash64(text)
 
 
 def agreement(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
@@ -116,34 +122,39 @@ def agreement(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     def rate(batches):
         for batch in batches:
             if batch.num_rows:
-                a, b = (np.frombuffer(b"".join(batch.column(k).to_pylist()), "<u2").reshape(-1, REGISTERS) for k in (2, 3))
+                a, b = (texts(batch.column(k))[0].view("<u2").reshape(-1, REGISTERS) for k in (2, 3))
                 yield pa.record_batch([batch.column(0), batch.column(1), pa.array((a == b).mean(axis=1))], names=["a", "b", "estimate"])
 
     own = sketches.select("node", "sketch")
     both = pairs.join(own.withColumnsRenamed({"node": "a", "sketch": "sa"}), "a").join(own.withColumnsRenamed({"node": "b", "sketch": "sb"}), "b")
-    return both.select("a", "b", "sa", "sb").mapInArrow(rate, "a binary, b binary, estimate double")
+    return both.select("a", "b", "sa", "sb").mapInArrow(tidy(rate), "a long, b long, estimate double")
 
 
 def node_sets(asked: DataFrame, docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(node, items): the full sets of the nodes asked for, taken from their documents again, written."""
-    wanted = nodes.select("node", F.col("low").alias("__id")).join(asked.select("node").distinct(), "node")
+    wanted = nodes.select("node", F.col("low.doc_id").alias("__id"), F.col("low.text_hash").alias("__hash")).join(asked.select("node").distinct(), "node")
 
     def sets(batches):
         for batch in batches:
             data, offsets = texts(batch.column(0))
-            wanted_nodes = batch.column(1).to_pylist()
             for i, j in sliced(offsets, 4 << 20):
                 found, at = shingle_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                blobs = [found[a:b].tobytes() for a, b in zip(at, at[1:], strict=False)]
-                # rows of one id may differ in text: only the row that has the node's set counts
-                good = [k for k, x in enumerate(blobs) if hashlib.md5(x).digest() == wanted_nodes[i + k]]
-                yield pa.record_batch([pa.array([wanted_nodes[i + k] for k in good], pa.binary()), pa.array([blobs[k] for k in good], pa.binary())], names=["node", "items"])
+                yield pa.record_batch([batch.column(1).slice(i, j - i), binary(found.view(np.uint8), at * 8).cast(pa.binary())], names=["node", "items"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).cast("string").alias("text"))
-    of_nodes = rows.join(wanted, rows["__id"].eqNullSafe(wanted["__id"])).select("text", "node").mapInArrow(sets, "node binary, items binary").dropDuplicates(["node"])
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).cast("long").alias("__id"), text.alias("text"), text_hash(text).alias("__hash")).alias("r")
+    # a row meets the node that its own id and text stand for, however many rows share the id or have none
+    own = F.col("r.__id").eqNullSafe(F.col("w.__id")) & (F.col("r.__hash") == F.col("w.__hash"))
+    of_nodes = rows.join(wanted.alias("w"), own).select("text", "node").mapInArrow(tidy(sets), "node long, items binary").dropDuplicates(["node"])
     return written(of_nodes, "near-sets", "snappy")
 
 
+def flat_sets(column) -> tuple[np.ndarray, np.ndarray]:
+    """Sets in binary values, one after the other, and the offsets between them."""
+    data, offsets = texts(column)
+    return data.view("<u8"), offsets // 8
+
+
 def confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
     """The pairs (a, b) for which 100 * intersection >= percent * union on the full sets."""
     asked = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
@@ -151,16 +162,17 @@ def confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, id_col: str,
 
     def check(batches):
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                both = int((y[at] == x).sum())
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield pa.record_batch(batch.columns[:2], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            (x, of_x), (y, of_y) = (flat_sets(batch.column(k)) for k in (2, 3))
+            keep = np.zeros(batch.num_rows, dtype=bool)
+            for i in range(batch.num_rows):
+                a, b = x[of_x[i] : of_x[i + 1]], y[of_y[i] : of_y[i + 1]]
+                at = np.minimum(np.searchsorted(b, a), len(b) - 1)
+                both = int((b[at] == a).sum())
+                keep[i] = 100 * both >= percent * (len(a) + len(b) - both)
+            yield pa.record_batch(batch.columns[:2], names=["a", "b"]).filter(pa.array(keep))
 
     both = pairs.select("a", "b").join(of_nodes.withColumnsRenamed({"node": "a", "items": "xa"}), "a").join(of_nodes.withColumnsRenamed({"node": "b", "items": "xb"}), "b")
-    return both.select("a", "b", "xa", "xb").mapInArrow(check, "a binary, b binary")
+    return both.select("a", "b", "xa", "xb").mapInArrow(tidy(check), "a long, b long")
 
 
 def components(links: DataFrame, rounds: int = 40) -> DataFrame:
@@ -189,52 +201,86 @@ def components(links: DataFrame, rounds: int = 40) -> DataFrame:
     raise RuntimeError("the components did not settle")
 
 
-def near_groups(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row.
-
-    Rows whose sets have 100 * intersection >= percent * union are linked; component_id is the least id that links
-    reach. Null and empty texts and texts without words have no shingles and no links; equal rows have equal sets and
-    are linked; rows of one id and different texts stand for themselves. An empty table gives no row. A null id is
-    taken for no id: it never names a component unless all are null. Further columns play no part.
+def row_groups(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", least_estimate: float = LEAST_ESTIMATE) -> DataFrame:
+    """doc_id, text_hash, n_shingles, component_id, and `first`: whether the row has the id and text of the group's first
+    row, by id (null last), then by hash of the text. See near_groups.
     """
     signed = written(signatures(docs, id_col, text_col), "near-signatures")
-    nodes = signed.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("low"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands"))
-    nodes = written(nodes, "near-nodes")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    nodes = signed.where("node is not null").groupBy(F.col("node").alias("md5")).agg(F.min(order).alias("low"), F.first("n_shingles").alias("size"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands"))
+    # nodes have numbers, which are fixed by this table, so that what follows joins and groups by whole numbers
+    nodes = written(nodes.withColumn("node", F.monotonically_increasing_id()), "near-nodes")
     keys = nodes.select("node", F.explode("bands").alias("key"))
     hubs = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("hub")).where("n > 1")
     # each node with the hubs of its buckets: nodes of one bucket have a hub in common
     stars = keys.join(hubs.select("key", "hub"), "key").where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
     stars = written(agreement(written(stars, "near-stars"), nodes), "near-rated")
-    near = stars.where(F.col("estimate") >= LEAST_ESTIMATE)
+    near = stars.where(F.col("estimate") >= least_estimate)
     # first each node with the hub it agrees with most
     best = near.groupBy("a").agg(F.max_by("b", F.struct("estimate", "b")).alias("b"))
     roots = components(written(confirmed(best, docs, nodes, id_col, text_col, percent), "near-confirmed"))
     # then the pairs of a hub and its nodes that are still apart, as links between what they belong to
-    found = written(between(stars, roots, docs, nodes, id_col, text_col, percent), "near-between")
+    found = written(between(stars, roots, docs, nodes, id_col, text_col, percent, least_estimate), "near-between")
     if not found.isEmpty():
         above = components(found).select(F.col("node").alias("root"), F.col("root").alias("top"))
         below = roots.unionByName(above.select(F.col("root").alias("node"), "root")).distinct()
         roots = below.join(above, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
-    least = nodes.select("node", "low").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    names = least.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = least.join(names, "root").select("node", "component_id")
-    out = signed.select("doc_id", "n_shingles", "node").join(named, "node", "left")
-    component = F.coalesce(F.col("component_id"), F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    least = nodes.select("node", "md5", "low").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    names = least.groupBy("root").agg(F.min("low").alias("top"))
+    named = written(least.join(names, "root").select("md5", "top"), "near-named")
+    out = signed.select("doc_id", "text_hash", "n_shingles", "node").join(named, F.col("node") == F.col("md5"), "left")
+    first = F.coalesce(F.col("top.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("top.text_hash") == F.col("text_hash")), F.lit(True))
+    return out.select("doc_id", "text_hash", "n_shingles", F.coalesce("top.doc_id", "doc_id").alias("component_id"), first.alias("first"))
+
+
+def near_groups(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", least_estimate: float = LEAST_ESTIMATE) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every row.
+
+    Rows whose sets have 100 * intersection >= percent * union are linked; component_id is the least id that links
+    reach. Sets are of 64-bit hashes of shingles, whole ones. Candidates are pairs that share a band of registers;
+    those whose signatures agree in less than least_estimate are not confirmed (0: all candidates are). Null and empty
+    texts and texts without words have no shingles and no links; equal rows have equal sets and are linked; rows of one
+    id and different texts stand for themselves. An empty table gives no row. A null id is taken for no id: it never
+    names a component unless all are null. Further columns play no part.
+    """
+    found = row_groups(docs, percent, id_col, text_col, least_estimate)
+    return found.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+
+
+def first_of_groups(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Of every group of near-duplicates one row, with the columns of docs: that of the least id (null last; of one id,
+    of the least hash of the text). Rows without words all stay. Equal rows are one group."""
+    keys = {"doc_id": "__of", "text_hash": "__hash_of"}
+    with temporary_tables(docs.sparkSession) as tables:
+        found = written(row_groups(docs, percent, id_col, text_col).where("n_shingles > 0"), "near-rows")
+        gone = tables.keep(written(found.where("not first").select("doc_id", "text_hash").distinct().withColumnsRenamed(keys), "near-gone"))
+        # rows equal in id and text are one group, which no key tells apart
+        again = tables.keep(written(found.where("first").groupBy("doc_id", "text_hash").count().where("count > 1").select("doc_id", "text_hash").withColumnsRenamed(keys), "near-again"))
+    columns, text = docs.columns, F.col(text_col).cast("string")
+    rows = docs.select(*columns, F.col(id_col).cast("long").alias("__id"), text_hash(text).alias("__hash"))
+    same = F.col("__id").eqNullSafe(F.col("__of")) & (F.col("__hash") == F.col("__hash_of"))
+    rows = rows.join(gone, same, "left_anti")
+    if again.isEmpty():
+        return rows.select(*columns)
+    once = rows.join(again, same, "left_semi").dropDuplicates(["__id", "__hash"])
+    return rows.join(again, same, "left_anti").unionByName(once).select(*columns)
 
 
 def chunked(members: DataFrame) -> DataFrame:
-    """Rows (hub, node, ...) of hubs, cut by a hash of the node into chunks of about CHUNK, for every pair of chunks
-    (x, y) that has the row's own chunk: a hub's nodes meet two chunks at a time."""
-    sizes = members.groupBy("hub").agg(F.ceil(F.count("*") / CHUNK).alias("chunks"))
-    rows = members.join(sizes, "hub").withColumn("own", F.pmod(F.xxhash64("node"), "chunks"))
+    """Rows (hub, node, weight, ...) of hubs, cut by a hash of the node into chunks of about CHUNK rows and CHUNK_BYTES
+    of weight, for every pair of chunks (x, y) that has the row's own chunk: a hub's nodes meet two chunks at a time."""
+    chunks = F.greatest(F.ceil(F.count("*") / CHUNK), F.ceil(F.sum("weight") / CHUNK_BYTES))
+    # most hubs are one chunk; the others are in a table, so that the join can split a large hub's rows
+    sizes = written(members.groupBy("hub").agg(chunks.alias("chunks")).where("chunks > 1"), "near-chunks")
+    rows = members.join(sizes, "hub", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), "chunks"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
-    return rows.withColumns({"x": F.least("own", "other"), "y": F.greatest("own", "other")}).drop("other", "chunks")
+    return rows.withColumns({"x": F.least("own", "other"), "y": F.greatest("own", "other")}).drop("other", "chunks", "weight")
 
 
-def candidates(table: pa.Table):
+def candidates(table: pa.Table, least_estimate: float = LEAST_ESTIMATE):
     """Nodes, their components, and for each node of chunk x the nodes of chunk y in another component whose sketches
-    agree in LEAST_ESTIMATE of the registers."""
+    agree in least_estimate of the registers."""
     own, x, y = (table.column(c).to_numpy() for c in ("own", "x", "y"))
     node = np.array(table.column("node").to_pylist(), dtype=object)
     root = np.unique(np.array(table.column("root").to_pylist(), dtype=object), return_inverse=True)[1]
@@ -245,12 +291,12 @@ def candidates(table: pa.Table):
         for i in left:
             others = right[root[right] != root[i]] if x[0] != y[0] else right[(root[right] != root[i]) & (right > i)]
             if len(others):
-                yield i, others[(sketch[others] == sketch[i]).mean(axis=1) >= LEAST_ESTIMATE]
+                yield i, others[(sketch[others] == sketch[i]).mean(axis=1) >= least_estimate]
 
     return node, root, near()
 
 
-def between(stars: DataFrame, roots: DataFrame, docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
+def between(stars: DataFrame, roots: DataFrame, docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, percent: int, least_estimate: float) -> DataFrame:
     """Confirmed links between components among the nodes that share a hub, as many as it takes to join them.
 
     Links are of components: a and b are roots. Most hubs' nodes are one component and drop out. Of the others, sketches tell which nodes have a candidate in
@@ -258,43 +304,41 @@ def between(stars: DataFrame, roots: DataFrame, docs: DataFrame, nodes: DataFram
     link only where it joins what was apart: rows grow with the nodes, not with the pairs.
     """
     members = stars.select(F.col("b").alias("hub"), F.col("a").alias("node")).unionByName(stars.select(F.col("b").alias("hub"), F.col("b").alias("node")).distinct())
-    named = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = named.groupBy("hub").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("hub")
-    rows = chunked(named.join(mixed, "hub")).join(nodes.select("node", "sketch"), "node")
+    named = written(members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "near-members")
+    mixed = written(named.groupBy("hub").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("hub"), "near-mixed")
+    rows = chunked(written(named.join(mixed, "hub").withColumn("weight", F.lit(0)), "near-apart")).join(nodes.select("node", "sketch"), "node")
 
     def involved(table: pa.Table) -> pa.Table:
-        node, _, near = candidates(table)
+        node, _, near = candidates(table, least_estimate)
         hit = np.zeros(len(node), dtype=bool)
         for i, others in near:
             hit[others] = True
             hit[i] |= len(others) > 0
         return table.select(["hub", "node", "root"]).filter(pa.array(hit))
 
-    some = rows.groupBy("hub", "x", "y").applyInArrow(involved, "hub binary, node binary, root binary").distinct()
-    some = written(some, "near-involved")
-    full = chunked(some).join(nodes.select("node", "sketch"), "node").join(node_sets(some, docs, nodes, id_col, text_col), "node")
+    some = written(rows.groupBy("hub", "x", "y").applyInArrow(tidy(involved), "hub long, node long, root long").distinct(), "near-involved")
+    weighed = written(some.join(nodes.select("node", (F.col("size") * 8).alias("weight")), "node"), "near-weighed")
+    full = chunked(weighed).join(nodes.select("node", "sketch"), "node").join(node_sets(some, docs, nodes, id_col, text_col), "node")
 
     def join(table: pa.Table) -> pa.Table:
-        node, root, near = candidates(table)
-        names = table.column("root").to_pylist()
-        items = [np.frombuffer(x, "<u8") for x in table.column("items").to_pylist()]
-        sizes = np.array([len(x) for x in items])
-        a, b = [], []
+        node, root, near = candidates(table, least_estimate)
+        names = table.column("root").to_numpy()
+        items, at = flat_sets(table.column("items"))
+        sizes, links = np.diff(at), []
         for i, others in near:
             others = others[root[others] != root[i]]
             if not len(others):
                 continue
-            flat = np.concatenate([items[k] for k in others])
-            at = np.minimum(np.searchsorted(items[i], flat), sizes[i] - 1)
-            both = np.add.reduceat((items[i][at] == flat).astype(np.int64), np.cumsum(sizes[others]) - sizes[others])
+            own, flat = items[at[i] : at[i + 1]], items[ragged(at[others], sizes[others])]
+            hit = own[np.minimum(np.searchsorted(own, flat), sizes[i] - 1)] == flat
+            both = np.add.reduceat(hit.astype(np.int64), np.cumsum(sizes[others]) - sizes[others])
             for k in others[100 * both >= percent * (sizes[i] + sizes[others] - both)]:
                 if root[k] != root[i]:
                     root[root == root[k]] = root[i]
-                    a.append(names[i])
-                    b.append(names[k])
-        return pa.table([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+                    links.append((names[i], names[k]))
+        return pa.table([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-    return full.groupBy("hub", "x", "y").applyInArrow(join, "a binary, b binary")
+    return full.groupBy("hub", "x", "y").applyInArrow(tidy(join), "a long, b long")
 
 
 def op4_near_dedup(spark, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scribemill.llm._arrays import INVERSE, mix, powers, prefix_hashes, ragged, range_hashes, sliced
+from scribemill.llm._arrays import INVERSE, mix, powers, prefix_hashes, ragged, range_hashes, sliced, tidy
 from scribemill.llm._shared import BLOCK_BYTES, block_texts, blocks, written
 
 LENGTH, KGRAM = 200, 64
@@ -235,7 +235,7 @@ def repeats(docs_blocks: DataFrame, n_shards: int, length: int, kgram: int) -> D
                 out.append((x["block"], k[hit].tobytes()))
         return pa.table([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.binary())], names=["block", "keys"])
 
-    found = docs_blocks.mapInArrow(keys, "shard int, block long, keys binary, several binary").groupBy("shard").applyInArrow(met, "block long, keys binary")
+    found = docs_blocks.mapInArrow(tidy(keys), "shard int, block long, keys binary, several binary").groupBy("shard").applyInArrow(tidy(met), "block long, keys binary")
 
     def surroundings(pack: pa.Table, answer: pa.Table) -> pa.Table:
         """Of the anchors met twice, the bytes of all strings that they serve. Within a block equal surroundings go as
@@ -265,7 +265,7 @@ def repeats(docs_blocks: DataFrame, n_shards: int, length: int, kgram: int) -> D
                     out.append((s, row["block"], h[k].tobytes(), np.array([place[k] - first[k], end[k] - first[k], first[k], np.array(members[i:j])], "<i4").tobytes(), b"".join(raw[a:b] for a, b in zip(first[k], end[k], strict=True))))
         return pa.table([pa.array([x[c] for x in out], t) for c, t in enumerate((pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()))], names=["shard", "block", "keys", "numbers", "data"])
 
-    sent = docs_blocks.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(surroundings, "shard int, block long, keys binary, numbers binary, data binary")
+    sent = docs_blocks.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(tidy(surroundings), "shard int, block long, keys binary, numbers binary, data binary")
 
     def judge(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
@@ -293,7 +293,7 @@ def repeats(docs_blocks: DataFrame, n_shards: int, length: int, kgram: int) -> D
                 out.append((x["block"], h[member[m]].tobytes(), np.array([first[member[m]], a[m], b[m]], "<i4").tobytes()))
         return pa.table([pa.array([x[c] for x in out], t) for c, t in enumerate((pa.int64(), pa.binary(), pa.binary()))], names=["block", "keys", "runs"])
 
-    return sent.groupBy("shard").applyInArrow(judge, "block long, keys binary, runs binary")
+    return sent.groupBy("shard").applyInArrow(tidy(judge), "block long, keys binary, runs binary")
 
 
 def covered(data, offsets, rows: list[dict], length: int, kgram: int) -> np.ndarray:
@@ -352,7 +352,7 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, kgram: int = KGRAM,
             out.append(pa.table([pa.array(row["ids"], pa.int64()), pa.array(np.diff(offsets)), pa.array(removed), pa.array(spans), pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"]))
         return pa.concat_tables(out)
 
-    return packs.groupBy("block").cogroup(judged.groupBy("block")).applyInArrow(remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return packs.groupBy("block").cogroup(judged.groupBy("block")).applyInArrow(tidy(remove), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
 def op3_suffix_dedup(spark, sf_dir: str) -> DataFrame:

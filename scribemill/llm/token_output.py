@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from scribemill.llm._arrays import NOT_SPACE, binary, coded, ragged, sliced, texts
-from scribemill.llm._shared import shared_dir, written
+from scribemill.llm._arrays import NOT_SPACE, binary, coded, ragged, sliced, texts, tidy
+from scribemill.llm._shared import left_behind, shared_dir, written
 
 SEEK_MAGIC, SKIPPABLE = 0x8F92EAB1, 0x184D2A5E
 #: a longer document takes several frames
@@ -229,8 +229,8 @@ def crc32(ids: np.ndarray) -> int:
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0, frame_ids: int = FRAME_IDS) -> DataFrame:
     """Encode every text and write shards under `path`, in ascending order of the id column.
 
-    Documents are dealt out by ranges of ids (nulls first; rows of one id in the order of a hash of the text, whole
-    duplicates in any order), so a hot source or a group of copies does not stand in one task. Each task writes its
+    Documents are dealt out by ranges of (id, hash of the text), nulls first, whole duplicates in any order; so neither a
+    hot source nor a group of copies nor different texts of one id stand in one task. Each task writes its
     shard under another name and renames it, so that a task that is run again replaces it whole. A null text is
     empty, an empty table gives no shard; further columns play no part.
 
@@ -262,11 +262,13 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, id_col: str =
         if file is not None:
             shard.finish()
             file.close()
+            if own.get_file_info(name).type != pafs.FileType.NotFound:  # of an attempt before, and the same
+                own.delete_file(name)
             own.move(temporary, name)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    dealt = rows.repartitionByRange(F.col("doc_id")).sortWithinPartitions("doc_id", F.xxhash64("text"))
-    return written(dealt.mapInArrow(write, "shard string, doc_id long, first long, n_tokens long, part int"), "token-index")
+    dealt = rows.withColumn("h", F.xxhash64("text")).repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h").select("doc_id", "text")
+    return written(dealt.mapInArrow(tidy(write), "shard string, doc_id long, first long, n_tokens long, part int"), "token-index")
 
 
 def starts(index: DataFrame) -> DataFrame:
@@ -291,7 +293,7 @@ def read_documents(index: DataFrame, path: str) -> DataFrame:
                 out.append(crc32(reader.read(first, n)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.int64())], names=[*batch.schema.names, "ids_crc32"])
 
-    return index.mapInArrow(read, StructType([*index.schema.fields, StructField("ids_crc32", LongType())]))
+    return index.mapInArrow(tidy(read), StructType([*index.schema.fields, StructField("ids_crc32", LongType())]))
 
 
 def op1_token_output(spark, sf_dir: str) -> DataFrame:
@@ -302,6 +304,6 @@ def op1_token_output(spark, sf_dir: str) -> DataFrame:
 
 
 def token_digests(docs: DataFrame, tokenizer_path: str) -> DataFrame:
-    path = shared_dir(docs.sparkSession, "tokens")
+    path = left_behind(docs.sparkSession, shared_dir(docs.sparkSession, "tokens"))
     index = starts(write_tokens(docs, path, tokenizer_path))
     return read_documents(index, path).select("doc_id", "start", "n_tokens", "ids_crc32", "shard", "first")

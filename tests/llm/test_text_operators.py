@@ -274,3 +274,14 @@ def test_copies_of_one_text_that_are_not_alike_themselves(spark, monkeypatch):
     found = N.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert counted((x["doc_id"], x["n_shingles"], x["component_id"], x["kept"]) for x in found) == counted(brute_components(rows))
     assert len({x["component_id"] for x in found}) > 5
+
+
+def test_one_row_of_a_group_stays_whatever_the_ids(spark):
+    base = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, base), (1, base), (1, "quite another text with words of its own"), (2, base + " more"), (None, base), (None, "alone without an id one two three"), (None, None), (None, None), (3, ""), (0, base + " end")]
+    docs = spark.createDataFrame([(*x, "clash") for x in rows], "doc_id long, text string, text_hash string").repartition(3)
+    want = [(0, base + " end"), (1, "quite another text with words of its own"), (3, ""), (None, None), (None, None), (None, "alone without an id one two three")]
+    assert collections.Counter((r["doc_id"], r["text"]) for r in N.first_of_groups(docs).collect()) == collections.Counter(want)
+    equal = spark.createDataFrame([(5, base, "x")] * 4, docs.schema)
+    assert [tuple(r) for r in N.first_of_groups(equal).collect()] == [(5, base, "x")]
+    assert N.first_of_groups(docs.limit(0)).count() == 0
