@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from scribemill.llm._shared import temporary_tables, written
 from scribemill.llm.decontamination import contamination
 from scribemill.llm.mixing import mixed
-from scribemill.llm.near_dedup import near_groups
+from scribemill.llm.near_dedup import first_of_groups, text_hash
 from scribemill.llm.token_output import token_digests
 from scribemill.llm.toxicity import classify, fit
 
@@ -24,18 +24,17 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of near-duplicates the document of the least id stays (all rows of that id)."""
-    with temporary_tables(spark) as tables:
-        others = tables.keep(written(near_groups(docs).where(~F.col("kept")).select(F.col("doc_id").alias("other")).distinct(), "near-others"))
-    return docs.join(others, docs["doc_id"] == others["other"], "left_anti")
+    """Of every group of near-duplicates one row stays, that of the least id; documents without words all stay."""
+    return first_of_groups(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a passage of ten consecutive words of a benchmark item, or a whole shorter item, go."""
+    """Documents with a passage of ten consecutive words of a benchmark item, or a whole shorter item, go. A row is
+    judged by its own text, whatever other rows have its id."""
     with temporary_tables(spark) as tables:
-        found = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).where("contaminated").select(F.col("doc_id").alias("hit")).distinct()
+        found = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).where("contaminated").select(F.col("doc_id").alias("hit"), F.col("text_hash").alias("hit_hash")).distinct()
         found = tables.keep(written(found, "contaminated"))
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["hit"]), "left_anti")
+    return docs.join(found, docs["doc_id"].eqNullSafe(found["hit"]) & (text_hash(docs["text"]) == found["hit_hash"]), "left_anti")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
