@@ -62,15 +62,36 @@ def test_suffix_sort():
 
 
 @pytest.mark.parametrize("size", [500, 1 << 20])
-def test_line_dedup(spark, size):
+@pytest.mark.parametrize("sent", [0, L.BROADCAST_BYTES])
+def test_line_dedup(spark, size, sent, monkeypatch):
     docs = edge.documents(spark)
-    found = L.dedup_lines(docs, block_bytes=size).collect()
+    if not sent:
+        monkeypatch.setattr(L, "SHARD_KEYS", 1)
+        monkeypatch.setattr(L, "MEETING", 1)
+    found = L.dedup_lines(docs, block_bytes=size, broadcast_bytes=sent).collect()
     got = counted((r["doc_id"], r["n_lines"], r["n_dropped"], hashlib.sha256(r["text"].encode()).hexdigest()) for r in found)
     want = in_duckdb(L.OP6_SQL, documents=docs.select("doc_id", "text"))
     assert got == counted(map(tuple, want[["doc_id", "n_lines", "n_dropped", "kept_sha256"]].itertuples(index=False)))
     assert want["n_dropped"].sum() > 0 and L.dedup_lines(edge.empty(spark)).count() == 0
 
 
+def test_lines_that_polynomial_hashes_take_for_equal_stay(spark):
+    """A Thue-Morse line and its complement agree in every polynomial hash modulo a power of two."""
+    a = "".join("ab"[bin(i).count("1") % 2] for i in range(2048))
+    b = a.translate({97: 98, 98: 97})
+    docs = spark.createDataFrame([(1, a), (2, a), (3, b), (4, b)], "doc_id long, text string")
+    assert {r["doc_id"]: r["n_dropped"] for r in L.dedup_lines(docs).collect()} == dict.fromkeys(range(1, 5), 0)
+
+
+def test_arrays_refuse_what_is_not_in_them():
+    r = np.random.default_rng(6)
+    a, b, n, largest = (r.integers(0, 1 << 62, 5000, dtype=np.uint64) for _ in range(4))
+    arrays = L.LineArrays(a[:4000], b[:4000], (n % 1000 + 3)[:4000], largest.view(np.int64)[:4000])
+    docs, ids = arrays.probe(a, b)
+    assert docs[:4000].tolist() == (n % 1000 + 3)[:4000].tolist() and ids[:4000].tolist() == largest[:4000].tolist()
+    assert not docs[4000:].any() and (arrays.hash.find(a[4000:], b[4000:]) >= 0).any()
+
+
 def test_minimal_perfect_hash():
     r = np.random.default_rng(5)
     for n in (0, 1, 2, 1000, 20_000):
