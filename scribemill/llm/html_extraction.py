@@ -22,12 +22,22 @@ from scribemill.llm._arrays import tidy
 # Tags by their role in HTML.
 BLOCK_TAGS = set("address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre search section select summary table tbody td tfoot th thead tr ul".split())
 VOID_TAGS = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW_TAGS = "script|style|template|noscript|iframe|svg|textarea|title|object|canvas|noframes"
+#: their content is no markup; unclosed, they take the rest of the page
+RAW_TAGS = "script|style|title|textarea|iframe|noframes"
+#: their content is no text of the page either; unclosed, only the tag itself goes
+SOFT_TAGS = "template|noscript|svg|math|object|canvas"
 #: an opening tag ends the open elements named here, up to the nearest of the second group
 IMPLIED = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"}), "body": ({"head"}, set())}
 NO_P = BLOCK_TAGS - {"button", "option", "select", "caption", "td", "th", "tr", "tbody", "thead", "tfoot", "li", "dd", "dt", "summary", "legend"} | {"li", "dd", "dt"}
 
-TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<({RAW_TAGS})\b[^>]*+>.*?(?:</\1\s*+>|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)/?>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^>]*+)>", re.S | re.I)
+TOKEN = re.compile(
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))"
+    rf"|<({RAW_TAGS})(?=[\s/>])[^>]*+>.*?(?:</\1(?=[\s/>])[^>]*+>|\Z)"
+    rf"|<(?:svg|math)(?=[\s/])[^>]*(?<=/)>|<({SOFT_TAGS})(?=[\s/>])[^>]*+>.*?</\2(?=[\s/>])[^>]*+>"
+    r"|<[!?][^>]*+>"
+    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)/?>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^>]*+)>",
+    re.S | re.I,
+)
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 DIMENSIONS = 1 << 13
@@ -68,8 +78,9 @@ def text_features(text: str, linked: int) -> tuple[int, ...]:
 
 def leaf_blocks(page: str) -> list[tuple[str, tuple[int, ...]]]:
     """(text, features) of every leaf block with text, in page order. Character references are decoded, white space
-    becomes one space. Raw elements (scripts, styles, titles and the like) and comments have no text; unclosed tags
-    end as HTML has it, and what looks like no tag is text."""
+    becomes one space. Raw elements (scripts, styles, titles and the like), drawings, objects and comments have no text;
+    a drawing or object that is not closed loses its tag alone. Unclosed tags end as HTML has it, and what looks like no
+    tag is text."""
     out, stack, parts, linked, links = [], [], [], 0, 0
 
     def flush():
@@ -91,7 +102,7 @@ def leaf_blocks(page: str) -> list[tuple[str, tuple[int, ...]]]:
             parts.append(page[at : m.start()])
             linked += (m.start() - at) * (links > 0)
         at = m.end()
-        tag = m[3] or m[6]
+        tag = m[4] or m[7]
         if not tag:
             continue
         tag = tag.lower()
@@ -101,7 +112,7 @@ def leaf_blocks(page: str) -> list[tuple[str, tuple[int, ...]]]:
             continue
         if tag in BLOCK_TAGS or tag == "head":
             flush()
-        if m[2] or m[5]:
+        if m[3] or m[6]:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == tag:
                     pop(i)
@@ -119,7 +130,7 @@ def leaf_blocks(page: str) -> list[tuple[str, tuple[int, ...]]]:
                 elif stack[i][0] in within or stack[i][0] in BLOCK_TAGS - ends and tag != "tr":
                     break
         if tag != "hr":
-            attributes = m[4] or m[7] or ""
+            attributes = m[5] or m[8] or ""
             stack.append((tag, attributes if "=" in attributes else ""))
             links += tag == "a"
     if at < len(page):
@@ -237,35 +248,48 @@ def labelled_page(seed: int) -> tuple[str, list[str]]:
             return part("p", text, f"<{wrap}>{html.escape(a)}</{wrap}> {html.escape(b)}" if b else f"<{wrap}>{html.escape(a)}")
         return part("p", text)
 
+    plain = lambda: pick("", "", f' class="{pick("row", "col", "inner", "wrap", "section", "block", "clearfix", word())}"', f' id="{word()}"')
     body = part("h1", words(2, 12).capitalize()) if chance(0.85) else ""
+    if body and chance(0.15):
+        body = f"<header>{body}" + (part("p", sentence(4, 20)) if chance(0.3) else "") + "</header>"
+    pieces = []
     for _ in range(int(r.integers(1, 14))):
         kind = r.random()
         if kind < 0.68:
-            body += paragraph()
+            pieces.append(paragraph())
         elif kind < 0.76:
-            body += part(pick("h2", "h3"), words(1, 9).capitalize())
+            pieces.append(part(pick("h2", "h3"), words(1, 9).capitalize()))
         elif kind < 0.82:
             tag = pick("ul", "ol")
-            body += f"<{tag}>" + "".join(part("li", sentence(1, 15)) for _ in range(int(r.integers(2, 5)))) + f"</{tag}>"
+            pieces.append(f"<{tag}>" + "".join(part("li", sentence(1, 15)) for _ in range(int(r.integers(2, 5)))) + f"</{tag}>")
         elif kind < 0.86:
-            body += "<blockquote>" + paragraph() + "</blockquote>"
+            pieces.append("<blockquote>" + paragraph() + "</blockquote>")
         elif kind < 0.88:
-            body += "<table><tr>" + "".join(part("td", words(1, 4)) for _ in range(4)) + "</tr></table>"
+            pieces.append("<table><tr>" + "".join(part("td", words(1, 4)) for _ in range(4)) + "</tr></table>")
         elif kind < 0.90:
-            body += part("pre", words(3, 12))
+            pieces.append(part("pre", words(3, 12)))
         else:
-            body += pick(advert, notice, share, side, form)()
+            pieces.append(pick(advert, notice, share, side, form)())
+    if chance(0.25):
+        # parts of the article in boxes of their own
+        cut, tag = int(r.integers(0, len(pieces) + 1)), pick("section", "div")
+        pieces = [f"<{tag}{plain()}>{''.join(x)}</{tag}>" for x in (pieces[:cut], pieces[cut:]) if x]
+    body += "".join(pieces)
     if chance(0.1):
         body += comments()
     content = pick("article", "article", "article", "main", "div", "section")
     name = f' class="{pick("content", "post", "entry", "article", "story", "post-content", "article-body", "main", "text", "entry-content")}"' if content in ("div", "section") or chance(0.3) else ""
     center = f"<{content}{name}>{body}</{content}>"
+    if content == "article" and chance(0.25):
+        center = f"<main{plain()}>{center}{side() if chance(0.2) else ''}{comments() if chance(0.2) else ''}</main>"
+    elif chance(0.15):
+        center = f"<div{plain()}>{center}</div>"
     if chance(0.2):
         center = f'<div id="{pick("page", "wrapper", "container", "content", "main")}">{center}{side() if chance(0.5) else ""}</div>'
-    before = "".join(x() for x, p in ((lambda: box(["header", "header", "div"], ["header", "masthead", "site-header", "top", "logo"], pick(sentence(1, 8), f"<h2>{words(1, 4)}</h2>{menu()}", f"<p>{sentence()}</p>")), 0.5), (menu, 0.8), (notice, 0.3), (advert, 0.5), (form, 0.15), (side, 0.15)) if chance(p))
+    before = "".join(x() for x, p in ((lambda: box(["header", "header", "div"], ["header", "masthead", "site-header", "top", "logo"], pick(sentence(1, 8), f"{link()} <span>{words(1, 4)}</span>", f"<h2>{words(1, 4)}</h2>{menu()}", f"<p>{sentence()}</p>")), 0.5), (menu, 0.8), (notice, 0.3), (advert, 0.5), (form, 0.15), (side, 0.15)) if chance(p))
     after = "".join(x() for x, p in ((advert, 0.3), (share, 0.2), (comments, 0.35), (side, 0.35), (form, 0.2), (notice, 0.15), (lambda: box(["footer", "footer", "footer", "div"], ["footer", "site-footer", "copyright", "bottom", "legal"], pick(f"&copy; {words(1, 5)} &middot; {sentence()}", sentence(1, 30), f"<p>{sentence()}</p>{links()}")), 0.9)) if chance(p))
     ad = f"<!-- {word()} -->" if chance(0.3) else ""
-    return f'<!DOCTYPE html><html lang="{word()}"><head><title>{words(2, 8)}</title><script>var a="<p>{word()}</p>";</script></head><body>{before}{ad}{center}{after}</body></html>', main
+    return f'<!DOCTYPE html><html lang="{word()}"><head><title>{words(2, 8)}</title><script>var a="<p>{word()}</p>";</script></head><body{plain() if chance(0.3) else ""}>{before}{ad}{center}{after}</body></html>', main
 
 
 def training_pages(n: int = 400, seed: int = 11) -> list[tuple[list, list[int]]]:

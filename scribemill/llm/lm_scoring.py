@@ -70,6 +70,16 @@ def unpacked(x: bytes, kind: str) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(x), kind)
 
 
+def packed_counts(x: np.ndarray) -> bytes:
+    """Counts in 4 bytes each, or in 8 where one needs them."""
+    width = 4 if x.max(initial=0) < 1 << 32 else 8
+    return bytes([width]) + packed(x.astype(f"<u{width}"))
+
+
+def unpacked_counts(x: bytes) -> np.ndarray:
+    return unpacked(x[1:], f"<u{x[0]}")
+
+
 def packed_keys(keys: np.ndarray) -> bytes:
     """Ascending 56-bit keys as differences of as few bytes as the largest takes."""
     steps = np.diff(keys, prepend=np.uint64(0))
@@ -145,7 +155,7 @@ def answers(asked: DataFrame) -> DataFrame:
                 total[1, at] += fit.astype(np.int64) + tuned
         single = ((known & np.uint64(7)) == 0) & (known != BOS_KEY)
         sums = [int(total[0, single].sum()), int(total[1, single].sum()), int((total[0, single] > 0).sum()), int((total[1, single] > 0).sum())]
-        out = [(x["block"], x["part"], x["shard"], packed(total[:, np.searchsorted(known, k)].astype("<u4")), 0, 0, 0, 0) for k, x in zip(own, rows, strict=True)]
+        out = [(x["block"], x["part"], x["shard"], packed_counts(total[:, np.searchsorted(known, k)]), 0, 0, 0, 0) for k, x in zip(own, rows, strict=True)]
         out.append((None, 0, rows[0]["shard"], b"", *sums))
         kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), *[pa.int64()] * 4)
         return pa.table([pa.array(x, t) for x, t in zip(zip(*out, strict=True), kinds, strict=True)], names=["block", "part", "shard", "counts", "n_fit", "n_all", "v_fit", "v_all"])
@@ -158,7 +168,7 @@ def token_counts(keys: list[np.ndarray], at: np.ndarray, answer: pa.Table) -> tu
     sent = block_keys(keys)
     shards = answer.column("shard").to_numpy()
     parts = answer.column("counts").to_pylist()
-    counts = np.concatenate([unpacked(parts[k], "<u4").reshape(2, -1) for k in np.argsort(shards)], axis=1).astype(np.float64)
+    counts = np.concatenate([unpacked_counts(parts[k]).reshape(2, -1) for k in np.argsort(shards)], axis=1).astype(np.float64)
     first = np.zeros(len(keys[0]), dtype=bool)
     first[at[:-1]] = True
     starts = counts[:, np.searchsorted(sent, BOS_KEY)][:, None]

@@ -23,6 +23,9 @@ TRACKS, TRACK, TRACK_NUMBER, TRACK_TYPE, CODEC = 0x1654AE6B, 0xAE, 0xD7, 0x83, 0
 AUDIO, SAMPLING, CHANNELS, BIT_DEPTH, DEFAULT_DURATION = 0xE1, 0xB5, 0x9F, 0x6264, 0x23E383
 CLUSTER, TIMESTAMP, SIMPLE_BLOCK, BLOCK_GROUP, BLOCK = 0x1F43B675, 0xE7, 0xA3, 0xA0, 0xA1
 CUES, CUE_POINT, CUE_TIME, CUE_POSITIONS, CUE_TRACK, CUE_CLUSTER = 0x1C53BB6B, 0xBB, 0xB3, 0xB7, 0xF7, 0xF1
+#: elements that stand beside clusters, and so end one of unknown size
+SEEK_HEAD, TAGS, CHAPTERS, ATTACHMENTS = 0x114D9B74, 0x1254C367, 0x1043A770, 0x1941A469
+BESIDE = {EBML, SEGMENT, INFO, TRACKS, CLUSTER, CUES, SEEK_HEAD, TAGS, CHAPTERS, ATTACHMENTS}
 MASTERS = {EBML, SEGMENT, INFO, TRACKS, TRACK, AUDIO, CLUSTER, BLOCK_GROUP, CUES, CUE_POINT, CUE_POSITIONS}
 
 NO_LACING, XIPH, FIXED, EBML_LACING = 0, 1, 2, 3
@@ -55,16 +58,34 @@ def read_size(data: bytes, at: int) -> tuple[int, int]:
 
 def read_id(data: bytes, at: int) -> tuple[int, int]:
     width = 9 - data[at].bit_length()
+    if width > 4:
+        raise ValueError("no element id")
     return int.from_bytes(data[at : at + width], "big"), at + width
 
 
+def unknown_end(data: bytes, kind: int, at: int, end: int) -> int:
+    """Where the body of a segment or cluster of unknown size ends: before the first element that is none of its
+    children."""
+    if kind not in (SEGMENT, CLUSTER):
+        raise ValueError("only segments and clusters may be of unknown size")
+    others = {EBML, SEGMENT} if kind == SEGMENT else BESIDE
+    while at < end:
+        start = at
+        child, at = read_id(data, at)
+        if child in others:
+            return start
+        size, at = read_size(data, at)
+        at = unknown_end(data, child, at, end) if size < 0 else at + size
+    return min(at, end)
+
+
 def elements(data: bytes, at: int, end: int):
     """(id, start of the element, start and end of its body), without the children."""
     while at < end:
         start = at
         kind, at = read_id(data, at)
         size, at = read_size(data, at)
-        stop = end if size < 0 else at + size
+        stop = unknown_end(data, kind, at, end) if size < 0 else at + size
         if stop > end:
             raise ValueError("an element passes its parent's end")
         yield kind, start, at, stop
@@ -202,7 +223,11 @@ def payload_of(data: bytes, multiple: int = FRAME) -> bytes:
 
 
 def media_column(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", how: int = FIXED) -> DataFrame:
-    """The id, n_bytes of the text's UTF-8 (null: 0) and `media`, a Matroska file of its padded bytes, for every row."""
+    """The id, n_bytes of the text's UTF-8 (null: 0) and `media`, a Matroska file of its padded bytes, for every row.
+
+    Null and empty texts are one frame of spaces; equal rows give equal files; an empty table gives no row; a null id
+    stays null and further columns play no part.
+    """
 
     def encode(batches):
         for batch in batches:
@@ -221,8 +246,9 @@ PACKETS = "array<struct<timestamp_ms:bigint,track:int,first:bigint,end:bigint>>"
 
 def packet_table(media: DataFrame, media_col: str = "media") -> DataFrame:
     """All columns but the media, with `packets` (timestamp, track, byte range) and `cues`; a null file has neither.
-    A file that is no Matroska has an `error` and no packets."""
-    rest = [c for c in media.columns if c != media_col]
+    A file that is no Matroska has an `error` and no packets. Equal rows each get a row, an empty table none; columns
+    named packets, cues or error are replaced."""
+    rest = [c for c in media.columns if c not in (media_col, "packets", "cues", "error")]
     fields = ", ".join(f"`{c}` {media.schema[c].dataType.simpleString()}" for c in rest)
 
     def parse(batches):
@@ -253,7 +279,10 @@ DIGESTS = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string,
 
 
 def digests(media: DataFrame) -> DataFrame:
-    """What the stored bytes say: the payload gathered from the packets' byte ranges, and features of the samples."""
+    """What the stored bytes say: the payload gathered from the packets' byte ranges, and features of the samples.
+
+    A row for every row with doc_id, n_bytes and media, which must be files of media_column; equal rows have equal
+    values, and an empty table gives no row."""
 
     def read(batches):
         for batch in batches:

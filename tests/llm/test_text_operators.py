@@ -101,6 +101,53 @@ def test_minimal_perfect_hash():
         assert np.sort(h.find(a, b)).tolist() == list(range(n))
 
 
+def plain_steps(t, order):
+    """For every token: its n-grams of each order, and their contexts."""
+    padded = ["<s>"] * (order - 1) + t
+    for i in range(len(t)):
+        own = padded[: i + order]
+        yield [tuple(own[-k:]) for k in range(1, order + 1)]
+
+
+def plain_counts(texts, order):
+    grams, after = collections.Counter(), collections.Counter()
+    for t in texts:
+        for own in plain_steps(t, order):
+            for g in own:
+                grams[g] += 1
+                after[g[:-1]] += 1
+    return grams, after
+
+
+def plain_parts(t, grams, after, order, n):
+    for own in plain_steps(t, order):
+        yield [(grams[own[0]] / max(n, 1), 0)] + [(grams[g] / max(after[g[:-1]], 1), min(int(math.log2(after[g[:-1]] + 1)), S.BUCKETS - 1)) for g in own[1:]]
+
+
+def plain_weights(rows, order):
+    fit, tuned = ([t for i, t in rows if f(S.remainder(i, 10))] for f in (lambda r: r > 1, lambda r: r == 1))
+    grams, after = plain_counts(fit, order)
+    n, v = sum(map(len, fit)), len({w for t in fit for w in t})
+    cells = collections.Counter()
+    for t in tuned:
+        for parts in plain_parts(t, grams, after, order, n):
+            cells[tuple(b for _, b in parts[1:]), tuple(round(math.log2(x) * S.STEPS) if x > 0 else -2000 for x, _ in parts)] += 1
+    return S.learn([(a, b, k) for (a, b), k in cells.items()], order, v)
+
+
+def plain_probabilities(t, grams, after, order, n, v, weights):
+    for parts in plain_parts(t, grams, after, order, n):
+        p = 1 / (v + 1)
+        for k, (x, b) in enumerate(parts):
+            p = weights[k, b] * x + (1 - weights[k, b]) * p
+        yield p
+
+
+def test_counts_beyond_32_bits():
+    for x in (np.array([[1, 2], [3, 0]]), np.array([[1 << 40, 2], [3, (1 << 32) - 1]])):
+        assert S.unpacked_counts(S.packed_counts(x)).reshape(2, -1).tolist() == x.tolist()
+
+
 @pytest.mark.parametrize("size", [500, 1 << 20])
 @pytest.mark.parametrize("order", [2, 3])
 def test_lm_scoring(spark, size, order):
@@ -115,6 +162,10 @@ def test_lm_scoring(spark, size, order):
         base = sum(math.log10((c[w] + 0.1) / (n + 0.1 * (v + 1))) for w in t)
         assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (zlib.crc32(str(i).encode()) % 10 == 0, len(t), sum(c[w] > 0 for w in t), n)
         assert r.base_score == pytest.approx(base) and r.score < 0
+    weights = plain_weights(rows, order)
+    grams, after = plain_counts([t for _, t in train], order)
+    for r, (_, t) in zip(got.itertuples(), want, strict=True):
+        assert r.score == pytest.approx(sum(math.log10(p) for p in plain_probabilities(t, grams, after, order, n, v, weights)))
     held = got[got["held_out"]]
     assert held["score"].sum() > held["base_score"].sum()
     assert S.score(edge.empty(spark)).count() == 0
@@ -209,16 +260,38 @@ def test_mixing(spark):
     key = lambda df: counted((r.doc_id, r.size, r.source_size, round(r.target, 6)) for r in df.astype({"size": "int64"}).itertuples(index=False))
     columns = ["doc_id", "size", "source_size", "target", "taken"]
     assert key(found[columns].rename(columns={"size": "size"})) == key(want[columns])
-    assert sorted(found["taken"]) == sorted(want["taken"]) and (found["taken"] <= 3 * found["size"]).all()
+    taken = lambda df: counted((r.doc_id, r.taken) for r in df[["doc_id", "taken"]].astype("int64").itertuples(index=False))
+    assert taken(found) == taken(want) and (found["taken"] <= 3 * found["size"]).all()
     again = X.mix(docs.repartition(5)).toPandas()
     assert counted(map(tuple, again[["doc_id", "taken"]].itertuples(index=False))) == counted(map(tuple, found[["doc_id", "taken"]].itertuples(index=False)))
     assert X.mixed(docs).columns == docs.columns and X.mixed(docs).count() == found["copies"].sum()
     assert X.mix(edge.empty(spark)).count() == 0
 
 
+def test_inclusion_follows_the_size_and_the_target(spark):
+    """Over many sources with the same sizes, documents are taken as often as their inclusion probabilities say."""
+    sizes = [1, 1, 2, 2, 3, 5, 8, 8, 13, 40] * 3
+    rows = [(100 * s + k, " ".join("w" * n), f"{s:04}") for s in range(600) for k, n in enumerate(sizes)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = X.mix(docs, weights=(3, 4, 5)).toPandas()
+    for kind, own in found.groupby(found["source"].astype(int) % 3):
+        rest = own["target"].iloc[0] % sum(sizes)
+        certain = own["target"].iloc[0] // sum(sizes)
+        p = dict.fromkeys(sizes, 0.0)
+        for factor in np.linspace(0, 2, 20001):
+            if sum(min(1, factor * n) * n for n in sizes) >= rest:
+                p = {n: min(1, factor * n) for n in sizes}
+                break
+        for n, chosen in own.groupby("size"):
+            assert (chosen["copies"] - certain).mean() == pytest.approx(p[n], abs=0.06 if 0 < p[n] < 1 else 1e-9), (kind, n)
+        assert not rest or own.groupby("size")["copies"].mean().is_monotonic_increasing
+
+
 def test_targets_stop_at_three_times_the_size(spark):
     sizes = spark.createDataFrame([("a", 1000), ("b", 10), ("c", 0), (None, 100)], "source string, size long")
     got = {r["source"]: r["target"] for r in X.targets(sizes).collect()}
+    even = spark.createDataFrame([(f"s{k}", 100) for k in range(9)], "source string, size long")
+    assert {r["source"]: round(r["target"], 6) for r in X.targets(even).collect()} == {f"s{k}": (50, 100, 150)[k % 3] for k in range(9)}
     assert got["b"] == 30 and got["c"] == 0 and got["a"] + got[None] == pytest.approx(1080) and got[None] == 300
 
 

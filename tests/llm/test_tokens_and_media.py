@@ -65,6 +65,24 @@ def test_matroska_round_trip(how, n):
     assert all(media[p : p + 4] == M.CLUSTER.to_bytes(4, "big") for _, p in cues) and len(cues) == -(-len(rows) // M.PER_CLUSTER)
 
 
+def of_unknown_size(kind, body):
+    return kind.to_bytes((kind.bit_length() + 7) // 8, "big") + b"\x01" + b"\xff" * 7 + body
+
+
+def test_clusters_of_unknown_size_end_where_the_next_begins():
+    data = M.payload_of(bytes(range(192)) * 64)
+    whole = M.write(data)
+    segment = next((a, b) for k, _, a, b in M.elements(whole, 0, len(whole)) if k == M.SEGMENT)
+    body = b"".join(of_unknown_size(k, whole[a:b]) if k == M.CLUSTER else whole[s:b] for k, s, a, b in M.elements(whole, *segment))
+    head = next(b for k, _, _, b in M.elements(whole, 0, len(whole)) if k == M.EBML)
+    for media in (whole[:head] + M.element(M.SEGMENT, body), whole[:head] + of_unknown_size(M.SEGMENT, body)):
+        rows, cues = M.packets(media)
+        assert len(rows) == 64 and b"".join(media[a:b] for _, _, a, b in rows) == data and len(cues) == 2
+        assert [x[0] for x in rows] == [24 * i for i in range(64)]
+    with pytest.raises(ValueError):
+        M.packets(whole[:head] + b"\x00" * 8)
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.binary(max_size=700), min_size=2, max_size=20))
 def test_lacing_of_frames_of_any_size(frames):
@@ -84,7 +102,14 @@ def test_media_columns(spark):
     assert got[63]["media_sha256"] == got[64]["media_sha256"] and got[63]["feature"] == got[64]["feature"]
     tables = M.packet_table(M.media_column(docs)).where("doc_id = 65").first()
     assert tables["error"] is None and sum(p["end"] - p["first"] for p in tables["packets"]) == got[65]["payload_bytes"]
-    bad = spark.createDataFrame([(1, bytearray(b"no media")), (2, None)], "doc_id long, media binary")
+    for doc_id, text, *_ in edge.rows():  # features, from their meaning
+        x = np.frombuffer(M.payload_of((text or "").encode()), np.uint8).astype(int) - 128
+        n, r = len(x) // 192, got[doc_id]
+        want = {"packets": n, "cues": -(-n // 32), "last_ms": 24 * (n - 1), "mean": int(x.sum()) * 1000 // len(x), "energy": int((x**2).sum()) * 1000 // len(x), "crossings": sum((a < 0) != (b < 0) for a, b in zip(x, x[1:], strict=False))}
+        assert {k: int(v) for k, v in (y.split("=") for y in r["feature"].split(";"))} == want
+        media = M.write(M.payload_of((text or "").encode()))
+        assert (r["media_bytes"], r["media_sha256"]) == (len(media), hashlib.sha256(media).hexdigest())
+    bad = spark.createDataFrame([(1, bytearray(b"no media"), "clash"), (2, None, "clash")], "doc_id long, media binary, packets string")
     found = {r["doc_id"]: r for r in M.packet_table(bad).collect()}
     assert found[1]["error"] and found[1]["packets"] == [] and found[2]["packets"] == [] and found[2]["error"] is None
     assert M.digests(M.media_column(edge.empty(spark))).count() == 0
