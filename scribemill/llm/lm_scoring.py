@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scribemill.llm._arrays import NOT_SPACE, coded, hash_binary, mix, tidy, words
+from scribemill.llm._arrays import NOT_SPACE, coded, hash_binary, mix, shard_runs, tidy, words
 from scribemill.llm._shared import BLOCK_BYTES, block_texts, blocks, written
 
 END, BOS = np.uint64(0x452821E638D01377), np.uint64(0xBE5466CF34E90C6C)
@@ -107,7 +107,6 @@ def requests(docs_blocks: DataFrame, n_shards: int, order: int, train_mod: int,
     held-out training documents; part 1: keys of the held-out training documents, to be answered only."""
 
     def ask(batches):
-        bounds = np.array([(k << 56) // n_shards for k in range(n_shards + 1)], dtype=np.uint64)
         for batch in batches:
             for row in batch.to_pylist():
                 data, offsets = block_texts(row)
@@ -127,9 +126,7 @@ def requests(docs_blocks: DataFrame, n_shards: int, order: int, train_mod: int,
                     parts.append((1, block_keys([k[tuned[of]] for k in keys]), None))
                 out = []
                 for part, own, c in parts:
-                    cut = np.searchsorted(own, bounds)
-                    cut[-1] = len(own)
-                    out += [(s, row["block"], part, packed_keys(own[a:b]), b"" if c is None else packed(c[:, a:b])) for s, (a, b) in enumerate(zip(cut, cut[1:], strict=False)) if a < b]
+                    out += [(s, row["block"], part, packed_keys(own[a:b]), b"" if c is None else packed(c[:, a:b])) for s, a, b in shard_runs(own, n_shards, 56)]
                 yield pa.record_batch([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["shard", "block", "part", "keys", "counts"])
 
     return docs_blocks.mapInArrow(tidy(ask), REQUESTS)

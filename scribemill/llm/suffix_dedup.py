@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scribemill.llm._arrays import INVERSE, mix, powers, prefix_hashes, ragged, range_hashes, sliced, tidy
+from scribemill.llm._arrays import INVERSE, mix, powers, prefix_hashes, ragged, range_hashes, shard_runs, sliced, tidy
 from scribemill.llm._shared import BLOCK_BYTES, block_texts, blocks, written
 
 LENGTH, KGRAM = 200, 64
@@ -207,16 +207,12 @@ def repeated_runs(data: np.ndarray, h: np.ndarray, offset: np.ndarray, size: np.
 def repeats(docs_blocks: DataFrame, n_shards: int, length: int, kgram: int) -> DataFrame:
     """(block, starts): the starts, in the block's bytes, of strings that also start anywhere else."""
 
-    def cuts(hashes):
-        return np.searchsorted(hashes, np.array([(k << 64) // n_shards for k in range(n_shards)], dtype=np.uint64)).tolist() + [len(hashes)]
-
     def keys(batches):
         for batch in batches:
             for row in batch.to_pylist():
                 h = anchors(*block_texts(row), length, kgram)[3]
                 known, n = np.unique(h, return_counts=True)
-                cut = cuts(known)
-                out = [(s, row["block"], known[i:j].tobytes(), np.packbits(n[i:j] > 1).tobytes()) for s, (i, j) in enumerate(zip(cut, cut[1:], strict=False)) if i < j]
+                out = [(s, row["block"], known[i:j].tobytes(), np.packbits(n[i:j] > 1).tobytes()) for s, i, j in shard_runs(known, n_shards)]
                 if out:
                     yield pa.record_batch([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int32(), pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["shard", "block", "keys", "several"])
 
@@ -258,11 +254,9 @@ def repeats(docs_blocks: DataFrame, n_shards: int, length: int, kgram: int) -> D
                     members.append(0)
                 members[-1] += 1
             kept = np.array(kept, dtype=np.int64)
-            cut = cuts(h[kept]) if len(kept) else [0] * (n_shards + 1)
-            for s, (i, j) in enumerate(zip(cut, cut[1:], strict=False)):
-                if i < j:
-                    k = kept[i:j]
-                    out.append((s, row["block"], h[k].tobytes(), np.array([place[k] - first[k], end[k] - first[k], first[k], np.array(members[i:j])], "<i4").tobytes(), b"".join(raw[a:b] for a, b in zip(first[k], end[k], strict=True))))
+            for s, i, j in shard_runs(h[kept], n_shards):
+                k = kept[i:j]
+                out.append((s, row["block"], h[k].tobytes(), np.array([place[k] - first[k], end[k] - first[k], first[k], np.array(members[i:j])], "<i4").tobytes(), b"".join(raw[a:b] for a, b in zip(first[k], end[k], strict=True))))
         return pa.table([pa.array([x[c] for x in out], t) for c, t in enumerate((pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()))], names=["shard", "block", "keys", "numbers", "data"])
 
     sent = docs_blocks.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(tidy(surroundings), "shard int, block long, keys binary, numbers binary, data binary")
@@ -333,7 +327,7 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, kgram: int = KGRAM,
     character, hence bytes.
     """
     packs = written(blocks(docs, id_col, text_col, block_bytes), "suffix-blocks")
-    n_shards = max(16, 4 * packs.count())  # several shards a task even out
+    n_shards = max(16, 4 * packs.count())  # several shards a task even out; a block sends a row at most for each of its keys
     judged = repeats(packs, n_shards, length, kgram)
 
     def remove(pack: pa.Table, answer: pa.Table) -> pa.Table:
