@@ -189,6 +189,8 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 def shard_runs(keys: np.ndarray, n_shards: int, bits: int = 64) -> list[tuple[int, int, int]]:
     """(shard, start, end) of ascending keys of so many bits, for the shards that have any: ranges of equal width. The
     work and the runs are at most as many as the keys, whatever the number of shards."""
+    if not len(keys):
+        return []
     shard = ((keys >> np.uint64(bits - 32)) * np.uint64(n_shards)) >> np.uint64(32)
-    starts = np.flatnonzero(np.append(len(keys) > 0, shard[1:] != shard[:-1])) if len(keys) else np.zeros(0, np.int64)
-    return list(zip(shard[starts].tolist(), starts.tolist(), np.append(starts[1:], len(keys)).tolist(), strict=True))
+    starts = np.flatnonzero(np.append(True, shard[1:] != shard[:-1]))
+    return list(zip(shard[starts].tolist(), starts.tolist(), [*starts[1:].tolist(), len(keys)], strict=True))

@@ -24,8 +24,9 @@ REGISTERS, ROWS = 128, 4
 #: a pair whose signatures agree in less than this share is taken to be under 0.75 (six standard errors off)
 LEAST_ESTIMATE = 0.5
 PERCENT = 75
-#: nodes of a bucket that one task compares with as many others, and bytes of their sets
+#: nodes of a bucket that one task compares with as many others, and bytes of their sets; smaller buckets are cut too
 CHUNK, CHUNK_BYTES = 2000, 16 << 20
+SMALL_CHUNK, SMALL_CHUNKS = 400, 8
 UNSET = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -269,7 +270,8 @@ def first_of_groups(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
 def chunked(members: DataFrame) -> DataFrame:
     """Rows (hub, node, weight, ...) of hubs, cut by a hash of the node into chunks of about CHUNK rows and CHUNK_BYTES
     of weight, for every pair of chunks (x, y) that has the row's own chunk: a hub's nodes meet two chunks at a time."""
-    chunks = F.greatest(F.ceil(F.count("*") / CHUNK), F.ceil(F.sum("weight") / CHUNK_BYTES))
+    n = F.count("*")
+    chunks = F.greatest(F.ceil(n / CHUNK), F.least(F.ceil(n / SMALL_CHUNK), F.lit(SMALL_CHUNKS)), F.ceil(F.sum("weight") / CHUNK_BYTES))
     # most hubs are one chunk; the others are in a table, so that the join can split a large hub's rows
     sizes = written(members.groupBy("hub").agg(chunks.alias("chunks")).where("chunks > 1"), "near-chunks")
     rows = members.join(sizes, "hub", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
