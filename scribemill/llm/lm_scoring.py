@@ -94,9 +94,11 @@ def unpacked_keys(x: bytes) -> np.ndarray:
     return np.cumsum(out.view("<u8")[:, 0], dtype=np.uint64)
 
 
-def block_keys(keys: list[np.ndarray]) -> np.ndarray:
-    """The ascending distinct keys that a block asks for."""
-    return np.unique(np.concatenate([*keys, np.array([BOS_KEY])]))
+def block_keys(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, int]:
+    """The ascending distinct keys that a block asks for, the places among them of its n-grams' keys (a row an order),
+    and that of the start."""
+    sent, at = np.unique(np.concatenate([*keys, np.array([BOS_KEY])]), return_inverse=True)
+    return sent, at[:-1].reshape(len(keys), -1), int(at[-1])
 
 
 REQUESTS = "shard int, block long, part int, keys binary, counts binary"
@@ -115,15 +117,16 @@ def requests(docs_blocks: DataFrame, n_shards: int, order: int, train_mod: int,
                 tuned = kind == em_remainder
                 fit = (kind != 0) & ~tuned
                 of = np.repeat(np.arange(len(kind)), np.diff(at))
-                sent = block_keys(keys)
+                sent, places, start = block_keys(keys)
                 counts = np.zeros((2, len(sent)), "<u4")
-                flat = np.concatenate([np.searchsorted(sent, k) for k in keys])
                 for c, chosen in enumerate((fit, tuned)):
-                    counts[c] = np.bincount(flat[np.tile(chosen[of], order)], minlength=len(sent))
-                    counts[c, np.searchsorted(sent, BOS_KEY)] = chosen.sum()
+                    counts[c] = np.bincount(places[:, chosen[of]].ravel(), minlength=len(sent))
+                    counts[c, start] = chosen.sum()
                 parts = [(0, sent, counts)]
                 if tuned.any():
-                    parts.append((1, block_keys([k[tuned[of]] for k in keys]), None))
+                    asked = np.zeros(len(sent), dtype=bool)
+                    asked[places[:, tuned[of]].ravel()] = asked[start] = True
+                    parts.append((1, sent[asked], None))
                 out = []
                 for part, own, c in parts:
                     out += [(s, row["block"], part, packed_keys(own[a:b]), b"" if c is None else packed(c[:, a:b])) for s, a, b in shard_runs(own, n_shards, 56)]
@@ -142,17 +145,18 @@ def answers(asked: DataFrame) -> DataFrame:
     def add(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         own = [unpacked_keys(x["keys"]) for x in rows]
-        known = np.unique(np.concatenate([k for k, x in zip(own, rows, strict=True) if x["part"] == 0]))
+        # part 1 asks for keys of part 0 of the same block
+        known, at = np.unique(np.concatenate(own), return_inverse=True)
+        at = np.split(at, np.cumsum([len(k) for k in own])[:-1])
         total = np.zeros((2, len(known)), np.int64)
-        for k, x in zip(own, rows, strict=True):
+        for k, x in zip(at, rows, strict=True):
             if x["part"] == 0:
                 fit, tuned = unpacked(x["counts"], "<u4").reshape(2, -1)
-                at = np.searchsorted(known, k)
-                total[0, at] += fit
-                total[1, at] += fit.astype(np.int64) + tuned
+                total[0, k] += fit
+                total[1, k] += fit.astype(np.int64) + tuned
         single = ((known & np.uint64(7)) == 0) & (known != BOS_KEY)
         sums = [int(total[0, single].sum()), int(total[1, single].sum()), int((total[0, single] > 0).sum()), int((total[1, single] > 0).sum())]
-        out = [(x["block"], x["part"], x["shard"], packed_counts(total[:, np.searchsorted(known, k)]), 0, 0, 0, 0) for k, x in zip(own, rows, strict=True)]
+        out = [(x["block"], x["part"], x["shard"], packed_counts(total[:, k]), 0, 0, 0, 0) for k, x in zip(at, rows, strict=True)]
         out.append((None, 0, rows[0]["shard"], b"", *sums))
         kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), *[pa.int64()] * 4)
         return pa.table([pa.array(x, t) for x, t in zip(zip(*out, strict=True), kinds, strict=True)], names=["block", "part", "shard", "counts", "n_fit", "n_all", "v_fit", "v_all"])
@@ -162,14 +166,14 @@ def answers(asked: DataFrame) -> DataFrame:
 
 def token_counts(keys: list[np.ndarray], at: np.ndarray, answer: pa.Table) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """For each order: [counts of the n-gram], [counts of its context] at every token; two rows each: fit, all."""
-    sent = block_keys(keys)
+    _, places, start = block_keys(keys)
     shards = answer.column("shard").to_numpy()
     parts = answer.column("counts").to_pylist()
     counts = np.concatenate([unpacked_counts(parts[k]).reshape(2, -1) for k in np.argsort(shards)], axis=1).astype(np.float64)
     first = np.zeros(len(keys[0]), dtype=bool)
     first[at[:-1]] = True
-    starts = counts[:, np.searchsorted(sent, BOS_KEY)][:, None]
-    grams = [counts[:, np.searchsorted(sent, k)] for k in keys]
+    starts = counts[:, start][:, None]
+    grams = [counts[:, k] for k in places]
     contexts = [None]
     for k in range(1, len(keys)):
         c = np.empty_like(grams[0])
