@@ -2,15 +2,21 @@
 
 All times are whole milliseconds. What has a closed form is windows over the file; chunk packing, which has none, is a
 fold over one file's rows at a time.
+
+Tables without rows give none, equal rows are rows of their own, further columns play no part and, where an operator
+adds to the rows it gets, stay; what an operator does with nulls and ties is said where it is not that of Spark's
+windows (nulls first, ties in any order).
 """
 
 from __future__ import annotations
 
 import re
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
 SILENCE = "<|silence|>"
 
@@ -91,7 +97,7 @@ def mark_duplicates(subs: DataFrame, lookback: int = 4, scope: str = "global", o
     return rows.withColumn("duplicate", mark).select(*subs.columns, "duplicate")
 
 
-CHUNK = "file_id long, chunk int, start long, end long, duration long, text string, text_timestamps string, sub_ids array<int>"
+CHUNK = "least int, most int, chunk int, start long, end long, duration long, text string, text_timestamps string, sub_ids array<int>"
 
 
 def _clock(ms: int) -> str:
@@ -127,8 +133,6 @@ class Packer:
 def pack(rows: list[tuple], least: int, most: int, surround: bool = True, flush_marked: bool = True, exclude: tuple = (), remove: tuple = ()) -> list[tuple]:
     """Chunks of one file's rows (id, start, end, text, marked): see pack_chunks."""
     p = Packer(least, most)
-    if most == 5000:
-        rows = rows[:20]
     for i, start, end, text, marked in rows:
         duration, silent = end - start, text == SILENCE
         i = -i if silent else i
@@ -162,63 +166,106 @@ def pack(rows: list[tuple], least: int, most: int, surround: bool = True, flush_
     return p.done
 
 
-def pack_chunks(subs: DataFrame, least: int = 10_000, most: int = 30_000, surround: bool = True, flush_marked: bool = True, exclude: tuple = (), remove: tuple = ()) -> DataFrame:
+def by_key(rows: DataFrame, key: str, order: str, inputs: list[str], outputs: str, fold) -> DataFrame:
+    """fold(rows of one key, in order) -> rows of outputs; the key goes before them.
+
+    Rows are dealt by key and sorted by Spark, and pass through a task as a stream that holds one key's rows at a time.
+    Ties stand in any order, nulls first; rows of a null key are one key's.
+    """
+    names = [key, *(x.split()[0] for x in outputs.split(", "))]
+    kind = rows.schema[key].dataType
+    schema = StructType([StructField(key, kind), *_parse_datatype_string(outputs).fields])
+    arrow = to_arrow_schema(schema)
+
+    def run(batches):
+        held, own, out = None, [], []
+
+        def made(rows_out):
+            return pa.record_batch([pa.array([x[i] for x in rows_out], f.type) for i, f in enumerate(arrow)], names=names)
+
+        for batch in batches:
+            columns = [c.to_pylist() for c in batch.columns]
+            for k, *values in zip(*columns, strict=True):
+                if own and k != held:
+                    out += [(held, *x) for x in fold(own)]
+                    own = []
+                held = k
+                own.append(tuple(values))
+            if len(out) > 10_000:
+                yield made(out)
+                out = []
+        if own:
+            out += [(held, *x) for x in fold(own)]
+        if out:
+            yield made(out)
+
+    return rows.select(key, *inputs, order).repartition(key).sortWithinPartitions(key, order).select(key, *inputs).mapInArrow(run, schema)
+
+
+def pack_chunks(subs: DataFrame, least: int = 10_000, most: int = 30_000, **options) -> DataFrame:
     """Pack consecutive subtitles, but for a file's first and last, into chunks of at most `most` ms.
 
     A live or duplicate subtitle ends the chunk, which stays if it has at least `least` ms; one that does not fit ends
-    it whatever its length, and a silence fills it up first. Chunks without speech are dropped. With exclude, a
-    subtitle that contains one of the strings ends the chunk and goes; remove lists patterns to take out of texts.
-    A file's rows meet in one task, as they must: a programme is bounded.
+    it whatever its length, and a silence fills it up first. Chunks without speech are dropped. Options: surround (keep
+    silences), flush_marked, exclude (a subtitle that contains one of the strings ends the chunk and goes), remove
+    (patterns to take out of texts), first (so many subtitles of a file alone; None: all). A null text is empty, rows
+    without start or end are left out, and files of two rows or fewer have no chunks.
     """
+    return pack_many(subs, [(least, most)], **options).drop("least", "most")
 
-    def of_file(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("idx", kind="stable")
-        items = list(zip(range(len(rows)), rows["start"].tolist(), rows["end"].tolist(), rows["text"].tolist(), rows["marked"].tolist(), strict=True))[1:-1]
-        items = [(k - 1, *x[1:]) for k, x in enumerate(items, 1)]
-        found = pack(items, least, most, surround, flush_marked, exclude, remove)
-        return pd.DataFrame([(rows["file_id"].iloc[0], k, *x) for k, x in enumerate(found)], columns=[c.split()[0] for c in CHUNK.split(", ")])
 
-    flag = lambda c: F.coalesce(F.col(c), F.lit(False)) if c in subs.columns else F.lit(False)
-    rows = subs.select("file_id", "idx", "start", "end", "text", (flag("live") | flag("duplicate")).alias("marked"))
-    return rows.groupBy("file_id").applyInPandas(of_file, CHUNK)
+def pack_many(subs: DataFrame, ranges: list[tuple[int, int]], surround: bool = True, flush_marked: bool = True, exclude: tuple = (), remove: tuple = (), first: dict[tuple[int, int], int] | int | None = None) -> DataFrame:
+    """The chunks of each (least, most), in one pass over a file's rows; `first` may be given by range."""
 
+    def fold(rows: list[tuple]) -> list[tuple]:
+        items = [(k, *x) for k, x in enumerate(rows[1:-1])]
+        found = []
+        for own in ranges:
+            upto = first.get(own) if isinstance(first, dict) else first
+            found += [(*own, k, *x) for k, x in enumerate(pack(items[:upto], *own, surround, flush_marked, exclude, remove))]
+        return found
 
-def pack_many(subs: DataFrame, ranges: list[tuple[int, int]], **options) -> DataFrame:
-    """The chunks of each (least, most), one after the other."""
-    out = None
-    for least, most in ranges:
-        part = pack_chunks(subs, least, most, **options).withColumns({"least": F.lit(least), "most": F.lit(most)})
-        out = part if out is None else out.unionByName(part)
-    return out
+    flag = lambda c: F.coalesce(F.col(c), F.lit(False)) if c in subs.columns else F.lit(False)
+    rows = subs.where("start is not null and end is not null").select("file_id", "idx", "start", "end", F.coalesce("text", F.lit("")).alias("text"), (flag("live") | flag("duplicate")).alias("marked"))
+    return by_key(rows, "file_id", "idx", ["start", "end", "text", "marked"], CHUNK, fold)
 
 
 def numbered(rows: DataFrame, key: str, order: str, inputs: list[str], outputs: str, step) -> DataFrame:
     """Rows with new columns from a fold over each key's rows in order: step(state, *inputs) -> (state, *outputs).
 
-    For folds without a closed form. Only the key, the order and the inputs go to Python, a key at a time.
+    For folds without a closed form. Every row passes once, with all its columns, so ties and equal rows stay rows of
+    their own; columns of the outputs' names are replaced.
     """
     names = [x.split()[0] for x in outputs.split(", ")]
-    kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in (key, order))
-
-    def fold(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(order, kind="stable")
-        state, out = None, []
-        for values in group[inputs].itertuples(index=False):
-            state, *new = step(state, *values)
-            out.append(new)
-        made = dict(zip(names, zip(*out, strict=True), strict=True))
-        return group[[key, order]].assign(**{k: list(v) for k, v in made.items()})
-
-    marks = rows.select(key, order, *inputs).groupBy(key).applyInPandas(fold, f"{kinds}, {outputs}")
-    return rows.join(marks, [key, order])
+    rows = rows.drop(*names)
+    schema = StructType([*rows.schema.fields, *_parse_datatype_string(outputs).fields])
+    kinds = [f.type for f in to_arrow_schema(schema)][len(rows.columns) :]
+
+    def run(batches):
+        held, state, begun = None, None, False
+        for batch in batches:
+            made = []
+            keys = batch.column(batch.schema.get_field_index(key)).to_pylist()
+            values = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in inputs]
+            for k, *x in zip(keys, *values, strict=True):
+                if not begun or k != held:
+                    held, state, begun = k, None, True
+                state, *new = step(state, *x)
+                made.append(new)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array([m[i] for m in made], t) for i, t in enumerate(kinds))], names=[*batch.schema.names, *names])
+
+    return rows.repartition(key).sortWithinPartitions(key, order).mapInArrow(run, schema)
 
 
 def bucket_spans(subs: DataFrame, limit: int = 30_000) -> DataFrame:
     """Adds bucket and since (ms from the bucket's start to the row's end): a row that ends `limit` ms or more after the
-    bucket's start opens the next one, which starts where the row does."""
+    bucket's start opens the next one, which starts where the row does. Rows without times stay in the bucket."""
 
     def step(state, start, end):
         bucket, anchor = state or (0, start)
+        if start is None or end is None:
+            return state, bucket, None
+        anchor = start if anchor is None else anchor
         if end - anchor >= limit:
             bucket, anchor = bucket + 1, start
         return (bucket, anchor), bucket, end - anchor
@@ -227,19 +274,44 @@ def bucket_spans(subs: DataFrame, limit: int = 30_000) -> DataFrame:
 
 
 def shard_by_duration(rows: DataFrame, key: str, order: str, duration: str, limit: int = 90_000_000) -> DataFrame:
-    """Adds shard, from 1: the row that takes the sum over the limit closes the shard, and the sum starts anew.
+    """Adds shard, from 1: the row that takes the sum over the limit closes the shard, and the sum starts anew. A
+    null duration is 0.
 
     The order is total within a key, so a key's sums are one task's; give large inputs a key of bounded groups.
     """
 
     def step(state, length):
         shard, total = state or (1, 0)
+        length = length or 0
         over = total + length > limit
         return (shard + over, 0 if over else total + length), shard
 
     return numbered(rows, key, order, [duration], "shard int", step)
 
 
+def row_numbers(rows: DataFrame, key: str, order: str, name: str = "index", width: int = 4096) -> DataFrame:
+    """Adds the number of each row, from 0, among its key's rows in the order of a whole number, nulls first. Rows are put
+    in order within spans of `width` of that number and their counts added up before, so that a frequent key does not
+    stand in one task; ties stand in any order."""
+    spans = rows.withColumn("__span", F.floor(F.col(order) / width))
+    counts = spans.groupBy(F.col(key).alias("__key"), F.col("__span").alias("__of")).agg(F.count("*").alias("__n"))
+    upto = Window.partitionBy("__key").orderBy("__of").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("__before", F.coalesce(F.sum("__n").over(upto), F.lit(0)))
+    met = spans[key].eqNullSafe(counts["__key"]) & F.col("__span").eqNullSafe(F.col("__of"))
+    own = F.row_number().over(Window.partitionBy(key, "__span").orderBy(order)) - 1
+    return spans.join(counts, met).withColumn(name, (F.col("__before") + own).cast("long")).drop("__span", "__key", "__of", "__n", "__before")
+
+
+def interval_points(spans: DataFrame, points: DataFrame, at: str, grid: int) -> DataFrame:
+    """Every span (start, end, ...) with each point (at, ...) that start <= at < end holds for. Both meet on cells of a
+    grid, an equi-join; a grid about as wide as the spans gives each of them one or two cells. Spans and points with
+    nulls, and empty spans, meet nothing."""
+    cells = F.sequence(F.floor(F.col("start") / grid), F.floor((F.col("end") - 1) / grid))
+    spans = spans.where("start < end").withColumn("__cell", F.explode(cells))
+    points = points.where(F.col(at).isNotNull()).withColumn("__cell", F.floor(F.col(at) / grid))
+    return spans.join(points, "__cell").where((F.col(at) >= F.col("start")) & (F.col(at) < F.col("end"))).drop("__cell")
+
+
 def previous_text(chunks: DataFrame, key: str = "file_id", idx: str = "idx", no_speech: str = "<|nospeech|>") -> DataFrame:
     """Adds previous_text: the text of the row before, if this one starts where it ends and it is speech."""
     w = by_file(key, idx)
@@ -256,16 +328,18 @@ def bucket_texts(subs: DataFrame) -> DataFrame:
 
 
 def first_rows(rows: DataFrame, key: list[str], idx: str) -> DataFrame:
-    """The first row of every key, without the last of them all by (idx)."""
+    """The first row of every key, without the last of them all by (idx, key)."""
     w = Window.partitionBy(*key).orderBy(idx)
-    kept = rows.withColumn("n", F.row_number().over(w)).where("n = 1").drop("n")
-    return kept.join(kept.agg(F.max(idx).alias("last")), F.col(idx) < F.col("last")).drop("last")
+    kept = rows.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
+    last = kept.agg(F.max(F.struct(idx, *key)).alias("__last"))
+    return kept.crossJoin(F.broadcast(last)).where(F.struct(idx, *key) < F.col("__last")).drop("__last")
 
 
 def language_fallback(buckets: DataFrame, lang: str = "sv", least: float = 0.5) -> DataFrame:
     """Rows (file_id, bucket, language, p) of the language with more than `least`; or, failing that, whose bucket just
     before exists and is of the language."""
-    w = Window.partitionBy("file_id").orderBy("bucket")
-    before = (F.lag("bucket").over(w) == F.col("bucket") - 1) & (F.lag("language").over(w) == lang)
-    own = (F.col("language") == lang) & (F.col("p") > least)
-    return buckets.withColumn("ok", own | F.coalesce(before, F.lit(False))).where("ok").drop("ok")
+    # a join with the bucket before, which a large file does not hold in one task
+    before = buckets.where(F.col("language") == lang).select(F.col("file_id").alias("__file"), (F.col("bucket") + 1).alias("__bucket")).distinct()
+    met = F.col("file_id").eqNullSafe(F.col("__file")) & (F.col("bucket") == F.col("__bucket"))
+    own = F.coalesce((F.col("language") == lang) & (F.col("p") > least), F.lit(False))
+    return buckets.join(before, met, "left").where(own | F.col("__bucket").isNotNull()).drop("__file", "__bucket")

@@ -36,6 +36,26 @@ def stage_table(rows: DataFrame, stages: list[str], duration: str = "duration",
     return long.groupBy("x.stage", "x.value").agg(F.count("*").alias("n"), F.sum(duration).alias("duration"), F.count_distinct(file).alias("n_files"))
 
 
+def stage_as_run_table(rows: DataFrame, stages: list[str], duration: str = "duration", file: str = "file_id") -> DataFrame:
+    """stage, value, count, hours, files, and of the rows those captioned as run and those not, in one pass. A null stage
+    is false; a null file is not counted."""
+    flag = lambda s: F.coalesce(F.col(s), F.lit(False))
+    long = rows.select(file, duration, "is_asrun", F.explode(F.array(*(F.struct(F.lit(s).alias("stage"), flag(s).alias("value")) for s in stages))).alias("x"))
+    counts = [F.count("*").alias("n"), (F.sum(duration) / 3_600_000).alias("hours"), F.count_distinct(file).alias("n_files"), F.count_if(F.col("is_asrun")).alias("n_asrun"), F.count_if(~F.col("is_asrun")).alias("n_not_asrun")]
+    return long.groupBy("x.stage", "x.value").agg(*counts).orderBy(F.col("n").desc(), "stage", "value")
+
+
+def folder_of(dataset: Column, file: Column) -> Column:
+    """A shard's folder: datasets of two parts by the part that the file's name has, none if it has neither."""
+    part = lambda *names: F.coalesce(*(F.when(F.contains(file, F.lit(n)), n) for n in names))
+    return F.when(F.contains(dataset, F.lit("rixvox")), part("riksdagen_web", "riksdagen_old")).when(F.contains(dataset, F.lit("svt")), part("svt1", "svt2")).otherwise(dataset)
+
+
+def folder_stats(shards: DataFrame) -> DataFrame:
+    """Sums of shards (dataset, file, ...) by folder and over all."""
+    return rolled_up(shards.withColumn("folder", folder_of(F.col("dataset"), F.col("file"))).where("folder is not null"), "folder")
+
+
 def group_stage_counts(rows: DataFrame, group: str, stages: list[str]) -> DataFrame:
     """Chunks of each group in and out of every stage."""
     return rows.groupBy(group).agg(F.count("*").alias("n"), *(F.count_if(F.col(s)).alias(f"n_{s}") for s in stages), *(F.count_if(~F.col(s)).alias(f"n_not_{s}") for s in stages))

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from scribemill.functions import arrays as A
 from scribemill.functions import metrics as M
+from scribemill.functions import names as N
 from scribemill.functions import text as T
+from scribemill.operators import documents as D
 from scribemill.operators import models, quality, sequence, splits, stats
 from scribemill.plans import views as V
 from scribemill.plans.views import LINES, PAIRS, PROBS, table
@@ -58,13 +59,23 @@ def sub_stats_per_file(spark, d):
     return stats.subtitle_stats(silence_fill(spark, d))
 
 
+@query(f"""with {LINES}, m as (select *, "end" - start as d, contains(text, 'x') as duplicate, idx % 7 = 0 as live, idx % 3 = 0 or text = '' as silence from subs),
+k as (select *, case when duplicate then 'd' when live then 'l' when silence then 's' else 'w' end as k, len(list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '')) as w from m)
+select file_id, count(*) as n_subs, cast(sum(d) as bigint) as subs_duration, cast(sum(case when k = 'w' then w else 0 end) as bigint) as n_words, avg(d) as mean_duration, cast(count_if(k = 'd') as bigint) as n_duplicate, cast(coalesce(sum(d) filter (k = 'd'), 0) as bigint) as duplicate_duration,
+cast(count_if(k = 'l') as bigint) as n_live, cast(coalesce(sum(d) filter (k = 'l'), 0) as bigint) as live_duration, cast(count_if(k = 's') as bigint) as n_silence, cast(coalesce(sum(d) filter (k = 's'), 0) as bigint) as silence_duration from k group by file_id""")
+def sub_stats_marked(spark, d):
+    """Subtitles that are duplicates, live and silent at once count as the first of these."""
+    rows = V.subs(spark, d).withColumns({"duration": F.col("end") - F.col("start"), "duplicate": F.contains("text", F.lit("x")), "live": F.col("idx") % 7 == 0, "is_silence": (F.col("idx") % 3 == 0) | (F.col("text") == "")})
+    return stats.subtitle_stats(rows)
+
+
 @query(f"""with {LINES}, {FUSED}, {FILLED}, f as (select file_id, sum(duration) as s, count_if(is_silence) as n, sum(case when is_silence then duration else 0 end) as q, sum(case when is_silence then 0 else len(list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '')) end) as w, count(*) as c from filled group by file_id)
 select count(*) as n_files, cast(sum(c) as bigint) as n_subs, cast(sum(s) as bigint) as subs_duration, cast(sum(w) as bigint) as n_words, 0::bigint as n_duplicate, 0::bigint as duplicate_duration, 0::bigint as n_live, 0::bigint as live_duration, cast(sum(n) as bigint) as n_silence, cast(sum(q) as bigint) as silence_duration, cast(sum(s) - sum(q) as bigint) as net_duration from f""")
 def corpus_totals(spark, d):
     return stats.corpus_stats(sub_stats_per_file(spark, d))
 
 
-@query(f"""with {LINES}, r as (select file_id, idx * 10 + k as idx, array_to_string(string_split(text, ' ')[1:k], ' ') as text from (select *, unnest(range(1, 2 + idx % 4)) as k from lines where idx < 8)),
+@query(f"""with {LINES}, r as (select file_id, idx * 10 + k as idx, array_to_string(string_split(text, ' ')[1:k], ' ') as text from (select *, unnest(range(1, 2 + idx % 4)) as k from lines)),
 a as (select *, row_number() over w - 1 as pos, count(*) over (partition by file_id) as n, coalesce(cast(starts_with(text, lag(text) over w) as int), 0) as c from r window w as (partition by file_id order by idx)),
 b as (select *, case when pos >= 3 then greatest(c, coalesce(lead(c) over w, 0)) else c end as m, list(c) over (partition by file_id order by idx rows between unbounded preceding and unbounded following) as cs from a window w as (partition by file_id order by idx)),
 e as (select *, case when pos < 3 then cs[1] + cs[2] + cs[3] else coalesce(sum(m) over (partition by file_id order by idx rows between 3 preceding and 1 preceding), 0) end as p,
@@ -125,7 +136,7 @@ def bucket_30s(spark, d):
     return sequence.bucket_spans(V.subs(spark, d).select("file_id", "idx", "start", "end"))
 
 
-@query(f"""with {LINES}, b as (select *, cast(start // 30000 as int) as bucket from subs where idx < 40)
+@query(f"""with {LINES}, b as (select *, cast(start // 30000 as int) as bucket from subs)
 select file_id, idx, start - min(start) over w as start_relative, "end" - min(start) over w as end_relative, max("end") over w - min(start) over w as duration_bucket,
  string_agg(text, ' ' order by idx) over (partition by file_id, bucket order by idx rows between unbounded preceding and unbounded following) as text_bucket from b window w as (partition by file_id, bucket)""".replace("string_agg(text, ' ' order by idx) over", "string_agg(text, ' ') over"))
 def bucket_relative_times(spark, d):
@@ -254,13 +265,13 @@ def softmax(spark, d):
     return rows.select("vec_id", "p", F.round(F.get(A.softmax(x, first), F.lit(0)), 9).alias("masked"))
 
 
-@query("select vec_id, cast(len(embedding[3:vec_id % 40]) as int) as n, round(list_sum(list_transform(embedding[3:vec_id % 40], lambda v: v::double)), 6) as total from embeddings where vec_id % 40 >= 3")
+@query("select vec_id, cast(len(embedding[3:greatest(vec_id % 40, 2)]) as int) as n, coalesce(round(list_sum(list_transform(embedding[3:greatest(vec_id % 40, 2)], lambda v: v::double)), 6), 0) as total from embeddings")
 def audio_slice(spark, d):
     rows = table(spark, d, "embeddings").select("vec_id", A.audio_slice(F.col("embedding"), F.lit(2), F.col("vec_id") % 40).alias("x"))
     return rows.select("vec_id", F.size("x").alias("n"), F.round(F.aggregate("x", F.lit(0.0), lambda a, v: a + v.cast("double")), 6).alias("total"))
 
 
-@query("select vec_id, 100 as n, round(list_sum(list_transform(embedding[1:40], lambda v: v::double)), 6) as total from embeddings")
+@query("select vec_id, 100 as n, round(list_sum(list_transform(embedding, lambda v: v::double)), 6) as total from embeddings")
 def pad_batch(spark, d):
     rows = table(spark, d, "embeddings").select("vec_id", A.padded(F.col("embedding"), F.lit(100)).alias("x"))
     return rows.select("vec_id", F.size("x").alias("n"), F.round(F.aggregate("x", F.lit(0.0), lambda a, v: a + v.cast("double")), 6).alias("total"))
@@ -484,15 +495,12 @@ def interval_slice_join(spark, d):
     first = events.agg(F.min(F.unix_millis(F.col("ts").cast("timestamp"))).alias("t0"))
     events = events.crossJoin(F.broadcast(first)).withColumn("ms", F.unix_millis(F.col("ts").cast("timestamp")) - F.col("t0"))
     spans = table(spark, d, "nation").select(F.col("n_nationkey").alias("file_id"), (F.col("n_nationkey") * 1_000_000).cast("long").alias("start"))
-    # points meet spans on the grid of the spans' length, an equi-join that needs no nested loop
-    grid = 600_000
-    spans = spans.withColumn("end", F.col("start") + grid).withColumn("cell", F.explode(F.sequence(F.floor(F.col("start") / grid), F.floor((F.col("end") - 1) / grid))))
-    hit = spans.join(events.withColumn("cell", F.floor(F.col("ms") / grid)), "cell").where("ms >= start and ms < end")
+    hit = sequence.interval_points(spans.withColumn("end", F.col("start") + 600_000), events, "ms", 600_000)
     return hit.groupBy("file_id").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
 
 
-@query("""with f as (select page_id // 4 as base, ['wav', 'mp3', 'txt', 'webm'][page_id % 4 + 1] as ext from pages where page_id % 3 <> 0), r as (select *, list_position(['webm', 'wav', 'm4a', 'mp3', 'mp4', 'mkv', 'flac'], ext) as k from f)
-select cast(base as varchar) as base, base || '.' || arg_min(ext, k) filter (k > 0) as audio_path from r group by base""")
+@query("""with f as (select page_id // 4 as base, ['wav', 'mp3', 'txt', 'webm'][page_id % 4 + 1] as ext, page_id % 3 <> 0 as listed from pages), r as (select *, list_position(['webm', 'wav', 'm4a', 'mp3', 'mp4', 'mkv', 'flac'], ext) as k from f)
+select cast(base as varchar) as base, base || '.' || arg_min(ext, k) filter (k > 0 and listed) as audio_path from r group by base""")
 def extension_priority(spark, d):
     from scribemill.sources.readers import audio_of
 
@@ -520,6 +528,119 @@ def ratio_split_hashed(spark, d):
     return splits.ratio_split(table(spark, d, "orders").select("o_orderkey"), "o_orderkey")
 
 
+# Documents as rows
+
+CHUNK_SQL = f"""{LINES}, ch as (select file_id, source, lang, idx, idx as number, text as raw, idx * 1000::bigint as start, cast(idx * 1000 + 600 + length(text) % 400 as bigint) as "end", case when idx % 6 > 0 then text else '' end as text, '' as text_whisper,
+  idx % 4 as kind, {", ".join(f"case when idx % 4 in (1, 2) then (idx * 3 + {k}) % 11 / 10::double end as {x}_whisper, case when idx % 4 = 2 then (idx * 7 + {k}) % 11 / 10::double else 0 end as {x}_wav2vec" for k, x in enumerate(("bleu", "wer", "first", "last")))},
+  {", ".join(f"idx % 3 > 0 and idx % {k} = 0 as {f}" for k, f in enumerate(("stage1_whisper", "stage2_whisper", "stage2_whisper_timestamps", "stage1_wav2vec"), 2))}, false as silence from lines where idx % 4 > 0)"""
+
+
+@query(f"""with {CHUNK_SQL} select file_id, number, '[' || idx || ', ' || (idx + 1) || ']' as sub_ids, source, start, "end", text, text_whisper, 'W ' || raw as whisper_transcription, case when kind > 1 then 'v ' || raw end as wav2vec_transcription, * exclude (file_id, number, source, start, "end", text, text_whisper, lang, idx, raw, kind) from ch""")
+def chunk_rows(spark, d):
+    return D.chunk_rows(V.documents(spark, d))
+
+
+@query(f"""with {CHUNK_SQL} select file_id, number, case when file_id % 3 = 0 then 'Unknown Channel' when file_id % 3 = 1 then 'cmore_AsRun' else source end as channel, case when file_id % 2 = 0 then 'id' || file_id else 'Unknown ID' end as id, 'Unknown Title' as program_title, coalesce(lang, 'Unknown Video File') as video_file,
+case when file_id % 7 > 0 then 'c.srt' else 'Unknown Caption File' end as caption_file, coalesce(source, 'Unknown Source') as source, case when file_id % 5 = 0 then file_id % 2 = 0 when file_id % 3 = 1 then true else coalesce(file_id % 3 = 2 and contains(upper(source), 'ASRUN'), false) end as is_asrun, "end" - start as duration_ms, '2020' as production_year, null::varchar as program_classification, start as start_time, "end" as end_time, text, text_whisper,
+case when kind < 3 then 'W ' || raw else 'v ' || raw end as transcription_whisper, case kind when 2 then 'v ' || raw when 3 then 'W ' || raw else '' end as transcription_wav2vec2, * exclude (file_id, number, source, start, "end", text, text_whisper, lang, idx, raw, kind) from ch""")
+def stat_rows(spark, d):
+    return D.stat_rows(V.documents(spark, d))
+
+
+@query(f"with {LINES} select file_id, cast(idx as int) as idx, idx * 1000::bigint as start, text from lines")
+def sub_rows(spark, d):
+    return D.sub_rows(V.documents(spark, d))
+
+
+@query(f"""with {CHUNK_SQL}, c as (select *, trim(regexp_replace(text, '\\s+', ' ', 'g')) as t, coalesce(case when kind > 1 then 'v ' || raw end, '') as v from ch where idx % 5 > 0),
+p as (select *, t = '' and v = '' as is_silence from c), s as (select *, case when is_silence then '<|nospeech|>' || t else t end as marked from p),
+q as (select *, lag("end") over w as e, lag(marked) over w as before from s window w as (partition by file_id order by idx))
+select file_id, number, marked as text, case when is_silence then '<|nospeech|>' else '' end as text_timestamps, cast(len(list_filter(string_split(t, ' '), lambda x: x <> '')) as int) as n_words, is_silence, case when start = e and before <> '<|nospeech|>' then before end as previous_text from q""")
+def prepared_rows(spark, d):
+    """Chunk rows as videos: those without subtitle ids go, and the text before comes from the chunk that ends at the start."""
+    rows = D.chunk_rows(V.documents(spark, d)).withColumns({"audio_path": F.col("file_id"), "audio": F.array(F.lit(0.0)), "wav2vec_transcription": F.coalesce("wav2vec_transcription", F.lit(""))})
+    rows = rows.withColumn("sub_ids", F.when(F.col("number") % 5 > 0, F.col("sub_ids")).otherwise("[]"))
+    out = D.prepared(rows, "youtube", clean=lambda x: T.strip(T.collapse(x)), metrics=False)
+    return out.select("file_id", "number", "text", "text_timestamps", "n_words", "is_silence", "previous_text")
+
+
+@query(f"""with {LINES} select doc_id as file_id, len(l) > 0 and false as is_transcribed, false as is_transcribed_same_model, true as is_langdetected from (select *, string_split(text, chr(10)) as l from documents)""")
+def transcription_state(spark, d):
+    """The first chunk of these documents has a language and no transcription."""
+    state = D.transcription_state(F.col("chunks"), D.WHISPER)
+    return V.documents(spark, d).select("file_id", *(x.alias(k) for k, x in state.items()))
+
+
+@query(f"""with {LINES}, m as (select file_id, "end" - start as d, case idx % 4 when 0 then '<duplicate>' when 1 then '<live_sub>' when 2 then '<live_sub><duplicate>' else '' end || text as text from subs)
+select file_id, count(*) as subs_count, cast(sum(d) as bigint) as subs_duration, cast(count_if(contains(text, '<duplicate>')) as bigint) as duplicates_count, cast(coalesce(sum(d) filter (contains(text, '<duplicate>')), 0) as bigint) as subs_duration_duplicate,
+cast(count_if(starts_with(text, '<live_sub>') and not contains(text, '<duplicate>')) as bigint) as livesubs_count, cast(coalesce(sum(d) filter (starts_with(text, '<live_sub>') and not contains(text, '<duplicate>')), 0) as bigint) as subs_duration_live from m group by file_id""")
+def marked_srt_stats(spark, d):
+    tag = F.element_at(F.array(*map(F.lit, ("<duplicate>", "<live_sub>", "<live_sub><duplicate>", ""))), F.col("idx") % 4 + 1)
+    return D.marked_stats(V.subs(spark, d).withColumn("text", F.concat(tag, "text")))
+
+
+@query("""select doc_id, source as location, lang as speaker_id, (doc_id % 4)::varchar as version, 'p' || doc_id as program_id, 's' || (doc_id % 9) as split, make_date(2000 + doc_id % 20, 1 + doc_id % 12, 1 + doc_id % 28) as day, lpad((doc_id % 24)::varchar, 2, '0') || ':30:05' as time, 'a_' || doc_id as recording, source || '/' || lang as area, source || '_' || doc_id as program from documents""")
+def names_decode(spark, d):
+    n, text = F.col("doc_id"), F.col("doc_id").cast("string")
+    dialect, cast = N.dialect_parts(F.concat_ws("_", "source", "lang", (n % 4).cast("string"))), N.broadcast_parts(F.concat(F.lit("p"), text, F.lit("-s"), (n % 9).cast("string")))
+    digits = (n % 24 * 10_000 + 3005).cast("int")
+    recording = N.recording_name(F.concat(F.lit("a_"), text, F.when(n % 2 == 0, ".gloss").otherwise("_gloss")))
+    more = {
+        "day": N.broadcast_date(2000 + n % 20, 1 + n % 12, 1 + n % 28),
+        "time": N.clock_time(digits),
+        "recording": recording,
+        "area": N.recording_area(F.concat_ws("/", F.lit("x/y"), "source", "lang")),
+        "program": N.program_of_chunk(F.concat(F.col("source"), F.lit("-"), text, F.lit("-17.wav"))),
+    }
+    return table(spark, d, "documents").select("doc_id", *(c.alias(k) for k, c in (dialect | cast | more).items()))
+
+
+@query("select start_bucket, end_bucket, page_id, url from (select page_id, url, page_id * 10 as start_bucket, page_id * 10 + length(url) * 100 as end_bucket from pages) where end_bucket - start_bucket >= 2000")
+def long_buckets(spark, d):
+    return D.long_buckets(table(spark, d, "pages").select("page_id", "url", (F.col("page_id") * 10).alias("start_bucket"), (F.col("page_id") * 10 + F.length("url") * 100).alias("end_bucket")))
+
+
+@query("select d.doc_id, split_part(p.url, '/', 4) as folder, p.page_id from pages p join (select doc_id, lang from documents where doc_id < 40) d on d.lang = split_part(p.url, '/', 4)")
+def folder_metadata(spark, d):
+    """Files with what is known of the folder that they stand in."""
+    about = table(spark, d, "documents").where("doc_id < 40").select("doc_id", F.col("lang").alias("folder"))
+    files = table(spark, d, "pages").select("page_id", F.concat(F.lit("/data/"), F.get(F.split("url", "/"), F.lit(3)), F.lit("/file.srt")).alias("path"))
+    return D.with_metadata(files, about).select("doc_id", "folder", "page_id")
+
+
+@query(f"with {LINES} select file_id, idx, list_transform([1, 3, 7], lambda w: round_even((start // 20 + w) * 0.02::double, 2)) as starts, round_even(\"end\" / 20.0, 0) * 20 / 1000::double as nearest from subs")
+def word_offsets(spark, d):
+    offsets = F.transform(F.array(*map(F.lit, (1, 3, 7))), lambda w: F.struct(F.lit("w").alias("word"), (F.floor(F.col("start") / 20) + w).alias("start_offset"), F.lit(0).alias("end_offset")))
+    return V.subs(spark, d).select("file_id", "idx", F.transform(A.word_times(offsets, 0.02), lambda x: x["start_time"]).alias("starts"), A.nearest20_seconds(F.col("end")).cast("double").alias("nearest"))
+
+
+@query(f"""with {SCORED}, l as (unpivot (select doc_id, source, n_chars, as_run, w_bleu >= 0.4 as stage1, w_bleu >= 0.8 as stage2 from sc) on stage1, stage2 into name stage value value)
+select stage, value, count(*) as n, sum(n_chars) / 3600000::double as hours, count(distinct source) as n_files, cast(count_if(as_run) as bigint) as n_asrun, cast(count_if(not as_run) as bigint) as n_not_asrun from l group by stage, value""")
+def stage_as_run_xtab(spark, d):
+    rows = scored(spark, d).withColumns({"stage1": F.col("w_bleu") >= 0.4, "stage2": F.col("w_bleu") >= 0.8, "is_asrun": F.col("as_run")})
+    return stats.stage_as_run_table(rows, ["stage1", "stage2"], "n_chars", "source")
+
+
+@query("""with f as (select n_chars, case when doc_id % 3 = 0 then case doc_id % 4 when 0 then 'riksdagen_web' when 1 then 'riksdagen_old' end when doc_id % 3 = 1 then case doc_id % 4 when 0 then 'svt1' when 1 then 'svt2' end else 'smdb' end as folder from documents)
+select folder, count(*) as n, sum(n_chars)::bigint as n_words, grouping(folder)::int as is_total from f where folder is not null group by rollup (folder)""")
+def folder_rollup(spark, d):
+    n = F.col("doc_id")
+    dataset = F.when(n % 3 == 0, "rixvox").when(n % 3 == 1, "svt").otherwise("smdb")
+    name = F.when(n % 3 == 0, F.when(n % 4 == 0, "a_riksdagen_web_1").when(n % 4 == 1, "riksdagen_old")).when(n % 4 == 0, "svt1_x").when(n % 4 == 1, "svt2_x")
+    shards = table(spark, d, "documents").select(dataset.alias("dataset"), F.coalesce(name, F.lit("other")).alias("file"), F.col("n_chars").alias("n_words"), F.lit(1).cast("long").alias("n"))
+    rest = {c: F.lit(0) for c in ("n_silence", "n_previous_text", "n_tokens", "duration_hours", "duration_hours_silence")}
+    return stats.folder_stats(shards.withColumns(rest)).select("folder", "n", "n_words", F.col("is_total").cast("int").alias("is_total"))
+
+
+@query(f"with {PROBS} select doc_id, list_filter(['sv', 'haw', 'no'], lambda x: doc_id % 2 = 0 or x <> 'no') as langs, case when doc_id % 3 = 0 then 50273 when doc_id % 3 = 1 then 50259 end as number, 'x/wav2vec2-b' as model from probs")
+def token_tables(spark, d):
+    n = F.col("doc_id")
+    tokens = F.concat(F.array(*map(F.lit, ("<|sv|>", "<|transcribe|>", "<|haw|>"))), F.when(n % 2 == 0, F.array(F.lit("<|no|>"))).otherwise(F.array().cast("array<string>")))
+    code = F.when(n % 3 == 0, "sv").when(n % 3 == 1, "en").otherwise("zz")
+    models_ = F.array(F.lit("openai/whisper"), F.lit("x/wav2vec2-a"), F.lit("x/wav2vec2-b"))
+    return table(spark, d, "documents").select("doc_id", A.token_languages(tokens).alias("langs"), A.language_id(code).cast("int").alias("number"), A.model_of_kind(models_, "wav2vec2").alias("model"))
+
+
 # Reports and parsing
 
 
@@ -549,7 +670,7 @@ def hist_pivot(spark, d):
 select cast(index as bigint) as index, max(n_chars) filter (lang = 'en') as n_chars_en, max(source) filter (lang = 'en') as source_en, max(n_chars) filter (lang = 'de') as n_chars_de, max(source) filter (lang = 'de') as source_de from r group by index""".replace("as n_chars_en", "::varchar as n_chars_en").replace("as n_chars_de", "::varchar as n_chars_de").replace("max(n_chars) filter (lang = 'en')", "(max(n_chars) filter (lang = 'en'))").replace("max(n_chars) filter (lang = 'de')", "(max(n_chars) filter (lang = 'de'))"))
 def melt_pivot(spark, d):
     rows = table(spark, d, "documents").where("lang in ('en', 'de')")
-    rows = rows.withColumn("index", (F.row_number().over(Window.partitionBy("lang").orderBy("doc_id")) - 1).cast("long"))
+    rows = sequence.row_numbers(rows, "lang", "doc_id")
     long = rows.select("index", "lang", F.col("n_chars").cast("string").alias("n_chars"), "source").unpivot(["index", "lang"], ["n_chars", "source"], "variable", "value")
     wide = long.withColumn("key", F.concat_ws("_", "variable", "lang")).groupBy("index").pivot("key", ["n_chars_en", "source_en", "n_chars_de", "source_de"]).agg(F.first("value"))
     return wide
