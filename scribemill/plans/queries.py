@@ -301,10 +301,7 @@ def map_and_list_upsert(spark, d):
 # Scores
 
 
-@query(f"""with {LINES}, {PAIRS}, k as (select *, string_split(ref, ' ') as r, string_split(hyp_b, ' ') as h, string_split(hyp_a, ' ') as g from pairs where ref <> ''),
-e as (select *, list_distinct(list_concat(r, h, g)) as v from k)
-select pair_id, levenshtein(array_to_string(list_transform(r, lambda w: chr(32 + list_position(v, w)::int)), ''), array_to_string(list_transform(list_filter(g, lambda w: w <> ''), lambda w: chr(32 + list_position(v, w)::int)), '')) / len(r)::double as wer_a,
- levenshtein(array_to_string(list_transform(r, lambda w: chr(32 + list_position(v, w)::int)), ''), array_to_string(list_transform(h, lambda w: chr(32 + list_position(v, w)::int)), '')) / len(r)::double as wer_b from e""")
+@query()  # DuckDB's levenshtein counts bytes, and a line's distinct words do not fit into one; tested against plain Python
 def wer_pairs(spark, d):
     rows = V.pairs(spark, d).where("ref <> ''")
     return rows.select("pair_id", M.wer(F.col("ref"), F.col("hyp_a")).alias("wer_a"), M.wer(F.col("ref"), F.col("hyp_b")).alias("wer_b"))
@@ -329,9 +326,7 @@ def fuzzy_first_last(spark, d):
     return V.pairs(spark, d).select("pair_id", F.round(first, 6).alias("first"), F.round(last, 6).alias("last"))
 
 
-@query(f"""with {LINES}, {PAIRS}, k as (select *, string_split(ref, ' ') as r, string_split(hyp_b, ' ') as h from pairs where ref <> ''), e as (select *, list_distinct(list_concat(r, h)) as v from k),
-w as (select source, levenshtein(array_to_string(list_transform(r, lambda w: chr(32 + list_position(v, w)::int)), ''), array_to_string(list_transform(h, lambda w: chr(32 + list_position(v, w)::int)), '')) / len(r)::double as wer from e)
-select source, round(avg(wer), 9) as wer, count(*) as n from w group by source""")
+@query()  # as wer_pairs
 def macro_wer(spark, d):
     rows = V.pairs(spark, d).where("ref <> ''").withColumn("wer", M.wer(F.col("ref"), F.col("hyp_b")))
     return rows.groupBy("source").agg(F.round(F.avg("wer"), 9).alias("wer"), F.count("*").alias("n"))

@@ -26,6 +26,25 @@ EXTENSIONS = ["webm", "wav", "m4a", "mp3", "mp4", "mkv", "flac"]
 AUDIO_RATE = 16_000
 
 
+def of_channels(files: DataFrame, channels: list[str], depth: int = -2) -> DataFrame:
+    """Files (path) whose folder at this place from the end is one of the channels."""
+    return files.where(F.element_at(F.split("path", "/"), depth).isin(channels))
+
+
+def read_shard_stats(spark: SparkSession, path, schema: str | None = None) -> DataFrame:
+    """Statistics of shards, one JSON object a file, with the file's name (file) and its folder's (dataset)."""
+    reader = spark.read.option("recursiveFileLookup", True)
+    out = (reader.schema(schema) if schema else reader).json(path)
+    steps = F.split(F.col("_metadata.file_path"), "/")
+    return out.withColumns({"file": F.element_at(steps, -1), "dataset": F.element_at(steps, -2)})
+
+
+def literal_table(spark: SparkSession, tables: dict[str, dict], key: str = "name") -> DataFrame:
+    """A row for each entry of a dictionary of dictionaries, under its key; what an entry lacks is null."""
+    names = list(dict.fromkeys(k for x in tables.values() for k in x))
+    return spark.createDataFrame([{key: k, **{n: x.get(n) for n in names}} for k, x in tables.items()])
+
+
 def whole_files(spark: SparkSession, path, glob: str | None = None) -> DataFrame:
     """path and value (the whole text) of every file below a folder."""
     reader = spark.read.option("recursiveFileLookup", True).option("ignoreMissingFiles", True)
@@ -111,6 +130,10 @@ def read_audio(spark: SparkSession, path, glob: str = "*.wav") -> DataFrame:
                     with wave.open(io.BytesIO(content)) as w:
                         width, n, rate = w.getsampwidth(), w.getnchannels(), w.getframerate()
                         raw = w.readframes(w.getnframes())
+                    if width == 3:  # as the upper bytes of four
+                        four = np.zeros((len(raw) // 3, 4), np.uint8)
+                        four[:, 1:] = np.frombuffer(raw, np.uint8).reshape(-1, 3)
+                        raw, width = four.tobytes(), 4
                     x = np.frombuffer(raw, {1: "u1", 2: "<i2", 4: "<i4"}[width]).astype(np.float64)
                     x = ((x - 128) / 128 if width == 1 else x / float(1 << (8 * width - 1))).reshape(-1, n).mean(axis=1)
                     if rate != AUDIO_RATE and len(x):

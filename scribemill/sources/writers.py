@@ -6,6 +6,9 @@ import html
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, FloatType, StructType
+
+from scribemill.functions.text import clean_subtitle
 
 
 def stamp(ms: Column) -> Column:
@@ -33,15 +36,44 @@ def nested(subs: DataFrame, chunks: DataFrame, metadata: DataFrame) -> DataFrame
     return out
 
 
-def write_documents(docs: DataFrame, path: str, ascii_only: bool = False) -> None:
-    """JSON lines in a new folder; NaN as null."""
-    floats = {c: F.nanvl(F.col(c), F.lit(None)) for c, t in docs.dtypes if t in ("double", "float")}
-    docs = docs.withColumns(floats) if floats else docs
+def without_nan(value: Column, kind) -> Column:
+    """The value with null for NaN, at any depth of structs and arrays."""
+    if isinstance(kind, (DoubleType, FloatType)):
+        return F.nanvl(value, F.lit(None).cast(kind))
+    if isinstance(kind, ArrayType):
+        return F.transform(value, lambda x: without_nan(x, kind.elementType))
+    if isinstance(kind, StructType):
+        fields = [without_nan(value[f.name], f.dataType).alias(f.name) for f in kind.fields]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    return value
+
+
+def json_texts(docs: DataFrame, ascii_only: bool = False) -> DataFrame:
+    """file_id and `value`, each row's other columns as a JSON object with null for NaN."""
+    rest = [without_nan(F.col(f.name), f.dataType).alias(f.name) for f in docs.schema.fields if f.name != "file_id"]
+    text = F.to_json(F.struct(*rest))
     if ascii_only:
-        escaped = F.array_join(F.transform(F.split(F.to_json(F.struct(*docs.columns)), ""), lambda ch: F.when(F.ascii(ch) > 127, F.concat(F.lit("\\u"), F.lower(F.lpad(F.hex(F.ascii(ch)), 4, "0")))).otherwise(ch)), "")
-        docs.select(escaped.alias("value")).write.text(path)
-    else:
-        docs.write.json(path)
+        units = F.transform(F.split(text, ""), lambda ch: F.when(F.ascii(ch) < 128, ch).otherwise(F.concat(F.lit("\\u"), F.lower(F.array_join(F.regexp_extract_all(F.hex(F.encode(ch, "UTF-16BE")), F.lit("(.{4})"), F.lit(1)), "\\u")))))
+        text = F.array_join(units, "")
+    return docs.select("file_id", text.alias("value"))
+
+
+def output_name(file_id: Column, suffix: str) -> Column:
+    """A file's name with another suffix in the place of its own: a/b.json, _scores.json -> a/b_scores.json."""
+    return F.concat(F.regexp_replace(file_id, r"\.[^./]*$", ""), F.lit(suffix))
+
+
+def write_documents(docs: DataFrame, path: str, ascii_only: bool = False, suffix: str | None = None) -> None:
+    """One JSON document for each file_id, in a folder of its own under path (as partition); with a suffix, under the
+    file's name with that suffix instead of its own. NaN is written as null."""
+    name = output_name(F.col("file_id"), suffix) if suffix else F.col("file_id")
+    json_texts(docs, ascii_only).withColumn("file_id", name).repartition("file_id").write.partitionBy("file_id").text(path)
+
+
+def write_chunks(rows: DataFrame, path: str, stage: str = "stage1_wav2vec", clean=clean_subtitle) -> None:
+    """Chunks of a stage with their samples and cleaned texts, as Parquet by file."""
+    kept = rows.where(F.col(stage)).withColumn("text", clean(F.col("text")))
+    kept.repartition("file_id").write.partitionBy("file_id").parquet(path)
 
 
 def write_stages(rows: DataFrame, path: str, by: list[str]) -> None:
@@ -54,17 +86,33 @@ def append_csv(rows: DataFrame, path: str) -> None:
 
 
 def write_json_object(rows: DataFrame, path: str) -> None:
-    """A one-row table as one JSON object."""
-    rows.limit(1).coalesce(1).write.json(path)
+    """A one-row table as one JSON object; of more rows, an error."""
+    if len(rows.limit(2).collect()) != 1:
+        raise ValueError("not one row")
+    rows.coalesce(1).write.json(path)
 
 
 def write_paths(files: DataFrame, path: str, column: str = "path") -> None:
     files.select(F.col(column).cast("string")).write.text(path)
 
 
-def html_table(rows: DataFrame, score: str = "wer", limit: float = 0.2, most: int = 1000) -> str:
-    """A report for people: the first rows, scores over the limit in red."""
-    head = "".join(f"<th>{html.escape(c)}</th>" for c in rows.columns)
-    cell = lambda c, v: f'<td style="color:red">{v}</td>' if c.startswith(score) and v is not None and v > limit else f"<td>{v if c.endswith('_html') else html.escape(str(v))}</td>"
-    body = "".join("<tr>" + "".join(cell(c, v) for c, v in r.asDict().items()) + "</tr>" for r in rows.limit(most).collect())
-    return f"<table><tr>{head}</tr>{body}</table>"
+def html_rows(rows: DataFrame, score: str = "wer", limit: float = 0.2) -> DataFrame:
+    """`value`, a row of an HTML table for each row: scores over the limit in red, columns that end in _html as they are."""
+
+    def cell(name: str) -> Column:
+        text = F.coalesce(F.col(name).cast("string"), F.lit("None"))
+        for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#x27;")):
+            text = text if name.endswith("_html") else F.replace(text, F.lit(a), F.lit(b))
+        plain = F.concat(F.lit("<td>"), text, F.lit("</td>"))
+        if not name.startswith(score) or dict(rows.dtypes)[name] == "string":
+            return plain
+        return F.when(F.col(name) > limit, F.concat(F.lit('<td style="color:red">'), text, F.lit("</td>"))).otherwise(plain)
+
+    return rows.select(F.concat(F.lit("<tr>"), *(cell(c) for c in rows.columns), F.lit("</tr>")).alias("value"))
+
+
+def write_html(rows: DataFrame, path: str, **options) -> None:
+    """All rows as text files of table rows, and the head of the table beside them (path/head)."""
+    html_rows(rows, **options).write.text(f"{path}/rows")
+    head = "<tr>" + "".join(f"<th>{html.escape(c)}</th>" for c in rows.columns) + "</tr>"
+    rows.sparkSession.createDataFrame([(head,)], "value string").coalesce(1).write.text(f"{path}/head")

@@ -3,6 +3,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from scribemill.functions import names as N
+from scribemill.operators import documents as D
 from scribemill.operators import models, quality, sequence, splits, stats
 
 SUBS = "file_id long, idx int, start long, end long, text string"
@@ -207,3 +209,79 @@ def test_model_hook(spark):
     assert all(r["size"] == r["id"] for r in got)
     with pytest.raises(Exception, match="another number"):
         models.with_model(df, "text", "size", "int", lambda: lambda xs: [1]).collect()
+
+
+def test_folds_bear_ties_nulls_and_equal_rows(spark):
+    rows = [(1, 0, 0, 10, "a"), (1, 0, 0, 10, "a"), (1, 1, None, None, None), (None, 0, 0, 40_000, "b"), (1, 2, 20_000, 31_000, "c")]
+    subs = spark.createDataFrame(rows, "file_id long, idx int, start long, end long, text string")
+    got = sorted(((r["file_id"], r["idx"], r["bucket"], r["since"], r["text"]) for r in sequence.bucket_spans(subs).collect()), key=str)
+    assert got == sorted([(1, 0, 0, 10, "a"), (1, 0, 0, 10, "a"), (1, 1, 0, None, None), (1, 2, 1, 11_000, "c"), (None, 0, 1, 40_000, "b")], key=str)
+    sharded = sequence.shard_by_duration(subs.withColumn("d", F.col("end") - F.col("start")), "file_id", "idx", "d", 15)
+    assert sorted((r["file_id"] or 0, r["idx"], r["shard"]) for r in sharded.collect()) == [(0, 0, 1), (1, 0, 1), (1, 0, 1), (1, 1, 2), (1, 2, 2)]
+    assert sequence.pack_chunks(subs, 1).count() == 1 and sequence.bucket_spans(subs.limit(0)).count() == 0
+
+
+def test_packing_takes_all_subtitles_unless_told(spark):
+    subs = spark.createDataFrame([(1, i, i * 1000, i * 1000 + 1000, f"t{i}") for i in range(60)], "file_id long, idx int, start long, end long, text string")
+    chunks = lambda **o: sequence.pack_many(subs, [(1, 5000), (1, 30_000)], **o)
+    ids = lambda df, most: sorted(i for r in df.where(F.col("most") == most).collect() for i in r["sub_ids"])
+    assert ids(chunks(), 5000) == ids(chunks(), 30_000) == list(range(58))
+    some = chunks(first={(1, 5000): 20})
+    assert ids(some, 5000) == list(range(20)) and ids(some, 30_000) == list(range(58))
+
+
+def test_row_numbers_and_interval_points(spark):
+    rows = spark.createDataFrame([(k % 3, k * 7) for k in range(500)] + [(None, 1), (None, 2)], "k int, n long")
+    got = sequence.row_numbers(rows, "k", "n", width=100).collect()
+    for key in (0, 1, 2, None):
+        own = sorted((r["n"], r["index"]) for r in got if r["k"] == key)
+        assert [i for _, i in own] == list(range(len(own)))
+    spans = spark.createDataFrame([(1, 0, 10), (2, 5, 25), (3, 30, 30), (4, None, 5)], "id int, start long, end long")
+    points = spark.createDataFrame([(0,), (7,), (10,), (24,), (25,), (None,)], "at long")
+    assert sorted((r["id"], r["at"]) for r in sequence.interval_points(spans, points, "at", 10).collect()) == [(1, 0), (1, 7), (2, 7), (2, 10), (2, 24)]
+
+
+def test_documents_in_small(spark):
+    score = lambda x: (x, None, 1.0, None)
+    W, V = D.WHISPER, D.WAV2VEC
+    chunks = [(0, 1000, "t", None, [1, -2], [("w", W, score(0.1)), ("v", V, score(0.2))], None, None), (1000, 2000, None, None, None, [], None, None), (0, 5, "x", "y", [3], [("v", V, score(0.3)), ("w2", W, None), ("w3", W, score(0.4))], (True, None, False, None, None), {"m": 1.0})]
+    schema = "file_id long, metadata struct<channel:string,id:string,program_title:string,video_file:string,caption_file:string,data_source:string,is_asrun:boolean,production_year:string,program_classification:string>, subs array<struct<start:long,text:string>>, chunks array<struct<start:long,end:long,text:string,text_whisper:string,sub_ids:array<int>,transcription:array<struct<text:string,model:string,scores:struct<bleu:double,wer:double,first:double,last:double>>>,filters:struct<stage1_whisper:boolean,stage2_whisper:boolean,stage2_whisper_timestamps:boolean,stage1_wav2vec:boolean,silence:boolean>,language_probs:map<string,double>>>"
+    docs = spark.createDataFrame([(1, ("x_asrun", *[None] * 8), [], chunks), (2, None, None, None)], schema)
+    a, b = sorted(D.chunk_rows(docs).collect(), key=lambda r: r["number"])
+    assert (a["sub_ids"], a["whisper_transcription"], a["wav2vec_transcription"], a["bleu_whisper"], a["bleu_wav2vec"], a["wer_wav2vec"], a["silence"]) == ("[1, -2]", "w", "v", 0.1, 0.2, None, False)
+    # by place, the first is no whisper and the second no wav2vec; by name, the last of a model counts
+    assert (b["whisper_transcription"], b["wav2vec_transcription"], b["bleu_whisper"], b["bleu_wav2vec"], b["stage1_whisper"]) == ("w3", "v", None, 0.0, True)
+    r = sorted(D.stat_rows(docs).collect(), key=lambda r: r["number"])[1]
+    assert (r["channel"], r["is_asrun"], r["id"], r["transcription_whisper"], r["transcription_wav2vec2"], r["duration_ms"]) == ("x_asrun", True, "Unknown ID", "v", "w2", 5)
+    assert {x["file_id"]: (x["idx"], x["text"]) for x in D.sub_rows(docs).collect()} == {1: (None, None), 2: (None, None)}
+    state = docs.select("file_id", *(c.alias(k) for k, c in D.transcription_state(F.col("chunks"), V).items()))
+    assert {tuple(x) for x in state.collect()} == {(1, True, True, False), (2, False, False, False)}
+
+
+def test_names_and_lists(spark):
+    rows = spark.createDataFrame([("bar_om_1s.gloss", "[1, -2]"), ("abc_gloss", "[]"), (None, "")], "name string, sub_ids string")
+    assert [r["name"] for r in D.without_excluded(rows, "name").collect()] == ["abc_gloss", None]
+    assert [r["name"] for r in D.with_sub_ids(rows).collect()] == ["bar_om_1s.gloss"]
+    one = rows.select(*(c.alias(k) for k, c in D.first_and_last(D.sub_id_list(F.col("sub_ids"))).items())).first()
+    assert tuple(one) == (1, 2)
+    pick = lambda c: spark.range(1).select(c.alias("x")).first()["x"]
+    assert pick(N.broadcast_date(F.lit(2021), F.lit(2), F.lit(30))) is None and pick(N.clock_time(F.lit("0930001.1"))) == "09:30:00" and pick(N.clock_time(F.lit(93000))) == "09:30:00"
+    assert pick(N.program_of_chunk(F.lit("cmore_a-2020-x_17-3.wav"))) == "cmore_a_2020_x_17" and pick(N.dialect_parts(F.lit("a_b"))["location"]) is None
+    assert pick(N.snr_channel(F.lit("a" * 11 + "tv4" + "b" * 34))) == "tv4" and pick(N.prefixed("p/", F.lit("x"))) == "p/x"
+    entries = pick(D.transcription_entries(F.array(F.lit("a"), F.lit(None), F.lit("b")), "m"))
+    assert [tuple(x) for x in entries] == [("a", "m"), ("b", "m")]
+    files = spark.createDataFrame([("/x/a.wav",), ("/x/b.wav",)], "audio_path string")
+    assert D.with_audio(files, spark.createDataFrame([("/x/a.wav",)] * 2, "path string")).count() == 1
+
+
+def test_a_model_is_kept_under_its_name(spark):
+    rows = spark.createDataFrame([("a", "old"), (None, "old")], "text string, out string").coalesce(1)
+
+    def factory():
+        import uuid
+
+        mark = uuid.uuid4().hex
+        return lambda xs: [mark for _ in xs]
+
+    got = [models.with_model(rows, "text", "out", "string", factory, name="kept").collect() for _ in range(2)]
+    assert len({r["out"] for x in got for r in x}) == 1 and rows.columns == ["text", "out"]

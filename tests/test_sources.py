@@ -45,6 +45,35 @@ def test_documents(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "out")).first()["chunks"][0]["text"] == "t"
 
 
+def test_documents_are_written_by_file_under_names_of_their_own(spark, tmp_path):
+    chunks = "array<struct<text:string,score:double,more:struct<p:double>>>"
+    docs = spark.createDataFrame([("x/a.json", [("é😀", float("nan"), (float("nan"),))]), ("x/b.json", [])], f"file_id string, chunks {chunks}")
+    writers.write_documents(docs, str(tmp_path / "out"), ascii_only=True, suffix="_scores.json")
+    rows = spark.read.text(str(tmp_path / "out")).collect()
+    got = {r["file_id"]: (r["value"], json.loads(r["value"])) for r in rows}
+    assert set(got) == {"x/a_scores.json", "x/b_scores.json"} and got["x/a_scores.json"][0].isascii()
+    first = got["x/a_scores.json"][1]["chunks"][0]
+    assert first["text"] == "é😀" and first.get("score") is None and first["more"].get("p") is None and got["x/b_scores.json"][1]["chunks"] == []
+    with pytest.raises(ValueError):
+        writers.write_json_object(docs, str(tmp_path / "one"))
+
+
+def test_shard_stats_literals_and_channels(spark, tmp_path):
+    (tmp_path / "smdb").mkdir()
+    (tmp_path / "smdb" / "s1.json").write_text('{"n": 3}')
+    assert readers.read_shard_stats(spark, str(tmp_path)).select("n", "file", "dataset").collect() == [(3, "s1.json", "smdb")]
+    rows = readers.literal_table(spark, {"a": {"n": 1}, "b": {"n": 2, "hours": 0.5}}).collect()
+    assert [(r["name"], r["n"], r["hours"]) for r in rows] == [("a", 1, None), ("b", 2, 0.5)]
+    files = spark.createDataFrame([("/d/tv4/a.srt",), ("/d/cmore/b.srt",)], "path string")
+    assert [r["path"] for r in readers.of_channels(files, ["tv4"]).collect()] == ["/d/tv4/a.srt"]
+
+
+def test_chunks_of_a_stage(spark, tmp_path):
+    rows = spark.createDataFrame([("a", True, "x  y", [0.5]), ("a", False, "no", [0.1]), ("b", None, "no", [0.1])], "file_id string, stage1_wav2vec boolean, text string, audio array<float>")
+    writers.write_chunks(rows, str(tmp_path / "chunks"))
+    assert [(r["file_id"], r["text"], r["audio"]) for r in spark.read.parquet(str(tmp_path / "chunks")).collect()] == [("a", "x y", [0.5])]
+
+
 def test_manifests_and_tables(spark, tmp_path):
     (tmp_path / "m.txt").write_text("a.json a.wav\n\nb.json\n")
     (tmp_path / "m.json").write_text('[["a.json", "a.wav"], ["b.json", "b.wav"]]')
@@ -63,9 +92,13 @@ def test_audio(spark, tmp_path):
     with wave.open(str(tmp_path / "a.wav"), "wb") as w:
         w.setparams((2, 2, 8000, 0, "NONE", ""))
         w.writeframes(b"".join(struct.pack("<hh", i * 100, i * 100) for i in range(80)))
+    with wave.open(str(tmp_path / "c.wav"), "wb") as w:
+        w.setparams((1, 3, 16000, 0, "NONE", ""))
+        w.writeframes((-(1 << 22)).to_bytes(3, "little", signed=True) + (1 << 21).to_bytes(3, "little"))
     (tmp_path / "b.wav").write_bytes(b"broken")
     got = {r["path"][-5:]: r for r in readers.read_audio(spark, str(tmp_path)).collect()}
     assert len(got["a.wav"]["audio"]) == 160 and got["a.wav"]["audio"][2] == pytest.approx(100 / 32768) and got["a.wav"]["rate"] == 8000
+    assert got["c.wav"]["audio"] == [-0.5, 0.25]
     assert got["b.wav"]["audio"] is None and got["b.wav"]["error"]
 
 
@@ -80,8 +113,9 @@ def test_stream_takes_each_file_once(spark, tmp_path):
 
 
 def test_report(spark):
-    out = writers.html_table(spark.createDataFrame([("<a>", 0.5), ("b", 0.1)], "t string, wer double"))
-    assert "&lt;a&gt;" in out and out.count("color:red") == 1
+    rows = spark.createDataFrame([("<a>", 0.5, "<b>"), (None, 0.1, "")], "t string, wer double, d_html string")
+    out = "".join(r["value"] for r in writers.html_rows(rows).collect())
+    assert "&lt;a&gt;" in out and out.count("color:red") == 1 and "<td><b></td>" in out and "<td>None</td>" in out
 
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
