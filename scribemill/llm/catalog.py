@@ -1,6 +1,5 @@
 """Queries of the numbered operators, each over its whole table, and their SQL where SQL can express them."""
 
-import corpus_pipeline
 from scribemill.llm.decontamination import OP10_SQL, op10_decontamination
 from scribemill.llm.html_extraction import op8_html_extraction
 from scribemill.llm.line_dedup import OP6_SQL, op6_line_dedup
@@ -23,10 +22,9 @@ QUERIES = {
     "op8_html_extraction": op8_html_extraction,
     "op9_media_columns": op9_media_columns,
     "op10_decontamination": op10_decontamination,
-    "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
     "op2_mixing": OP2_SQL,
     "op6_line_dedup": OP6_SQL,
     "op10_decontamination": OP10_SQL,
-} | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+}
