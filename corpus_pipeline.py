@@ -1,7 +1,8 @@
 """From raw documents to token shards: toxicity, near-duplicates, benchmark passages, mix of sources, token ids.
 
 Every stage takes (spark, docs, sf_dir) and works on all its predecessor kept. All but the last return the columns of
-documents.
+documents, further ones included. An empty table stays empty; texts that are null, empty or without words pass all
+filters but have no words to mix; rows of a null id are judged like all others, by their texts.
 """
 
 from __future__ import annotations
@@ -18,7 +19,8 @@ from scribemill.llm.toxicity import classify, fit
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, fitted to the labels of documents still here, rejects go."""
+    """Documents that the classifier, fitted to the labels of documents still here, rejects go: each row by its own text, so
+    equal rows share a fate. Without labels none goes."""
     model = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return classify(docs, model, keep=True, names=("__score", "__rejected")).where(~F.col("__rejected")).select(*docs.columns)
 
@@ -38,12 +40,14 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of sources takes them."""
+    """Documents as often as the mix of sources takes them; texts without words are not taken. A null source is a source,
+    and equal rows may differ in copies."""
     return mixed(docs)
 
 
 def write_token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token shards, and for each document taken: doc_id, start, n_tokens, ids_crc32, shard, first."""
+    """Token shards, and for each row: doc_id, start, n_tokens, ids_crc32, shard, first. Copies are rows of their own, a null
+    id comes first, and a null text is the end id alone."""
     import public_tokenizers
 
     return token_digests(docs, public_tokenizers.path("byte_bpe_50k.json"))
