@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import contextvars
 import tempfile
 import uuid
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 from scribemill.llm._arrays import sliced, texts, tidy
 
 BLOCK_BYTES = 6 << 20
+#: of Arrow data between Spark and a Python worker
+BATCH_BYTES = 16 << 20
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
@@ -76,10 +79,23 @@ class temporary_tables:
         _left.get(self.spark.sparkContext.applicationId, set()).difference_update(self.paths)
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, size: int = BATCH_BYTES):
+    """Within the block, jobs send rows to Python workers and back in batches of so many bytes, or one row."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """The same rows from a table in the shared folder, which outlives any executor; cuts the lineage."""
     path = left_behind(df.sparkSession, shared_dir(df.sparkSession, name))
-    df.write.option("compression", compression).parquet(path)
+    with small_batches(df.sparkSession):
+        df.write.option("compression", compression).parquet(path)
     table = df.sparkSession.read.schema(df.schema).parquet(path)
     if block := _open.get():
         block.paths[path] = table
@@ -127,3 +143,9 @@ def blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size
 def block_texts(row: dict) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of a block's texts."""
     return np.frombuffer(row["data"], np.uint8), np.concatenate([[0], np.frombuffer(row["ends"], "<i8")]).astype(np.int64)
+
+
+def rows_of(batch: pa.RecordBatch):
+    """The rows of a batch as dictionaries, one at a time: blocks are large."""
+    for k in range(batch.num_rows):
+        yield batch.slice(k, 1).to_pylist()[0]

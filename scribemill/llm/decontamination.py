@@ -14,13 +14,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scribemill.llm._arrays import ALNUM, binary, coded, ragged, sliced, texts, tidy, words
-from scribemill.llm._shared import BLOCK_BYTES, written
+from scribemill.llm._shared import BLOCK_BYTES, rows_of, written
 
 INDEX = "number long, ids array<bigint>, hashes array<bigint>, firsts binary, terms binary, term_ends binary, list_ends binary, positions binary"
 #: bytes of benchmark text that one broadcast may hold; a larger benchmark is taken in blocks of that size
 QUERY_BYTES = 16 << 20
 #: places of rarest terms that are looked at together
-CANDIDATES = 1 << 20
+CANDIDATES = 1 << 18
 
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -179,7 +179,7 @@ def _hits(index: DataFrame, items: DataFrame, width: int, id_col: str = "item_id
     def probe(queries):
         def run(batches):
             for batch in batches:
-                for row in batch.to_pylist():
+                for row in rows_of(batch):
                     p = Postings(row)
                     known = np.append(p.lookup(queries.value.terms), -1)
                     which, start = p.phrases(known[queries.value.windows], queries.value.lengths)
@@ -214,7 +214,7 @@ def proximity_matches(index: DataFrame, items: DataFrame, within: int, id_col: s
     def probe(queries):
         def run(batches):
             for batch in batches:
-                for row in batch.to_pylist():
+                for row in rows_of(batch):
                     p = Postings(row)
                     known = p.lookup(queries.value.terms)
                     found = p.near([known[x] for x in queries.value.sets], within)

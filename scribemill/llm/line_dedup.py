@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scribemill.llm._arrays import LOWER, NOT_SPACE, mix, sliced, texts, tidy
-from scribemill.llm._shared import BLOCK_BYTES, block_texts, blocks, written
+from scribemill.llm._shared import BLOCK_BYTES, block_texts, blocks, rows_of, written
 
 NO_ID = np.iinfo(np.int64).min
 #: hashes of a shard
@@ -223,7 +223,7 @@ def by_shards(packs: DataFrame, arrays: DataFrame, n_shards: int, least_chars: i
 
     def ask(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in rows_of(batch):
                 a, b = lines(*block_texts(row), least_chars)[4:]
                 a, b = np.unique(np.stack([a, b]), axis=1)
                 shard = shard_of(a, n_shards)

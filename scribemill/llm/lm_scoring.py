@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scribemill.llm._arrays import NOT_SPACE, coded, hash_binary, mix, shard_runs, tidy, words
-from scribemill.llm._shared import BLOCK_BYTES, block_texts, blocks, written
+from scribemill.llm._shared import BLOCK_BYTES, block_texts, blocks, rows_of, written
 
 END, BOS = np.uint64(0x452821E638D01377), np.uint64(0xBE5466CF34E90C6C)
 BOS_KEY = np.uint64(0x243F6A8885A308 & ~7)
@@ -110,7 +110,7 @@ def requests(docs_blocks: DataFrame, n_shards: int, order: int, train_mod: int,
 
     def ask(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in rows_of(batch):
                 data, offsets = block_texts(row)
                 keys, at = tokens(data, offsets, order)
                 kind = np.array([remainder(x, train_mod) for x in row["ids"]], np.int64)
@@ -244,7 +244,7 @@ def score(docs: DataFrame, order: int = 2, train_mod: int = 10, em_remainder: in
 
     def only_tuned(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in rows_of(batch):
                 data, offsets = block_texts(row)
                 kept = [i for i, x in enumerate(row["ids"]) if remainder(x, train_mod) == em_remainder]
                 if kept:

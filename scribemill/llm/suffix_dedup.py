@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scribemill.llm._arrays import INVERSE, mix, powers, prefix_hashes, ragged, range_hashes, shard_runs, sliced, tidy
-from scribemill.llm._shared import BLOCK_BYTES, block_texts, blocks, written
+from scribemill.llm._shared import BLOCK_BYTES, block_texts, blocks, rows_of, written
 
 LENGTH, KGRAM = 200, 64
 
@@ -209,7 +209,7 @@ def repeats(docs_blocks: DataFrame, n_shards: int, length: int, kgram: int) -> D
 
     def keys(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in rows_of(batch):
                 h = anchors(*block_texts(row), length, kgram)[3]
                 known, n = np.unique(h, return_counts=True)
                 out = [(s, row["block"], known[i:j].tobytes(), np.packbits(n[i:j] > 1).tobytes()) for s, i, j in shard_runs(known, n_shards)]
