@@ -574,14 +574,14 @@ def marked_srt_stats(spark, d):
     return D.marked_stats(V.subs(spark, d).withColumn("text", F.concat(tag, "text")))
 
 
-@query("""select doc_id, source as location, lang as speaker_id, (doc_id % 4)::varchar as version, 'p' || doc_id as program_id, 's' || (doc_id % 9) as split, make_date(2000 + doc_id % 20, 1 + doc_id % 12, 1 + doc_id % 28) as day, lpad((doc_id % 24)::varchar, 2, '0') || ':30:05' as time, 'a_' || doc_id as recording, source || '/' || lang as area, source || '_' || doc_id as program from documents""")
+@query("""select doc_id, source as location, lang as speaker_id, (doc_id % 4)::varchar as version, 'p' || doc_id as program_id, 's' || (doc_id % 9) as split, make_date(2000 + doc_id % 20, 1 + doc_id % 12, 1 + doc_id % 28)::varchar as day, lpad((doc_id % 24)::varchar, 2, '0') || ':30:05' as time, 'a_' || doc_id as recording, source || '/' || lang as area, source || '_' || doc_id as program from documents""")
 def names_decode(spark, d):
     n, text = F.col("doc_id"), F.col("doc_id").cast("string")
     dialect, cast = N.dialect_parts(F.concat_ws("_", "source", "lang", (n % 4).cast("string"))), N.broadcast_parts(F.concat(F.lit("p"), text, F.lit("-s"), (n % 9).cast("string")))
     digits = (n % 24 * 10_000 + 3005).cast("int")
     recording = N.recording_name(F.concat(F.lit("a_"), text, F.when(n % 2 == 0, ".gloss").otherwise("_gloss")))
     more = {
-        "day": N.broadcast_date(2000 + n % 20, 1 + n % 12, 1 + n % 28),
+        "day": N.broadcast_date(2000 + n % 20, 1 + n % 12, 1 + n % 28).cast("string"),
         "time": N.clock_time(digits),
         "recording": recording,
         "area": N.recording_area(F.concat_ws("/", F.lit("x/y"), "source", "lang")),
@@ -603,10 +603,11 @@ def folder_metadata(spark, d):
     return D.with_metadata(files, about).select("doc_id", "folder", "page_id")
 
 
-@query(f"with {LINES} select file_id, idx, list_transform([1, 3, 7], lambda w: round_even((start // 20 + w) * 0.02::double, 2)) as starts, round_even(\"end\" / 20.0, 0) * 20 / 1000::double as nearest from subs")
+@query(f"with {LINES} select file_id, idx, round_even((start // 20 + 1) * 0.02::double, 2) as first, round_even((start // 20 + 7) * 0.02::double, 2) as last, round_even(\"end\" / 20.0, 0) * 20 / 1000::double as nearest from subs")
 def word_offsets(spark, d):
     offsets = F.transform(F.array(*map(F.lit, (1, 3, 7))), lambda w: F.struct(F.lit("w").alias("word"), (F.floor(F.col("start") / 20) + w).alias("start_offset"), F.lit(0).alias("end_offset")))
-    return V.subs(spark, d).select("file_id", "idx", F.transform(A.word_times(offsets, 0.02), lambda x: x["start_time"]).alias("starts"), A.nearest20_seconds(F.col("end")).cast("double").alias("nearest"))
+    times = A.word_times(offsets, 0.02)
+    return V.subs(spark, d).select("file_id", "idx", *(F.element_at(times, i)["start_time"].alias(n) for i, n in ((1, "first"), (-1, "last"))), A.nearest20_seconds(F.col("end")).cast("double").alias("nearest"))
 
 
 @query(f"""with {SCORED}, l as (unpivot (select doc_id, source, n_chars, as_run, w_bleu >= 0.4 as stage1, w_bleu >= 0.8 as stage2 from sc) on stage1, stage2 into name stage value value)
@@ -627,13 +628,13 @@ def folder_rollup(spark, d):
     return stats.folder_stats(shards.withColumns(rest)).select("folder", "n", "n_words", F.col("is_total").cast("int").alias("is_total"))
 
 
-@query(f"with {PROBS} select doc_id, list_filter(['sv', 'haw', 'no'], lambda x: doc_id % 2 = 0 or x <> 'no') as langs, case when doc_id % 3 = 0 then 50273 when doc_id % 3 = 1 then 50259 end as number, 'x/wav2vec2-b' as model from probs")
+@query(f"with {PROBS} select doc_id, array_to_string(list_filter(['sv', 'haw', 'no'], lambda x: doc_id % 2 = 0 or x <> 'no'), ',') as langs, case when doc_id % 3 = 0 then 50273 when doc_id % 3 = 1 then 50259 end as number, 'x/wav2vec2-b' as model from probs")
 def token_tables(spark, d):
     n = F.col("doc_id")
     tokens = F.concat(F.array(*map(F.lit, ("<|sv|>", "<|transcribe|>", "<|haw|>"))), F.when(n % 2 == 0, F.array(F.lit("<|no|>"))).otherwise(F.array().cast("array<string>")))
     code = F.when(n % 3 == 0, "sv").when(n % 3 == 1, "en").otherwise("zz")
     models_ = F.array(F.lit("openai/whisper"), F.lit("x/wav2vec2-a"), F.lit("x/wav2vec2-b"))
-    return table(spark, d, "documents").select("doc_id", A.token_languages(tokens).alias("langs"), A.language_id(code).cast("int").alias("number"), A.model_of_kind(models_, "wav2vec2").alias("model"))
+    return table(spark, d, "documents").select("doc_id", F.array_join(A.token_languages(tokens), ",").alias("langs"), A.language_id(code).cast("int").alias("number"), A.model_of_kind(models_, "wav2vec2").alias("model"))
 
 
 # Reports and parsing
