@@ -628,13 +628,13 @@ def folder_rollup(spark, d):
     return stats.folder_stats(shards.withColumns(rest)).select("folder", "n", "n_words", F.col("is_total").cast("int").alias("is_total"))
 
 
-@query(f"with {PROBS} select doc_id, array_to_string(list_filter(['sv', 'haw', 'no'], lambda x: doc_id % 2 = 0 or x <> 'no'), ',') as langs, case when doc_id % 3 = 0 then 50273 when doc_id % 3 = 1 then 50259 end as number, 'x/wav2vec2-b' as model from probs")
+@query(f"with {PROBS} select doc_id, array_to_string(list_filter(['sv', 'haw', 'no'], lambda x: doc_id % 2 = 0 or x <> 'no'), ',') as langs, case when doc_id % 3 = 0 then 50273 when doc_id % 3 = 1 then 50259 else 0 end as number, 'x/wav2vec2-b' as model from probs")
 def token_tables(spark, d):
     n = F.col("doc_id")
     tokens = F.concat(F.array(*map(F.lit, ("<|sv|>", "<|transcribe|>", "<|haw|>"))), F.when(n % 2 == 0, F.array(F.lit("<|no|>"))).otherwise(F.array().cast("array<string>")))
     code = F.when(n % 3 == 0, "sv").when(n % 3 == 1, "en").otherwise("zz")
     models_ = F.array(F.lit("openai/whisper"), F.lit("x/wav2vec2-a"), F.lit("x/wav2vec2-b"))
-    return table(spark, d, "documents").select("doc_id", F.array_join(A.token_languages(tokens), ",").alias("langs"), A.language_id(code).cast("int").alias("number"), A.model_of_kind(models_, "wav2vec2").alias("model"))
+    return table(spark, d, "documents").select("doc_id", F.array_join(A.token_languages(tokens), ",").alias("langs"), F.coalesce(A.language_id(code).cast("int"), F.lit(0)).alias("number"), A.model_of_kind(models_, "wav2vec2").alias("model"))
 
 
 # Reports and parsing
