@@ -1,31 +1,54 @@
-"""Scores of pairs of texts as column expressions."""
+"""Scores of pairs of texts as column expressions: what has no Spark function, edits of words and matches of n-grams, is
+counted over Arrow batches by bit vectors and by sorting; the scores are expressions over these counts."""
 
 from __future__ import annotations
 
 import functools
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
+from scribemill.functions import edits as E
 from scribemill.functions.text import split_words
 
 
-def bound(f, *values: Column) -> Column:
-    """f(*values), with each value computed once however often f uses it: as the element of a one-element array."""
-    if not values:
-        return f()
-    return F.get(F.transform(F.array(values[0]), lambda x: bound(functools.partial(f, x), *values[1:])), F.lit(0))
+@F.arrow_udf(IntegerType())
+def list_edits(a: pa.Array, b: pa.Array) -> pa.Array:
+    codes_a, of_a, codes_b, of_b, _ = E.coded_lists(a, b)
+    x, y = codes_a.tolist(), codes_b.tolist()
+    out = [E.edit_distance(x[i:k], y[j:m]) for i, k, j, m in zip(of_a, of_a[1:], of_b, of_b[1:], strict=False)]
+    return pa.array(out, pa.int32(), mask=nulls(a, b))
 
 
-def as_characters(words: Column, known: Column) -> Column:
-    """A string with one character for each word: the word's number among the known ones."""
-    return F.array_join(F.transform(words, lambda w: F.decode(F.unhex(F.lpad(F.hex(F.array_position(known, w) + 0xFFFF), 8, "0")), "UTF-32")), "")
+@F.arrow_udf(IntegerType())
+def character_edits(a: pa.Array, b: pa.Array) -> pa.Array:
+    return pa.array([None if x is None or y is None else E.edit_distance(x, y) for x, y in zip(a.to_pylist(), b.to_pylist(), strict=True)], pa.int32())
+
+
+@F.arrow_udf(IntegerType())
+def common_characters(a: pa.Array, b: pa.Array) -> pa.Array:
+    return pa.array([None if x is None or y is None else E.common_length(x, y) for x, y in zip(a.to_pylist(), b.to_pylist(), strict=True)], pa.int32())
+
+
+@F.arrow_udf(ArrayType(IntegerType()))
+def list_matches(a: pa.Array, b: pa.Array) -> pa.Array:
+    """Matching n-grams of orders 1 to 4, and the numbers of items."""
+    codes_a, of_a, codes_b, of_b, _ = E.coded_lists(a, b)
+    found = np.column_stack([E.matched_ngrams(codes_a, of_a, codes_b, of_b), np.diff(of_a), np.diff(of_b)]).astype(np.int32)
+    offsets = pa.array(np.arange(len(found) + 1, dtype=np.int32) * 6)
+    return pa.ListArray.from_arrays(offsets, pa.array(found.ravel(), pa.int32()), mask=pa.array(nulls(a, b)))
+
+
+def nulls(*columns: pa.Array) -> np.ndarray:
+    return np.any([x.is_null().to_numpy(zero_copy_only=False) for x in columns], axis=0)
 
 
 def word_edits(reference: Column, hypothesis: Column) -> Column:
     """Levenshtein distance in words."""
-    edits = lambda a, b: bound(lambda known: F.levenshtein(as_characters(a, known), as_characters(b, known)), F.array_distinct(F.concat(a, b)))
-    return bound(edits, split_words(reference), split_words(hypothesis))
+    return list_edits(split_words(reference), split_words(hypothesis))
 
 
 def wer(reference: Column, hypothesis: Column) -> Column:
@@ -35,7 +58,7 @@ def wer(reference: Column, hypothesis: Column) -> Column:
 
 def cer(reference: Column, hypothesis: Column) -> Column:
     """Character error rate; null for an empty reference."""
-    return F.levenshtein(reference, hypothesis) / F.nullif(F.length(reference), F.lit(0))
+    return character_edits(reference, hypothesis) / F.nullif(F.length(reference), F.lit(0))
 
 
 def edge_cer(text: Column, transcription: Column, n: int = 10, tail: bool = False) -> Column:
@@ -46,47 +69,25 @@ def edge_cer(text: Column, transcription: Column, n: int = 10, tail: bool = Fals
     return F.when(longest == 0, F.lit(0.0)).otherwise(F.levenshtein(a, b) / longest)
 
 
-def ngrams(words: Column, n: int) -> Column:
-    return F.when(F.size(words) >= n, F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), lambda i: F.array_join(F.slice(words, i, n), "\x01"))).otherwise(F.array().cast("array<string>"))
-
-
-def overlap(a: Column, b: Column) -> Column:
-    """n-grams of b that a has too, each as often as it stands in both.
-
-    In order, an n-gram's places in a come before those in b: each of b uses up one of a, if one is left.
-    """
-    tagged = lambda x, side: F.transform(x, lambda g: F.struct(g.alias("g"), F.lit(side).alias("side")))
-    state = lambda g, left, n: F.struct(g.alias("g"), left.alias("left"), n.alias("n"))
-
-    def step(s, x):
-        left = F.when(s["g"] == x["g"], s["left"]).otherwise(0)
-        used = (x["side"] == 1) & (left > 0)
-        return state(x["g"], left + F.when(used, -1).when(x["side"] == 0, 1).otherwise(0), s["n"] + used.cast("int"))
-
-    return F.aggregate(F.sort_array(F.concat(tagged(a, 0), tagged(b, 1))), state(F.lit(""), F.lit(0), F.lit(0)), step)["n"]
-
-
 def bleu(reference: Column, hypothesis: Column, weights: tuple = (0.25, 0.25, 0.25, 0.25)) -> Column:
     """Sentence BLEU; orders without a match count 1 / (2^k * 5 / ln(length)), k = 1, 2, ... over these orders.
 
     0 without a common word; null if a text is null. With weights (0, .25, .5, .25) words alone do not count.
     """
-    matches = lambda a, b: F.array(*(overlap(ngrams(a, n), ngrams(b, n)) for n in range(1, 5)))
-
-    def score(m: Column, r: Column, h: Column) -> Column:
-        missed, terms = F.lit(0), []
-        for n, weight in enumerate(weights, 1):
-            match = F.get(m, F.lit(n - 1))
-            missed = missed + F.when(match == 0, 1).otherwise(0)
-            smooth = F.when(h > 1, F.log(h.cast("double")) / (F.pow(F.lit(2.0), missed) * 5)).otherwise(F.lit(0.0))
-            p = F.when(match > 0, match.cast("double")).otherwise(smooth) / F.greatest(F.lit(1), h - n + 1)
-            if weight:
-                terms.append(F.when(p > 0, F.log(p) * weight).otherwise(F.lit(0.0)))
-        brevity = F.when(h > r, F.lit(1.0)).when(h > 0, F.exp(1 - r / h)).otherwise(F.lit(0.0))
-        return F.when(F.get(m, F.lit(0)) == 0, F.lit(0.0)).otherwise(brevity * F.exp(functools.reduce(lambda x, y: x + y, terms)))
-
-    found = bound(lambda a, b: bound(score, matches(a, b), F.size(a), F.size(b)), split_words(reference), split_words(hypothesis))
-    return F.when(reference.isNotNull() & hypothesis.isNotNull(), found)
+    # one call, whatever uses it
+    found = list_matches(split_words(reference), split_words(hypothesis))
+    r, h = F.get(found, F.lit(4)), F.get(found, F.lit(5))
+    missed, terms = F.lit(0), []
+    for n, weight in enumerate(weights, 1):
+        match = F.get(found, F.lit(n - 1))
+        missed = missed + F.when(match == 0, 1).otherwise(0)
+        smooth = F.when(h > 1, F.log(h.cast("double")) / (F.pow(F.lit(2.0), missed) * 5)).otherwise(F.lit(0.0))
+        p = F.when(match > 0, match.cast("double")).otherwise(smooth) / F.greatest(F.lit(1), h - n + 1)
+        if weight:
+            terms.append(F.when(p > 0, F.log(p) * weight).otherwise(F.lit(0.0)))
+    brevity = F.when(h > r, F.lit(1.0)).when(h > 0, F.exp(1 - r / h)).otherwise(F.lit(0.0))
+    score = F.when(F.get(found, F.lit(0)) == 0, F.lit(0.0)).otherwise(brevity * F.exp(functools.reduce(lambda x, y: x + y, terms)))
+    return F.when(reference.isNotNull() & hypothesis.isNotNull(), score)
 
 
 RECALL_WEIGHTS = (0, 0.25, 0.5, 0.25)
@@ -98,22 +99,9 @@ def rouge(reference: Column, hypothesis: Column) -> Column:
 
 
 def indel_ratio(a: Column, b: Column) -> Column:
-    """100 * (1 - insertions and deletions / total length); 100 for two empty strings.
-
-    The longest common subsequence is a fold over a's characters of a row of lengths over b's.
-    """
-    letters = lambda x: F.filter(F.split(x, ""), lambda c: c != "")
-
-    def ratio(x: Column, y: Column) -> Column:
-        def step(row, c):
-            better = lambda new, j: F.when(F.element_at(y, j) == c, F.element_at(row, j) + 1).otherwise(F.greatest(F.element_at(row, j + 1), F.element_at(new, j)))
-            return F.aggregate(F.sequence(F.lit(1), F.size(y)), F.array(F.lit(0)), lambda new, j: F.concat(new, F.array(better(new, j))))
-
-        common = F.when((F.size(x) == 0) | (F.size(y) == 0), 0).otherwise(F.element_at(F.aggregate(x, F.array_repeat(F.lit(0), F.size(y) + 1), step), -1))
-        total = F.size(x) + F.size(y)
-        return F.when(total == 0, F.lit(100.0)).otherwise(200.0 * common / total)
-
-    return F.when(a.isNotNull() & b.isNotNull(), bound(ratio, letters(a), letters(b)))
+    """100 * (1 - insertions and deletions / total length); 100 for two empty strings."""
+    total = F.length(a) + F.length(b)
+    return F.when(total == 0, F.lit(100.0)).otherwise(200.0 * common_characters(a, b) / F.nullif(total, F.lit(0)))
 
 
 def first_word(text: Column) -> Column:

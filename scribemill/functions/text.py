@@ -1,19 +1,22 @@
-"""Text functions: column expressions, and one Arrow UDF where Spark has no function (numbers in words, NFKC)."""
+"""Text functions: column expressions, and Arrow UDFs where Spark has no function (numbers in words, NFKC, word differences)."""
 
 from __future__ import annotations
 
-import difflib
 import functools
 import html
 import re
 import string
 import unicodedata
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from scribemill.functions import edits as E
+
 # Spellings, abbreviations and symbols, replaced in this order.
 CORRECTIONS = [
     ("bl.a", "bl.a."), ("d.v.s ", "d.v.s. "), ("d. v.s.", "d.v.s."), ("fr.o.m", "fr.o.m."), ("kungl. maj: t", "kungl. maj:t"), ("m. m.", "m.m."), ("m.m ", "m.m. "),
@@ -41,7 +44,6 @@ CAPITALS = r"(?U)\b[A-ZÅÄÖ]+\b(?:\s+\b[A-ZÅÄÖ]+\b)*"
 
 UNITS = "noll ett två tre fyra fem sex sju åtta nio tio elva tolv tretton fjorton femton sexton sjutton arton nitton".split()
 TENS = "_ _ tjugo trettio fyrtio femtio sextio sjuttio åttio nittio".split()
-LARGE = [(10**9, "miljard"), (10**6, "miljon")]
 
 
 def rewritten(text: Column, rules: list[tuple[str, str]]) -> Column:
@@ -73,7 +75,7 @@ def delete_punctuation(text: Column) -> Column:
 
 
 def swedish(n: int) -> str:
-    """A whole number in Swedish words."""
+    """A whole number below a billion (10^9) in Swedish words."""
     if n < 20:
         return UNITS[n]
     if n < 100:
@@ -82,17 +84,40 @@ def swedish(n: int) -> str:
         return UNITS[n // 100] + "hundra" + (swedish(n % 100) if n % 100 else "")
     if n < 10**6:
         return swedish(n // 1000) + "tusen" + (" " + swedish(n % 1000) if n % 1000 else "")
-    size, name = next((s, w) for s, w in LARGE if n >= s)
-    many = f"en {name}" if n // size == 1 else f"{swedish(n // size)} {name}er"
-    return many + (" " + swedish(n % size) if n % size else "")
+    many = "en miljon" if n // 10**6 == 1 else f"{swedish(n // 10**6)} miljoner"
+    return many + (" " + swedish(n % 10**6) if n % 10**6 else "")
+
+
+def swedish_digits(digits: str) -> str:
+    """A run of decimal digits of any length in Swedish words: nine digits at a time, each group that is followed by
+    another a number of billions (miljarder) of it."""
+    digits = digits.lstrip("0") or "0"
+    first = len(digits) % 9 or 9
+    groups = [int(digits[:first]), *(int(digits[k : k + 9]) for k in range(first, len(digits), 9))]
+    words = [swedish(groups[0])]
+    for k, group in enumerate(groups[1:]):
+        if k == 0 and groups[0] == 1:
+            words = ["en miljard"]
+        else:
+            words.append("miljarder")
+        if group:
+            words.append(swedish(group))
+    return " ".join(words)
 
 
 @F.pandas_udf(StringType())
-def spoken(text: pd.Series) -> pd.Series:
-    """Runs of digits in words, no ASCII punctuation, NFKC: all that has no Spark function, in one call."""
+def spelled(text: pd.Series) -> pd.Series:
+    """Runs of decimal digits in words, no ASCII punctuation, NFKC: all that has no Spark function, in one call."""
     drop = str.maketrans("", "", string.punctuation)
     number = re.compile(r"\d+")
-    return text.map(lambda t: unicodedata.normalize("NFKC", number.sub(lambda m: swedish(int(m[0])), t).translate(drop)), na_action="ignore")
+    plain = lambda run: run if run.isascii() else "".join(str(unicodedata.decimal(c)) for c in run)
+    return text.map(lambda t: unicodedata.normalize("NFKC", number.sub(lambda m: swedish_digits(plain(m[0])), t).translate(drop)), na_action="ignore")
+
+
+def spoken(text: Column) -> Column:
+    """The same; ASCII texts without digits, which lose their punctuation only, do not go through Python."""
+    plain = F.regexp_like(text, F.lit(r"^[\x00-\x2f\x3a-\x7f]*\z"))
+    return F.when(plain, delete_punctuation(text)).otherwise(spelled(F.when(~plain, text)))
 
 
 @F.pandas_udf(StringType())
@@ -160,11 +185,24 @@ def seconds_token(ms: Column, mark: str = "<", end: str = ">") -> Column:
     return F.concat(F.lit(mark), whole.cast("string"), F.lit("."), F.lpad((hundredths - whole * 100).cast("string"), 2, "0"), F.lit(end))
 
 
-@F.udf(StringType())
-def difference_html(reference, hypothesis):
-    """Words of a line-up of two texts, with <del> and <ins> around those of one text only."""
-    if reference is None or hypothesis is None:
-        return None
-    marks = {"- ": "<del>{}</del>", "+ ": "<ins>{}</ins>", "  ": "{}"}
-    parts = difflib.ndiff(reference.split(), hypothesis.split())
-    return " ".join(marks[x[:2]].format(html.escape(x[2:])) for x in parts if x[:2] in marks)
+@F.arrow_udf(StringType())
+def marked_words(reference: pa.Array, hypothesis: pa.Array) -> pa.Array:
+    codes_a, of_a, codes_b, of_b, known = E.coded_lists(reference, hypothesis)
+    words = [html.escape(w) for w in known.to_pylist()]
+    x, y = codes_a.tolist(), codes_b.tolist()
+    marks = {"=": "{}", "-": "<del>{}</del>", "+": "<ins>{}</ins>"}
+    out = []
+    for i, k, j, m in zip(of_a, of_a[1:], of_b, of_b[1:], strict=False):
+        a, b = x[i:k], y[j:m]
+        script = E.edit_script(a, b)
+        out.append(" ".join(marks[kind].format(words[w]) for kind, s, t, n in script for w in (b[t : t + n] if kind == "+" else a[s : s + n])))
+    missing = np.any([c.is_null().to_numpy(zero_copy_only=False) for c in (reference, hypothesis)], axis=0)
+    return pa.array(out, pa.string(), mask=missing)
+
+
+def difference_html(reference: Column, hypothesis: Column) -> Column:
+    """Words of a line-up of two texts, with <del> and <ins> around those of one text only; null if a text is null.
+
+    A shortest script of deletions and insertions is shown; where several are, another one than other tools show.
+    """
+    return marked_words(split_words(reference), split_words(hypothesis))

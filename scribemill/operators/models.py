@@ -26,7 +26,7 @@ def loaded(name: str, factory: Callable):
 
 def with_model(rows: DataFrame, column: str, output: str, kind: str, factory: Callable, batch: int = 16, name: str | None = None) -> DataFrame:
     """Adds what the model says about a column. factory() gives the model: a callable from a list to a list as long.
-    name: what the model is kept under (None: one for this call). Nulls go to the model as None; a column of the
+    name: what the model is kept under in each worker process, for later calls that meet the process (None: for this call). Nulls go to the model as None; a column of the
     output's name is replaced; an empty table gives none."""
     token = name or uuid.uuid4().hex
 

@@ -128,7 +128,7 @@ def chunk_pack_exclude(spark, d):
     return sequence.pack_chunks(silence_fill(spark, d), flush_marked=False, exclude=("|",), remove=(r"\w+ing\b", "  +"))
 
 
-@query(f"""with recursive {LINES}, o as (select *, row_number() over (partition by file_id order by idx) as k from subs where file_id % 4 = 0 or true),
+@query(f"""with recursive {LINES}, o as (select *, row_number() over (partition by file_id order by idx) as k from subs),
 b as (select file_id, k, idx, start, "end", 0 as bucket, start as anchor from o where k = 1 union all
  select o.file_id, o.k, o.idx, o.start, o."end", case when o."end" - b.anchor >= 30000 then b.bucket + 1 else b.bucket end, case when o."end" - b.anchor >= 30000 then o.start else b.anchor end from b join o on o.file_id = b.file_id and o.k = b.k + 1)
 select file_id, idx, start, "end", bucket, "end" - anchor as since from b""")
@@ -332,9 +332,9 @@ def macro_wer(spark, d):
     return rows.groupBy("source").agg(F.round(F.avg("wer"), 9).alias("wer"), F.count("*").alias("n"))
 
 
-@query()  # difflib
+@query()  # no shortest edit script in DuckDB; tested against a table of longest common subsequences
 def ndiff_html(spark, d):
-    return V.pairs(spark, d).select("pair_id", T.difference_html("ref", "hyp_b").alias("diff"))
+    return V.pairs(spark, d).select("pair_id", T.difference_html(F.col("ref"), F.col("hyp_b")).alias("diff"))
 
 
 @query()  # normalisation and smoothing as above; tested against plain Python

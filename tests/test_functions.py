@@ -1,13 +1,17 @@
 import collections
 import math
+import random
+import re
 import string
 import unicodedata
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from scribemill.functions import arrays as A
+from scribemill.functions import edits as E
 from scribemill.functions import metrics as M
 from scribemill.functions import text as T
 
@@ -53,6 +57,65 @@ def lcs(a, b):
     return row[-1]
 
 
+def random_pairs(n=1500, seed=1):
+    r = random.Random(seed)
+    for _ in range(n):
+        k = r.randint(1, 5)
+        yield [r.randrange(k) for _ in range(r.randint(0, 12))], [r.randrange(k) for _ in range(r.randint(0, 12))]
+    for n in (63, 64, 65, 130, 300):
+        a = [r.randrange(20) for _ in range(n)]
+        b = [x if r.random() < 0.9 else r.randrange(20) for x in a if r.random() < 0.8]
+        yield from ((a, b), (b, a), (a, a), (a, []))
+
+
+def test_edits():
+    for a, b in random_pairs():
+        common = lcs(a, b)
+        assert E.edit_distance(a, b) == edits(a, b) and E.common_length(a, b) == common
+        i, out, changes = 0, [], 0
+        for kind, x, y, n in E.edit_script(a, b):
+            assert x == i and y == len(out) and n > 0
+            if kind == "=":
+                assert a[x : x + n] == b[y : y + n]
+            changes += n * (kind != "=")
+            i += n * (kind != "+")
+            out += [] if kind == "-" else b[y : y + n]
+        assert i == len(a) and out == b and changes == len(a) + len(b) - 2 * common
+    assert E.edit_distance("kitten", "sitting") == 3 and E.common_length("", "a") == 0
+
+
+def test_matched_ngrams():
+    pairs = list(random_pairs(300, 2))
+    as_lists = [pa.array([None if k == 7 else [str(x) for x in p[side]] for k, p in enumerate(pairs)], pa.list_(pa.string())) for side in (0, 1)]
+    for cut in (slice(0, None), slice(5, 40)):
+        a, of_a, b, of_b, _ = E.coded_lists(*(x[cut] for x in as_lists))
+        grams = lambda x, n: collections.Counter(tuple(x[i : i + n]) for i in range(len(x) - n + 1))
+        want = [[0 if k == 7 else sum((grams(x, n) & grams(y, n)).values()) for n in range(1, 5)] for k, (x, y) in list(enumerate(pairs))[cut]]
+        assert E.matched_ngrams(a, of_a, b, of_b).tolist() == want
+    assert E.matched_ngrams(*[np.zeros(k, np.int64) for k in (0, 3, 0, 3)]).tolist() == [[0] * 4] * 2
+
+
+def test_word_differences(spark):
+    a, b = F.col("a"), F.col("b")
+    rows = [("a b c", "a x c"), ("a <b>", "a"), ("", "x y"), ("", ""), (None, "a"), ("a", None), ("same \u00a0 words", "same words")]
+    got = values(spark, rows, "a string, b string", d=T.difference_html(a, b))
+    assert [x[0] for x in got] == ["a <del>b</del> <ins>x</ins> c", "a <del>&lt;b&gt;</del>", "<ins>x</ins> <ins>y</ins>", "", None, None, "same words"]
+
+
+def test_scores_of_long_texts(spark):
+    """Texts of many words, whole, and the scores of one pair from one call."""
+    r = random.Random(3)
+    x = [str(r.randrange(9000)) for _ in range(4000)]
+    y = [w if k % 7 else "x" for k, w in enumerate(x)]
+    rows = [(" ".join(x), " ".join(y))]
+    a, b = F.col("a"), F.col("b")
+    wer, bleu, ratio = values(spark, rows, "a string, b string", w=M.wer(a, b), b=M.bleu(a, b), r=M.indel_ratio(F.left(a, F.lit(3000)), F.left(b, F.lit(3000))))[0]
+    assert wer == sum(p != q for p, q in zip(x, y, strict=True)) / 4000 and bleu == pytest.approx(plain_bleu(*rows[0]))
+    assert ratio == pytest.approx(200 * lcs(rows[0][0][:3000], rows[0][1][:3000]) / 6000)
+    plan = spark.createDataFrame(rows, "a string, b string").select(M.bleu(a, b), M.bleu(a, b, M.RECALL_WEIGHTS), M.wer(a, b))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and set(re.findall(r"pythonUDF\d+", plan)) == {"pythonUDF0", "pythonUDF1"}
+
+
 def test_scores_of_pairs(spark):
     pairs = [(a, b) for a in TEXTS for b in TEXTS]
     a, b = F.col("a"), F.col("b")
@@ -70,7 +133,10 @@ def test_scores_of_pairs(spark):
 
 def test_numbers_in_words():
     want = {0: "noll", 7: "sju", 19: "nitton", 21: "tjugoett", 80: "åttio", 100: "etthundra", 123: "etthundratjugotre", 2000: "tvåtusen", 1_000_000: "en miljon", 2_500_000: "två miljoner femhundratusen"}
-    assert {n: T.swedish(n) for n in want} == want
+    assert {n: T.swedish_digits(str(n)) for n in want} == want
+    more = {"0007": "sju", "000": "noll", "1000000000": "en miljard", "2000000001": "två miljarder ett", "1" + "0" * 18: "en miljard miljarder", "5" + "0" * 17 + "5": "fem miljarder miljarder fem"}
+    assert {n: T.swedish_digits(n) for n in more} == more
+    assert T.swedish_digits("3" + "0" * 4999) == "trettiotusen" + " miljarder" * 555
 
 
 def test_normalisation(spark):
@@ -79,6 +145,8 @@ def test_normalisation(spark):
     got = values(spark, rows, "t string", a=T.normalize_text(c), b=T.normalize_text_svt(c))
     assert [x[0] for x in got] == ["bland annat tjugoett äpplen till exempel femtioprocent", "finfin x ö–ö", None, ""]
     assert got[1][1] == "fin fin ö ö" and got[2] == (None, None) and got[3] == ("", "")
+    long = values(spark, [("9" * 5000,), ("a\u0663b",), ("x-y\n",)], "t string", a=T.normalize_text(c))
+    assert long[0][0].count("miljarder") == 555 and [x[0] for x in long[1:]] == ["atreb", "xy"]
     bare = values(spark, [(string.punctuation + "a",)], "t string", a=T.delete_punctuation(c))
     assert bare == [("a",)]
 

@@ -1,4 +1,5 @@
 import random
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -274,14 +275,20 @@ def test_names_and_lists(spark):
     assert D.with_audio(files, spark.createDataFrame([("/x/a.wav",)] * 2, "path string")).count() == 1
 
 
-def test_a_model_is_kept_under_its_name(spark):
-    rows = spark.createDataFrame([("a", "old"), (None, "old")], "text string, out string").coalesce(1)
+def test_a_model_is_loaded_once_a_process(spark):
+    """Whatever processes the jobs meet, each has loaded the model of one name once; unnamed models are loaded anew."""
+    rows = spark.createDataFrame([("a", "old"), (None, "old"), ("b", None)], "text string, out string").repartition(3)
 
     def factory():
+        import os
         import uuid
 
-        mark = uuid.uuid4().hex
+        mark = f"{os.getpid()} {uuid.uuid4().hex}"
         return lambda xs: [mark for _ in xs]
 
-    got = [models.with_model(rows, "text", "out", "string", factory, name="kept").collect() for _ in range(2)]
-    assert len({r["out"] for x in got for r in x}) == 1 and rows.columns == ["text", "out"]
+    def marks(**options):
+        return {r["out"] for _ in range(3) for r in models.with_model(rows, "text", "out", "string", factory, **options).collect()}
+
+    named = marks(name=f"kept {uuid.uuid4()}")
+    assert len(named) == len({x.split()[0] for x in named}) and rows.columns == ["text", "out"]
+    assert len(marks()) >= 3

@@ -59,13 +59,6 @@ def test_scores_of_whole_lines(spark, folder):
     assert Q.fuzzy_first_last(spark, folder).count() == Q.ndiff_html(spark, folder).count() == len(pairs)
 
 
-def test_a_character_for_each_of_many_words(spark):
-    known = F.transform(F.sequence(F.lit(0), F.lit(59_999)), lambda k: k.cast("string"))
-    asked = F.array(*map(F.lit, ["0", "35400", "36000", "50000", "59999"]))
-    got = spark.range(1).select(M.as_characters(asked, known).alias("x")).first()["x"]
-    assert len(set(got)) == len(got) == 5
-
-
 def test_live_mark_of_all_lines(spark, folder):
     want = {}
     for doc_id, text, *_ in long_documents():
