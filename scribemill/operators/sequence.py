@@ -12,12 +12,15 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
+from scribemill.operators.folds import jump_fold
+
 SILENCE = "<|silence|>"
 
 
@@ -230,63 +233,42 @@ def pack_many(subs: DataFrame, ranges: list[tuple[int, int]], surround: bool = T
     return by_key(rows, "file_id", "idx", ["start", "end", "text", "marked"], CHUNK, fold)
 
 
-def numbered(rows: DataFrame, key: str, order: str, inputs: list[str], outputs: str, step) -> DataFrame:
-    """Rows with new columns from a fold over each key's rows in order: step(state, *inputs) -> (state, *outputs).
-
-    For folds without a closed form. Every row passes once, with all its columns, so ties and equal rows stay rows of
-    their own; columns of the outputs' names are replaced.
-    """
-    names = [x.split()[0] for x in outputs.split(", ")]
-    rows = rows.drop(*names)
-    schema = StructType([*rows.schema.fields, *_parse_datatype_string(outputs).fields])
-    kinds = [f.type for f in to_arrow_schema(schema)][len(rows.columns) :]
-
-    def run(batches):
-        held, state, begun = None, None, False
-        for batch in batches:
-            made = []
-            keys = batch.column(batch.schema.get_field_index(key)).to_pylist()
-            values = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in inputs]
-            for k, *x in zip(keys, *values, strict=True):
-                if not begun or k != held:
-                    held, state, begun = k, None, True
-                state, *new = step(state, *x)
-                made.append(new)
-            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array([m[i] for m in made], t) for i, t in enumerate(kinds))], names=[*batch.schema.names, *names])
-
-    return rows.repartition(key).sortWithinPartitions(key, order).mapInArrow(run, schema)
-
-
 def bucket_spans(subs: DataFrame, limit: int = 30_000) -> DataFrame:
     """Adds bucket and since (ms from the bucket's start to the row's end): a row that ends `limit` ms or more after the
-    bucket's start opens the next one, which starts where the row does. Rows without times stay in the bucket."""
+    bucket's start opens the next one, which starts where the row does. Rows without times stay in the bucket. One file
+    may hold all rows (`jump_fold`)."""
 
     def step(state, start, end):
-        bucket, anchor = state or (0, start)
+        bucket, anchor = state
         if start is None or end is None:
-            return state, bucket, None
+            return state, None, None, bucket, None
         anchor = start if anchor is None else anchor
         if end - anchor >= limit:
             bucket, anchor = bucket + 1, start
-        return (bucket, anchor), bucket, end - anchor
+        return (bucket, anchor), end, start, bucket, end - anchor
+
+    def numbers(before, opened, open_at, inputs):
+        times = zip(*(x.to_pylist() for x in inputs), open_at.tolist(), strict=True)
+        return opened, [None if start is None or end is None else end - at for start, end, at in times]
 
-    return numbered(subs, "file_id", "idx", ["start", "end"], "bucket int, since long", step)
+    return jump_fold(subs, "file_id", "idx", ["start", "end"], "bucket int, since long", lambda: (0, None), step, numbers, limit, sums=False)
 
 
 def shard_by_duration(rows: DataFrame, key: str, order: str, duration: str, limit: int = 90_000_000) -> DataFrame:
     """Adds shard, from 1: the row that takes the sum over the limit closes the shard, and the sum starts anew. A
-    null duration is 0.
-
-    The order is total within a key, so a key's sums are one task's; give large inputs a key of bounded groups.
-    """
+    duration is a whole number, null is 0. One key may hold all rows (`jump_fold`)."""
 
     def step(state, length):
-        shard, total = state or (1, 0)
-        length = length or 0
-        over = total + length > limit
-        return (shard + over, 0 if over else total + length), shard
+        opened, total, upto = state
+        total, upto = total + (length or 0), upto + (length or 0)
+        over = total > limit
+        return (opened + over, 0 if over else total, upto), upto, upto, opened + 1
+
+    def numbers(before, opened, open_at, inputs):
+        # the row that opens the next shard is the last of its own
+        return (np.concatenate([[before], opened[:-1]]) + 1,)
 
-    return numbered(rows, key, order, [duration], "shard int", step)
+    return jump_fold(rows, key, order, [duration], "shard int", lambda: (0, 0, 0), step, numbers, limit + 1, sums=True)
 
 
 def row_numbers(rows: DataFrame, key: str, order: str, name: str = "index", width: int = 4096) -> DataFrame:
