@@ -10,6 +10,7 @@ windows (nulls first, ties in any order).
 
 from __future__ import annotations
 
+import functools
 import re
 
 import numpy as np
@@ -20,6 +21,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
 from scribemill.operators.folds import jump_fold
+from scribemill.operators.seen import SeenTexts
+from scribemill.operators.tables import stored
 
 SILENCE = "<|silence|>"
 
@@ -73,19 +76,57 @@ def mark_live(subs: DataFrame) -> DataFrame:
     return rows.withColumn("live", live).select(*subs.columns, "live")
 
 
-def mark_duplicates(subs: DataFrame, lookback: int = 4, scope: str = "global", offset: bool = True) -> DataFrame:
+#: a text that more than one in so many rows have is frequent
+FREQUENT = 1000
+#: bytes of frequent texts that are broadcast
+FREQUENT_BYTES = 16 << 20
+
+
+def with_first_places(subs: DataFrame, first: DataFrame, keys: list[str]) -> DataFrame:
+    """subs with `first` of their text, from rows (*keys, first, n) of every text.
+
+    The few texts that one in FREQUENT rows or more have meet their rows by a broadcast, if they are not too long for it;
+    rows of these go through the join of all others under keys that no text has, spread over its tasks.
+    """
+    total = first.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    often = first.where(F.col("n") * FREQUENT > total)
+    size = often.agg(F.coalesce(F.sum(F.octet_length("text") + 64), F.lit(0))).first()[0]
+    names = [f"__{k}" for k in keys]
+    equal = lambda left, right: functools.reduce(lambda a, b: a & b, (F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right, strict=True)))
+    if size > FREQUENT_BYTES:
+        renamed = first.select(*(F.col(k).alias(n) for k, n in zip(keys, names, strict=True)), "first")
+        return subs.join(renamed, equal(keys, names)).drop(*names)
+    of_often = often.select(*(F.col(k).alias(n) for k, n in zip(keys, names, strict=True)), F.col("first").alias("__often"))
+    rows = subs.join(F.broadcast(of_often), equal(keys, names), "left").drop(*names)
+    spread = F.concat(F.lit("\x00"), F.xxhash64("file_id", "idx").cast("string"))
+    rows = rows.withColumn("__asked", F.when(F.col("__often").isNotNull(), spread).otherwise(F.col("text")))
+    seldom = first.select(*(F.col(k).alias(n) for k, n in zip(keys, names, strict=True)), F.col("first").alias("__seldom"))
+    asked = ["__asked" if k == "text" else k for k in keys]
+    rows = rows.join(seldom, equal(asked, names), "left")
+    return rows.withColumn("first", F.coalesce("__often", "__seldom")).drop("__often", "__seldom", "__asked", *names)
+
+
+def mark_duplicates(subs: DataFrame, lookback: int = 4, scope: str = "global", offset: bool = True, seen: SeenTexts | None = None, run: str = "") -> DataFrame:
     """Adds duplicate: runs of at least `lookback` rows whose text was met before, in the file or (scope global) in a
     file of a lower file_id. With `offset` the mark stands one row early, as far as the last `lookback` rows of the
-    file, and from its first row goes round to its last; without it, on the run itself.
+    file, and from its first row goes round to its last; without it, on the run itself. `seen` holds the texts of
+    earlier runs (of lower `run`), which count as met before (scope global).
 
     Whether a text was met before is a matter of the first (file_id, idx) of the text, which is aggregated before the
     rows meet it, so that a frequent text does not stand in one task.
     """
     keys = ["text"] if scope == "global" else ["file_id", "text"]
-    first = subs.groupBy(*keys).agg(F.min(F.struct("file_id", "idx")).alias("first"))
-    rows = subs.join(first.withColumnsRenamed({k: f"k_{k}" for k in keys}), [subs[k].eqNullSafe(F.col(f"k_{k}")) for k in keys])
+    first = subs.groupBy(*keys).agg(F.min(F.struct("file_id", "idx")).alias("first"), F.count("*").alias("n"))
+    if seen is not None:
+        if scope != "global":
+            raise ValueError("texts of earlier runs count in all files")
+        first = seen.marked(first, run)
+    else:
+        first = first.withColumn("first", F.struct(F.lit(False).alias("earlier"), "first.*"))
+    rows = with_first_places(subs, stored(first, "first-places"), keys)
+    rows = rows.withColumn("first", F.when(F.col("first.earlier"), F.lit(None)).otherwise(F.struct("first.file_id", "first.idx")))
     w, whole = by_file(), Window.partitionBy("file_id")
-    rows = rows.withColumn("seen", F.col("first") < F.struct("file_id", "idx"))
+    rows = rows.withColumn("seen", F.col("first").isNull() | (F.col("first") < F.struct("file_id", "idx")))
     rows = rows.withColumns({"at": F.row_number().over(w) - 1, "size": F.count("*").over(whole), "run": F.sum((~F.col("seen")).cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0))})
     of_run = Window.partitionBy("file_id", "run", "seen")
     long = F.col("seen") & (F.count("*").over(of_run) >= lookback)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from scribemill.functions import arrays as A
@@ -10,6 +12,8 @@ from scribemill.functions import names as N
 from scribemill.functions import text as T
 from scribemill.operators import documents as D
 from scribemill.operators import models, quality, sequence, splits, stats
+from scribemill.operators.seen import SeenTexts
+from scribemill.operators.tables import shared_folder, stored
 from scribemill.plans import views as V
 from scribemill.plans.views import LINES, PAIRS, PROBS, table
 
@@ -97,6 +101,18 @@ def dup_mark_global(spark, d):
     return sequence.mark_duplicates(V.doc_lines(spark, d).select("file_id", "idx", "text"))
 
 
+@query(f"with {LINES}, s as (select *, row_number() over (partition by text order by file_id, idx) > 1 as seen from lines), {MARKS}")
+def dup_mark_runs(spark, d):
+    """The same marks from two runs, the lower half of the files and then the upper one, with the texts kept between them."""
+    rows = V.doc_lines(spark, d).select("file_id", "idx", "text")
+    half = table(spark, d, "documents").agg(F.floor((F.min("doc_id") + F.max("doc_id")) / 2)).first()[0] or 0
+    seen = SeenTexts(spark, f"{shared_folder(spark)}/seen-{uuid.uuid4().hex}", "bigint", buckets=8)
+    first, second = rows.where(F.col("file_id") <= half), rows.where(F.col("file_id") > half)
+    marked = stored(sequence.mark_duplicates(first, seen=seen, run="1"), "run")
+    seen.add(first, "1")
+    return marked.unionByName(sequence.mark_duplicates(second, seen=seen, run="2"))
+
+
 @query(f"with {LINES}, s as (select *, row_number() over (partition by file_id, text order by idx) > 1 as seen from lines), {MARKS}")
 def dup_mark_file(spark, d):
     return sequence.mark_duplicates(V.doc_lines(spark, d).select("file_id", "idx", "text"), scope="file")
