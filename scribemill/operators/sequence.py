@@ -149,11 +149,16 @@ def _clock(ms: int) -> str:
 
 
 class Packer:
-    """The chunk being filled: pieces (start, end, text) relative to it, and the ids of its subtitles."""
+    """The chunk being filled: pieces (start, end, text) relative to it, and the ids of its subtitles; chunks that are
+    done come out of `take`. What `state` gives goes on where this packer stands, as the last argument of another one."""
 
-    def __init__(self, least: int, most: int):
-        self.least, self.most, self.done = least, most, []
-        self.clear()
+    def __init__(self, least: int, most: int, surround: bool = True, flush_marked: bool = True, exclude: tuple = (), remove: tuple = (), state: list | None = None):
+        self.least, self.most, self.surround, self.flush_marked, self.exclude, self.remove = least, most, surround, flush_marked, exclude, remove
+        self.done = []
+        self.pieces, self.ids, self.total, self.start, self.end = state or ([], [], 0, 0, 0)
+
+    def state(self) -> list:
+        return [self.pieces, self.ids, self.total, self.start, self.end]
 
     def clear(self):
         self.pieces, self.ids, self.total, self.start, self.end = [], [], 0, 0, 0
@@ -173,41 +178,52 @@ class Packer:
             marked = "".join(f"{_clock(a)}{t.replace(chr(10), ' ')}{_clock(b)}" for a, b, t in spoken)
             self.done.append((self.start, self.end, self.total, text, marked, list(self.ids)))
 
-
-def pack(rows: list[tuple], least: int, most: int, surround: bool = True, flush_marked: bool = True, exclude: tuple = (), remove: tuple = ()) -> list[tuple]:
-    """Chunks of one file's rows (id, start, end, text, marked): see pack_chunks."""
-    p = Packer(least, most)
-    for i, start, end, text, marked in rows:
+    def feed(self, i: int, start: int, end: int, text: str, marked: bool):
+        """Take the next subtitle."""
         duration, silent = end - start, text == SILENCE
         i = -i if silent else i
-        for pattern in remove:
+        for pattern in self.remove:
             text = re.sub(pattern, "", text)
-        barred = any(x in text for x in exclude)
-        if flush_marked and marked:
-            if p.total >= least:
-                p.emit()
-            p.clear()
-            continue
-        if duration + p.total > most or barred:
+        barred = any(x in text for x in self.exclude)
+        if self.flush_marked and marked:
+            self.finish()
+            self.clear()
+            return
+        if duration + self.total > self.most or barred:
             if silent:
-                if surround:
-                    room = most - p.total
-                    p.add(i, start, start + room, room, SILENCE)
+                if self.surround:
+                    room = self.most - self.total
+                    self.add(i, start, start + room, room, SILENCE)
                     start, duration = start + room, duration - room
-                p.emit()
-                p.clear()
-                full = max(0, -(-duration // most) - 1)  # silent chunks of the full length, which are dropped
-                start, duration = start + full * most, duration - full * most
+                self.emit()
+                self.clear()
+                full = max(0, -(-duration // self.most) - 1)  # silent chunks of the full length, which are dropped
+                start, duration = start + full * self.most, duration - full * self.most
             else:
-                p.emit()
-                p.clear()
+                self.emit()
+                self.clear()
                 if barred:
-                    continue
-        if surround or (not p.pieces and not silent):
-            p.add(i, start, end, duration, text)
-    if p.total >= least:
-        p.emit()
-    return p.done
+                    return
+        if self.surround or (not self.pieces and not silent):
+            self.add(i, start, end, duration, text)
+
+    def finish(self):
+        """The last chunk, if it is long enough."""
+        if self.total >= self.least:
+            self.emit()
+
+    def take(self) -> list[tuple]:
+        done, self.done = self.done, []
+        return done
+
+
+def pack(rows: list[tuple], least: int, most: int, surround: bool = True, flush_marked: bool = True, exclude: tuple = (), remove: tuple = ()) -> list[tuple]:
+    """Chunks of one file's rows (id, start, end, text, marked): see pack_chunks."""
+    packer = Packer(least, most, surround, flush_marked, exclude, remove)
+    for row in rows:
+        packer.feed(*row)
+    packer.finish()
+    return packer.take()
 
 
 def by_key(rows: DataFrame, key: str, order: str, inputs: list[str], outputs: str, fold) -> DataFrame:
