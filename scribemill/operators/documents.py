@@ -16,9 +16,10 @@ from scribemill.functions.arrays import audio_slice, frames
 from scribemill.functions.names import EXCLUDED_RECORDINGS, recording_name
 from scribemill.operators import quality, sequence
 
-# What documents without a field have in statistics, and the models whose texts flat rows have.
+# What documents without a field have in statistics.
 UNKNOWN = {"channel": "Unknown Channel", "id": "Unknown ID", "program_title": "Unknown Title", "video_file": "Unknown Video File", "caption_file": "Unknown Caption File", "data_source": "Unknown Source"}
-WHISPER, WAV2VEC = "openai/whisper-large-v3", "KBLab/wav2vec2-large-voxrex-swedish"
+#: the models whose texts flat rows have, if none are given
+WHISPER, WAV2VEC = "models/whisper", "models/wav2vec2"
 NO_SPEECH = "<|nospeech|>"
 SCORES = ["bleu", "wer", "first", "last"]
 FILTERS = ["stage1_whisper", "stage2_whisper", "stage2_whisper_timestamps", "stage1_wav2vec", "silence"]

@@ -21,9 +21,8 @@ THRESHOLDS = {
     "isof": (0.01, 0.01, 0.01, 1.0, 1.0, 0.6, 0.2, 0.2, 0.4, 0.4),
     "nst": (0.01, 0.01, 0.01, 1.0, 1.0, 0.6, 0.2, 0.2, 0.4, 0.4),
 }
-# Of short chunks up to so many seconds this share stays, in datasets of more than SUBSAMPLE_ROWS rows.
+# Of short chunks up to so many seconds this share stays.
 SUBSAMPLE = {"smdb": (10, 0.45), "youtube": (15, 0.3)}
-SUBSAMPLE_ROWS = 5000
 
 c = F.col
 
@@ -133,7 +132,7 @@ def whole_files(chunks: DataFrame, ok: Column, key: str = "file_id") -> DataFram
     return chunks.withColumn("__ok", F.bool_and(ok).over(Window.partitionBy(key))).where("__ok").drop("__ok")
 
 
-def share_of_short(rows: DataFrame, short: Column, share: float, key: str, least_rows: int = SUBSAMPLE_ROWS, seed: int = 42) -> DataFrame:
+def share_of_short(rows: DataFrame, short: Column, share: float, key: str, least_rows: int = 0, seed: int = 42) -> DataFrame:
     """Of the short rows exactly the share (half to even), by the order of an md5 of the key; all others. Tables of no
     more than least_rows rows stay whole.
 
@@ -153,10 +152,10 @@ def share_of_short(rows: DataFrame, short: Column, share: float, key: str, least
     return kept.unionByName(ranked).drop("__short", "__h", "__class", "__before", "__most", "__cut")
 
 
-def filter_dataset(rows: DataFrame, dataset: str, stage: str, stages: dict[str, Column] | None = None, length: tuple[int, int] = (8000, 480_000), labels: int = 448, key: str = "row_id") -> DataFrame:
+def filter_dataset(rows: DataFrame, dataset: str, stage: str, stages: dict[str, Column] | None = None, length: tuple[int, int] = (8000, 480_000), labels: int = 448, key: str = "row_id", least_rows: int = 0) -> DataFrame:
     """Rows of a stage: stage columns, subsampling of short chunks, input length, label lengths, then the stage itself.
 
-    Columns: input_length, labels_length, labels_timestamps_length, duration (s) and those of the stages.
+    Tables of no more than least_rows rows are not subsampled. Columns: input_length, labels_length, labels_timestamps_length, duration (s) and those of the stages.
     """
     stages = stages or (svt_stages() if dataset == "svt" else general_stages(dataset))
     if stage not in stages:
@@ -164,5 +163,5 @@ def filter_dataset(rows: DataFrame, dataset: str, stage: str, stages: dict[str,
     out = rows.withColumns(stages)
     if dataset in SUBSAMPLE:
         seconds, share = SUBSAMPLE[dataset]
-        out = share_of_short(out, (c("duration") <= seconds) & ~c("is_silence"), share, key)
+        out = share_of_short(out, (c("duration") <= seconds) & ~c("is_silence"), share, key, least_rows)
     return out.where(c("input_length").between(*length)).where((c("labels_length") <= labels) & (c("labels_timestamps_length") <= labels)).where(c(stage))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from scribemill.functions import arrays as A
 from scribemill.functions import metrics as M
 from scribemill.functions import names as N
+from scribemill.functions import speech as S
 from scribemill.functions import text as T
 from scribemill.operators import documents as D
 from scribemill.operators import models, quality, sequence, splits, stats
@@ -423,16 +424,20 @@ def file_atomic_scores(spark, d):
 
 
 @query("""with o as (select o_orderkey, o_custkey % 7 = 0 as short, md5('42:' || o_orderkey) as h from orders), r as (select *, row_number() over (partition by short order by h, o_orderkey) as k, count(*) over (partition by short) as n, count(*) over () as t from o)
-select o_orderkey, short from r where not short or t <= 5000 or k <= round_even(n * 0.45, 0)""")
+select o_orderkey, short from r where not short or k <= round_even(n * 0.45, 0)""")
 def subsample_short_exact(spark, d):
     rows = table(spark, d, "orders").select("o_orderkey", (F.col("o_custkey") % 7 == 0).alias("short"))
     return quality.share_of_short(rows, F.col("short"), 0.45, "o_orderkey")
 
 
-@query(f"""with {SCORED}, x as (select *, count(*) over () as t from sc), f as (select * from x where n_chars between 500 and 4000)
-select doc_id from f where (w_head <= 0.2 and w_tail <= 0.2 and w_bleu >= 0.8 and w_rouge >= 0.8) or is_silence""")
+@query(f"""with {SCORED}, f as (select sc.*, len(list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '')) as n from sc join (select doc_id as d, text from documents) on d = doc_id where n_chars between 500 and 4000)
+select doc_id from f where n + 4 <= 448 and ((w_head <= 0.2 and w_tail <= 0.2 and w_bleu >= 0.8 and w_rouge >= 0.8) or is_silence)""")
 def filter_dataset(spark, d):
-    rows = scored(spark, d).withColumns({"input_length": F.col("n_chars"), "labels_length": F.lit(1), "labels_timestamps_length": F.lit(1), "duration": F.lit(1.0)})
+    """Labels are a number for each word; of documents with up to 4000 characters some have too many."""
+    words = lambda c: F.transform(T.split_words(c), lambda w: (F.crc32(w) % 50_000).cast("int"))
+    texts = table(spark, d, "documents").select("doc_id", "text", F.col("text").alias("text_timestamps"))
+    rows = scored(spark, d).join(S.with_labels(texts, words, [0, 1], 2, 3).drop("labels", "labels_timestamps", "text", "text_timestamps"), "doc_id")
+    rows = rows.withColumns({"input_length": F.col("n_chars"), "duration": F.lit(1.0)})
     return quality.filter_dataset(rows, "default", "stage2", length=(500, 4000), key="doc_id").select("doc_id")
 
 
@@ -575,10 +580,19 @@ def prepared_rows(spark, d):
     return out.select("file_id", "number", "text", "text_timestamps", "n_words", "is_silence", "previous_text")
 
 
-@query(f"""with {LINES} select doc_id as file_id, len(l) > 0 and false as is_transcribed, false as is_transcribed_same_model, true as is_langdetected from (select *, string_split(text, chr(10)) as l from documents)""")
+@query()  # cleaning and scores as above; tested against its parts
+def prepared_scored(spark, d):
+    """The whole projection: cleaned texts, silences, the text before, normalised texts, scores, and the stages."""
+    rows = D.chunk_rows(V.documents(spark, d)).withColumns({"audio_path": F.col("file_id"), "audio": F.array(F.lit(0.0)), "wav2vec_transcription": F.coalesce("wav2vec_transcription", F.lit(""))})
+    out = D.prepared(rows, "youtube").withColumns(quality.general_stages("youtube"))
+    return out.select("file_id", "number", "text", "text_timestamps", "previous_text", "n_words", "is_silence", "text_normalized", *(F.round(c, 6).alias(c) for c in SCORES), *quality.general_stages("youtube"))
+
+
+@query("""select doc_id as file_id, k % 4 > 0 as is_transcribed, k % 4 >= 2 as is_transcribed_same_model, k % 2 = 0 as is_langdetected from (select doc_id, doc_id % len(string_split(text, chr(10))) as k from documents)""")
 def transcription_state(spark, d):
-    """The first chunk of these documents has a language and no transcription."""
-    state = D.transcription_state(F.col("chunks"), D.WHISPER)
+    """Of documents that begin at different chunks: with no, one or two transcriptions, with and without a language."""
+    at = (F.col("file_id") % F.size("chunks") + 1).cast("int")
+    state = D.transcription_state(F.slice("chunks", at, 1), D.WAV2VEC)
     return V.documents(spark, d).select("file_id", *(x.alias(k) for k, x in state.items()))
 
 
@@ -611,12 +625,13 @@ def long_buckets(spark, d):
     return D.long_buckets(table(spark, d, "pages").select("page_id", "url", (F.col("page_id") * 10).alias("start_bucket"), (F.col("page_id") * 10 + F.length("url") * 100).alias("end_bucket")))
 
 
-@query("select d.doc_id, split_part(p.url, '/', 4) as folder, p.page_id from pages p join (select doc_id, lang from documents where doc_id < 40) d on d.lang = split_part(p.url, '/', 4)")
+@query("""with d as (select lang as folder, count(*) as n_docs, cast(sum(n_chars) as bigint) as n_chars, min(doc_id) as first from documents group by lang)
+select p.page_id, d.* from (select page_id, split_part(url, '/', 4) as folder from pages) p join d using (folder)""")
 def folder_metadata(spark, d):
-    """Files with what is known of the folder that they stand in."""
-    about = table(spark, d, "documents").where("doc_id < 40").select("doc_id", F.col("lang").alias("folder"))
+    """Files with what is known of the folder that they stand in: of all documents of its language."""
+    about = table(spark, d, "documents").groupBy(F.col("lang").alias("folder")).agg(F.count("*").alias("n_docs"), F.sum("n_chars").cast("long").alias("n_chars"), F.min("doc_id").alias("first"))
     files = table(spark, d, "pages").select("page_id", F.concat(F.lit("/data/"), F.get(F.split("url", "/"), F.lit(3)), F.lit("/file.srt")).alias("path"))
-    return D.with_metadata(files, about).select("doc_id", "folder", "page_id")
+    return D.with_metadata(files, about).drop("path")
 
 
 @query(f"with {LINES} select file_id, idx, round_even((start // 20 + 1) * 0.02::double, 2) as first, round_even((start // 20 + 7) * 0.02::double, 2) as last, round_even(\"end\" / 20.0, 0) * 20 / 1000::double as nearest from subs")
@@ -672,20 +687,73 @@ def program_id_decode(spark, d):
     return table(spark, d, "documents").select("doc_id", *(c.alias(k) for k, c in program_parts(name).items()))
 
 
-@query("select lang, cast(n_chars // 1000 as bigint) as bin, cast(count_if(source = 'src0') as bigint) as src0, cast(count_if(source = 'src1') as bigint) as src1 from documents group by all")
+#: the columns of pivots: what other sources and languages there are is counted as such
+SOURCES, TONGUES = [f"src{k}" for k in range(20)], ["en", "de", "es", "fr"]
+
+
+@query("select lang, cast(n_chars // 1000 as bigint) as bin, " + ", ".join(f"cast(count_if(source = '{x}') as bigint) as {x}" for x in SOURCES) + ", cast(count(*) - count_if(source in (" + ", ".join(f"'{x}'" for x in SOURCES) + ")) as bigint) as other from documents group by all")
 def hist_pivot(spark, d):
-    rows = table(spark, d, "documents").groupBy("lang", F.floor(F.col("n_chars") / 1000).alias("bin"))
-    return rows.pivot("source", ["src0", "src1"]).count().na.fill(0)
+    known = F.when(F.col("source").isin(SOURCES), F.col("source")).otherwise("other")
+    rows = table(spark, d, "documents").select("lang", F.floor(F.col("n_chars") / 1000).alias("bin"), known.alias("source")).groupBy("lang", "bin")
+    return rows.pivot("source", [*SOURCES, "other"]).count().na.fill(0)
 
 
-@query("""with r as (select source, lang, n_chars, row_number() over (partition by lang order by doc_id) - 1 as index from documents where lang in ('en', 'de'))
-select cast(index as bigint) as index, max(n_chars) filter (lang = 'en') as n_chars_en, max(source) filter (lang = 'en') as source_en, max(n_chars) filter (lang = 'de') as n_chars_de, max(source) filter (lang = 'de') as source_de from r group by index""".replace("as n_chars_en", "::varchar as n_chars_en").replace("as n_chars_de", "::varchar as n_chars_de").replace("max(n_chars) filter (lang = 'en')", "(max(n_chars) filter (lang = 'en'))").replace("max(n_chars) filter (lang = 'de')", "(max(n_chars) filter (lang = 'de'))"))
+@query("""with r as (select source, coalesce(case when lang in ('en', 'de', 'es', 'fr') then lang end, 'other') as lang, n_chars, doc_id from documents), n as (select *, row_number() over (partition by lang order by doc_id) - 1 as index from r)
+select cast(index as bigint) as index, """ + ", ".join(f"max(n_chars) filter (lang = '{x}')::varchar as n_chars_{x}, max(source) filter (lang = '{x}') as source_{x}" for x in [*TONGUES, "other"]) + " from n group by index")
 def melt_pivot(spark, d):
-    rows = table(spark, d, "documents").where("lang in ('en', 'de')")
-    rows = sequence.row_numbers(rows, "lang", "doc_id")
+    tongue = F.coalesce(F.when(F.col("lang").isin(TONGUES), F.col("lang")), F.lit("other"))
+    rows = sequence.row_numbers(table(spark, d, "documents").withColumn("lang", tongue), "lang", "doc_id")
     long = rows.select("index", "lang", F.col("n_chars").cast("string").alias("n_chars"), "source").unpivot(["index", "lang"], ["n_chars", "source"], "variable", "value")
-    wide = long.withColumn("key", F.concat_ws("_", "variable", "lang")).groupBy("index").pivot("key", ["n_chars_en", "source_en", "n_chars_de", "source_de"]).agg(F.first("value"))
-    return wide
+    names = [f"{v}_{x}" for x in [*TONGUES, "other"] for v in ("n_chars", "source")]
+    return long.withColumn("key", F.concat_ws("_", "variable", "lang")).groupBy("index").pivot("key", names).agg(F.first("value"))
+
+
+# Speech: vectors stand for logits (8 frames of 8 labels) and for samples
+
+
+VOCABULARY = ["_", "|", "a", "b", "c", "d", "e", "f"]
+
+
+def _logits(spark, d):
+    frames = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.slice("embedding", i * 8 + 1, 8))
+    return table(spark, d, "embeddings").select("vec_id", frames.alias("logits"))
+
+
+@query("""with f as (select vec_id, list_transform(range(8), lambda i: ['_', '|', 'a', 'b', 'c', 'd', 'e', 'f'][list_position(embedding[i * 8 + 1:i * 8 + 8], list_max(embedding[i * 8 + 1:i * 8 + 8]))]) as c from embeddings),
+k as (select vec_id, c, list_filter(range(1, 9), lambda i: (i = 1 or c[i] <> c[i - 1]) and c[i] <> '_') as s, list_filter(range(1, 9), lambda i: c[i] not in ('_', '|')) as z from f),
+w as (select *, list_filter(string_split(array_to_string(list_transform(s, lambda i: c[i]), ''), '|'), lambda x: x <> '') as words from k)
+select vec_id, array_to_string(words, ' ') as text, cast(len(words) as int) as n_words, case when len(z) > 0 then round_even(list_min(z) * 0.02::double - 0.02, 2) end as start_time, case when len(z) > 0 then round_even(list_max(z) * 0.02::double, 2) end as end_time from w""")
+def ctc_words_of_vectors(spark, d):
+    times = A.word_times(F.col("words"), 0.02)
+    rows = _logits(spark, d).select("vec_id", S.ctc_words(F.col("logits"), VOCABULARY).alias("words"))
+    edge = lambda at, f: F.try_element_at(times, F.lit(at))[f]
+    return rows.select("vec_id", F.array_join(F.transform("words", lambda w: w["word"]), " ").alias("text"), F.size("words").alias("n_words"), edge(1, "start_time").alias("start_time"), edge(-1, "end_time").alias("end_time"))
+
+
+@query()  # a search; tested against the sum over all alignments
+def ctc_search_of_vectors(spark, d):
+    rows = _logits(spark, d).select("vec_id", S.ctc_search(F.col("logits"), width=8).alias("x"))
+    return rows.select("vec_id", F.array_join(F.transform("x.labels", lambda k: F.get(F.array(*map(F.lit, VOCABULARY)), k)), "").alias("text"), F.round("x.log_prob", 6).alias("log_prob"))
+
+
+@query()  # no Fourier transform in DuckDB; tested against a plain one
+def mel_of_vectors(spark, d):
+    made = S.mel_features(F.col("embedding"), length=80, n_fft=16, hop=8, bands=4)
+    rows = table(spark, d, "embeddings").select("vec_id", made.alias("x"))
+    flat = F.flatten("x.features")
+    return rows.select("vec_id", F.col("x.input_length").alias("input_length"), F.aggregate("x.attention_mask", F.lit(0), lambda a, b: a + b).alias("n_frames"), F.round(F.array_max(flat).cast("double"), 4).alias("loudest"), F.round(F.array_min(flat).cast("double"), 4).alias("faintest"))
+
+
+@query()  # byte-pair merges; tested against a plain merge loop
+def token_labels(spark, d):
+    """Token ids of all turns, as they are and with one merge in ten left out at random, by conversation and turn."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    rows = table(spark, d, "conversations").select("conv_id", "turn", "text", F.concat(F.lit("<0.00>"), F.col("text"), F.lit("<1.20>")).alias("text_timestamps"))
+    rows = S.with_labels(rows, lambda c: S.token_ids(c, path), [50_256, 50_256], 50_256, 50_256)
+    loose = S.token_ids(F.col("text"), path, 0.1, F.xxhash64("conv_id", "turn"))
+    return rows.select("conv_id", "turn", "labels_length", "labels_timestamps_length", F.size(loose).alias("n_loose"), F.sha2(F.array_join("labels", " "), 256).alias("labels"))
 
 
 @query()  # a Python model

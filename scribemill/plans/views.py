@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from scribemill.operators.documents import WAV2VEC, WHISPER
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -65,7 +67,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def chunk(t, i):
         entry = lambda m, x, by: F.struct(x.alias("text"), F.lit(m).alias("model"), scores(i, by).alias("scores"))
-        w, v = entry("openai/whisper-large-v3", F.concat(F.lit("W "), t), 3), entry("KBLab/wav2vec2-large-voxrex-swedish", F.concat(F.lit("v "), t), 7)
+        w, v = entry(WHISPER, F.concat(F.lit("W "), t), 3), entry(WAV2VEC, F.concat(F.lit("v "), t), 7)
         kinds = F.when(i % 4 == 1, F.array(w)).when(i % 4 == 2, F.array(w, v)).when(i % 4 == 3, F.array(v, w)).otherwise(F.slice(F.array(w), 1, 0))
         filters = F.when(i % 3 > 0, F.struct(*((i % k == 0).alias(f) for k, f in enumerate(("stage1_whisper", "stage2_whisper", "stage2_whisper_timestamps", "stage1_wav2vec"), 2)), F.lit(None).cast("boolean").alias("silence")))
         end = i * 1000 + 600 + F.length(t) % 400

@@ -52,12 +52,28 @@ def whole_files(spark: SparkSession, path, glob: str | None = None) -> DataFrame
     return reader.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
 
 
+TIME_LINE = r"\d+:\d+:\d+[,.]\d+ *--> *\d+:\d+:\d+[,.]\d+"
+#: xmin, xmax and text of an interval
+INTERVAL = r'xmin = ([\d.eE+-]+)\s+xmax = ([\d.eE+-]+)\s+text = "((?:[^"]|"")*)"'
+
+
+def failed_files(spark: SparkSession, path, kind: str, glob: str | None = None) -> DataFrame:
+    """file_id and error of the files that the reader of a kind (srt, textgrid, manifest) has no rows of; files without
+    a byte, which Spark passes over, are not among them."""
+    found = {"srt": ("*.srt", F.regexp_like("value", F.lit(TIME_LINE)), "no time line"), "textgrid": ("*.TextGrid", F.regexp_like("value", F.lit(INTERVAL)), "no interval"), "manifest": ("*.json", F.from_json("value", "array<string>").isNotNull(), "not a JSON list")}
+    glob_, good, error = (glob or found[kind][0], *found[kind][1:])
+    # what is not UTF-8 is no text to look into
+    utf8 = F.is_valid_utf8("value")
+    why = F.when(~utf8, "not UTF-8").when(~F.coalesce(F.when(utf8, good), F.lit(False)), error)
+    return whole_files(spark, path, glob_).select(F.col("path").alias("file_id"), why.alias("error")).where("error is not null")
+
+
 def read_srt(spark: SparkSession, path, glob: str = "*.srt") -> DataFrame:
-    """file_id (path), idx (from 0), start, end, text without tags. Blocks without a time line are passed over; a file
-    that is not valid UTF-8 is left out."""
+    """file_id (path), idx (from 0), start, end, text without tags. Blocks without a time line are passed over; files
+    without any and those that are not valid UTF-8 have no rows here but one in `failed_files`."""
     files = whole_files(spark, path, glob).where(F.is_valid_utf8("value"))
     body = F.regexp_replace(F.regexp_replace(F.regexp_replace("value", "^\ufeff", ""), r"\r\n?", "\n"), r"\n[ \t]+\n", "\n\n")
-    blocks = files.select("path", F.posexplode(F.split(body, r"\n{2,}")).alias("n", "b")).where(F.regexp_like("b", F.lit(r"\d+:\d+:\d+[,.]\d+ *--> *\d+:\d+:\d+[,.]\d+")))
+    blocks = files.select("path", F.posexplode(F.split(body, r"\n{2,}")).alias("n", "b")).where(F.regexp_like("b", F.lit(TIME_LINE)))
     times = r"(\d+:\d+:\d+[,.]\d+) *--> *(\d+:\d+:\d+[,.]\d+)[^\n]*\n?([\s\S]*)$"
     get = lambda i: F.regexp_extract("b", times, i)
     idx = F.row_number().over(Window.partitionBy("path").orderBy("n")) - 1
@@ -66,9 +82,8 @@ def read_srt(spark: SparkSession, path, glob: str = "*.srt") -> DataFrame:
 
 def read_textgrid(spark: SparkSession, path, glob: str = "*.TextGrid") -> DataFrame:
     """Intervals of all tiers in order: file_id, idx, start, end, duration (each rounded by itself), text; a blank mark
-    is a silence. Long-format files."""
-    pattern = r'xmin = ([\d.eE+-]+)\s+xmax = ([\d.eE+-]+)\s+text = "((?:[^"]|"")*)"'
-    part = lambda i: F.regexp_extract_all("value", F.lit(pattern), F.lit(i))
+    is a silence. Long-format files; others have no rows here but one in `failed_files`."""
+    part = lambda i: F.regexp_extract_all("value", F.lit(INTERVAL), F.lit(i))
     rows = whole_files(spark, path, glob).select("path", F.posexplode(F.arrays_zip(part(1).alias("a"), part(2).alias("b"), part(3).alias("t"))).alias("idx", "x"))
     a, b = F.col("x.a").cast("double"), F.col("x.b").cast("double")
     text = F.replace(F.col("x.t"), F.lit('""'), F.lit('"'))
@@ -102,7 +117,8 @@ def read_documents(spark: SparkSession, path, schema: str = DOCUMENT) -> tuple[D
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Paths of a manifest: lines of text, or a JSON list of paths or of [document, audio] pairs; path and audio."""
+    """Paths of a manifest: lines of text, or a JSON list of paths or of [document, audio] pairs; path and audio. A JSON
+    file that is no list has no rows here but one in `failed_files`."""
     if path.endswith(".json"):
         text = spark.read.text(path, wholetext=True)
         items = text.select(F.explode(F.from_json("value", "array<string>")).alias("x"))

@@ -173,7 +173,7 @@ def test_share_of_short(spark):
     rows = spark.range(6001).withColumn("short", F.col("id") % 3 == 0)
     got = quality.share_of_short(rows, F.col("short"), 0.45, "id")
     assert got.where("short").count() == 900 and got.where("not short").count() == 4000 and got.columns == ["id", "short"]
-    assert quality.share_of_short(rows.limit(5000), F.col("short"), 0.45, "id").count() == 5000
+    assert quality.share_of_short(rows.limit(5000), F.col("short"), 0.45, "id", least_rows=5000).count() == 5000
     again = quality.share_of_short(rows.repartition(7), F.col("short"), 0.45, "id")
     assert again.exceptAll(got).count() == 0
 

@@ -127,3 +127,19 @@ def test_small_jobs_take_every_row(spark, folder):
     got = {r["base"]: r["audio_path"] for r in Q.extension_priority(spark, folder).collect()}
     assert len(got) == 7 and got["7"] is None and got["1"] == "1.webm"
     assert Q.model_hook_stub(spark, folder).count() == len(list(plain_pairs()))
+
+
+def test_the_whole_projection(spark, folder):
+    """Cleaned texts, scores of normalised texts and stages of every chunk row."""
+    rows = Q.prepared_scored(spark, folder).collect()
+    own = Q.chunk_rows(spark, folder).collect()
+    assert len(rows) == len(own) and {(r["file_id"], r["number"]) for r in rows} == {(r["file_id"], r["number"]) for r in own}
+    lines = {(doc_id, i): x for doc_id, text, *_ in long_documents() for i, x in enumerate(text.split("\n"))}
+    for r in rows:
+        said = " ".join(lines[r["file_id"], r["number"]].split()) if r["number"] % 6 else ""
+        assert r["is_silence"] == (said == "" and r["number"] % 4 == 1) and r["n_words"] == len(said.split())
+        if said:
+            heard = f"w {lines[r['file_id'], r['number']]}"
+            assert r["text_normalized"] == said == r["text"] and r["w_bleu"] == pytest.approx(plain_bleu(said, heard, M.RECALL_WEIGHTS), abs=2e-6)
+            assert r["w_wer"] == pytest.approx(1 / len(said.split()), abs=2e-6) and r["stage1"] == (r["w_bleu"] >= 0.2)
+    assert {r["stage2"] for r in rows} >= {True, False} and any(r["is_silence"] and r["text"] == "<|nospeech|>" for r in rows)

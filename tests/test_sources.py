@@ -26,6 +26,19 @@ def test_srt(spark, tmp_path):
     assert [tuple(r)[1:] for r in again] == [tuple(r)[1:] for r in got]
 
 
+def test_failed_files(spark, tmp_path):
+    for name, data in {"a.srt": SRT.encode(), "b.srt": b"\xff 00:00:01,000 --> 00:00:02,500", "c.srt": b"nothing", "d.srt": b"", "x.TextGrid": b"item", "m.json": b"{broken", "n.json": b'["p"]'}.items():
+        (tmp_path / name).write_bytes(data)
+
+    def failed(kind):
+        return {r["file_id"].rsplit("/", 1)[1]: r["error"] for r in readers.failed_files(spark, str(tmp_path), kind).collect()}
+
+    assert failed("srt") == {"b.srt": "not UTF-8", "c.srt": "no time line"}
+    assert failed("textgrid") == {"x.TextGrid": "no interval"} and failed("manifest") == {"m.json": "not a JSON list"}
+    read = {r["file_id"].rsplit("/", 1)[1] for r in readers.read_srt(spark, str(tmp_path)).collect()}
+    assert read == {"a.srt"} and readers.read_manifest(spark, str(tmp_path / "m.json")).count() == 0
+
+
 def test_textgrid(spark, tmp_path):
     item = lambda a, b, t: f'            xmin = {a}\n            xmax = {b}\n            text = "{t}"\n'
     (tmp_path / "a.TextGrid").write_text("header\n" + item(0, 0.5, " ") + item(0.5, 1.2345, 'sa ""ja""'))
