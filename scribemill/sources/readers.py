@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-import io
-import wave
-
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from scribemill.functions.arrays import seconds_to_ms, srt_ms
 from scribemill.functions.text import without_tags
 from scribemill.operators.sequence import SILENCE
+from scribemill.sources.audio import AUDIO_RATE, Wav, resampled
 
 SUB = "struct<start:bigint,end:bigint,duration:bigint,text:string,duplicate:boolean,live:boolean,id:int,speaker_id:string>"
 SCORES = "struct<bleu:double,wer:double,first:double,last:double>"
@@ -23,7 +22,6 @@ METADATA = "struct<audio_path:string,channel:string,subchannel:string,data_sourc
 DOCUMENT = f"metadata {METADATA}, subs array<{SUB}>, chunks array<{CHUNK}>"
 # Audio extensions, the one to take first.
 EXTENSIONS = ["webm", "wav", "m4a", "mp3", "mp4", "mkv", "flac"]
-AUDIO_RATE = 16_000
 
 
 def of_channels(files: DataFrame, channels: list[str], depth: int = -2) -> DataFrame:
@@ -135,26 +133,18 @@ def read_transcripts(spark: SparkSession, path, glob: str = "*.txt") -> DataFram
 
 
 def read_audio(spark: SparkSession, path, glob: str = "*.wav") -> DataFrame:
-    """path, rate and audio (mono floats at 16 kHz, by linear interpolation) of PCM WAV files; a file that cannot be
-    read has an error and no audio. Other containers have to be converted first."""
+    """path, rate and audio (mono floats at 16 kHz, through a low-pass) of whole PCM WAV files; a file that cannot be
+    read has an error and no audio. Other containers have to be converted first. Of long files, take chunks
+    (`audio.read_chunks`)."""
 
     def decode(frames):
         for df in frames:
             out = []
             for name, content in zip(df["path"], df["content"], strict=True):
                 try:
-                    with wave.open(io.BytesIO(content)) as w:
-                        width, n, rate = w.getsampwidth(), w.getnchannels(), w.getframerate()
-                        raw = w.readframes(w.getnframes())
-                    if width == 3:  # as the upper bytes of four
-                        four = np.zeros((len(raw) // 3, 4), np.uint8)
-                        four[:, 1:] = np.frombuffer(raw, np.uint8).reshape(-1, 3)
-                        raw, width = four.tobytes(), 4
-                    x = np.frombuffer(raw, {1: "u1", 2: "<i2", 4: "<i4"}[width]).astype(np.float64)
-                    x = ((x - 128) / 128 if width == 1 else x / float(1 << (8 * width - 1))).reshape(-1, n).mean(axis=1)
-                    if rate != AUDIO_RATE and len(x):
-                        x = np.interp(np.arange(int(len(x) * AUDIO_RATE / rate)) * rate / AUDIO_RATE, np.arange(len(x)), x)
-                    out.append((name, rate, x.astype(np.float32), None))
+                    wav = Wav(pa.BufferReader(content))
+                    whole = resampled(wav.slice(0, wav.samples), wav.rate, 0, wav.samples * AUDIO_RATE // wav.rate)
+                    out.append((name, wav.rate, whole.astype(np.float32), None))
                 except Exception as e:  # noqa: BLE001 - any file may be broken in any way
                     out.append((name, None, None, f"{type(e).__name__}: {e}"))
             yield pd.DataFrame(out, columns=["path", "rate", "audio", "error"]).astype({"rate": "Int32"})
