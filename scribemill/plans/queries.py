@@ -130,17 +130,43 @@ def _marked(spark, d):
     return sequence.mark_duplicates(silence_fill(spark, d))
 
 
-@query()  # a state machine over a file's rows; tested against one written by itself
+MARKED = f"""{FUSED}, {FILLED}, fl as (select file_id, cast(row_number() over (partition by file_id order by o) - 1 as int) as idx, start, "end", text from filled),
+s as (select *, row_number() over (partition by text order by file_id, idx) > 1 as seen from fl), {MARKS[: MARKS.rindex("select file_id")].rstrip()},
+m as (select file_id, idx, start, "end", text, nxt or (long and pos >= n - 4) or (wraps and pos = n - 1) as marked, n from h)"""
+#: rows of each file one after the other, and one behind the last; a step takes a row, and is done with a chunk or not
+PACKED = """o as (select file_id, idx - 1 as i, start, "end" as e, text, marked from m where idx > 0 and idx < n - 1 union all select file_id, max(n) - 2, null, null, null, null from m group by file_id having max(n) > 2),
+pk as (select least, most, file_id, -1::bigint as i, 0::bigint as total, []::struct(a bigint, b bigint, t varchar)[] as pieces, []::bigint[] as ids, 0::bigint as cs, 0::bigint as ce, null::struct(s bigint, e bigint, d bigint, pieces struct(a bigint, b bigint, t varchar)[], ids bigint[]) as done from (select distinct file_id from o), ranges
+union all
+select least, most, file_id, oi, case kind when 'add' then total + d when 'flush' then d when 'fill' then rest else 0 end,
+  case kind when 'add' then list_append(pieces, {'a': total, 'b': total + d, 't': t}) when 'flush' then [{'a': 0::bigint, 'b': d, 't': t}] when 'fill' then [{'a': 0::bigint, 'b': rest, 't': t}] else [] end,
+  case kind when 'add' then list_append(ids, id) when 'flush' then [id] when 'fill' then [id] else [] end,
+  case kind when 'add' then case when len(pieces) = 0 then s else cs end when 'flush' then s when 'fill' then oe - rest else 0 end, case when kind in ('add', 'flush', 'fill') then oe else 0 end,
+  case when kind = 'flush' or kind in ('end', 'mark') and total >= least then {'s': cs, 'e': ce, 'd': total, 'pieces': pieces, 'ids': ids}
+    when kind = 'fill' then {'s': case when len(pieces) = 0 then s else cs end, 'e': s + most - total, 'd': most, 'pieces': pieces, 'ids': list_append(ids, id)} end
+from (select *, (d - (most - total)) - greatest(0, (d - (most - total) + most - 1) // most - 1) * most as rest from (
+  select p.*, o.i as oi, o.start as s, o.e as oe, o.e - o.start as d, o.text as t, case when o.text = '<|silence|>' then -o.i else o.i end as id,
+    case when o.text is null then 'end' when o.marked then 'mark' when o.e - o.start + p.total <= p.most then 'add' when o.text = '<|silence|>' then 'fill' else 'flush' end as kind from pk p join o on o.file_id = p.file_id and o.i = p.i + 1))),
+ch as (select least, most, file_id, i, done, list_filter(done.pieces, lambda x: x.t <> '<|silence|>') as said from pk where done is not null)
+select least, most, file_id, cast(row_number() over (partition by least, most, file_id order by i) - 1 as int) as chunk, done.s as start, done.e as "end", done.d as duration, array_to_string(list_transform(said, lambda x: x.t), ' ') as text,
+  array_to_string(list_transform(said, lambda x: '<' || (x.a // 20 * 20 // 1000) || '.' || lpad((x.a // 20 * 2 % 100)::varchar, 2, '0') || '>' || replace(x.t, chr(10), ' ') || '<' || (x.b // 20 * 20 // 1000) || '.' || lpad((x.b // 20 * 2 % 100)::varchar, 2, '0') || '>'), '') as text_timestamps, array_to_string(done.ids, ',') as sub_ids
+from ch where array_to_string(list_transform(said, lambda x: x.t), ' ') <> ''"""
+
+
+def _plain_ids(chunks):
+    return chunks.withColumn("sub_ids", F.array_join(F.col("sub_ids").cast("array<string>"), ","))
+
+
+@query(f"with recursive {LINES}, {MARKED}, ranges(least, most) as (values (10000, 30000)), {PACKED}".replace("select least, most, file_id, cast(row_number()", "select file_id, cast(row_number()"))
 def chunk_pack_30s(spark, d):
-    return sequence.pack_chunks(_marked(spark, d))
+    return _plain_ids(sequence.pack_chunks(_marked(spark, d)))
 
 
-@query()  # as above
+@query(f"with recursive {LINES}, {MARKED}, ranges(least, most) as (values (1, 5000), (1, 30000)), {PACKED}")
 def chunk_pack_many(spark, d):
-    return sequence.pack_many(_marked(spark, d), [(1, 5000), (1, 30_000)])
+    return _plain_ids(sequence.pack_many(_marked(spark, d), [(1, 5000), (1, 30_000)]))
 
 
-@query()  # as above
+@query()  # patterns that DuckDB's expressions lack; tested against a state machine written by itself
 def chunk_pack_exclude(spark, d):
     return sequence.pack_chunks(silence_fill(spark, d), flush_marked=False, exclude=("|",), remove=(r"\w+ing\b", "  +"))
 
