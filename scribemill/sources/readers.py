@@ -51,8 +51,8 @@ def whole_files(spark: SparkSession, path, glob: str | None = None) -> DataFrame
 
 
 TIME_LINE = r"\d+:\d+:\d+[,.]\d+ *--> *\d+:\d+:\d+[,.]\d+"
-#: xmin, xmax and text of an interval
-INTERVAL = r'xmin = ([\d.eE+-]+)\s+xmax = ([\d.eE+-]+)\s+text = "((?:[^"]|"")*)"'
+#: xmin, xmax and text of an interval; of the text only doubled quotes are taken one by one, which long ones bear
+INTERVAL = r'xmin = ([\d.eE+-]+)\s+xmax = ([\d.eE+-]+)\s+text = "([^"]*+(?:""[^"]*+)*+)"'
 
 
 def failed_files(spark: SparkSession, path, kind: str, glob: str | None = None) -> DataFrame:

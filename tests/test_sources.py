@@ -44,6 +44,10 @@ def test_textgrid(spark, tmp_path):
     (tmp_path / "a.TextGrid").write_text("header\n" + item(0, 0.5, " ") + item(0.5, 1.2345, 'sa ""ja""'))
     got = readers.read_textgrid(spark, str(tmp_path)).orderBy("idx").collect()
     assert [(r["start"], r["end"], r["text"]) for r in got] == [(0, 500, SILENCE), (500, 1234, 'sa "ja"')]
+    # long texts, and many quotes
+    (tmp_path / "a.TextGrid").write_text(item(0, 1, "long " * 40_000) + item(1, 2, 'a ""' * 300))
+    got = readers.read_textgrid(spark, str(tmp_path)).orderBy("idx").collect()
+    assert [r["text"] for r in got] == ["long " * 40_000, 'a "' * 300]
 
 
 def test_documents(spark, tmp_path):
