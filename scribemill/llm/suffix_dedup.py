@@ -9,6 +9,8 @@ mergesort orders them, and neighbours that agree in LENGTH bytes are compared by
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -73,6 +75,64 @@ def surroundings_hash(prefix: np.ndarray, offset: np.ndarray, first: np.ndarray,
     return mix(range_hashes(prefix, first, end) ^ mix(offset.astype(np.uint64) << np.uint64(20) | (end - first).astype(np.uint64)))
 
 
+#: an anchor's hash that so many places have, over all texts, is a hot one
+HOT = 200  # a block says of no more than 255
+
+
+def contained(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Whether each value is one of the known ones, which ascend."""
+    if not len(known):
+        return np.zeros(len(values), dtype=bool)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
+def served_starts(served: tuple, hot: np.ndarray, prefix: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The starts that anchors of hot hashes serve: the anchors' numbers, the starts, and hashes of the strings there."""
+    _, first, last, h, _ = served
+    own = np.flatnonzero(contained(h, hot))
+    n = last[own] - first[own]
+    starts = ragged(first[own], n)
+    return np.repeat(own, n), starts, mix(range_hashes(prefix, starts, starts + length))
+
+
+class Busy(NamedTuple):
+    """Hashes, ascending: of hot anchors, of strings of theirs that are met twice over all texts, and of those of them
+    that are met HOT times."""
+
+    anchors: np.ndarray
+    strings: np.ndarray
+    hot_strings: np.ndarray
+
+
+def narrowed(data: np.ndarray, served: tuple, busy: Busy, length: int) -> tuple:
+    """The anchors, those of hot hashes parted by how often their strings are met.
+
+    Around a passage that many texts share, an anchor at its edge has other bytes in each text. Strings that are met
+    once go. Runs of strings that are met HOT times or more stay with the anchor: they are within the passage and alike, so
+    that a block sends them once, whatever the number of texts. Each other string becomes an anchor by itself, with its
+    own hash in the place of the anchor's, so that only equal strings meet.
+    """
+    place, first, last, h, whole = served
+    hot = contained(h, busy.anchors)
+    if not hot.any():
+        return served
+    prefix = prefix_hashes(data)
+    member, starts, names = served_starts(served, busy.anchors, prefix, length)
+    most = contained(names, busy.hot_strings)
+    some = np.flatnonzero(contained(names, busy.strings) & ~most)
+    at = np.flatnonzero(most)
+    new = np.ones(len(at), dtype=bool)
+    new[1:] = (member[at][1:] != member[at][:-1]) | (at[1:] != at[:-1] + 1)
+    begin = np.flatnonzero(new)
+    end = at[np.append(begin[1:], len(at)) - 1] if len(at) else at
+    begin = at[begin]
+    one, low, high = (np.concatenate(x) for x in ((member[begin], member[some]), (starts[begin], starts[some]), (starts[end] + 1, starts[some] + 1)))
+    key = np.concatenate([h[member[begin]], names[some]])
+    rest = np.flatnonzero(~hot)
+    around = surroundings_hash(prefix, place[one] - low, low, high - 1 + length)
+    return tuple(np.concatenate(x) for x in ((place[rest], place[one]), (first[rest], low), (last[rest], high), (h[rest], key), (whole[rest], around)))
+
+
 class Suffixes:
     """Suffixes of a byte array, cut at `length` bytes, compared by prefix hashes."""
 
@@ -204,44 +264,66 @@ def repeated_runs(data: np.ndarray, h: np.ndarray, offset: np.ndarray, size: np.
     return np.repeat(np.arange(len(name)), hi - lo), start[up][which], start[down][which] + 1
 
 
-def repeats(docs_blocks: DataFrame, n_shards: int, length: int, kgram: int) -> DataFrame:
-    """(block, starts): the starts, in the block's bytes, of strings that also start anywhere else."""
+def repeats(docs_blocks: DataFrame, n_shards: int, length: int, kgram: int, hot: int) -> DataFrame:
+    """(block, keys, runs, kind): of anchors' surroundings in a block the runs of starts of strings that also start
+    anywhere else (kind 0), and what narrows anchors (1, 2, 3: see Busy)."""
 
     def keys(batches):
         for batch in batches:
             for row in rows_of(batch):
                 h = anchors(*block_texts(row), length, kgram)[3]
                 known, n = np.unique(h, return_counts=True)
-                out = [(s, row["block"], known[i:j].tobytes(), np.packbits(n[i:j] > 1).tobytes()) for s, i, j in shard_runs(known, n_shards)]
-                if out:
-                    yield pa.record_batch([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int32(), pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["shard", "block", "keys", "several"])
+                yield from counted(row["block"], known, n)
+
+    def counted(block: int, known: np.ndarray, n: np.ndarray):
+        """Rows of a block's keys with the numbers of their places, by shard; 255 stand for more."""
+        out = [(s, block, known[i:j].tobytes(), np.minimum(n[i:j], 255).astype(np.uint8).tobytes()) for s, i, j in shard_runs(known, n_shards)]
+        if out:
+            yield pa.record_batch([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int32(), pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["shard", "block", "keys", "places"])
 
     def met(table: pa.Table) -> pa.Table:
-        """Of each block's keys those that are met twice, in the block or in two blocks."""
+        """Of each block's keys those that have two places over all blocks, and which of these are hot."""
         rows = table.to_pylist()
         own = [np.frombuffer(x["keys"], "<u8") for x in rows]
-        known, at, n = np.unique(np.concatenate(own), return_inverse=True, return_counts=True)
-        more = n > 1
-        more[at[np.concatenate([np.unpackbits(np.frombuffer(x["several"], np.uint8), count=len(k)).astype(bool) for x, k in zip(rows, own, strict=True)])]] = True
+        known, at = np.unique(np.concatenate(own), return_inverse=True)
+        total = np.bincount(at, np.frombuffer(b"".join(x["places"] for x in rows), np.uint8), len(known))
         out, first = [], 0
         for x, k in zip(rows, own, strict=True):
-            hit = more[at[first : first + len(k)]]
+            n = total[at[first : first + len(k)]]
             first += len(k)
-            if hit.any():
-                out.append((x["block"], k[hit].tobytes()))
-        return pa.table([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.binary())], names=["block", "keys"])
+            if (n > 1).any():
+                out.append((x["block"], k[n > 1].tobytes(), k[n >= hot].tobytes()))
+        return pa.table([pa.array([x[c] for x in out], t) for c, t in enumerate((pa.int64(), pa.binary(), pa.binary()))], names=["block", "keys", "hot"])
 
-    found = docs_blocks.mapInArrow(tidy(keys), "shard int, block long, keys binary, several binary").groupBy("shard").applyInArrow(tidy(met), "block long, keys binary")
+    COUNTED, MET = "shard int, block long, keys binary, places binary", "block long, keys binary, hot binary"
+    found = written(docs_blocks.mapInArrow(tidy(keys), COUNTED).groupBy("shard").applyInArrow(tidy(met), MET), "suffix-anchors")
+
+    def strings(pack: pa.Table, answer: pa.Table) -> pa.Table:
+        """Hashes of all strings that hot anchors serve, with the numbers of their places in the block."""
+        busy = np.unique(np.frombuffer(b"".join(answer.column("hot").to_pylist()), "<u8"))
+        out = []
+        for row in pack.to_pylist() if len(busy) else ():
+            data, offsets = block_texts(row)
+            served = anchors(data, offsets, length, kgram)
+            out += counted(row["block"], *np.unique(served_starts(served, busy, prefix_hashes(data), length)[2], return_counts=True))
+        return pa.Table.from_batches(out) if out else pa.table([pa.array([], t) for t in (pa.int32(), pa.int64(), pa.binary(), pa.binary())], names=["shard", "block", "keys", "places"])
+
+    warm = found.where("octet_length(hot) > 0")
+    of_hot = written(docs_blocks.groupBy("block").cogroup(warm.groupBy("block")).applyInArrow(tidy(strings), COUNTED).groupBy("shard").applyInArrow(tidy(met), MET), "suffix-strings")
+    # kind: 0 hashes of anchors and the hot ones among them, 1 of strings of hot anchors and the hot ones among these
+    asked = found.withColumn("kind", F.lit(0)).unionByName(of_hot.withColumn("kind", F.lit(1)))
 
     def surroundings(pack: pa.Table, answer: pa.Table) -> pa.Table:
         """Of the anchors met twice, the bytes of all strings that they serve. Within a block equal surroundings go as
         one, with the number of their places."""
-        wanted = np.sort(np.frombuffer(b"".join(answer.column("keys").to_pylist()), "<u8"))
+        answer = answer.to_pylist()
+        busy = Busy(numbers_of(answer, "hot", 0), numbers_of(answer, "keys", 1), numbers_of(answer, "hot", 1))
+        wanted = np.union1d(numbers_of(answer, "keys", 0), busy.strings)
         out = []
         for row in pack.to_pylist():
             data, offsets = block_texts(row)
-            place, first, last, h, whole = anchors(data, offsets, length, kgram)
-            hit = np.flatnonzero(wanted[np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)] == h) if len(wanted) else np.zeros(0, np.int64)
+            place, first, last, h, whole = narrowed(data, anchors(data, offsets, length, kgram), busy, length)
+            hit = np.flatnonzero(contained(h, wanted))
             place, first, last, h, whole = (x[hit] for x in (place, first, last, h, whole))
             end = last - 1 + length
             order = np.lexsort((first, whole, h))
@@ -259,7 +341,7 @@ def repeats(docs_blocks: DataFrame, n_shards: int, length: int, kgram: int) -> D
                 out.append((s, row["block"], h[k].tobytes(), np.array([place[k] - first[k], end[k] - first[k], first[k], np.array(members[i:j])], "<i4").tobytes(), b"".join(raw[a:b] for a, b in zip(first[k], end[k], strict=True))))
         return pa.table([pa.array([x[c] for x in out], t) for c, t in enumerate((pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()))], names=["shard", "block", "keys", "numbers", "data"])
 
-    sent = docs_blocks.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(tidy(surroundings), "shard int, block long, keys binary, numbers binary, data binary")
+    sent = docs_blocks.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(tidy(surroundings), "shard int, block long, keys binary, numbers binary, data binary")
 
     def judge(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
@@ -279,20 +361,33 @@ def repeats(docs_blocks: DataFrame, n_shards: int, length: int, kgram: int) -> D
             found.append((own[member], a, b))
             i = j
         member, a, b = (np.concatenate([np.zeros(0, np.int64), *x]) for x in zip(*found, strict=True))
+        # by row, each one's found runs together
+        by = np.argsort(of[member], kind="stable")
+        bounds = np.searchsorted(of[member][by], np.arange(len(rows) + 1))
         out = []
-        for r, x in enumerate(rows):
-            m = of[member] == r
-            if m.any():
+        for x, i, j in zip(rows, bounds, bounds[1:], strict=False):
+            if i < j:
+                m = by[i:j]
                 # the surroundings of one place stand for all its equals in the block: key, identity, and runs
                 out.append((x["block"], h[member[m]].tobytes(), np.array([first[member[m]], a[m], b[m]], "<i4").tobytes()))
         return pa.table([pa.array([x[c] for x in out], t) for c, t in enumerate((pa.int64(), pa.binary(), pa.binary()))], names=["block", "keys", "runs"])
 
-    return sent.groupBy("shard").applyInArrow(tidy(judge), "block long, keys binary, runs binary")
+    judged = sent.groupBy("shard").applyInArrow(tidy(judge), "block long, keys binary, runs binary").withColumn("kind", F.lit(0))
+    # with which a block narrows its anchors again
+    for kind, (table, column) in enumerate(((warm, "hot"), (of_hot, "keys"), (of_hot, "hot")), 1):
+        judged = judged.unionByName(table.select("block", F.col(column).alias("keys"), F.lit(b"").alias("runs"), F.lit(kind).alias("kind")))
+    return judged
+
+
+def numbers_of(rows: list[dict], column: str, kind: int) -> np.ndarray:
+    """The hashes that rows of a kind have, ascending."""
+    return np.sort(np.frombuffer(b"".join(x[column] for x in rows if x["kind"] == kind), "<u8"))
 
 
 def covered(data, offsets, rows: list[dict], length: int, kgram: int) -> np.ndarray:
     """The bytes of a block that repeated strings cover, from the judged surroundings of its anchors."""
-    place, first, last, h, whole = anchors(data, offsets, length, kgram)
+    place, first, last, h, whole = narrowed(data, anchors(data, offsets, length, kgram), Busy(*(numbers_of(rows, "keys", k) for k in (1, 2, 3))), length)
+    rows = [x for x in rows if x["kind"] == 0]
     edge = np.zeros(len(data) + 1, np.int32)
     keys = np.concatenate([np.zeros(0, np.uint64), *[np.frombuffer(x["keys"], "<u8") for x in rows]])
     runs = np.concatenate([np.zeros((3, 0), np.int64), *[np.frombuffer(x["runs"], "<i4").reshape(3, -1) for x in rows]], axis=1).astype(np.int64)
@@ -318,7 +413,7 @@ def covered(data, offsets, rows: list[dict], length: int, kgram: int) -> np.ndar
     return np.cumsum(edge)[:-1] > 0
 
 
-def dedup_substrings(docs: DataFrame, length: int = LENGTH, kgram: int = KGRAM, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def dedup_substrings(docs: DataFrame, length: int = LENGTH, kgram: int = KGRAM, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES, hot: int = HOT) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept (the remaining bytes of the text) for every row.
 
     A byte goes if a string of `length` bytes that covers it also starts anywhere else, in the same text or another;
@@ -328,7 +423,7 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, kgram: int = KGRAM,
     """
     packs = written(blocks(docs, id_col, text_col, block_bytes), "suffix-blocks")
     n_shards = max(16, 4 * packs.count())  # several shards a task even out; a block sends a row at most for each of its keys
-    judged = repeats(packs, n_shards, length, kgram)
+    judged = repeats(packs, n_shards, length, kgram, hot)
 
     def remove(pack: pa.Table, answer: pa.Table) -> pa.Table:
         out = []

@@ -1,6 +1,7 @@
 import collections
 import hashlib
 import math
+import random
 import re
 import zlib
 
@@ -21,7 +22,7 @@ WORD, ALNUM = re.compile("[^\x20\x09-\x0d]+"), re.compile("[^\x00-\x2f\x3a-\x60\
 
 
 def counted(rows):
-    return sorted(collections.Counter(rows).items())
+    return sorted(collections.Counter(rows).items(), key=repr)
 
 
 def in_duckdb(sql: str, **tables):
@@ -31,8 +32,8 @@ def in_duckdb(sql: str, **tables):
     return c.sql(sql).df()
 
 
-@pytest.mark.parametrize("size", [500, 1 << 20])
-def test_suffix_dedup(spark, size):
+@pytest.mark.parametrize("size,hot", [(500, 200), (1 << 20, 200), (500, 2), (1 << 20, 2), (3000, 6)])
+def test_suffix_dedup(spark, size, hot):
     length = 40
     data = [(x[0], (x[1] or "").encode()) for x in edge.rows()]
     seen = collections.Counter(b[k : k + length] for _, b in data for k in range(len(b) - length + 1))
@@ -44,11 +45,35 @@ def test_suffix_dedup(spark, size):
                 gone[k : k + length] = True
         spans = int((gone & ~np.concatenate([[False], gone[:-1]])).sum()) if len(b) else 0
         want.append((doc_id, len(b), int(gone.sum()), spans, np.frombuffer(b, np.uint8)[~gone].tobytes()))
-    found = U.dedup_substrings(edge.documents(spark), length, 12, block_bytes=size).collect()
+    found = U.dedup_substrings(edge.documents(spark), length, 12, block_bytes=size, hot=hot).collect()
     assert counted((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in found) == counted(want)
     assert sum(x[2] for x in want) > 0 and U.dedup_substrings(edge.empty(spark)).count() == 0
 
 
+def test_a_passage_of_many_texts_goes_once_a_block(spark):
+    """A third of the texts share a passage amid texts of their own: what its shard gets is in proportion to the blocks,
+    not to the texts, and the result is that of all strings."""
+    r = random.Random(8)
+    own = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    passage = own(150)
+    texts = [own(80) + (passage if k % 3 == 0 else own(150)) + own(80) for k in range(240)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    data = [U.block_texts(x) for x in U.blocks(docs, "doc_id", "text", 12_000).collect()]
+    served = [U.anchors(d, o, 60, 16) for d, o in data]
+    h, n = np.unique(np.concatenate([x[3] for x in served]), return_counts=True)
+    met, sizes, found = h[n >= 70], {}, {}
+    for hot in (200, 20):
+        rows = U.dedup_substrings(docs, 60, 16, block_bytes=12_000, hot=hot).collect()
+        found[hot] = {x["doc_id"]: (x["n_removed"], x["n_spans"]) for x in rows}
+        busy = h[n >= hot]
+        strings, m = np.unique(np.concatenate([U.served_starts(x, busy, U.prefix_hashes(d), 60)[2] for x, (d, _) in zip(served, data, strict=True)]), return_counts=True)
+        kept = [U.narrowed(d, x, U.Busy(busy, strings[m > 1], strings[m >= hot]), 60) for x, (d, _) in zip(served, data, strict=True)]
+        # distinct surroundings that blocks send of the anchors that most texts have
+        sizes[hot] = sum(len({(a, b) for a, b in zip(x[3].tolist(), x[4].tolist(), strict=True) if a in met}) for x in kept)
+    assert found[20] == found[200] and all(x == (0, 0) if k % 3 else 150 <= x[0] < 160 and x[1] == 1 for k, x in found[20].items())
+    assert len(met) and sizes[20] * 3 < sizes[200]
+
+
 def test_suffix_sort():
     r = np.random.default_rng(3)
     data = r.integers(97, 99, 400, dtype=np.uint8)
