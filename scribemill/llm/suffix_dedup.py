@@ -67,7 +67,8 @@ def piece_anchors(data: np.ndarray, offsets: np.ndarray, length: int, kgram: int
     new[1:] = (place[1:] != place[:-1]) | (starts[1:] != starts[:-1] + 1)
     begin = np.flatnonzero(new)
     place, first, last = place[begin], starts[begin], starts[np.append(begin[1:], len(place)) - 1] + 1
-    return place, first, last, values[place], surroundings_hash(prefix, place - first, first, last - 1 + length)
+    # a least value is small: mixed, they spread over all shards
+    return place, first, last, mix(values[place]), surroundings_hash(prefix, place - first, first, last - 1 + length)
 
 
 def surroundings_hash(prefix: np.ndarray, offset: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:

@@ -5,7 +5,7 @@ import random
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size string, score string, block string, kept string, node string, data string"
 
 
-def rows(n: int = 60, seed: int = 4) -> list[tuple]:
+def rows(n: int = 60, seed: int = 4, null_ids: bool = False) -> list[tuple]:
     r = random.Random(seed)
     words = ["".join(r.choice("abcdeé") for _ in range(r.randint(1, 6))) for _ in range(300)]
     sentence = lambda k: " ".join(r.choice(words) for _ in range(k))
@@ -24,7 +24,9 @@ def rows(n: int = 60, seed: int = 4) -> list[tuple]:
         out.append((i, text, r.choice(["en", "de", None]), r.choice(["a", "b", "é", "\U0001f600", None]), len(text)))
     out += [(n, None, None, None, None), (n + 1, "", "en", "a", 0), (n + 2, " \n\t ", "en", "b", 4), (n + 3, "x", "en", "b", 1), (n + 4, "x", None, "b", 1)]
     out += [(n + 5, sentence(9000), "en", "a", 1), (n + 5 + 1, "tail white  \n", "en", "a", 1), (n + 7, "odd  space  \x1c end　", "en", None, 1)]
-    out += [out[3], out[3], (None, out[5][1], "en", "a", 1), (None, sentence(40), "en", None, 1)]  # equal rows, null ids
+    out += [out[3], out[3]]  # equal rows
+    if null_ids:
+        out += [(None, out[5][1], "en", "a", 1), (None, sentence(40), "en", None, 1), (None, None, None, None, None)]
     return [x + ("clash",) * 6 for x in out]
 
 

@@ -55,9 +55,9 @@ def resampled(rows, target, runs, buckets, least, percent, seed):
 @pytest.mark.parametrize("runs,buckets,percent", [(2, 10_000, 25), (1, 7, 60), (3, 70_000, 100)])
 def test_resampling(spark, monkeypatch, runs, buckets, percent):
     monkeypatch.setattr(R, "ROW_BYTES", 900)
-    rows = edge.rows()
+    rows = edge.rows(null_ids=True)
     target = [x[1] for x in items(rows)]
-    got = R.resampled(edge.documents(spark), spark.createDataFrame(items(rows), "item_id long, text string"), runs, buckets, 20, percent)
+    got = R.resampled(edge.documents(spark, null_ids=True), spark.createDataFrame(items(rows), "item_id long, text string"), runs, buckets, 20, percent)
     assert counted(map(str, (tuple(r[c] for c in ("doc_id", "n_features", "weight", "score")) for r in got.collect()))) == counted(str(tuple(x[:4])) for x in resampled(rows, target, runs, buckets, 20, percent, 7))
     # rows that share id and text may change places
     ranks = lambda rows: sorted((x["rank"], x["score"]) for x in rows if x["rank"] is not None)
@@ -83,7 +83,7 @@ def test_scan_in_pieces():
 
 
 def test_resampling_sql(spark):
-    rows = [x for x in dict((x[0], x) for x in edge.rows() if x[0] is not None).values()]
+    rows = [x for x in dict((x[0], x) for x in edge.rows(null_ids=True) if x[0] is not None).values()]
     docs, target = spark.createDataFrame(rows, edge.SCHEMA), spark.createDataFrame(items(rows), "item_id long, text string")
     want = in_duckdb(R.OP11_SQL, documents=docs, benchmark=target)
     got = R.resampled(docs, target).select("doc_id", "n_features", "weight", "score", "rank").toPandas()
@@ -116,17 +116,17 @@ def searched(docs, asked, k):
 def test_search(spark, monkeypatch, k, size, asked):
     monkeypatch.setattr(A, "QUERY_BYTES", asked)
     monkeypatch.setattr(A, "FIRST_TURN", 2)
-    rows = edge.rows()
+    rows = edge.rows(null_ids=True)
     table = spark.createDataFrame([(*x, 0, "s", "r") for x in items(rows)], ITEMS)
-    got = A.search(edge.documents(spark), table, k, block_bytes=size)
+    got = A.search(edge.documents(spark, null_ids=True), table, k, block_bytes=size)
     assert got.columns == ["item_id", "rank", "doc_id", "score"]
     assert counted(map(str, (tuple(r) for r in got.collect()))) == counted(map(str, searched(rows, items(rows), k)))
 
 
 def test_search_of_nothing(spark):
-    table = spark.createDataFrame(items(edge.rows()), "item_id long, text string")
+    table = spark.createDataFrame(items(edge.rows(null_ids=True)), "item_id long, text string")
     assert A.search(edge.empty(spark), table).count() == 0
-    assert A.search(edge.documents(spark), spark.createDataFrame([], "item_id string, text string")).count() == 0
+    assert A.search(edge.documents(spark, null_ids=True), spark.createDataFrame([], "item_id string, text string")).count() == 0
 
 
 def test_search_stops_early(spark):
@@ -150,7 +150,7 @@ def test_search_bounds():
 
 
 def test_search_sql(spark):
-    rows = [x for x in dict((x[0], x) for x in edge.rows() if x[0] is not None).values()]
+    rows = [x for x in dict((x[0], x) for x in edge.rows(null_ids=True) if x[0] is not None).values()]
     docs, table = spark.createDataFrame(rows, edge.SCHEMA), spark.createDataFrame(items(rows)[:6], "item_id long, text string")
     want = in_duckdb(A.OP12_SQL, documents=docs, benchmark=table)
     assert counted(map(tuple, A.search(docs, table).collect())) == counted(map(tuple, want.astype(int).values.tolist()))

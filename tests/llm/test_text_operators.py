@@ -35,7 +35,7 @@ def in_duckdb(sql: str, **tables):
 @pytest.mark.parametrize("size,hot", [(500, 200), (1 << 20, 200), (500, 2), (1 << 20, 2), (3000, 6)])
 def test_suffix_dedup(spark, size, hot):
     length = 40
-    data = [(x[0], (x[1] or "").encode()) for x in edge.rows()]
+    data = [(x[0], (x[1] or "").encode()) for x in edge.rows(null_ids=True)]
     seen = collections.Counter(b[k : k + length] for _, b in data for k in range(len(b) - length + 1))
     want = []
     for doc_id, b in data:
@@ -45,7 +45,7 @@ def test_suffix_dedup(spark, size, hot):
                 gone[k : k + length] = True
         spans = int((gone & ~np.concatenate([[False], gone[:-1]])).sum()) if len(b) else 0
         want.append((doc_id, len(b), int(gone.sum()), spans, np.frombuffer(b, np.uint8)[~gone].tobytes()))
-    found = U.dedup_substrings(edge.documents(spark), length, 12, block_bytes=size, hot=hot).collect()
+    found = U.dedup_substrings(edge.documents(spark, null_ids=True), length, 12, block_bytes=size, hot=hot).collect()
     assert counted((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in found) == counted(want)
     assert sum(x[2] for x in want) > 0 and U.dedup_substrings(edge.empty(spark)).count() == 0
 
@@ -74,6 +74,13 @@ def test_a_passage_of_many_texts_goes_once_a_block(spark):
     assert len(met) and sizes[20] * 3 < sizes[200]
 
 
+def test_anchors_spread_over_shards():
+    data = np.frombuffer(random.Random(2).randbytes(400_000), np.uint8)
+    h = np.unique(U.anchors(data, np.array([0, len(data)]))[3])
+    sizes = [j - i for _, i, j in U.shard_runs(h, 64)]
+    assert len(sizes) == 64 and max(sizes) < 2 * sorted(sizes)[32]
+
+
 def test_suffix_sort():
     r = np.random.default_rng(3)
     data = r.integers(97, 99, 400, dtype=np.uint8)
