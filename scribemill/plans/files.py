@@ -15,7 +15,7 @@ from scribemill.operators.tables import shared_folder
 from scribemill.plans import views as V
 from scribemill.plans.queries import query
 from scribemill.plans.views import LINES, PAIRS, table
-from scribemill.sources import audio, files, readers, writers
+from scribemill.sources import audio, files, mp4, readers, writers
 
 PLAIN = r"trim(regexp_replace(text, '<[^>]*?>', '', 'g'))"
 
@@ -136,6 +136,19 @@ def audio_chunk_files(spark, d):
     return rows.select("vec_id", "rate", F.size("audio").alias("n"), F.round(total).cast("long").alias("total"))
 
 
+@query(f"""with {LINES}, r as (select file_id, row_number() over (partition by file_id order by idx) - 1 as idx, start, "end", text from subs where text <> '') select file_id, cast(idx as int) as idx, start, "end", text from r""")
+def mp4_subtitles(spark, d):
+    """Each document's lines as the Swedish track of an MP4 file whose first track is another, probed and read by ranges."""
+    path = folder(spark, "mp4")
+    rows = F.transform(F.array_sort(F.collect_list(F.struct("idx", "start", "end", "text"))), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["text"].alias("text")))
+    docs = V.subs(spark, d).groupBy("file_id").agg(rows.alias("rows"))
+    other = F.transform(F.slice("rows", 1, 3), lambda r: F.struct(r["start"].alias("start"), r["end"].alias("end"), F.lit("x").alias("text")))
+    streams = F.array(F.struct(F.lit("eng").alias("language"), other.alias("rows")), F.struct(F.lit("swe").alias("language"), F.col("rows").alias("rows")))
+    files.write_files(docs.select(named("file_id", ".mp4").alias("name"), mp4.subtitle_files(streams).alias("content")), path)
+    found = mp4.subtitles(docs.select(F.concat(F.lit(f"{path}/"), named("file_id", ".mp4")).alias("path")))
+    return found.where("error is null").select(number(F.col("file_id")).alias("file_id"), "idx", "start", "end", "text")
+
+
 @query("select page_id, split_part(url, '/', 4) as channel from pages where split_part(url, '/', 4) in ('en', 'de')")
 def channel_files(spark, d):
     """Files in the folders of some channels."""

@@ -161,9 +161,9 @@ def audio_of(bases: DataFrame, listing: DataFrame, base: str = "base") -> DataFr
     return bases.join(known, base, "left")
 
 
-def swedish_stream(streams: DataFrame) -> DataFrame:
-    """Of each file's subtitle streams (file_id, stream, language) the first whose language names Swedish."""
-    return streams.where(F.contains(F.lower("language"), F.lit("swe"))).groupBy("file_id").agg(F.min("stream").alias("stream"))
+def swedish_stream(streams: DataFrame, language: str = "swe") -> DataFrame:
+    """Of each file's subtitle streams (file_id, stream, language) the first whose language names Swedish, or another."""
+    return streams.where(F.contains(F.lower("language"), F.lit(language))).groupBy("file_id").agg(F.min("stream").alias("stream"))
 
 
 def program_parts(name: Column) -> dict[str, Column]:
