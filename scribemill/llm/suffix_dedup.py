@@ -423,7 +423,7 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, kgram: int = KGRAM,
     character, hence bytes.
     """
     packs = written(blocks(docs, id_col, text_col, block_bytes), "suffix-blocks")
-    n_shards = max(16, 4 * packs.count())  # several shards a task even out; a block sends a row at most for each of its keys
+    n_shards = max(16, packs.count() // 2)  # a shard has what two blocks have; a block sends a row at most for each of its keys
     judged = repeats(packs, n_shards, length, kgram, hot)
 
     def remove(pack: pa.Table, answer: pa.Table) -> pa.Table:
