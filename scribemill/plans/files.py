@@ -157,11 +157,11 @@ def channel_files(spark, d):
     return readers.of_channels(listing, ["en", "de"]).select("page_id", F.regexp_extract("path", "/([^/]+)/[^/]+$", 1).alias("channel"))
 
 
-@query("select d.doc_id, l.hours, l.weight from documents d left join (values ('en', 2.5::double, 3::bigint), ('de', null, 1), ('fr', 0.5, null)) l(name, hours, weight) on d.lang = l.name")
+@query("select d.doc_id, l.hours, l.weight from documents d left join (values ('en', 2.5::double, 3::double), ('de', null, 1), ('fr', 0.5, null)) l(name, hours, weight) on d.lang = l.name")
 def literal_join(spark, d):
     """A table given as a dictionary, joined."""
     known = readers.literal_table(spark, {"en": {"hours": 2.5, "weight": 3}, "de": {"weight": 1}, "fr": {"hours": 0.5}})
-    return table(spark, d, "documents").join(F.broadcast(known), F.col("lang") == F.col("name"), "left").select("doc_id", "hours", "weight")
+    return table(spark, d, "documents").join(F.broadcast(known), F.col("lang") == F.col("name"), "left").select("doc_id", "hours", F.col("weight").cast("double").alias("weight"))
 
 
 @query("""select doc_id, n_chars * 10 >= 20000 and doc_id % 3 = 0 as detect, n_chars * 10 >= 20000 and doc_id % 3 > 0 and lang = 'en' as transcribe from documents""")
