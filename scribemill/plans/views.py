@@ -42,6 +42,12 @@ def rollup_subs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select("file_id", (F.col("idx") * 10 + F.col("k")).alias("idx"), text.alias("text"))
 
 
+def dealt_out(rows: DataFrame, key: str) -> DataFrame:
+    """The rows by key over all cores, if they stand in fewer splits than there are cores; larger tables stay as they are."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores, key) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """pair_id (file_id and, in the low 32 bits, idx), ref, hyp_a (without every fifth word), hyp_b (every seventh word
     is x), of all words of all lines in ASCII."""
@@ -51,7 +57,8 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = doc_lines(spark, sf_dir).select(pair_id.alias("pair_id"), "file_id", "idx", "source", words.alias("w"))
     a = F.filter("w", lambda x, i: (i + 1) % 5 != 0)
     b = F.transform("w", lambda x, i: F.when((i + 1) % 7 == 0, F.lit("x")).otherwise(x))
-    return rows.select("pair_id", "file_id", "idx", "source", *(F.array_join(x, " ").alias(n) for x, n in ((F.col("w"), "ref"), (a, "hyp_a"), (b, "hyp_b"))))
+    rows = rows.select("pair_id", "file_id", "idx", "source", *(F.array_join(x, " ").alias(n) for x, n in ((F.col("w"), "ref"), (a, "hyp_a"), (b, "hyp_b"))))
+    return dealt_out(rows, "pair_id")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
