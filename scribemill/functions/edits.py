@@ -69,6 +69,149 @@ def common_length(a: Sequence, b: Sequence) -> int:
     return start + end + len(a) - row.bit_count()
 
 
+#: bytes of the vectors of one group of pairs, and of its table of places
+GROUP_BYTES, TABLE_BYTES = 1 << 14, 1 << 24
+#: of at most so many distinct items a table has a row for each
+ROWS = 256
+
+
+def spread(starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of ranges of places: for every place its range, its number in the range, and itself."""
+    of = np.repeat(np.arange(len(lengths)), lengths)
+    number = np.arange(len(of)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    return of, number, starts[of] + number
+
+
+def groups_of(width: np.ndarray, steps: np.ndarray, distinct: int) -> list[np.ndarray]:
+    """Pairs in groups of vectors of about a width (bytes), as many as the vectors and tables of a group have room for."""
+    order = np.lexsort((-steps, width))
+    width, out, begin = width[order], [], 0
+    while begin < len(order):
+        widest = int(width[begin]) * 9 // 8
+        upto = int(np.searchsorted(width, widest, "right"))
+        rows = distinct if distinct <= ROWS else min(distinct, 8 * widest)
+        end = min(upto, begin + max(1, min(GROUP_BYTES // widest, TABLE_BYTES // (widest * rows))))
+        out.append(order[begin:end])
+        begin = end
+    return out
+
+
+def group_distances(codes: np.ndarray, tall: tuple, wide: tuple, distinct: int, width: int) -> np.ndarray:
+    """Levenshtein distances of one group by one vector, in which each pair has `width` bytes, the highest bit of which is
+    for carries. tall: places and lengths of the sequences that have the bits; wide: those that move them. All end
+    with the same step, so the shorter of these come in later, and what grew and fell in the last column is added up."""
+    (at_a, n), (at_b, m) = tall, wide
+    order = np.argsort(-m, kind="stable")
+    at_a, n, at_b, m = at_a[order], n[order], at_b[order], m[order]
+    pairs, steps = len(m), int(m[0])
+    pair, number, place = spread(at_a, n)
+    pair_b, step, place_b = spread(at_b, m)
+    cell, cell_b = pair * distinct + codes[place], pair_b * distinct + codes[place_b]
+    cells = pairs * distinct
+    if distinct > ROWS:
+        known, cell = np.unique(cell, return_inverse=True)
+        cells = len(known)
+        found = np.minimum(np.searchsorted(known, cell_b), cells - 1)
+        cell_b = np.where(known[found] == cell_b, found, cells)
+    bit = np.left_shift(np.uint8(1), (number & 7).astype(np.uint8))
+    table, valid = np.zeros((cells + 1, width), np.uint8), np.zeros((pairs, width), np.uint8)
+    np.add.at(table.reshape(-1), cell * width + (number >> 3), bit)
+    np.add.at(valid.reshape(-1), pair * width + (number >> 3), bit)
+    first = np.zeros((pairs, width), np.uint8)
+    first[:, 0] = 1
+    moves = np.empty((steps, pairs), np.int64)
+    moves[step + (steps - m)[pair_b], pair_b] = cell_b
+    active = np.searchsorted(-m, np.arange(steps) - steps, "right").tolist()
+    number_of = lambda x: int.from_bytes(x.tobytes(), "little")
+    up = down = full = low = at = 0
+    for j, count in enumerate(active):
+        if count > at:
+            before, full, low, at = full, number_of(valid[:count]), number_of(first[:count]), count
+            up |= full ^ before
+        same = number_of(table.take(moves[j, :count], axis=0))
+        vertical = same | down
+        same |= ((same & up) + up) ^ up
+        right = down | (((same | up) & full) ^ full)
+        left = up & same
+        right = (right << 1 | low) & full
+        up = (left << 1 & full) | ((vertical | right) ^ full)
+        down = right & vertical
+    size = pairs * width
+    grown, fallen = (np.bitwise_count(np.frombuffer(x.to_bytes(size, "little"), np.uint8)).reshape(pairs, width).sum(axis=1, dtype=np.int64) for x in (up, down))
+    out = np.empty(pairs, np.int64)
+    out[order] = m + grown - fallen
+    return out
+
+
+def distances(codes: np.ndarray, of_a: np.ndarray, of_b: np.ndarray, distinct: int) -> np.ndarray:
+    """Levenshtein distances of many pairs: codes below `distinct`, with the offsets of the first sequences and, behind
+    all of those, of the second ones. Pairs of about a length are moved together; a few long ones one by one."""
+    at_a, n, at_b, m = of_a[:-1], np.diff(of_a), of_b[:-1] + of_a[-1], np.diff(of_b)
+    out = np.maximum(n, m)
+    swap = n < m
+    at_a, n, at_b, m = np.where(swap, at_b, at_a), np.where(swap, m, n), np.where(swap, at_a, at_b), np.where(swap, n, m)
+    todo = np.flatnonzero(m > 0)
+    width = n // 8 + 1
+    for group in groups_of(width[todo], m[todo], distinct) if len(todo) else []:
+        pairs = todo[group]
+        if len(pairs) < 3:
+            for i in pairs.tolist():
+                out[i] = edit_distance(codes[at_a[i] : at_a[i] + n[i]].tolist(), codes[at_b[i] : at_b[i] + m[i]].tolist())
+        else:
+            out[pairs] = group_distances(codes, (at_a[pairs], n[pairs]), (at_b[pairs], m[pairs]), distinct, int(width[pairs].max()))
+    return out
+
+
+def short_common_lengths(codes: np.ndarray, of_a: np.ndarray, of_b: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """Lengths of the longest common subsequences of pairs whose first sequence has at most 64 items."""
+    at_a, n, at_b, m = of_a[pairs], (np.diff(of_a))[pairs], of_b[pairs] + of_a[-1], (np.diff(of_b))[pairs]
+    full = np.where(n == 64, np.uint64(0xFFFFFFFFFFFFFFFF), np.left_shift(np.uint64(1), (n & 63).astype(np.uint64)) - np.uint64(1))
+    row, distinct = full.copy(), int(codes.max(initial=0)) + 1
+    lane, number, place = spread(at_a, n)
+    known, cell = np.unique(lane * distinct + codes[place], return_inverse=True)
+    table = np.zeros(len(known) + 1, np.uint64)
+    np.add.at(table, cell, np.left_shift(np.uint64(1), number.astype(np.uint64)))
+    order = np.argsort(-m, kind="stable")
+    for j in range(int(m.max(initial=0))):
+        own = order[: np.searchsorted(-m[order], -j, "left")]
+        key = own * distinct + codes[at_b[own] + j]
+        found = np.searchsorted(known, key)
+        found = np.where(known[np.minimum(found, max(len(known) - 1, 0))] == key, found, len(known)) if len(known) else np.zeros(len(own), np.int64)
+        same = row[own] & table[found]
+        row[own] = ((row[own] + same) | (row[own] & ~same)) & full[own]
+    return n - np.bitwise_count(row).astype(np.int64)
+
+
+def common_lengths(codes: np.ndarray, of_a: np.ndarray, of_b: np.ndarray) -> np.ndarray:
+    """Lengths of the longest common subsequences of many pairs: those of at most 64 items together, others one by one."""
+    n, m = np.diff(of_a), np.diff(of_b)
+    out = np.zeros(len(n), np.int64)
+    short = (n <= 64) & (m <= 64)
+    out[short] = short_common_lengths(codes, of_a, of_b, np.flatnonzero(short))
+    for i in np.flatnonzero(~short).tolist():
+        out[i] = common_length(codes[of_a[i] : of_a[i + 1]].tolist(), codes[of_a[-1] + of_b[i] : of_a[-1] + of_b[i + 1]].tolist())
+    return out
+
+
+def coded_texts(a: pa.Array, b: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Codes of the characters of two columns, one after the other, the offsets of both, and the number of codes; nulls
+    are empty."""
+    columns = [pc.fill_null(x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x, "").cast(pa.large_string()) for x in (a, b)]
+    offsets, places = [], []
+    for x in columns:
+        offsets.append(np.concatenate([[0], np.cumsum(pc.utf8_length(x).to_numpy(zero_copy_only=False))]).astype(np.int64))
+        places.append(np.frombuffer(x.buffers()[1], np.int64)[x.offset : x.offset + len(x) + 1] if len(x) else np.zeros(1, np.int64))
+    raw = [np.frombuffer(x.buffers()[2], np.uint8)[p[0] : p[-1]] if p[-1] > p[0] else np.zeros(0, np.uint8) for x, p in zip(columns, places, strict=True)]
+    points = np.concatenate(raw)
+    if len(points) > sum(int(x[-1]) for x in offsets):
+        # characters of several bytes
+        points = np.frombuffer(points.tobytes().decode().encode("utf-32-le"), np.uint32)
+    seen = np.zeros(int(points.max(initial=0)) + 1, bool)
+    seen[points] = True
+    number = np.cumsum(seen) - 1
+    return number[points], *offsets, int(number[-1]) + 1
+
+
 def middle_snake(a: Sequence, b: Sequence) -> tuple[int, int, int, int, int]:
     """(edits, x, y, u, v): a shortest edit script's number of edits, and the run of equal items from (x, y) to (u, v)
     in its middle. Furthest places of each diagonal are followed from both ends until they meet."""

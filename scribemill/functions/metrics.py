@@ -17,20 +17,21 @@ from scribemill.functions.text import split_words
 
 @F.arrow_udf(IntegerType())
 def list_edits(a: pa.Array, b: pa.Array) -> pa.Array:
-    codes_a, of_a, codes_b, of_b, _ = E.coded_lists(a, b)
-    x, y = codes_a.tolist(), codes_b.tolist()
-    out = [E.edit_distance(x[i:k], y[j:m]) for i, k, j, m in zip(of_a, of_a[1:], of_b, of_b[1:], strict=False)]
-    return pa.array(out, pa.int32(), mask=nulls(a, b))
+    codes_a, of_a, codes_b, of_b, known = E.coded_lists(a, b)
+    found = E.distances(np.concatenate([codes_a, codes_b]), of_a, of_b, max(len(known), 1))
+    return pa.array(found.astype(np.int32), pa.int32(), mask=nulls(a, b))
 
 
 @F.arrow_udf(IntegerType())
 def character_edits(a: pa.Array, b: pa.Array) -> pa.Array:
-    return pa.array([None if x is None or y is None else E.edit_distance(x, y) for x, y in zip(a.to_pylist(), b.to_pylist(), strict=True)], pa.int32())
+    codes, of_a, of_b, distinct = E.coded_texts(a, b)
+    return pa.array(E.distances(codes, of_a, of_b, distinct).astype(np.int32), pa.int32(), mask=nulls(a, b))
 
 
 @F.arrow_udf(IntegerType())
 def common_characters(a: pa.Array, b: pa.Array) -> pa.Array:
-    return pa.array([None if x is None or y is None else E.common_length(x, y) for x, y in zip(a.to_pylist(), b.to_pylist(), strict=True)], pa.int32())
+    codes, of_a, of_b, _ = E.coded_texts(a, b)
+    return pa.array(E.common_lengths(codes, of_a, of_b).astype(np.int32), pa.int32(), mask=nulls(a, b))
 
 
 @F.arrow_udf(ArrayType(IntegerType()))

@@ -16,9 +16,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def doc_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """file_id, idx, text, source, lang."""
-    docs = table(spark, sf_dir, "documents")
+def dealt_out(rows: DataFrame, key: str, tasks: int = 3) -> DataFrame:
+    """The rows by key over all cores, some tasks for each, for work that costs more than a shuffle. A table's splits do
+    not tell: those without the start of a row group are empty."""
+    return rows.repartition(max(tasks * rows.sparkSession.sparkContext.defaultParallelism, rows.rdd.getNumPartitions()), key)
+
+
+def doc_lines(spark: SparkSession, sf_dir: str, dealt: bool = False) -> DataFrame:
+    """file_id, idx, text, source, lang; with `dealt` the documents are dealt out over all cores before."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    docs = dealt_out(docs, "doc_id") if dealt else docs
     return docs.select(F.col("doc_id").alias("file_id"), "source", "lang", F.posexplode(F.split("text", "\n")).alias("idx", "text"))
 
 
@@ -42,23 +49,16 @@ def rollup_subs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select("file_id", (F.col("idx") * 10 + F.col("k")).alias("idx"), text.alias("text"))
 
 
-def dealt_out(rows: DataFrame, key: str) -> DataFrame:
-    """The rows by key over all cores, if they stand in fewer splits than there are cores; larger tables stay as they are."""
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores, key) if rows.rdd.getNumPartitions() < cores else rows
-
-
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """pair_id (file_id and, in the low 32 bits, idx), ref, hyp_a (without every fifth word), hyp_b (every seventh word
     is x), of all words of all lines in ASCII."""
     ascii_ = F.regexp_replace("text", "[^ -~]", "")
     words = F.filter(F.split(ascii_, " "), lambda x: x != "")
     pair_id = F.shiftleft(F.col("file_id").cast("long"), 32) + F.col("idx")
-    rows = doc_lines(spark, sf_dir).select(pair_id.alias("pair_id"), "file_id", "idx", "source", words.alias("w"))
+    rows = doc_lines(spark, sf_dir, dealt=True).select(pair_id.alias("pair_id"), "file_id", "idx", "source", words.alias("w"))
     a = F.filter("w", lambda x, i: (i + 1) % 5 != 0)
     b = F.transform("w", lambda x, i: F.when((i + 1) % 7 == 0, F.lit("x")).otherwise(x))
-    rows = rows.select("pair_id", "file_id", "idx", "source", *(F.array_join(x, " ").alias(n) for x, n in ((F.col("w"), "ref"), (a, "hyp_a"), (b, "hyp_b"))))
-    return dealt_out(rows, "pair_id")
+    return rows.select("pair_id", "file_id", "idx", "source", *(F.array_join(x, " ").alias(n) for x, n in ((F.col("w"), "ref"), (a, "hyp_a"), (b, "hyp_b"))))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@ import math
 import random
 import re
 import string
+import time
 import unicodedata
 
 import numpy as np
@@ -84,6 +85,20 @@ def test_edits():
     assert E.edit_distance("kitten", "sitting") == 3 and E.common_length("", "a") == 0
 
 
+def test_edits_of_many_pairs():
+    """Pairs of a group, moved together, have the edits that each has by itself, whatever the lengths and alphabet."""
+    r = random.Random(3)
+    for longest, letters in ((9, 3), (64, 4), (130, 400), (700, 30)):
+        a = ["".join(chr(97 + r.randrange(letters)) for _ in range(r.randrange(longest))) for _ in range(300)]
+        b = ["".join(x for x in t if r.random() < 0.8) if r.random() < 0.7 else t[::-1] for t in a]
+        a[0] = None
+        codes, of_a, of_b, distinct = E.coded_texts(pa.array(a, pa.string()), pa.array(b, pa.string()))
+        assert E.distances(codes, of_a, of_b, distinct).tolist() == [E.edit_distance(x or "", y) for x, y in zip(a, b, strict=True)]
+        assert E.common_lengths(codes, of_a, of_b).tolist() == [E.common_length(x or "", y) for x, y in zip(a, b, strict=True)]
+    codes, of_a, of_b, distinct = E.coded_texts(*[pa.array(["x", "ab", "", None, "\u00e5\U0001f600"], pa.string())[1:]] * 2)
+    assert E.distances(codes, of_a, of_b, distinct).tolist() == [0] * 4 and len(codes) == 8
+
+
 def test_matched_ngrams():
     pairs = list(random_pairs(300, 2))
     as_lists = [pa.array([None if k == 7 else [str(x) for x in p[side]] for k, p in enumerate(pairs)], pa.list_(pa.string())) for side in (0, 1)]
@@ -212,3 +227,25 @@ def test_softmax_prompt_and_snr(spark):
         assert snr == pytest.approx(want)
     tokens = values(spark, [([str(i) for i in range(300)],), (["a"],)], "x array<string>", p=A.prompt(c, F.lit("s")))
     assert len(tokens[0][0]) == 192 and tokens[0][0][:2] == ["s", "109"] and tokens[1][0] == ["s", "a"]
+
+
+def test_clean_text_of_a_long_line(spark):
+    """Time in proportion to a line: the last rule tries it once, not from each of its places. It takes the last "... ..." of a line
+    that has something before it."""
+    rule = T.CLEANING[-1]
+    texts = ["a... ... b", "... ...", "x... ... ... ...y", "... ... ... z", "a\n... ...\nb... ... c... ...d", "... ...... ..."]
+    want = [re.sub(r"([^\n]+)\.\.\. \.\.\.", r"\1 ", t) for t in texts]
+    rows = spark.createDataFrame(list(enumerate(texts)), "k int, t string").orderBy("k")
+    assert [x[0] for x in rows.select(F.regexp_replace("t", *rule)).collect()] == want
+    began = time.time()
+    assert spark.range(1).select(F.length(T.clean_text(F.repeat(F.lit("ab. "), 100_000)))).first()[0] == 399_999
+    assert time.time() - began < 20
+
+
+def test_work_is_dealt_out(spark):
+    """A table whose rows stand in one of many splits, too."""
+    from scribemill.plans import views as V
+
+    cores = spark.sparkContext.defaultParallelism
+    rows = V.dealt_out(spark.range(1000).coalesce(1).union(spark.range(0).repartition(4 * cores).toDF("id")), "id")
+    assert sum(x > 0 for x in rows.rdd.glom().map(len).collect()) >= 3 * cores
