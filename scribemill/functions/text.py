@@ -38,7 +38,7 @@ CUE_STEMS = (
 # Rewriting rules for ground-truth text, in order, as Java patterns.
 CLEANING = [
     (r"- -|– –", " "), (r"/[^\n]*?/", " "), (r"\([^\n]*?\)", ""), (r"\[[^\n]*?\]", ""), (r"(?U)<[/a-zA-Z\s]+>", ""), (r"\*[^\n]*?\*", ""), (r"^[-–]+|[-–]+$", ""),
-    (r"(?<=>)[-–]", ""), (r"[-–](?=<)", ""), (r"(?<=>)\.\.\.", ""), (r"(?U)(?<=\s)[-–](?=\w)|(?<=\w)[-–](?=\s)", ""), (r"(?U)(?<=\s)[-–](?=\.\.\.)", ""), (r"^\.\.\.", ""), (r"([^\n]+)\.\.\. \.\.\.", "$1 "),
+    (r"(?<=>)[-–]", ""), (r"[-–](?=<)", ""), (r"(?<=>)\.\.\.", ""), (r"(?U)(?<=\s)[-–](?=\w)|(?<=\w)[-–](?=\s)", ""), (r"(?U)(?<=\s)[-–](?=\.\.\.)", ""), (r"^\.\.\.", ""), (r"(?dm)^([^\n]+)\.\.\. \.\.\.", "$1 "),
 ]
 CAPITALS = r"(?U)\b[A-ZÅÄÖ]+\b(?:\s+\b[A-ZÅÄÖ]+\b)*"
 

@@ -265,12 +265,12 @@ def tag_strip(spark, d):
 
 @query()  # lookaround, NFKC and number words are not in DuckDB; tested against plain Python
 def clean_text(spark, d):
-    return table(spark, d, "pages").select("page_id", T.clean_text(F.col("html"), cues=True).alias("cleaned"))
+    return V.dealt_out(table(spark, d, "pages").select("page_id", "html"), "page_id").select("page_id", T.clean_text(F.col("html"), cues=True).alias("cleaned"))
 
 
 @query()  # as above
 def normalize_text(spark, d):
-    return V.doc_lines(spark, d).select("file_id", "idx", T.normalize_text(F.col("text")).alias("plain"), T.normalize_text_svt(F.col("text")).alias("svt"))
+    return V.doc_lines(spark, d, dealt=True).select("file_id", "idx", T.normalize_text(F.col("text")).alias("plain"), T.normalize_text_svt(F.col("text")).alias("svt"))
 
 
 @query(r"select doc_id, trim(regexp_replace(regexp_replace(lower(text), '[^\p{L}\p{N}\p{M}_\s]', ' ', 'g'), '[ \t\n\r\f\v]+', ' ', 'g')) as plain from documents")
@@ -778,7 +778,7 @@ def token_labels(spark, d):
     import public_tokenizers
 
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    rows = table(spark, d, "conversations").select("conv_id", "turn", "text", F.concat(F.lit("<0.00>"), F.col("text"), F.lit("<1.20>")).alias("text_timestamps"))
+    rows = V.dealt_out(table(spark, d, "conversations").select("conv_id", "turn", "text"), "conv_id").select("conv_id", "turn", "text", F.concat(F.lit("<0.00>"), F.col("text"), F.lit("<1.20>")).alias("text_timestamps"))
     rows = S.with_labels(rows, lambda c: S.token_ids(c, path), [50_256, 50_256], 50_256, 50_256)
     loose = S.token_ids(F.col("text"), path, 0.1, F.xxhash64("conv_id", "turn"))
     return rows.select("conv_id", "turn", "labels_length", "labels_timestamps_length", F.size(loose).alias("n_loose"), F.sha2(F.array_join("labels", " "), 256).alias("labels"))
