@@ -38,10 +38,13 @@ def store_of(path: str) -> tuple[pafs.FileSystem, str]:
     return store, place.rstrip("/")
 
 
-def put(store: pafs.FileSystem, place: str, content: bytes, mark: str) -> None:
-    """A file in its place, whole or not at all."""
+def put(store: pafs.FileSystem, place: str, content: bytes, mark: str, folders: set[str] | None = None) -> None:
+    """A file in its place, whole or not at all. folders: those that are known to be there, to which its own is added."""
     folder, name = place.rsplit("/", 1)
-    store.create_dir(folder, recursive=True)
+    if folders is None or folder not in folders:
+        store.create_dir(folder, recursive=True)
+        if folders is not None:
+            folders.add(folder)
     hidden = f"{folder}/.{name}.{mark}"
     try:
         with store.open_output_stream(hidden) as out:
@@ -70,18 +73,22 @@ class NamedFilesWriter(DataSourceWriter):
         store, base = store_of(self.path)
         task = TaskContext.get()
         mark = f"{self.job}-{task.partitionId()}-{task.taskAttemptId()}"
-        names: list[str] = []
+        # rows of one name come to one task
+        names: dict[str, None] = {}
+        folders: set[str] = set()
         try:
             for row in iterator:
                 name, content = row[0], row[1]
                 if not name or name.startswith("/") or any(x in ("", ".", "..") or x.startswith("_written") for x in name.split("/")):
                     raise ValueError(f"not a name of a file: {name!r}")
-                put(store, f"{base}/{name}", bytes(content or b""), mark)
-                names.append(name)
+                if name in names:
+                    continue
+                put(store, f"{base}/{name}", bytes(content or b""), mark, folders)
+                names[name] = None
         finally:
             # of a task that fails too: the job's end deletes what it has put in place
             if names:
-                put(store, f"{base}/{LISTS}/{self.job}/{mark}", json.dumps(names).encode(), "list")
+                put(store, f"{base}/{LISTS}/{self.job}/{mark}", json.dumps(list(names)).encode(), "list")
         return Written(len(names))
 
     def lists(self, store, base: str):
@@ -124,11 +131,11 @@ class NamedFiles(DataSource):
 
 def write_files(rows: DataFrame, path: str, name: str = "name", content: str = "content") -> None:
     """A file for each row: its name below path, with / between folders, and its content (text as UTF-8, or bytes; null: empty).
-    Files of these names are replaced, others stay. Names without a part or with .. are errors; of rows of one name
+    All cores write, however few bytes the files have. Files of these names are replaced, others stay. Names without a part or with .. are errors; of rows of one name
     one is kept."""
     rows.sparkSession.dataSource.register(NamedFiles)
     text = F.col(content) if isinstance(rows.schema[content].dataType, BinaryType) else F.encode(F.col(content).cast("string"), "UTF-8")
-    rows.select(F.col(name).cast("string").alias("name"), text.alias("content")).dropDuplicates(["name"]).write.format(FORMAT).mode("append").save(path)
+    rows.select(F.col(name).cast("string").alias("name"), text.alias("content")).repartition(3 * rows.sparkSession.sparkContext.defaultParallelism, "name").write.format(FORMAT).mode("append").save(path)
 
 
 def write_document_files(docs: DataFrame, path: str, ascii_only: bool = False, suffix: str | None = None) -> None:

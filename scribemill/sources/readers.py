@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+import fnmatch
+import os
+import re
+from collections.abc import Iterator
+from urllib.parse import quote, unquote, urlparse
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scribemill.functions.arrays import seconds_to_ms, srt_ms
 from scribemill.functions.text import without_tags
 from scribemill.operators.sequence import SILENCE
+from scribemill.operators.tables import stored
 from scribemill.sources.audio import AUDIO_RATE, Wav, resampled
 
 SUB = "struct<start:bigint,end:bigint,duration:bigint,text:string,duplicate:boolean,live:boolean,id:int,speaker_id:string>"
@@ -43,8 +50,77 @@ def literal_table(spark: SparkSession, tables: dict[str, dict], key: str = "name
     return spark.createDataFrame([{key: k, **{n: x.get(n) for n in names}} for k, x in tables.items()])
 
 
+#: bytes and files that a task passes on at once
+BATCH_BYTES, BATCH_FILES = 4 << 20, 1000
+
+
+def files_below(folder: str, glob: str | None) -> Iterator[str]:
+    """Places of the files below a folder, as a stream; names that begin with _ or . are hidden, as Spark has it."""
+    hidden = re.compile(r"\.|_(?!.*=)")
+    folders = [folder]
+    while folders:
+        with os.scandir(folders.pop()) as entries:
+            for x in entries:
+                if hidden.match(x.name):
+                    continue
+                if x.is_dir():
+                    folders.append(x.path)
+                elif glob is None or fnmatch.fnmatchcase(x.name, glob):
+                    yield x.path
+
+
+def address(place: str) -> str:
+    """The address of a file of a local or mounted folder, as Spark writes it."""
+    return "file:" + re.sub(r'[\x00-\x20"%<>?#\[\\\]^`{|}\x7f]', lambda c: quote(c[0]), place)
+
+
+def folder_files(spark: SparkSession, folder: str, glob: str | None) -> DataFrame:
+    """path and value of the files below a local or mounted folder: one task lists them, as a stream, and all read them,
+    so that neither the driver holds the list nor a task is made for a few files."""
+
+    def listed(batches):
+        for _ in batches:
+            names = []
+            for name in files_below(folder, glob):
+                names.append(name)
+                if len(names) == 10_000:
+                    yield pa.record_batch([pa.array(names, pa.string())], names=["place"])
+                    names = []
+            yield pa.record_batch([pa.array(names, pa.string())], names=["place"])
+
+    def read(batches):
+        for batch in batches:
+            paths, texts, size = [], [], 0
+            for place in batch.column(0).to_pylist():
+                try:
+                    with open(place, "rb") as x:
+                        text = x.read()
+                except FileNotFoundError:
+                    continue
+                if not text:
+                    continue
+                paths.append(address(place))
+                texts.append(text)
+                size += len(text)
+                if size >= BATCH_BYTES or len(paths) == BATCH_FILES:
+                    yield pa.record_batch([pa.array(paths, pa.string()), pa.array(texts, pa.binary())], names=["path", "value"])
+                    paths, texts, size = [], [], 0
+            if paths:
+                yield pa.record_batch([pa.array(paths, pa.string()), pa.array(texts, pa.binary())], names=["path", "value"])
+
+    places = spark.range(0, 1, 1, 1).mapInArrow(listed, "place string")
+    places = places.repartition(3 * spark.sparkContext.defaultParallelism, "place")
+    return places.mapInArrow(read, "path string, value binary").select("path", F.col("value").cast("string").alias("value"))
+
+
 def whole_files(spark: SparkSession, path, glob: str | None = None) -> DataFrame:
     """path and value (the whole text) of every file below a folder."""
+    parts = urlparse(path) if isinstance(path, str) else None
+    # a local or mounted folder; globs of several alternatives, lists, single files and other stores are Spark's own
+    if parts and parts.scheme in ("", "file") and not re.search(r"[{\\]|\[\^", glob or ""):
+        folder = os.path.abspath(unquote(parts.path) if parts.scheme else path)
+        if os.path.isdir(folder):
+            return folder_files(spark, folder, glob)
     reader = spark.read.option("recursiveFileLookup", True).option("ignoreMissingFiles", True)
     reader = reader.option("pathGlobFilter", glob) if glob else reader
     return reader.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
@@ -71,11 +147,11 @@ def read_srt(spark: SparkSession, path, glob: str = "*.srt") -> DataFrame:
     without any and those that are not valid UTF-8 have no rows here but one in `failed_files`."""
     files = whole_files(spark, path, glob).where(F.is_valid_utf8("value"))
     body = F.regexp_replace(F.regexp_replace(F.regexp_replace("value", "^\ufeff", ""), r"\r\n?", "\n"), r"\n[ \t]+\n", "\n\n")
-    blocks = files.select("path", F.posexplode(F.split(body, r"\n{2,}")).alias("n", "b")).where(F.regexp_like("b", F.lit(TIME_LINE)))
-    times = r"(\d+:\d+:\d+[,.]\d+) *--> *(\d+:\d+:\d+[,.]\d+)[^\n]*\n?([\s\S]*)$"
-    get = lambda i: F.regexp_extract("b", times, i)
-    idx = F.row_number().over(Window.partitionBy("path").orderBy("n")) - 1
-    return blocks.select(F.col("path").alias("file_id"), idx.cast("int").alias("idx"), srt_ms(get(1)).alias("start"), srt_ms(get(2)).alias("end"), F.trim(without_tags(F.regexp_replace(get(3), r"\n+$", ""))).alias("text"))
+    # numbered in the file's own list, without a window over its rows
+    blocks = files.select("path", F.posexplode(F.filter(F.split(body, r"\n{2,}"), lambda b: F.regexp_like(b, F.lit(TIME_LINE)))).alias("idx", "b"))
+    times = r"(\d+:\d+:\d+[,.]\d+) *--> *(\d+:\d+:\d+[,.]\d+)"
+    get = lambda i: F.regexp_extract("b", times if i < 3 else rf"(?s){times}[^\n]*\n?(.*)\z", i)
+    return blocks.select(F.col("path").alias("file_id"), "idx", srt_ms(get(1)).alias("start"), srt_ms(get(2)).alias("end"), F.trim(without_tags(F.regexp_replace(get(3), r"\n+$", ""))).alias("text"))
 
 
 def read_textgrid(spark: SparkSession, path, glob: str = "*.TextGrid") -> DataFrame:
@@ -107,10 +183,12 @@ def read_csv(spark: SparkSession, path, schema: str | None = None) -> DataFrame:
     return out.withColumn("file", F.col("_metadata.file_path"))
 
 
-def read_documents(spark: SparkSession, path, schema: str = DOCUMENT) -> tuple[DataFrame, DataFrame]:
-    """JSON documents, one a file, with file_id; and apart from them the files that do not parse (file_id, text)."""
+def read_documents(spark: SparkSession, path, schema: str = DOCUMENT, once: bool = False) -> tuple[DataFrame, DataFrame]:
+    """JSON documents, one a file, with file_id; and apart from them the files that do not parse (file_id, text). With
+    `once`, files are read and parsed into a table of the shared folder, for those who use both."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
     raw = whole_files(spark, path).select(F.col("path").alias("file_id"), F.from_json("value", f"{schema}, _corrupt string", options).alias("d")).select("file_id", "d.*")
+    raw = stored(raw, "documents-read") if once else raw
     return raw.where("_corrupt is null").drop("_corrupt"), raw.where("_corrupt is not null").select("file_id", F.col("_corrupt").alias("text"))
 
 

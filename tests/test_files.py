@@ -63,3 +63,18 @@ def test_documents_subtitles_and_chunks(spark, tmp_path):
     assert tree(tmp_path / "c") == ["_SUCCESS", "x/a/chunks/0_20.txt", "x/a/chunks/0_20.wav"] and (tmp_path / "c/x/a/chunks/0_20.txt").read_text() == "a b"
     with wave.open(str(tmp_path / "c/x/a/chunks/0_20.wav")) as w:
         assert (w.getframerate(), w.getnchannels(), w.readframes(9)) == (16_000, 1, b"\x00\x40\x00\x80\x00\x00")
+
+
+def test_files_are_listed_and_read_in_tasks(spark, tmp_path):
+    """As many tasks as the cores ask for, whatever the number of files, and paths as Spark writes them."""
+    (tmp_path / "a" / "b=1").mkdir(parents=True)
+    (tmp_path / "_no").mkdir()
+    for name in ("a/x y.txt", "a/b=1/å%.txt", "a/_x.txt", "a/.x.txt", "_no/x.txt", "a/x.md"):
+        (tmp_path / name).write_bytes(b"1")
+    (tmp_path / "a/none.txt").write_bytes(b"")
+    (tmp_path / "a/bad.txt").write_bytes(b"\xff")
+    found = readers.whole_files(spark, str(tmp_path), "*.txt")
+    own = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").text(str(tmp_path), wholetext=True)
+    want = own.select(F.col("_metadata.file_path"), F.hex("value")).collect()
+    assert sorted(map(tuple, found.select("path", F.hex("value")).collect())) == sorted(map(tuple, want)) and len(want) == 3
+    assert found.rdd.getNumPartitions() == 3 * spark.sparkContext.defaultParallelism
