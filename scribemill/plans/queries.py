@@ -602,7 +602,7 @@ q as (select *, lag("end") over w as e, lag(marked) over w as before from s wind
 select file_id, number, marked as text, case when is_silence then '<|nospeech|>' else '' end as text_timestamps, cast(len(list_filter(string_split(t, ' '), lambda x: x <> '')) as int) as n_words, is_silence, case when start = e and before <> '<|nospeech|>' then before end as previous_text from q""")
 def prepared_rows(spark, d):
     """Chunk rows as videos: those without subtitle ids go, and the text before comes from the chunk that ends at the start."""
-    rows = D.chunk_rows(V.documents(spark, d)).withColumns({"audio_path": F.col("file_id"), "audio": F.array(F.lit(0.0)), "wav2vec_transcription": F.coalesce("wav2vec_transcription", F.lit(""))})
+    rows = D.chunk_rows(V.documents(spark, d, dealt=True)).withColumns({"audio_path": F.col("file_id"), "audio": F.array(F.lit(0.0)), "wav2vec_transcription": F.coalesce("wav2vec_transcription", F.lit(""))})
     rows = rows.withColumn("sub_ids", F.when(F.col("number") % 5 > 0, F.col("sub_ids")).otherwise("[]"))
     out = D.prepared(rows, "youtube", clean=lambda x: T.strip(T.collapse(x)), metrics=False)
     return out.select("file_id", "number", "text", "text_timestamps", "n_words", "is_silence", "previous_text")

@@ -61,10 +61,11 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("pair_id", "file_id", "idx", "source", *(F.array_join(x, " ").alias(n) for x, n in ((F.col("w"), "ref"), (a, "hyp_a"), (b, "hyp_b"))))
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def documents(spark: SparkSession, sf_dir: str, dealt: bool = False) -> DataFrame:
     """Documents as the pipeline's files have them: metadata, subs and chunks, a chunk for each line. By the line's number
     a chunk has no transcription, a whisper's, a whisper's and a wav2vec's, or these two the other way round."""
     docs = table(spark, sf_dir, "documents")
+    docs = dealt_out(docs, "doc_id") if dealt else docs
     n = F.col("doc_id")
     channel = F.when(n % 3 == 1, "cmore_AsRun").when(n % 3 == 2, F.col("source"))
     metadata = F.struct(F.when(n % 2 == 0, F.concat(F.lit("id"), n.cast("string"))).alias("id"), channel.alias("channel"), F.col("source").alias("data_source"), F.when(n % 5 == 0, n % 2 == 0).alias("is_asrun"), F.lit(None).cast("string").alias("program_title"), F.col("lang").alias("video_file"), F.when(n % 7 > 0, F.lit("c.srt")).alias("caption_file"), F.lit("2020").alias("production_year"), F.lit(None).cast("string").alias("program_classification"))
