@@ -287,10 +287,69 @@ def coded_lists(a: pa.Array, b: pa.Array) -> tuple[np.ndarray, np.ndarray, np.nd
     return number[: len(flat[0])], offsets[0], number[len(flat[0]) :], offsets[1], codes.dictionary
 
 
+#: white space of Unicode, as (?U)\s of Java has it: ASCII, and UTF-8 of two and three bytes as numbers
+WHITE_ASCII = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+WHITE_TWO, WHITE_THREE = (np.array([int.from_bytes(c.encode()) for c in x], np.int32) for x in ("\x85\xa0", "\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"))
+
+
+def white_bytes(data: np.ndarray) -> np.ndarray:
+    """Whether each byte of UTF-8 texts is of white space."""
+    out = WHITE_ASCII[data]
+    if int(data.max(initial=0)) < 0x80:
+        return out
+    for size, leads, known in ((2, (0xC2,), WHITE_TWO), (3, (0xE1, 0xE2, 0xE3), WHITE_THREE)):
+        at = np.flatnonzero(np.isin(data, leads))
+        value = np.zeros(len(at), np.int32)
+        for k in range(size):
+            value = value << 8 | data[at + k]
+        at = at[np.isin(value, known)]
+        for k in range(size):
+            out[at + k] = True
+    return out
+
+
+def words_of(x: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words between white space of all texts, one after the other, and the place of each text's first word and the end;
+    nulls are empty."""
+    x = pc.fill_null(x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x, "").cast(pa.large_string())
+    at = np.frombuffer(x.buffers()[1], np.int64)[x.offset : x.offset + len(x) + 1] if len(x) else np.zeros(1, np.int64)
+    data = np.frombuffer(x.buffers()[2], np.uint8)[at[0] : at[-1]] if at[-1] > at[0] else np.zeros(0, np.uint8)
+    at = at - at[0]
+    inner = ~white_bytes(data)
+    first = inner.copy()
+    first[1:] &= ~inner[:-1]
+    # a text's first byte goes on with no word of the text before
+    texts = at[:-1][np.diff(at) > 0]
+    first[texts] = inner[texts]
+    places = np.flatnonzero(first)
+    ends = np.append((np.cumsum(inner) - 1)[places], np.count_nonzero(inner))
+    words = pa.Array.from_buffers(pa.large_string(), len(places), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data[inner])])
+    return words, np.searchsorted(places, at)
+
+
+def coded_words(a: pa.Array, b: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+    """Codes of all words of the texts of two columns, alike for equal words, their offsets, and the distinct words. Texts
+    are cut here, since lists of words cost more on their way from Spark than all that follows."""
+    (words_a, of_a), (words_b, of_b) = words_of(a), words_of(b)
+    codes = pa.concat_arrays([words_a, words_b]).dictionary_encode()
+    number = codes.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    return number[: len(words_a)], of_a, number[len(words_a) :], of_b, codes.dictionary
+
+
+#: numbers that stand for an n-gram and its pair stay below
+MOST = 1 << 61
+
+
+def renumbered(x: np.ndarray) -> tuple[np.ndarray, int]:
+    known, number = np.unique(x, return_inverse=True)
+    return number, len(known)
+
+
 def matched_ngrams(a: np.ndarray, of_a: np.ndarray, b: np.ndarray, of_b: np.ndarray, orders: int = 4) -> np.ndarray:
     """[pair, n - 1]: n-grams of both lists of a pair, each as often as it stands in both.
 
-    An n-gram is numbered by its first n - 1 items' number and its last item; all of a batch are counted by sorting.
+    Items are numbered within their pair, so that an n-gram's numbers mostly go into one whole number; where they do
+    not, n-grams are numbered anew. All of a batch are counted by sorting.
     """
     rows = len(of_a) - 1
     out = np.zeros((rows, orders), np.int64)
@@ -299,17 +358,25 @@ def matched_ngrams(a: np.ndarray, of_a: np.ndarray, b: np.ndarray, of_b: np.ndar
         return out
     row = np.concatenate([np.repeat(np.arange(rows), np.diff(of_a)), np.repeat(np.arange(rows), np.diff(of_b))])
     left = np.concatenate([np.repeat(of_a[1:], np.diff(of_a)) - np.arange(len(a)), np.repeat(of_b[1:], np.diff(of_b)) - np.arange(len(b))])
-    items, gram, at = int(codes.max()) + 1, codes.copy(), np.arange(len(codes))
+    known, codes = np.unique(row * (int(codes.max()) + 1) + codes, return_inverse=True)
+    of_row = known // (int(max(a.max(initial=0), b.max(initial=0))) + 1)
+    codes = codes - np.searchsorted(of_row, np.arange(rows))[row]
+    items = int(codes.max()) + 1
+    gram, size, at = codes.copy(), items, np.arange(len(codes))
     for n in range(1, orders + 1):
         if n > 1:
             at = at[left[at] >= n]
-            gram[at] = np.unique(gram[at] * items + codes[at + n - 1], return_inverse=True)[1]
-        size = len(codes) + 1
-        key = row[at] * max(size, items) + gram[at]
-        (ka, na), (kb, nb) = (np.unique(key[side], return_counts=True) for side in (at < len(a), at >= len(a)))
-        if not len(ka) or not len(kb):
+            if size * items * rows >= MOST:
+                gram[at], size = renumbered(gram[at])
+            gram[at] = gram[at] * items + codes[at + n - 1]
+            size *= items
+            if size * rows >= MOST:
+                gram[at], size = renumbered(gram[at])
+        key = np.sort((row[at] * size + gram[at]) * 2 + (at >= len(a)))
+        if not len(key):
             break
-        place = np.minimum(np.searchsorted(ka, kb), len(ka) - 1)
-        both = ka[place] == kb
-        out[:, n - 1] = np.bincount(kb[both] // max(size, items), np.minimum(na[place], nb)[both], rows)
+        begin = np.flatnonzero(np.append(True, key[1:] >> 1 != key[:-1] >> 1))
+        both = np.diff(np.append(begin, len(key)))
+        of_b_side = np.add.reduceat(key & 1, begin)
+        out[:, n - 1] = np.bincount((key[begin] >> 1) // size, np.minimum(of_b_side, both - of_b_side), rows)
     return out

@@ -12,14 +12,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
 from scribemill.functions import edits as E
-from scribemill.functions.text import split_words
 
 
-@F.arrow_udf(IntegerType())
-def list_edits(a: pa.Array, b: pa.Array) -> pa.Array:
-    codes_a, of_a, codes_b, of_b, known = E.coded_lists(a, b)
+def lists(rows: np.ndarray, missing: np.ndarray) -> pa.Array:
+    """Rows of equal length as lists, null where one of the texts is."""
+    offsets = pa.array(np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1])
+    return pa.ListArray.from_arrays(offsets, pa.array(rows.astype(np.int32).ravel(), pa.int32()), mask=pa.array(missing))
+
+
+@F.arrow_udf(ArrayType(IntegerType()))
+def edits_of_words(a: pa.Array, b: pa.Array) -> pa.Array:
+    """Levenshtein distance in words, and the number of words of the first text."""
+    codes_a, of_a, codes_b, of_b, known = E.coded_words(a, b)
     found = E.distances(np.concatenate([codes_a, codes_b]), of_a, of_b, max(len(known), 1))
-    return pa.array(found.astype(np.int32), pa.int32(), mask=nulls(a, b))
+    return lists(np.column_stack([found, np.diff(of_a)]), nulls(a, b))
 
 
 @F.arrow_udf(IntegerType())
@@ -35,12 +41,23 @@ def common_characters(a: pa.Array, b: pa.Array) -> pa.Array:
 
 
 @F.arrow_udf(ArrayType(IntegerType()))
-def list_matches(a: pa.Array, b: pa.Array) -> pa.Array:
-    """Matching n-grams of orders 1 to 4, and the numbers of items."""
-    codes_a, of_a, codes_b, of_b, _ = E.coded_lists(a, b)
-    found = np.column_stack([E.matched_ngrams(codes_a, of_a, codes_b, of_b), np.diff(of_a), np.diff(of_b)]).astype(np.int32)
-    offsets = pa.array(np.arange(len(found) + 1, dtype=np.int32) * 6)
-    return pa.ListArray.from_arrays(offsets, pa.array(found.ravel(), pa.int32()), mask=pa.array(nulls(a, b)))
+def matches_of_words(a: pa.Array, b: pa.Array) -> pa.Array:
+    """Matching n-grams of words of orders 1 to 4, and the numbers of words."""
+    codes_a, of_a, codes_b, of_b, _ = E.coded_words(a, b)
+    return lists(np.column_stack([E.matched_ngrams(codes_a, of_a, codes_b, of_b), np.diff(of_a), np.diff(of_b)]), nulls(a, b))
+
+
+@F.arrow_udf(ArrayType(IntegerType()))
+def end_words(a: pa.Array, b: pa.Array) -> pa.Array:
+    """Of the first words of two texts, then of their last ones: the length of the longest common subsequence of
+    characters, and the length of both. Null if a text has no word."""
+    (words_a, of_a), (words_b, of_b) = E.words_of(a), E.words_of(b)
+    some = (np.diff(of_a) > 0) & (np.diff(of_b) > 0)
+    out = np.zeros((len(some), 4), np.int64)
+    for k, at in ((0, slice(None, -1)), (2, slice(1, None))):
+        codes, x, y, _ = E.coded_texts(*(words.take(pa.array(of[at][some] - (k > 0))) for words, of in ((words_a, of_a), (words_b, of_b))))
+        out[some, k], out[some, k + 1] = E.common_lengths(codes, x, y), np.diff(x) + np.diff(y)
+    return lists(out, ~some)
 
 
 def nulls(*columns: pa.Array) -> np.ndarray:
@@ -49,12 +66,13 @@ def nulls(*columns: pa.Array) -> np.ndarray:
 
 def word_edits(reference: Column, hypothesis: Column) -> Column:
     """Levenshtein distance in words."""
-    return list_edits(split_words(reference), split_words(hypothesis))
+    return F.get(edits_of_words(reference, hypothesis), F.lit(0))
 
 
 def wer(reference: Column, hypothesis: Column) -> Column:
     """Word error rate; null for a reference without words."""
-    return word_edits(reference, hypothesis) / F.nullif(F.size(split_words(reference)), F.lit(0))
+    found = edits_of_words(reference, hypothesis)
+    return F.get(found, F.lit(0)) / F.nullif(F.get(found, F.lit(1)), F.lit(0))
 
 
 def cer(reference: Column, hypothesis: Column) -> Column:
@@ -76,8 +94,12 @@ def bleu(reference: Column, hypothesis: Column, weights: tuple = (0.25, 0.25, 0.
     0 without a common word; null if a text is null. With weights (0, .25, .5, .25) words alone do not count.
     """
     # one call, whatever uses it
-    found = list_matches(split_words(reference), split_words(hypothesis))
-    r, h = F.get(found, F.lit(4)), F.get(found, F.lit(5))
+    found = matches_of_words(reference, hypothesis)
+    return bleu_of(found, F.get(found, F.lit(4)), F.get(found, F.lit(5)), weights)
+
+
+def bleu_of(found: Column, r: Column, h: Column, weights: tuple) -> Column:
+    """The score by matches of orders 1 to 4 and both numbers of words."""
     missed, terms = F.lit(0), []
     for n, weight in enumerate(weights, 1):
         match = F.get(found, F.lit(n - 1))
@@ -88,7 +110,7 @@ def bleu(reference: Column, hypothesis: Column, weights: tuple = (0.25, 0.25, 0.
             terms.append(F.when(p > 0, F.log(p) * weight).otherwise(F.lit(0.0)))
     brevity = F.when(h > r, F.lit(1.0)).when(h > 0, F.exp(1 - r / h)).otherwise(F.lit(0.0))
     score = F.when(F.get(found, F.lit(0)) == 0, F.lit(0.0)).otherwise(brevity * F.exp(functools.reduce(lambda x, y: x + y, terms)))
-    return F.when(reference.isNotNull() & hypothesis.isNotNull(), score)
+    return F.when(found.isNotNull(), score)
 
 
 RECALL_WEIGHTS = (0, 0.25, 0.5, 0.25)
@@ -96,7 +118,8 @@ RECALL_WEIGHTS = (0, 0.25, 0.5, 0.25)
 
 def rouge(reference: Column, hypothesis: Column) -> Column:
     """BLEU of longer n-grams with the texts in each other's place: a recall."""
-    return bleu(hypothesis, reference, RECALL_WEIGHTS)
+    found = matches_of_words(reference, hypothesis)
+    return bleu_of(found, F.get(found, F.lit(5)), F.get(found, F.lit(4)), RECALL_WEIGHTS)
 
 
 def indel_ratio(a: Column, b: Column) -> Column:
@@ -105,9 +128,21 @@ def indel_ratio(a: Column, b: Column) -> Column:
     return F.when(total == 0, F.lit(100.0)).otherwise(200.0 * common_characters(a, b) / F.nullif(total, F.lit(0)))
 
 
+def first_ratio(a: Column, b: Column) -> Column:
+    """The indel ratio of the first words; null if a text has none."""
+    found = end_words(a, b)
+    return 200.0 * F.get(found, F.lit(0)) / F.get(found, F.lit(1))
+
+
+def last_ratio(a: Column, b: Column) -> Column:
+    """The indel ratio of the last words; null if a text has none."""
+    found = end_words(a, b)
+    return 200.0 * F.get(found, F.lit(2)) / F.get(found, F.lit(3))
+
+
 def first_word(text: Column) -> Column:
-    return F.get(split_words(text), F.lit(0))
+    return F.nullif(F.regexp_extract(text, r"(?U)\S+", 0), F.lit(""))
 
 
 def last_word(text: Column) -> Column:
-    return F.element_at(F.concat(F.array(F.lit(None).cast("string")), split_words(text)), -1)
+    return F.reverse(first_word(F.reverse(text)))
