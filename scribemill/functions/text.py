@@ -105,17 +105,46 @@ def swedish_digits(digits: str) -> str:
     return " ".join(words)
 
 
+DIGITS, PUNCTUATION = re.compile(r"\d+"), str.maketrans("", "", string.punctuation)
+# White space of Unicode, as (?U)\s of Java has it.
+SPACES = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+
+
+def said(text: str) -> str:
+    """Runs of decimal digits in words, no ASCII punctuation, NFKC."""
+    plain = lambda run: run if run.isascii() else "".join(str(unicodedata.decimal(c)) for c in run)
+    text = DIGITS.sub(lambda m: swedish_digits(plain(m[0])), text).translate(PUNCTUATION)
+    return text if text.isascii() else unicodedata.normalize("NFKC", text)
+
+
+def single_spaced(text: str) -> str:
+    """Without white space at the ends, and with one space for each run of it. A printable text has no other than spaces."""
+    return " ".join(text.split()) if text.isprintable() else SPACES.sub(" ", text).strip(" ")
+
+
+def expanded(text: str) -> str:
+    """Corrections, abbreviations (all with a full stop) and symbols."""
+    for old, new in CORRECTIONS + ABBREVIATIONS if "." in text else ():
+        text = text.replace(old, new)
+    for old, new in SYMBOLS:
+        text = text.replace(old, new)
+    return text
+
+
 @F.arrow_udf(StringType())
 def spoken(text: pa.Array) -> pa.Array:
     """Runs of decimal digits in words, no ASCII punctuation, NFKC: all that has no Spark function, in one call. A way
     round Python for plain texts costs more than the call."""
-    drop = str.maketrans("", "", string.punctuation)
-    number = re.compile(r"\d+")
-    plain = lambda run: run if run.isascii() else "".join(str(unicodedata.decimal(c)) for c in run)
-    said = lambda t: unicodedata.normalize("NFKC", number.sub(lambda m: swedish_digits(plain(m[0])), t).translate(drop))
     return pa.array([None if t is None else said(t) for t in text.to_pylist()], pa.string())
 
 
+@F.arrow_udf(StringType())
+def normalized(text: pa.Array) -> pa.Array:
+    """Abbreviations, numbers, punctuation and white space in one call: forty replacements cost Spark more, and it would
+    make the last ones anew for every use of the text."""
+    return pa.array([None if t is None else single_spaced(said(expanded(t))) for t in text.to_pylist()], pa.string())
+
+
 @F.pandas_udf(StringType())
 def nfkc(text: pd.Series) -> pd.Series:
     return text.map(lambda t: unicodedata.normalize("NFKC", t), na_action="ignore")
@@ -123,7 +152,7 @@ def nfkc(text: pd.Series) -> pd.Series:
 
 def normalize_text(text: Column) -> Column:
     """Lower case, no abbreviations, numbers in words, no punctuation, single spaces."""
-    return strip(collapse(spoken(expand_abbreviations(F.lower(text)))))
+    return normalized(F.lower(text))
 
 
 def normalize_text_svt(text: Column) -> Column:
@@ -183,7 +212,7 @@ def seconds_token(ms: Column, mark: str = "<", end: str = ">") -> Column:
 
 @F.arrow_udf(StringType())
 def marked_words(reference: pa.Array, hypothesis: pa.Array) -> pa.Array:
-    codes_a, of_a, codes_b, of_b, known = E.coded_lists(reference, hypothesis)
+    codes_a, of_a, codes_b, of_b, known = E.coded_words(reference, hypothesis)
     words = [html.escape(w) for w in known.to_pylist()]
     x, y = codes_a.tolist(), codes_b.tolist()
     marks = {"=": "{}", "-": "<del>{}</del>", "+": "<ins>{}</ins>"}
@@ -201,4 +230,4 @@ def difference_html(reference: Column, hypothesis: Column) -> Column:
 
     A shortest script of deletions and insertions is shown; where several are, another one than other tools show.
     """
-    return marked_words(split_words(reference), split_words(hypothesis))
+    return marked_words(reference, hypothesis)

@@ -52,8 +52,8 @@ def chunk_scores(text: Column, transcription: Column, model: Column) -> Column:
     scores = {
         "bleu": M.bleu(text, transcription),
         "wer": M.wer(text, transcription),
-        "first": M.indel_ratio(M.first_word(text), M.first_word(transcription)),
-        "last": M.indel_ratio(M.last_word(text), M.last_word(transcription)),
+        "first": M.first_ratio(text, transcription),
+        "last": M.last_ratio(text, transcription),
     }
     silence = (text == "") & (transcription == "") & F.contains(F.lower(model), F.lit("wav2vec2"))
     return F.struct(*(F.when(words, x).otherwise(0.0).alias(k) for k, x in scores.items()), silence.alias("silence"))
@@ -69,8 +69,8 @@ def with_metrics(rows: DataFrame, text: str = "text", whisper: str = "whisper_tr
             f"{m}_bleu": M.bleu(a, b, M.RECALL_WEIGHTS),
             f"{m}_rouge": M.rouge(a, b),
             f"{m}_wer": M.wer(a, b),
-            f"{m}_first": M.indel_ratio(M.first_word(a), M.first_word(b)),
-            f"{m}_last": M.indel_ratio(M.last_word(a), M.last_word(b)),
+            f"{m}_first": M.first_ratio(a, b),
+            f"{m}_last": M.last_ratio(a, b),
             f"{m}_head": M.edge_cer(a, b),
             f"{m}_tail": M.edge_cer(a, b, tail=True),
         }
