@@ -367,7 +367,7 @@ def bleu_scores(spark, d):
 
 @query()  # no longest common subsequence in DuckDB; tested against plain Python
 def fuzzy_first_last(spark, d):
-    first, last = (M.indel_ratio(f(F.col("ref")), f(F.col("hyp_a"))) for f in (M.first_word, M.last_word))
+    first, last = (f(F.col("ref"), F.col("hyp_a")) for f in (M.first_ratio, M.last_ratio))
     return V.pairs(spark, d).select("pair_id", F.round(first, 6).alias("first"), F.round(last, 6).alias("last"))
 
 
