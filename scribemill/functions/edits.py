@@ -212,65 +212,129 @@ def coded_texts(a: pa.Array, b: pa.Array) -> tuple[np.ndarray, np.ndarray, np.nd
     return number[points], *offsets, int(number[-1]) + 1
 
 
-def middle_snake(a: Sequence, b: Sequence) -> tuple[int, int, int, int, int]:
-    """(edits, x, y, u, v): a shortest edit script's number of edits, and the run of equal items from (x, y) to (u, v)
-    in its middle. Furthest places of each diagonal are followed from both ends until they meet."""
-    n, m = len(a), len(b)
-    delta, most = n - m, (n + m + 1) // 2
-    ahead, back = [0] * (2 * most + 2), [0] * (2 * most + 2)
-    for d in range(most + 1):
-        for k in range(-d, d + 1, 2):
-            x = ahead[k + 1] if k == -d or (k != d and ahead[k - 1] < ahead[k + 1]) else ahead[k - 1] + 1
-            y = x - k
-            u = x
-            while u < n and u - k < m and a[u] == b[u - k]:
-                u += 1
-            ahead[k] = u
-            if delta & 1 and abs(delta - k) < d and u + back[delta - k] >= n:
-                return 2 * d - 1, x, y, u, u - k
-        for k in range(-d, d + 1, 2):
-            x = back[k + 1] if k == -d or (k != d and back[k - 1] < back[k + 1]) else back[k - 1] + 1
-            u = x
-            while u < n and u - k < m and a[n - 1 - u] == b[m - 1 - u + k]:
-                u += 1
-            back[k] = u
-            if not delta & 1 and abs(delta - k) <= d and u + ahead[delta - k] >= n:
-                return 2 * d, n - u, m - u + k, n - x, m - x + k
-    raise AssertionError("two sequences always meet")
+class Parts:
+    """Parts of pairs of sequences: of each its pair, and where it begins in all first and all second items and how long
+    it is in both."""
+
+    def __init__(self, pair: np.ndarray, at_a: np.ndarray, n: np.ndarray, at_b: np.ndarray, m: np.ndarray):
+        self.columns = pair, at_a, n, at_b, m
+        self.pair, self.at_a, self.n, self.at_b, self.m = self.columns
+
+    def __getitem__(self, which) -> Parts:
+        return Parts(*(x[which] for x in self.columns))
+
+    def equal(self, a: np.ndarray, b: np.ndarray, x: np.ndarray, y: np.ndarray, back: bool, own=slice(None)) -> np.ndarray:
+        """Whether items x and y, from the starts or ends, are there and equal; own: the part of each."""
+        n, m = self.n[own], self.m[own]
+        i, j = (self.at_a[own] + n - 1 - x, self.at_b[own] + m - 1 - y) if back else (self.at_a[own] + x, self.at_b[own] + y)
+        return (x < n) & (y < m) & (a.take(i, mode="clip") == b.take(j, mode="clip"))
+
+    def follow(self, a: np.ndarray, b: np.ndarray, x: np.ndarray, k: np.ndarray, back: bool, own: np.ndarray) -> np.ndarray:
+        """Where runs of equal items that begin at x and x - k end, in the first sequence."""
+        x = x.copy()
+        on = np.flatnonzero(self.equal(a, b, x, x - k, back, own))
+        while len(on):
+            x[on] += 1
+            on = on[self.equal(a, b, x[on], x[on] - k[on], back, own[on])]
+        return x
+
+
+def middle_snakes(a: np.ndarray, b: np.ndarray, parts: Parts) -> np.ndarray:
+    """[part, (x, y, u)] of parts whose ends differ and whose differences of lengths are all odd or all even: the run of
+    equal items from (x, y) to u in the first sequence, in the middle of a shortest edit script. Furthest places of each
+    diagonal are followed from both ends until they meet, of all parts at once."""
+    odd = bool((parts.n[0] - parts.m[0]) & 1)
+    out, live, d = np.empty((len(parts.n), 3), np.int64), np.arange(len(parts.n)), 0
+    ahead = back = np.zeros((len(live), 1), np.int64)
+    while len(live):
+        k = np.arange(-d, d + 1, 2)
+        own, diagonal = np.repeat(np.arange(len(live)), d + 1), np.tile(k, len(live))
+        for backward in (False, True):
+            before = back if backward else ahead
+            x = np.zeros_like(before)
+            if d:
+                x = np.empty((len(live), d + 1), np.int64)
+                x[:, 0], x[:, -1] = before[:, 0], before[:, -1] + 1
+                x[:, 1:-1] = np.maximum(before[:, 1:], before[:, :-1] + 1)
+            u = parts.follow(a, b, x.ravel(), diagonal, backward, own).reshape(x.shape)
+            ahead, back, facing = (ahead, u, ahead) if backward else (u, back, back)
+            if backward is odd or not facing.size:
+                continue
+            # the same diagonal from the other end
+            place = ((parts.n - parts.m)[:, None] - k + facing.shape[1] - 1) >> 1
+            there = (place >= 0) & (place < facing.shape[1])
+            met = there & (u + np.take_along_axis(facing, np.clip(place, 0, facing.shape[1] - 1), 1) >= parts.n[:, None])
+            done = np.flatnonzero(met.any(axis=1))
+            if not len(done):
+                continue
+            first = met[done].argmax(axis=1)
+            at, upto, on = x[done, first], u[done, first], k[first]
+            n, m = parts.n[done], parts.m[done]
+            out[live[done]] = np.column_stack([n - upto, m - upto + on, n - at] if backward else [at, at - on, upto])
+            rest = np.ones(len(live), bool)
+            rest[done] = False
+            live, parts, ahead, back = live[rest], parts[rest], ahead[rest], back[rest]
+            own, diagonal = np.repeat(np.arange(len(live)), d + 1), np.tile(k, len(live))
+        d += 1
+    return out
 
 
-def edit_script(a: Sequence, b: Sequence) -> list[tuple[str, int, int, int]]:
-    """A shortest script of deletions and insertions as runs (kind, place in a, place in b, length), kind one of = - +.
+#: kinds of runs of a script
+SAME, DELETED, INSERTED = range(3)
+
+
+def edit_scripts(a: np.ndarray, of_a: np.ndarray, b: np.ndarray, of_b: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Shortest scripts of deletions and insertions of many pairs as runs in order: pair, kind, places in all first and all
+    second items, length.
 
-    The middle of a script parts it into two shorter ones, so that the space is in proportion to the sequences.
+    The middle of a script parts it into two shorter ones, so that the space is in proportion to the sequences. All
+    parts of a depth are halved together.
     """
-    out: list[list] = []
-
-    def put(kind: str, i: int, j: int, n: int) -> None:
-        if n and out and out[-1][0] == kind:
-            out[-1][3] += n
-        elif n:
-            out.append([kind, i, j, n])
-
-    # parts still to be done, the next one last
-    parts = [(0, len(a), 0, len(b))]
-    while parts:
-        i, k, j, m = parts.pop()
-        start, end = trimmed(a[i:k], b[j:m])
-        if end and (i + start < k - end or j + start < m - end):
-            # the equal end comes once the rest is done
-            parts.append((k - end, k, m - end, m))
-            k, m = k - end, m - end
-        put("=", i, j, start)
-        i, j = i + start, j + start
-        if i == k or j == m:
-            put("-", i, j, k - i)
-            put("+", k, j, m - j)
-            continue
-        # both ends differ, so two edits are needed at least and both parts have fewer
-        _, x, y, u, v = middle_snake(a[i:k], b[j:m])
-        parts += [(i + u, k, j + v, m), (i + x, i + u, j + y, j + v), (i, i + x, j, j + y)]
-    return [tuple(x) for x in out]
+    a, b = (x if len(x) else np.zeros(1, np.int64) for x in (a, b))
+    parts = Parts(np.arange(len(of_a) - 1), of_a[:-1], np.diff(of_a), of_b[:-1], np.diff(of_b))
+    runs: list[list[np.ndarray]] = []
+
+    def put(kind: int, parts: Parts, length: np.ndarray):
+        some = length > 0
+        runs.append([parts.pair[some], np.full(int(some.sum()), kind), parts.at_a[some], parts.at_b[some], length[some]])
+
+    while len(parts.n):
+        every, none = np.arange(len(parts.n)), np.zeros(len(parts.n), np.int64)
+        start = parts.follow(a, b, none, none, False, every)
+        put(SAME, parts, start)
+        parts = Parts(parts.pair, parts.at_a + start, parts.n - start, parts.at_b + start, parts.m - start)
+        end = parts.follow(a, b, none, none, True, every)
+        parts = Parts(parts.pair, parts.at_a, parts.n - end, parts.at_b, parts.m - end)
+        put(SAME, Parts(parts.pair, parts.at_a + parts.n, none, parts.at_b + parts.m, none), end)
+        # one item for another is the most frequent part of those that need no middle
+        plain = (parts.n == 0) | (parts.m == 0) | (parts.n + parts.m == 2)
+        leaves, parts = parts[plain], parts[~plain]
+        put(DELETED, leaves, leaves.n)
+        put(INSERTED, Parts(leaves.pair, leaves.at_a + leaves.n, leaves.n, leaves.at_b, leaves.m), leaves.m)
+        below = []
+        for odd in (0, 1):
+            own = parts[((parts.n - parts.m) & 1) == odd]
+            if len(own.n):
+                x, y, u = middle_snakes(a, b, own).T
+                put(SAME, Parts(own.pair, own.at_a + x, own.n, own.at_b + y, own.m), u - x)
+                v = y + u - x
+                below += [Parts(own.pair, own.at_a, x, own.at_b, y), Parts(own.pair, own.at_a + u, own.n - u, own.at_b + v, own.m - v)]
+        parts = Parts(*(np.concatenate(x) for x in zip(*(p.columns for p in below), strict=True))) if below else parts
+    out = [np.concatenate(x) for x in zip(*runs, strict=True)] if runs else [np.zeros(0, np.int64)] * 5
+    order = np.lexsort((out[2] + out[3], out[0]))
+    pair, kind, at_a, at_b, length = (x[order] for x in out)
+    if not len(pair):
+        return pair, kind, at_a, at_b, length
+    begin = np.flatnonzero(np.append(True, (pair[1:] != pair[:-1]) | (kind[1:] != kind[:-1])))
+    return pair[begin], kind[begin], at_a[begin], at_b[begin], np.add.reduceat(length, begin)
+
+
+def edit_script(a: Sequence, b: Sequence) -> list[tuple[str, int, int, int]]:
+    """A shortest script of deletions and insertions as runs (kind, place in a, place in b, length), kind one of = - +."""
+    number: dict = {}
+    x, y = (np.array([number.setdefault(c, len(number)) for c in s], np.int64) for s in (a, b))
+    _, kind, *places = edit_scripts(x, np.array([0, len(x)]), y, np.array([0, len(y)]))
+    return [("=-+"[k], *p) for k, *p in zip(kind.tolist(), *(p.tolist() for p in places), strict=True)]
 
 
 def coded_lists(a: pa.Array, b: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, pa.Array]:

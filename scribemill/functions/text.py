@@ -214,13 +214,14 @@ def seconds_token(ms: Column, mark: str = "<", end: str = ">") -> Column:
 def marked_words(reference: pa.Array, hypothesis: pa.Array) -> pa.Array:
     codes_a, of_a, codes_b, of_b, known = E.coded_words(reference, hypothesis)
     words = [html.escape(w) for w in known.to_pylist()]
-    x, y = codes_a.tolist(), codes_b.tolist()
-    marks = {"=": "{}", "-": "<del>{}</del>", "+": "<ins>{}</ins>"}
-    out = []
-    for i, k, j, m in zip(of_a, of_a[1:], of_b, of_b[1:], strict=False):
-        a, b = x[i:k], y[j:m]
-        script = E.edit_script(a, b)
-        out.append(" ".join(marks[kind].format(words[w]) for kind, s, t, n in script for w in (b[t : t + n] if kind == "+" else a[s : s + n])))
+    marked = [*words, *(f"<del>{w}</del>" for w in words), *(f"<ins>{w}</ins>" for w in words)]
+    pair, kind, at_a, at_b, length = E.edit_scripts(codes_a, of_a, codes_b, of_b)
+    run, _, place = E.spread(np.where(kind == E.INSERTED, at_b, at_a), length)
+    inserted, word = (kind == E.INSERTED)[run], np.empty(len(run), np.int64)
+    word[inserted], word[~inserted] = codes_b[place[inserted]], codes_a[place[~inserted]]
+    shown = [marked[x] for x in (kind[run] * len(words) + word).tolist()]
+    upto = np.searchsorted(pair[run], np.arange(len(of_a))).tolist()
+    out = [" ".join(shown[i:k]) for i, k in zip(upto, upto[1:], strict=False)]
     missing = np.any([c.is_null().to_numpy(zero_copy_only=False) for c in (reference, hypothesis)], axis=0)
     return pa.array(out, pa.string(), mask=missing)
 

@@ -76,3 +76,28 @@ def test_recall_and_precision_share_a_count(spark):
     first, *rest = [tuple(r) for r in both.collect()]
     assert first == pytest.approx((plain_bleu("a b c d e", "a b x d e f", M.RECALL_WEIGHTS), plain_bleu("a b x d e f", "a b c d e", M.RECALL_WEIGHTS)))
     assert rest == [(None, None), (0.0, 0.0)] and both._jdf.queryExecution().executedPlan().toString().count("matches_of_words(") == 1
+
+
+def test_scripts_of_many_pairs():
+    """Scripts of pairs halved together are shortest, the same as each by itself, and a long pair among short ones is
+    done by its diagonals at once."""
+    r = random.Random(6)
+    rows = [[r.randrange(k) for _ in range(r.randint(0, 30))] for k in (2, 3, 9) for _ in range(40)] + [[], []]
+    other = [[x if r.random() < 0.8 else r.randrange(9) for x in row if r.random() < 0.9] for row in rows]
+    rows.append([r.randrange(300) for _ in range(6000)])
+    other.append([301 if i % 7 == 6 else x for i, x in enumerate(rows[-1])])
+    of = [np.concatenate([[0], np.cumsum([len(x) for x in side])]) for side in (rows, other)]
+    flat = [np.array([x for row in side for x in row], np.int64) for side in (rows, other)]
+    pair, kind, at_a, at_b, length = E.edit_scripts(flat[0], of[0], flat[1], of[1])
+    for k in [*range(0, len(rows), 7), len(rows) - 2]:
+        own = pair == k
+        got = [("=-+"[x], *p) for x, *p in zip(kind[own].tolist(), (at_a[own] - of[0][k]).tolist(), (at_b[own] - of[1][k]).tolist(), length[own].tolist(), strict=True)]
+        assert got == E.edit_script(rows[k], other[k])
+    changes = np.bincount(pair, length * (kind != E.SAME), len(rows))
+    assert changes.tolist() == [len(x) + len(y) - 2 * E.common_length(x, y) for x, y in zip(rows, other, strict=True)]
+
+
+def test_marked_words(spark):
+    rows = spark.createDataFrame([(1, "a <b> c", "a x c d"), (2, "", "q q"), (3, None, "a"), (4, " a  b", "b")], "k int, a string, b string")
+    got = [r[0] for r in rows.orderBy("k").select(T.difference_html(F.col("a"), F.col("b"))).collect()]
+    assert got == ["a <del>&lt;b&gt;</del> <ins>x</ins> c <ins>d</ins>", "<ins>q</ins> <ins>q</ins>", None, "<del>a</del> b"]
