@@ -128,3 +128,35 @@ def test_labels(spark):
     assert got == [([1, 2, 3, 97, 32, 98, 9], [1, 2, 60, 97, 62, 32, 98, 9], 7, 8), ([1, 2, 3, 9], [1, 2, 9], 4, 3)]
     cut = [tuple(r) for r in S.with_labels(df, encode, [1, 2], 3, 9, most=5).select("labels", "labels_timestamps_length").collect()]
     assert cut == [([1, 2, 3, 97, 9], 5), ([1, 2, 3, 9], 3)]
+
+
+def test_merges_of_many_pieces():
+    """Pieces merged together have the ids that each has by itself, whatever their lengths, places and seeds."""
+    r = random.Random(8)
+    pieces = [bytes(r.choice(b"aelhow \xc3") for _ in range(r.choice([1, 2, 5, 9, 30, 48, 49, 70]))) for _ in range(400)]
+    lengths, data = np.array([len(x) for x in pieces]), np.frombuffer(b"".join(pieces), np.uint8)
+    places, seeds = np.array([r.randrange(10**6) for _ in pieces]), np.array([r.randrange(-(2**63), 2**63) for _ in pieces])
+    for rate in (0.0, 0.05, 0.5, 1.0):
+        ids, counts = S.merged_many(data, lengths, places, seeds, RANKS, S.joins(RANKS), rate)
+        want = [S.merged(x, RANKS, rate, int(s), int(p)) for x, p, s in zip(pieces, places, seeds, strict=True)]
+        assert counts.tolist() == [len(x) for x in want] and ids.tolist() == [x for own in want for x in own]
+    none = np.zeros(0, np.int64)
+    assert [len(x) for x in S.merged_many(data[:0], none, none, none, RANKS, S.joins(RANKS), 0.1)] == [0, 0]
+
+
+def test_left_out_merges_of_rows(spark, tmp_path):
+    path = tmp_path / "ranks"
+    path.write_bytes(b"".join(base64.b64encode(k) + b" %d\n" % v for k, v in RANKS.items()))
+    texts = ["hello world aaaa", None, "", "å hello's 123\n" * 9, "hello " * 50]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, t string").coalesce(1)
+    got = {r["k"]: r["i"] for r in df.select("k", S.token_ids(F.col("t"), str(path), 0.2, F.when(F.col("k") != 4, F.col("k") - 3)).alias("i")).collect()}
+    cut = S.encoder(str(path), S.PIECES)[1]
+    for k, t in enumerate(texts):
+        if t is None:
+            assert got[k] is None
+            continue
+        want, place = [], 0
+        for piece in map(str.encode, cut.findall(t)):
+            want += S.merged(piece, RANKS, 0.2, k - 3 if k != 4 else 0, place)
+            place += len(piece)
+        assert got[k] == want
