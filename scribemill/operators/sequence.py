@@ -15,7 +15,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType, _parse_datatype_string
@@ -82,15 +82,15 @@ FREQUENT = 1000
 FREQUENT_BYTES = 16 << 20
 
 
-def with_first_places(subs: DataFrame, first: DataFrame, keys: list[str]) -> DataFrame:
-    """subs with `first` of their text, from rows (*keys, first, n) of every text.
+def with_first_places(subs: DataFrame, first: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
+    """subs with `first` of their text, from rows (*keys, first, n) of every text; text: its column, or that of its digest.
 
     The few texts that one in FREQUENT rows or more have meet their rows by a broadcast, if they are not too long for it;
     rows of these go through the join of all others under keys that no text has, spread over its tasks.
     """
     total = first.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     often = first.where(F.col("n") * FREQUENT > total)
-    size = often.agg(F.coalesce(F.sum(F.octet_length("text") + 64), F.lit(0))).first()[0]
+    size = often.agg(F.coalesce(F.sum(F.octet_length(text) + 64), F.lit(0))).first()[0]
     names = [f"__{k}" for k in keys]
     equal = lambda left, right: functools.reduce(lambda a, b: a & b, (F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right, strict=True)))
     if size > FREQUENT_BYTES:
@@ -98,10 +98,10 @@ def with_first_places(subs: DataFrame, first: DataFrame, keys: list[str]) -> Dat
         return subs.join(renamed, equal(keys, names)).drop(*names)
     of_often = often.select(*(F.col(k).alias(n) for k, n in zip(keys, names, strict=True)), F.col("first").alias("__often"))
     rows = subs.join(F.broadcast(of_often), equal(keys, names), "left").drop(*names)
-    spread = F.concat(F.lit("\x00"), F.xxhash64("file_id", "idx").cast("string"))
-    rows = rows.withColumn("__asked", F.when(F.col("__often").isNotNull(), spread).otherwise(F.col("text")))
+    spread = F.concat(F.lit("\x00" * 33), F.xxhash64("file_id", "idx").cast("string")).cast(subs.schema[text].dataType)
+    rows = rows.withColumn("__asked", F.when(F.col("__often").isNotNull(), spread).otherwise(F.col(text)))
     seldom = first.select(*(F.col(k).alias(n) for k, n in zip(keys, names, strict=True)), F.col("first").alias("__seldom"))
-    asked = ["__asked" if k == "text" else k for k in keys]
+    asked = ["__asked" if k == text else k for k in keys]
     rows = rows.join(seldom, equal(asked, names), "left")
     return rows.withColumn("first", F.coalesce("__often", "__seldom")).drop("__often", "__seldom", "__asked", *names)
 
@@ -113,32 +113,47 @@ def mark_duplicates(subs: DataFrame, lookback: int = 4, scope: str = "global", o
     earlier runs (of lower `run`), which count as met before (scope global).
 
     Whether a text was met before is a matter of the first (file_id, idx) of the text, which is aggregated before the
-    rows meet it, so that a frequent text does not stand in one task.
+    rows meet it, so that a frequent text does not stand in one task. Texts are met by their SHA-256, and the rows
+    themselves move by file only: a file's marks come to them as one array.
     """
-    keys = ["text"] if scope == "global" else ["file_id", "text"]
-    first = subs.groupBy(*keys).agg(F.min(F.struct("file_id", "idx")).alias("first"), F.count("*").alias("n"))
+    if seen is not None and scope != "global":
+        raise ValueError("texts of earlier runs count in all files")
+    digest = F.unhex(F.sha2(F.col("text").cast("binary"), 256))
+    places = stored(subs.select("file_id", "idx", digest.alias("__key")), "places")
+    keys = ["__key"] if scope == "global" else ["file_id", "__key"]
     if seen is not None:
-        if scope != "global":
-            raise ValueError("texts of earlier runs count in all files")
-        first = seen.marked(first, run)
+        first = seen.marked(subs.groupBy("text").agg(F.min(F.struct("file_id", "idx")).alias("first"), F.count("*").alias("n")), run).select(digest.alias("__key"), "first", "n")
     else:
-        first = first.withColumn("first", F.struct(F.lit(False).alias("earlier"), "first.*"))
-    rows = with_first_places(subs, stored(first, "first-places"), keys)
+        first = places.groupBy(*keys).agg(F.struct(F.lit(False).alias("earlier"), F.min(F.struct("file_id", "idx")).alias("x")).alias("first"), F.count("*").alias("n"))
+        first = first.withColumn("first", F.struct("first.earlier", "first.x.*"))
+    rows = with_first_places(places, stored(first, "first-places"), keys, "__key")
     rows = rows.withColumn("first", F.when(F.col("first.earlier"), F.lit(None)).otherwise(F.struct("first.file_id", "first.idx")))
-    w, whole = by_file(), Window.partitionBy("file_id")
+    w, whole = Window.partitionBy("file_id").orderBy("idx", "__key"), Window.partitionBy("file_id")
     rows = rows.withColumn("seen", F.col("first").isNull() | (F.col("first") < F.struct("file_id", "idx")))
     rows = rows.withColumns({"at": F.row_number().over(w) - 1, "size": F.count("*").over(whole), "run": F.sum((~F.col("seen")).cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0))})
     of_run = Window.partitionBy("file_id", "run", "seen")
     long = F.col("seen") & (F.count("*").over(of_run) >= lookback)
     rows = rows.withColumn("long", long)
     if not offset:
-        return rows.withColumn("duplicate", F.col("long")).select(*subs.columns, "duplicate")
+        return with_marks(subs, rows, F.col("long"), digest)
     wraps = F.coalesce(F.max(F.col("long") & (F.col("at") == 0)).over(whole), F.lit(False))
     shifted = F.coalesce(F.lead("long").over(w), F.lit(False))
     tail = F.col("long") & (F.col("at") >= F.col("size") - lookback)
     rows = rows.withColumns({"wraps": wraps, "shifted": shifted, "tail": tail})
     mark = F.col("shifted") | F.col("tail") | (F.col("wraps") & (F.col("at") == F.col("size") - 1))
-    return rows.withColumn("duplicate", mark).select(*subs.columns, "duplicate")
+    return with_marks(subs, rows, mark, digest)
+
+
+def with_marks(subs: DataFrame, rows: DataFrame, mark: Column, digest: Column) -> DataFrame:
+    """subs with duplicate: the mark of the row at the same place of the file, in the order of idx and digest. Rows of a
+    null file are one file's."""
+    rows, marks = rows.withColumn("mark", mark), F.transform(F.array_sort(F.collect_list(F.struct("at", "mark"))), lambda x: x["mark"])
+    # an equality that nulls take part in would deal out the rows of all files anew
+    of_file = rows.where("file_id is not null").groupBy(F.col("file_id").alias("__file")).agg(marks.alias("__marks"))
+    of_null = rows.where("file_id is null").agg(marks.alias("__of_null"))
+    at = F.row_number().over(Window.partitionBy("file_id").orderBy("idx", digest)) - 1
+    out = subs.withColumn("__at", at).join(of_file, F.col("file_id") == F.col("__file"), "left").crossJoin(F.broadcast(of_null))
+    return out.select(*subs.columns, F.get(F.when(F.col("file_id").isNull(), F.col("__of_null")).otherwise(F.col("__marks")), F.col("__at")).alias("duplicate"))
 
 
 CHUNK = "least int, most int, chunk int, start long, end long, duration long, text string, text_timestamps string, sub_ids array<int>"
