@@ -31,28 +31,38 @@ def by_file(file: str = "file_id", idx: str = "idx") -> Window:
     return Window.partitionBy(file).orderBy(idx)
 
 
-def fuse(subs: DataFrame) -> DataFrame:
-    """Runs of equal text become one subtitle, from the first start to the last end; those not longer than 0 go."""
+def digest(text: Column) -> Column:
+    """The SHA-256 of a text, in bytes."""
+    return F.unhex(F.sha2(text.cast("binary"), 256))
+
+
+def fuse(subs: DataFrame, renumbered: bool = True) -> DataFrame:
+    """Runs of equal text become one subtitle, from the first start to the last end; those not longer than 0 go. idx is
+    new; not `renumbered`, it is that of the run's first row, and what follows in its order needs no other sort."""
     w = by_file()
-    new = F.when(F.col("text").eqNullSafe(F.lag("text").over(w)) & (F.row_number().over(w) > 1), 0).otherwise(1)
-    runs = subs.withColumn("run", F.sum(new).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    out = runs.groupBy("file_id", "run").agg(F.min_by("start", "idx").alias("start"), F.max_by("end", "idx").alias("end"), F.first("text").alias("text"))
-    out = out.where(F.col("end") > F.col("start"))
-    return out.withColumn("idx", (F.row_number().over(by_file(idx="run")) - 1).cast("int")).select("file_id", "idx", "start", "end", "text")
+    new = (F.row_number().over(w) == 1) | ~F.col("text").eqNullSafe(F.lag("text").over(w))
+    last = F.lead(F.lit(1)).over(w).isNull() | ~F.col("text").eqNullSafe(F.lead("text").over(w))
+    ends = subs.select("file_id", "idx", "start", "end", "text", new.alias("new"), last.alias("last")).where(F.col("new") | F.col("last"))
+    # the next one behind a first row that is not the last is the last row of its run
+    out = ends.withColumn("end", F.when(F.col("last"), F.col("end")).otherwise(F.lead("end").over(w))).where("new").where(F.col("end") > F.col("start"))
+    idx = (F.row_number().over(w) - 1).cast("int").alias("idx") if renumbered else F.col("idx")
+    return out.select("file_id", idx, "start", "end", "text")
 
 
-def fill_silence(subs: DataFrame, lead_in: bool = True) -> DataFrame:
+def fill_silence(subs: DataFrame, lead_in: bool = True, silence: str | Column = SILENCE) -> DataFrame:
     """A silence wherever a subtitle does not start at the end of the one before (an overlap gives a negative one);
-    with lead_in the stream starts at 0, else at its first start. Adds duration and is_silence; idx is new."""
-    w = by_file()
+    with lead_in the stream starts at 0, else at its first start. Adds duration and is_silence; idx is new, from 0.
+    silence: its text, or what stands for it where texts are digests."""
+    w, silence = by_file(), F.lit(silence)
     before = F.lag("end").over(w)
     before = F.coalesce(before, F.lit(0).cast("long") if lead_in else F.col("start"))
-    part = lambda start, end, text, order: F.struct(start.alias("start"), end.alias("end"), text.alias("text"), F.lit(order).alias("part"))
-    own = part(F.col("start"), F.col("end"), F.col("text"), 1)
-    gap = F.when(F.col("before") != F.col("start"), part(F.col("before"), F.col("start"), F.lit(SILENCE), 0))
-    rows = subs.withColumn("before", before).select("file_id", "idx", F.explode(F.array_compact(F.array(gap, own))).alias("x")).select("file_id", "idx", "x.*")
-    rows = rows.withColumn("new", (F.row_number().over(Window.partitionBy("file_id").orderBy("idx", "part")) - 1).cast("int"))
-    return rows.select("file_id", F.col("new").alias("idx"), "start", "end", (F.col("end") - F.col("start")).alias("duration"), "text", (F.col("text") == SILENCE).alias("is_silence"))
+    rows = subs.withColumn("before", before).withColumn("gap", F.coalesce(F.col("before") != F.col("start"), F.lit(False)))
+    at = (F.row_number().over(w) - 1 + F.sum(F.col("gap").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0))).cast("int")
+    part = lambda at, start, end, text: F.struct(at.alias("idx"), start.alias("start"), end.alias("end"), text.alias("text"))
+    own = part(F.col("at"), F.col("start"), F.col("end"), F.col("text"))
+    gap = F.when(F.col("gap"), part(F.col("at") - 1, F.col("before"), F.col("start"), silence))
+    rows = rows.withColumn("at", at).select("file_id", F.explode(F.array_compact(F.array(gap, own))).alias("x")).select("file_id", "x.*")
+    return rows.select("file_id", "idx", "start", "end", (F.col("end") - F.col("start")).alias("duration"), "text", (F.col("text") == silence).alias("is_silence"))
 
 
 def mark_live(subs: DataFrame) -> DataFrame:
@@ -83,9 +93,10 @@ FREQUENT_BYTES = 16 << 20
 
 
 def with_first_places(subs: DataFrame, first: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
-    """subs with `first` of their text, from rows (*keys, first, n) of every text; text: its column, or that of its digest.
+    """subs with `first` of their text, null where it has none, from rows (*keys, first, n) of texts; text: its column, or
+    that of its digest.
 
-    The few texts that one in FREQUENT rows or more have meet their rows by a broadcast, if they are not too long for it;
+    The few texts that one in FREQUENT of the rows counted there or more have meet their rows by a broadcast, if they are not too long for it;
     rows of these go through the join of all others under keys that no text has, spread over its tasks.
     """
     total = first.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
@@ -95,7 +106,7 @@ def with_first_places(subs: DataFrame, first: DataFrame, keys: list[str], text:
     equal = lambda left, right: functools.reduce(lambda a, b: a & b, (F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right, strict=True)))
     if size > FREQUENT_BYTES:
         renamed = first.select(*(F.col(k).alias(n) for k, n in zip(keys, names, strict=True)), "first")
-        return subs.join(renamed, equal(keys, names)).drop(*names)
+        return subs.join(renamed, equal(keys, names), "left").drop(*names)
     of_often = often.select(*(F.col(k).alias(n) for k, n in zip(keys, names, strict=True)), F.col("first").alias("__often"))
     rows = subs.join(F.broadcast(of_often), equal(keys, names), "left").drop(*names)
     spread = F.concat(F.lit("\x00" * 33), F.xxhash64("file_id", "idx").cast("string")).cast(subs.schema[text].dataType)
@@ -106,52 +117,54 @@ def with_first_places(subs: DataFrame, first: DataFrame, keys: list[str], text:
     return rows.withColumn("first", F.coalesce("__often", "__seldom")).drop("__often", "__seldom", "__asked", *names)
 
 
-def mark_duplicates(subs: DataFrame, lookback: int = 4, scope: str = "global", offset: bool = True, seen: SeenTexts | None = None, run: str = "") -> DataFrame:
+def mark_duplicates(subs: DataFrame, lookback: int = 4, scope: str = "global", offset: bool = True, seen: SeenTexts | None = None, run: str = "", digests: DataFrame | None = None) -> DataFrame:
     """Adds duplicate: runs of at least `lookback` rows whose text was met before, in the file or (scope global) in a
     file of a lower file_id. With `offset` the mark stands one row early, as far as the last `lookback` rows of the
     file, and from its first row goes round to its last; without it, on the run itself. `seen` holds the texts of
     earlier runs (of lower `run`), which count as met before (scope global).
 
     Whether a text was met before is a matter of the first (file_id, idx) of the text, which is aggregated before the
-    rows meet it, so that a frequent text does not stand in one task. Texts are met by their SHA-256, and the rows
-    themselves move by file only: a file's marks come to them as one array.
+    rows meet it, so that a frequent text does not stand in one task; places of texts that one row alone has meet no
+    other. Texts are met by their SHA-256, and the rows themselves move by file only: a file's marks come to them as one
+    array. `digests`: the same rows again as (file_id, idx, digest), for whoever can make them without moving the texts;
+    idx then numbers the rows of each file from 0.
     """
     if seen is not None and scope != "global":
         raise ValueError("texts of earlier runs count in all files")
-    digest = F.unhex(F.sha2(F.col("text").cast("binary"), 256))
-    places = stored(subs.select("file_id", "idx", digest.alias("__key")), "places")
+    key, numbered = digest(F.col("text")), digests is not None
+    places = subs.select("file_id", "idx", key.alias("__key")) if digests is None else digests.select("file_id", "idx", F.col("digest").alias("__key"))
+    places = stored(places, "places")
     keys = ["__key"] if scope == "global" else ["file_id", "__key"]
     if seen is not None:
-        first = seen.marked(subs.groupBy("text").agg(F.min(F.struct("file_id", "idx")).alias("first"), F.count("*").alias("n")), run).select(digest.alias("__key"), "first", "n")
+        first = seen.marked(subs.groupBy("text").agg(F.min(F.struct("file_id", "idx")).alias("first"), F.count("*").alias("n")), run).select(key.alias("__key"), "first", "n")
     else:
         first = places.groupBy(*keys).agg(F.struct(F.lit(False).alias("earlier"), F.min(F.struct("file_id", "idx")).alias("x")).alias("first"), F.count("*").alias("n"))
-        first = first.withColumn("first", F.struct("first.earlier", "first.x.*"))
+        first = first.where("n > 1").withColumn("first", F.struct("first.earlier", "first.x.*"))
     rows = with_first_places(places, stored(first, "first-places"), keys, "__key")
-    rows = rows.withColumn("first", F.when(F.col("first.earlier"), F.lit(None)).otherwise(F.struct("first.file_id", "first.idx")))
-    w, whole = Window.partitionBy("file_id").orderBy("idx", "__key"), Window.partitionBy("file_id")
-    rows = rows.withColumn("seen", F.col("first").isNull() | (F.col("first") < F.struct("file_id", "idx")))
+    w, whole = Window.partitionBy("file_id").orderBy("idx", *[] if numbered else ["__key"]), Window.partitionBy("file_id")
+    rows = rows.withColumn("seen", F.when(F.col("first").isNull(), False).otherwise(F.col("first.earlier") | (F.struct("first.file_id", "first.idx") < F.struct("file_id", "idx"))))
     rows = rows.withColumns({"at": F.row_number().over(w) - 1, "size": F.count("*").over(whole), "run": F.sum((~F.col("seen")).cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0))})
     of_run = Window.partitionBy("file_id", "run", "seen")
     long = F.col("seen") & (F.count("*").over(of_run) >= lookback)
     rows = rows.withColumn("long", long)
     if not offset:
-        return with_marks(subs, rows, F.col("long"), digest)
+        return with_marks(subs, rows, F.col("long"), numbered)
     wraps = F.coalesce(F.max(F.col("long") & (F.col("at") == 0)).over(whole), F.lit(False))
     shifted = F.coalesce(F.lead("long").over(w), F.lit(False))
     tail = F.col("long") & (F.col("at") >= F.col("size") - lookback)
     rows = rows.withColumns({"wraps": wraps, "shifted": shifted, "tail": tail})
     mark = F.col("shifted") | F.col("tail") | (F.col("wraps") & (F.col("at") == F.col("size") - 1))
-    return with_marks(subs, rows, mark, digest)
+    return with_marks(subs, rows, mark, numbered)
 
 
-def with_marks(subs: DataFrame, rows: DataFrame, mark: Column, digest: Column) -> DataFrame:
-    """subs with duplicate: the mark of the row at the same place of the file, in the order of idx and digest. Rows of a
-    null file are one file's."""
+def with_marks(subs: DataFrame, rows: DataFrame, mark: Column, numbered: bool) -> DataFrame:
+    """subs with duplicate: the mark of the row at the same place of the file, which idx is where rows are `numbered`; else
+    places are in the order of idx and digest. Rows of a null file are one file's."""
     rows, marks = rows.withColumn("mark", mark), F.transform(F.array_sort(F.collect_list(F.struct("at", "mark"))), lambda x: x["mark"])
     # an equality that nulls take part in would deal out the rows of all files anew
     of_file = rows.where("file_id is not null").groupBy(F.col("file_id").alias("__file")).agg(marks.alias("__marks"))
     of_null = rows.where("file_id is null").agg(marks.alias("__of_null"))
-    at = F.row_number().over(Window.partitionBy("file_id").orderBy("idx", digest)) - 1
+    at = F.col("idx") if numbered else F.row_number().over(Window.partitionBy("file_id").orderBy("idx", digest(F.col("text")))) - 1
     out = subs.withColumn("__at", at).join(of_file, F.col("file_id") == F.col("__file"), "left").crossJoin(F.broadcast(of_null))
     return out.select(*subs.columns, F.get(F.when(F.col("file_id").isNull(), F.col("__of_null")).otherwise(F.col("__marks")), F.col("__at")).alias("duplicate"))
 
@@ -244,8 +257,9 @@ def pack(rows: list[tuple], least: int, most: int, surround: bool = True, flush_
 def by_key(rows: DataFrame, key: str, order: str, inputs: list[str], outputs: str, fold) -> DataFrame:
     """fold(rows of one key, in order) -> rows of outputs; the key goes before them.
 
-    Rows are dealt by key and sorted by Spark, and pass through a task as a stream that holds one key's rows at a time.
-    Ties stand in any order, nulls first; rows of a null key are one key's.
+    Rows are dealt by key and sorted by it in Spark, which costs nothing where they are already, and pass through a task
+    as a stream that holds one key's rows at a time and puts them in order, of a whole number. Ties stand in any order,
+    nulls first; rows of a null key are one key's.
     """
     names = [key, *(x.split()[0] for x in outputs.split(", "))]
     kind = rows.schema[key].dataType
@@ -258,11 +272,15 @@ def by_key(rows: DataFrame, key: str, order: str, inputs: list[str], outputs: st
         def made(rows_out):
             return pa.record_batch([pa.array([x[i] for x in rows_out], f.type) for i, f in enumerate(arrow)], names=names)
 
+        def folded(rows_in):
+            rows_in.sort(key=lambda x: (x[-1] is not None, x[-1]))
+            return fold([x[:-1] for x in rows_in])
+
         for batch in batches:
             columns = [c.to_pylist() for c in batch.columns]
             for k, *values in zip(*columns, strict=True):
                 if own and k != held:
-                    out += [(held, *x) for x in fold(own)]
+                    out += [(held, *x) for x in folded(own)]
                     own = []
                 held = k
                 own.append(tuple(values))
@@ -270,11 +288,11 @@ def by_key(rows: DataFrame, key: str, order: str, inputs: list[str], outputs: st
                 yield made(out)
                 out = []
         if own:
-            out += [(held, *x) for x in fold(own)]
+            out += [(held, *x) for x in folded(own)]
         if out:
             yield made(out)
 
-    return rows.select(key, *inputs, order).repartition(key).sortWithinPartitions(key, order).select(key, *inputs).mapInArrow(run, schema)
+    return rows.select(key, *inputs, order).repartition(key).sortWithinPartitions(key).mapInArrow(run, schema)
 
 
 def pack_chunks(subs: DataFrame, least: int = 10_000, most: int = 30_000, **options) -> DataFrame:

@@ -47,7 +47,7 @@ def fuse_runs(spark, d):
 
 @query(f"""with {LINES}, {FUSED}, {FILLED} select file_id, cast(row_number() over (partition by file_id order by o) - 1 as int) as idx, start, "end", duration, text, is_silence from filled""")
 def silence_fill(spark, d):
-    return sequence.fill_silence(sequence.fuse(V.subs(spark, d)))
+    return sequence.fill_silence(sequence.fuse(V.subs(spark, d), renumbered=False))
 
 
 @query(f"""with {LINES}, s as (select *, coalesce(lag("end") over (partition by file_id order by idx), start) as b from (select *, start + 100 as start2 from subs)),
@@ -127,7 +127,10 @@ def dup_mark_exact(spark, d):
 
 
 def _marked(spark, d):
-    return sequence.mark_duplicates(silence_fill(spark, d))
+    """Texts move once, by file: which ones were met before is found from rows that digests stand for them in."""
+    digests = sequence.fuse(V.subs(spark, d, digests=True), renumbered=False)
+    digests = sequence.fill_silence(digests, silence=sequence.digest(F.lit(sequence.SILENCE)))
+    return sequence.mark_duplicates(silence_fill(spark, d), digests=digests.select("file_id", "idx", F.col("text").alias("digest")))
 
 
 MARKED = f"""{FUSED}, {FILLED}, fl as (select file_id, cast(row_number() over (partition by file_id order by o) - 1 as int) as idx, start, "end", text from filled),
