@@ -74,7 +74,7 @@ def address(place: str) -> str:
     return "file:" + re.sub(r'[\x00-\x20"%<>?#\[\\\]^`{|}\x7f]', lambda c: quote(c[0]), place)
 
 
-def folder_files(spark: SparkSession, folder: str, glob: str | None) -> DataFrame:
+def folder_files(spark: SparkSession, folder: str, glob: str | None, empty: bool = False) -> DataFrame:
     """path and value of the files below a local or mounted folder: one task lists them, as a stream, and all read them,
     so that neither the driver holds the list nor a task is made for a few files."""
 
@@ -97,7 +97,7 @@ def folder_files(spark: SparkSession, folder: str, glob: str | None) -> DataFram
                         text = x.read()
                 except FileNotFoundError:
                     continue
-                if not text:
+                if not text and not empty:
                     continue
                 paths.append(address(place))
                 texts.append(text)
@@ -113,14 +113,15 @@ def folder_files(spark: SparkSession, folder: str, glob: str | None) -> DataFram
     return places.mapInArrow(read, "path string, value binary").select("path", F.col("value").cast("string").alias("value"))
 
 
-def whole_files(spark: SparkSession, path, glob: str | None = None) -> DataFrame:
-    """path and value (the whole text) of every file below a folder."""
+def whole_files(spark: SparkSession, path, glob: str | None = None, empty: bool = False) -> DataFrame:
+    """path and value (the whole text) of every file below a folder. Files without a byte are passed over, as Spark does;
+    with `empty` those of a local or mounted folder are rows too."""
     parts = urlparse(path) if isinstance(path, str) else None
     # a local or mounted folder; globs of several alternatives, lists, single files and other stores are Spark's own
     if parts and parts.scheme in ("", "file") and not re.search(r"[{\\]|\[\^", glob or ""):
         folder = os.path.abspath(unquote(parts.path) if parts.scheme else path)
         if os.path.isdir(folder):
-            return folder_files(spark, folder, glob)
+            return folder_files(spark, folder, glob, empty)
     reader = spark.read.option("recursiveFileLookup", True).option("ignoreMissingFiles", True)
     reader = reader.option("pathGlobFilter", glob) if glob else reader
     return reader.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
@@ -204,10 +205,13 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return lines.select(F.get("x", F.lit(0)).alias("path"), F.get("x", F.lit(1)).alias("audio"))
 
 
-def read_transcripts(spark: SparkSession, path, glob: str = "*.txt") -> DataFrame:
-    """filename and transcription of text files that hold one transcript each."""
-    rows = whole_files(spark, path, glob)
-    return rows.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("filename"), F.regexp_replace("value", r"(?U)\s+$", "").alias("transcription"))
+def read_transcripts(spark: SparkSession, path, glob: str = "*.txt", space: str = r"(?U)\s") -> DataFrame:
+    """filename and transcription of text files that hold one transcript each, without the white space (space, a pattern
+    of one character) at its end. A file without a byte is an empty transcript, if `whole_files` has it."""
+    rows = whole_files(spark, path, glob, empty=True)
+    # a run is tried from its start only
+    end = rf"(?<!{space}){space}+\z"
+    return rows.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("filename"), F.regexp_replace("value", end, "").alias("transcription"))
 
 
 def read_audio(spark: SparkSession, path, glob: str = "*.wav") -> DataFrame:

@@ -50,6 +50,30 @@ def test_textgrid(spark, tmp_path):
     assert [r["text"] for r in got] == ["long " * 40_000, 'a "' * 300]
 
 
+def test_transcripts(spark, tmp_path):
+    """A file without a byte is an empty transcript, as for the reference; long runs of white space are passed once."""
+    rows = lambda **x: dict(map(tuple, readers.read_transcripts(spark, str(tmp_path), **x).collect()))
+    for name, text in {"a.txt": "", "b.txt": " \n", "c.txt": "c \u2003\xa0\r\n", "e.md": "e"}.items():
+        (tmp_path / name).write_bytes(text.encode())
+    assert rows() == {"a.txt": "", "b.txt": "", "c.txt": "c"}
+    assert rows(space=r"[ \t\n\f\r]") == {"a.txt": "", "b.txt": "", "c.txt": "c \u2003\xa0"}
+    (tmp_path / "a.txt").write_text(long := "a" + " " * 400_000 + "b")
+    assert rows()["a.txt"] == long
+
+
+def test_transcript_files_of_odd_rows(spark, tmp_path):
+    """Rows without a text, with an empty one or other white space at the end, of one id, without an id, of any id."""
+    ends = "\t \n \r\n \f \v \x1c \x85 \xa0 \u1680 \u2003 \u2028 \u2029 \u202f \u3000 \ufeff".split(" ")
+    texts = ["", " ", " \n\t", " a  b \n\n c", *(f"a{x}" for x in ends), *(f"a \n{x}" for x in ends), *(f"a{x} \n" for x in ends), *(x for x in ends)]
+    rows = [*enumerate(texts), (-5, "a "), (-(2**63), "b"), (2**63 - 1, None), (-7, None), (7, None), (8, ""), (9, "other"), (9, "other"), (None, "a "), (None, "a "), (None, ""), (None, None), (None, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    c = duckdb.connect()
+    c.execute(f"create view documents as select * from read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    want = c.execute(catalog.ORACLES["transcript_files"]).fetchall()
+    got = catalog.QUERIES["transcript_files"](spark, str(tmp_path)).select("doc_id", "transcription").collect()
+    assert len(want) == len(rows) and sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+
+
 def test_documents(spark, tmp_path):
     (tmp_path / "d").mkdir()
     (tmp_path / "d" / "a.json").write_text(json.dumps({"metadata": {"channel": "c"}, "chunks": [{"text": "t", "transcription": [], "language_probs": {"m": {"sv": 0.5}}}]}, indent=1))
